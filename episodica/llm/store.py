@@ -65,3 +65,30 @@ def batches(it: Iterator[pa.RecordBatch], limit: int = 8 << 20, column: str = "t
             _, offsets = column_bytes(batch.column(column))
             for a, b in slices(offsets, limit):
                 yield batch.slice(a, b - a)
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Arrow batches of at most 1,000 rows and about 16 MB, whatever a row holds."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark
+
+
+def by_group(it: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Of rows sorted by the keys, a table for each group of equal keys."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in it:
+        a = 0
+        rows = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+        for r, key in enumerate(rows):
+            if key != now:
+                if r > a:
+                    held.append(batch.slice(a, r - a))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, now, a = [], key, r
+        if batch.num_rows > a:
+            held.append(batch.slice(a))
+    if held:
+        yield pa.Table.from_batches(held)
