@@ -3,8 +3,8 @@
 A source's target T against its size S gives floor(T/S) certain copies of each document; what is left, R words,
 is a sample without replacement.  A document that alone exceeds R can't be in the sample; the others have the
 inclusion odds p/(1-p) with p = R over the size of all that can.  Documents are ranked by random odds divided by
-inclusion odds, u/(1-u) / (p/(1-p)), smallest first, and taken until R is reached: the last one is taken if that
-comes nearer to R.  u comes from the md5 of the id, so reruns agree.
+inclusion odds, u/(1-u) / (p/(1-p)), smallest first, and taken while their sum stays within R.  One more, the
+one that brings the sum nearest to R, fills what is left.  u comes from the md5 of the id, so reruns agree.
 
 No source is sorted whole: ranks are bucketed into BUCKETS, the words of each (source, bucket) summed with
 map-side partial sums, and only the one bucket per source in which R is reached is ordered, within itself.
@@ -25,6 +25,8 @@ from . import store
 #: Most copies, as a multiple of a source's size.
 MOST = 3
 BUCKETS = 1 << 16
+#: Sources up to which a row for each is broadcast; beyond, plain joins.
+FEW = 50_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -49,41 +51,46 @@ def _random(doc_id: Column) -> Column:
 
 def mix(docs: DataFrame, most: int = MOST, buckets: int = BUCKETS) -> DataFrame:
     """Per row: doc_id, size, source_size, target, copies (how often the mix takes it), taken (words)."""
-    return _mixed(store.written(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size")), "sizes"), most, buckets).select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return _mixed(store.written(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.monotonically_increasing_id().alias("row_key")), "sizes"), most, buckets).select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def _mixed(rows: DataFrame, most: int, buckets: int) -> DataFrame:
-    """`rows` (doc_id, source, size, anything else) with source_size, target, copies."""
-    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("size")), most)
+    """`rows` (doc_id, source, size, row_key, anything else) with source_size, target, copies."""
+    sizes = store.written(rows.groupBy("source").agg(F.sum("size").alias("size")), "sources")
+    few = (lambda df: F.broadcast(df)) if sizes.count() <= FEW else (lambda df: df)  # a row for each source
+    goal = targets(sizes, most)
     goal = goal.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
     goal = goal.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     of = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     goal = goal.withColumnRenamed("source", "s")
-    able = rows.join(F.broadcast(goal.select("s", "rest")), of("source", "s")).where("size > 0 and size <= rest").groupBy("s").agg(F.sum("size").alias("able"))
+    able = rows.join(few(goal.select("s", "rest")), of("source", "s")).where("size > 0 and size <= rest").groupBy("s").agg(F.sum("size").alias("able"))
     goal = store.written(goal.join(able.withColumnRenamed("s", "t"), of("s", "t"), "left").drop("t"), "targets")
     p = F.least(F.col("rest") / F.col("able"), F.lit(1.0))
     u = _random(F.col("doc_id"))
     odds = (u / (1 - u)) / (p / (1 - p))
     rank = F.when(p >= 1, F.lit(0.0)).otherwise(odds / (1 + odds))
-    ranked = rows.join(F.broadcast(goal), of("source", "s")).withColumn("rank", F.when((F.col("size") > 0) & (F.col("size") <= F.col("rest")), rank))
+    ranked = rows.join(few(goal), of("source", "s")).withColumn("rank", F.when((F.col("size") > 0) & (F.col("size") <= F.col("rest")), rank))
     ranked = ranked.withColumn("bucket", F.least(F.floor(F.col("rank") * buckets), F.lit(buckets - 1)).cast("int"))
     sums = ranked.where("bucket is not null").groupBy("s", "rest", "bucket").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("s").orderBy("bucket")
     sums = sums.withColumn("upto", F.sum("words").over(running))
     edge = sums.where("upto >= rest").groupBy("s").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("e")).select(F.col("s").alias("es"), F.col("e.bucket").alias("edge"), F.col("e.before").alias("before"))
-    out = ranked.join(F.broadcast(edge), of("s", "es"), "left")
+    out = ranked.join(few(edge), of("s", "es"), "left")
     out = out.withColumn("part", F.when(F.col("bucket") == F.col("edge"), "edge").when((F.col("bucket") < F.col("edge")) | (F.col("bucket").isNotNull() & F.col("edge").isNull()), "in").otherwise("out"))
     whole = out.where("part <> 'edge'").withColumn("more", F.when(F.col("part") == "in", 1).otherwise(0))
-    order = Window.partitionBy("s").orderBy("rank", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("s").orderBy("rank", F.col("doc_id").asc_nulls_first(), "size", "row_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = out.where("part = 'edge'").withColumn("sum", F.col("before") + F.sum("size").over(order))
-    more = F.when((F.col("sum") <= F.col("rest")) | ((F.col("sum") - F.col("size") < F.col("rest")) & (F.col("sum") - F.col("rest") < F.col("rest") - (F.col("sum") - F.col("size")))), 1).otherwise(0)
-    near = near.withColumn("more", more).drop("sum")
-    return whole.unionByName(near).withColumn("copies", F.col("whole") + F.col("more"))
+    near = near.withColumn("more", F.when(F.col("sum") <= F.col("rest"), 1).otherwise(0)).drop("sum")
+    first = store.written(whole.unionByName(near), "sampled")
+    gaps = first.groupBy("s", "rest").agg(F.sum(F.col("more") * F.col("size")).alias("had")).select(F.col("s").alias("gs"), (F.col("rest") - F.col("had")).alias("gap"))
+    free = first.where("more = 0 and rank is not null").join(few(gaps), of("s", "gs")).withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap")
+    last = free.groupBy("s").agg(F.min(F.struct("off", "rank", "doc_id", "row_key")).alias("l")).select(F.col("l.row_key").alias("last_key"))
+    return first.join(few(last), F.col("row_key") == F.col("last_key"), "left").withColumn("copies", F.col("whole") + F.col("more") + F.col("last_key").isNotNull().cast("int"))
 
 
 def mixture(docs: DataFrame, most: int = MOST, buckets: int = BUCKETS) -> DataFrame:
     """The mix itself: rows of `docs`, each as often as it is taken.  Words are counted once, texts move once."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), whole)
+    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"), F.monotonically_increasing_id().alias("row_key"), whole)
     taken = _mixed(store.written(rows, "sizes"), most, buckets).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

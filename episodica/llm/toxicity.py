@@ -47,7 +47,7 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
 class Ftrl:
     """FTRL-proximal logistic regression on binary features; coordinate 2**bits is the bias."""
 
-    def __init__(self, bits: int = BITS, alpha: float = 0.3, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0) -> None:
+    def __init__(self, bits: int = BITS, alpha: float = 2.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.0) -> None:
         self.bias, self.alpha, self.beta, self.l1, self.l2 = 1 << bits, alpha, beta, l1, l2
         self.z, self.n = np.zeros(self.bias + 1), np.zeros(self.bias + 1)
 
