@@ -18,7 +18,9 @@ Null texts are empty: their ids are the end id alone.  Null ids come first.  Rep
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -77,26 +79,70 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
     return [*out, text[a:]]
 
 
-def encoded(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text, with the end id."""
-    model, parts = tokenizer(path), [pieces(t) for t in texts]
-    flat = [p for x in parts for p in x]
-    ids: list[list[int]] = []
+#: The split of a byte-level BPE with its own pattern, for texts of only these characters; no token crosses it.
+_SPLIT = re.compile(r"'(?:[st]|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_PLAIN = re.compile(r"[^\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]")
+#: Split words whose ids a process keeps.
+KEEP = 400_000
+_words: dict[str, dict[str, bytes]] = {}
+
+
+def _encode(model, texts: list[str]) -> list[list[int]]:
+    """Ids of whole texts; encodings are large objects, so about a MB of text at once."""
+    out: list[list[int]] = []
     a = 0
-    while a < len(flat):  # encodings are large objects: about a MB of text at once
+    while a < len(texts):
         b, size = a, 0
-        while b < len(flat) and (b == a or size + len(flat[b]) <= PIECE):
-            size += len(flat[b])
+        while b < len(texts) and (b == a or size + len(texts[b]) + 50 <= PIECE):
+            size += len(texts[b]) + 50
             b += 1
-        ids += [e.ids for e in model.encode_batch_fast(flat[a:b], add_special_tokens=False)]
+        out += [e.ids for e in model.encode_batch_fast(texts[a:b], add_special_tokens=False)]
         a = b
-    out, k = [], 0
-    for x in parts:
-        out.append(np.array([i for y in ids[k : k + len(x)] for i in y] + [END_ID], np.uint32))
-        k += len(x)
     return out
 
 
+def _encode_words(model, words: list[str], at_once: int = 20_000) -> Iterator[bytes]:
+    """Ids of split words, each by itself: many words are one call."""
+    for a in range(0, len(words), at_once):
+        part = words[a : a + at_once]
+        made = model.encode(part, is_pretokenized=True, add_special_tokens=False)
+        ids, of = np.array(made.ids, np.uint32), np.array(made.word_ids, np.int64)
+        cut = (4 * np.searchsorted(of, np.arange(len(part) + 1))).tolist()
+        raw = ids.tobytes()
+        yield from (raw[b:c] for b, c in zip(cut[:-1], cut[1:], strict=True))
+
+
+def encoded(path: str, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text, with the end id.
+
+    A byte-level BPE encodes each word of its split by itself, so words are encoded once and their ids kept; texts
+    with characters whose class could be read differently here go to the library whole."""
+    model, known = tokenizer(path), _words.setdefault(path, {})
+    end = np.array([END_ID], np.uint32).tobytes()
+    split = [_SPLIT.findall(t) if _by_words(path) and not _PLAIN.search(t) else None for t in texts]
+    if len(known) > KEEP:
+        known.clear()
+    fresh = sorted({w for x in split if x for w in x}.difference(known))
+    known.update(zip(fresh, _encode_words(model, fresh), strict=True))
+    out = []
+    for t, x in zip(texts, split, strict=True):
+        raw = b"".join(map(known.__getitem__, x)) if x is not None else b"".join(np.array(i, np.uint32).tobytes() for i in _encode(model, pieces(t)))
+        out.append(np.frombuffer(raw + end, np.uint32))
+    return out
+
+
+_splits: dict[str, bool] = {}
+
+
+def _by_words(path: str) -> bool:
+    """Whether the tokenizer is a byte-level BPE with its own split and nothing else."""
+    if path not in _splits:
+        made = json.loads(tokenizer(path).to_str())
+        pre = made.get("pre_tokenizer") or {}
+        _splits[path] = made.get("normalizer") is None and made["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    return _splits[path]
+
+
 def _open(url: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(url) if "://" in url else (pafs.LocalFileSystem(), url.removeprefix("file:"))
 
