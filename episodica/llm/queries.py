@@ -82,8 +82,8 @@ WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x2
 s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
                                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS t FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 85 * (x.n + y.n - both)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS v, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON r.v = e.a WHERE r.root < e.b)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.root, d.doc_id)::BIGINT AS component_id
