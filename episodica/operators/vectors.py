@@ -30,6 +30,7 @@ def has_prefix(names: Column, prefix: list[str]) -> Column:
     return (F.slice(names, 1, len(prefix)) == F.lit(prefix)) & (F.size(F.array_distinct(names)) == F.size(names))
 
 
-def by_modality(df: DataFrame, vector: str, groups: DataFrame) -> DataFrame:
-    """Rows times groups (modality, start, end), each with its slice [start, end); groups are a handful of rows."""
-    return df.join(F.broadcast(groups), F.lit(True)).withColumn("part", F.slice(vector, F.col("start") + 1, F.col("end") - F.col("start")))
+def by_modality(df: DataFrame, vector: str, groups: list[tuple[str, int, int]]) -> DataFrame:
+    """Each row once for every group (modality, start, end), with its slice [start, end)."""
+    parts = F.array(*(F.struct(F.lit(g).alias("modality"), F.slice(F.col(vector), a + 1, b - a).alias("part")) for g, a, b in groups))
+    return df.select("*", F.inline(parts))
