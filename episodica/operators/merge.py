@@ -45,7 +45,9 @@ def frames(rows: DataFrame, vocabularies: DataFrame, order: list[str], episode:
 
 def episode_rows(merged: DataFrame, names: DataFrame, subtask: str = "subtask_index", text: str = "subtask") -> DataFrame:
     """Per new episode: length, tasks (distinct texts in the order first seen), refreshed index statistics."""
-    seen = segments.first_seen(merged.join(names, merged["new_subtask"] == names[subtask]).select("new_episode", "place", text), text, ["place"], "new_episode")
+    words = names.select(F.col(subtask).alias("__i"), text)
+    named = merged.select("new_episode", "place", "new_subtask").join(words, F.col("new_subtask") == F.col("__i"))
+    seen = segments.first_seen(named, text, ["place"], "new_episode")
     agg = merged.groupBy("new_episode").agg(F.count("*").alias("length"), F.min("new_index").alias("dataset_from_index"), (F.max("new_index") + 1).alias("dataset_to_index"), *(c.alias(f"index_{n}") for c, n in zip(stats.numeric("new_index"), ("mean", "std", "min", "max", "count"), strict=True)))
     return agg.join(seen.withColumnRenamed("values", "tasks"), "new_episode")
 
