@@ -150,7 +150,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, sample: int = SA
     for b in range(-(-n // block)):  # each block is a hash range of the queries
         mine = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(-(-n // block))) == b).where(F.size("v") == dims).collect()
         shared = spark.sparkContext.broadcast((model, np.array([r.vec_id for r in mine], np.int64), np.array([r.v for r in mine]).reshape(-1, dims)))
-        made = rows.mapInArrow(_search(shared, k), schema)
+        made = rows.transform(store.arrow, _search(shared, k), schema)
         if n > block:  # blocks don't wait for each other's executors
             made = store.written(made, "neighbours")
         found = made if found is None else found.union(made)

@@ -121,14 +121,14 @@ def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_gr
     items found, as strings, sorted), __spans (byte starts and ends of hit runs, alternating)."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
-    grams = items.mapInArrow(_grams(window), _GRAMS).distinct()
+    grams = items.transform(store.arrow, _grams(window), _GRAMS).distinct()
     blocks = max(1, -(-grams.count() // max_grams))
     schema = T.StructType([*docs.schema.fields, *_STATE])
     out = docs
     for k in range(blocks):
         block = grams.where(F.pmod("hash", F.lit(blocks)) == k) if blocks > 1 else grams
         shared = spark.sparkContext.broadcast(_Set([tuple(r) for r in block.collect()]))
-        out = out.mapInArrow(_scan(shared), schema)
+        out = out.transform(store.arrow, _scan(shared), schema)
         if k + 1 < blocks:
             out = store.written(out, "decontaminate")
     return out
@@ -154,7 +154,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", **opt
             k = batch.schema.get_field_index("text")
             yield batch.set_column(k, "text", pa.array(kept, pa.string())).select(docs.columns)
 
-    return marked.mapInArrow(cut, docs.schema)
+    return marked.transform(store.arrow, cut, docs.schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

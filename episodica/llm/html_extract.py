@@ -249,4 +249,4 @@ def extract(pages: DataFrame, price: float = PRICE, train_pages: int = PAGES) ->
     """Per row of `pages` (page_id, url, html): page_id, url, text, n_chars."""
     shared = pages.sparkSession.sparkContext.broadcast(fitted(train_pages))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-    return rows.mapInArrow(_extracted(shared, price), "page_id long, url string, text string, n_chars long")
+    return rows.transform(store.arrow, _extracted(shared, price), "page_id long, url string, text string, n_chars long")

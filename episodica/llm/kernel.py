@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _Q = np.uint64(0xD6E8FEB86659FD93)

@@ -106,7 +106,7 @@ class Vectors:
         keys, row = keys[inside], row[:m][inside]
         distinct, number = np.unique(keys, return_inverse=True)
         out = np.zeros((n, self.dims), np.float32)
-        width = max(1, (1 << 22) // max(n, 1))
+        width = min(4096, max(1, (1 << 20) // max(n, 1)))
         for a in range(0, len(distinct), width):  # counts of some n-grams at once, times their vectors
             some = (number >= a) & (number < a + width) if len(distinct) > width else slice(None)
             counts = np.bincount(row[some] * width + number[some] - a, minlength=n * width).reshape(n, width).astype(np.float32)
@@ -144,7 +144,7 @@ def learn(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, sample: int = SAM
         return [], np.zeros((0, dims))
     shares = docs.sparkSession.createDataFrame([(r.lang, int(min(1.0, sample / r.n) * (1 << 30))) for r in counts], "l string, share long")
     chosen = rows.join(F.broadcast(shares), F.col("lang") == F.col("l")).where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.col("share")).select("lang", "text")
-    sums = chosen.mapInArrow(_profiles(dims, gram), "lang string, dim int, value long").groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
+    sums = chosen.transform(store.arrow, _profiles(dims, gram), "lang string, dim int, value long").groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
     names = sorted({r.lang for r in sums})
     out = np.zeros((len(names), dims))
     at = {x: k for k, x in enumerate(names)}
@@ -178,7 +178,7 @@ def annotate(docs: DataFrame, trains: Column | None = None, dims: int = DIMS, gr
     schema = ", ".join(["__lang string", "__score double"])
     from pyspark.sql.types import StructType
 
-    return docs.mapInArrow(_judged(shared, dims, gram), StructType([*docs.schema.fields, *StructType.fromDDL(schema).fields]))
+    return docs.transform(store.arrow, _judged(shared, dims, gram), StructType([*docs.schema.fields, *StructType.fromDDL(schema).fields]))
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
