@@ -2,8 +2,8 @@
 
 1. Anchors.  Of every run of LENGTH bytes the smallest GRAM-gram hash is kept (winnowing): two equal strings
    of LENGTH bytes hold the same anchor at the same place, so equal strings always meet under an anchor.
-2. An aggregation leaves the anchors that occur at least twice; their documents cut out segments: the anchor
-   with what a string through it can reach to the left and right.
+2. An aggregation leaves the anchors that occur at least twice; their documents cut out segments: what the strings
+   cover whose anchor it is (every start belongs to one anchor).
 3. Segments meet by anchor.  Their suffixes up to the anchor are sorted in two stages: those smaller than their
    successor directly, the others induced by scanning buckets of the first byte; then common prefixes of
    neighbours are computed, up to LENGTH bytes.  A suffix that shares LENGTH bytes with a neighbour is a repeat.
@@ -11,7 +11,8 @@
 4. Each document gets its repeated starts, merges what they cover and removes it.
 
 Matches never cross rows; they are judged on the input, overlaps count.  Null and short texts keep all.
-Repeated rows are copies of each other, even under one id (rows are told apart by a row key).
+Equal texts are told by a 128-bit hash and cut once; if there are several, all of each occurs elsewhere.  Repeated
+rows are such copies too, even under one id.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ GRAM = 64
 #: Segments that one task sorts for one anchor; more common ones take the aggregation.
 MOST = 20_000
 #: Bytes of text whose anchors are found at once.
-PIECE = 1 << 20
+PIECE = 1 << 19
 
 
 def gram_windows(data: np.ndarray, size: int) -> np.ndarray:
@@ -54,13 +55,13 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if width > have else x
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, position in the row, hash) of the anchors of rows of at least `length` bytes."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, position, hash, first, last): the anchors of rows of at least `length` bytes, positions within the row,
+    and the strings whose anchor it is: those that start at first..last.  Every start has one anchor."""
     width, found = length - gram + 1, []
-    long = np.flatnonzero(np.diff(offsets) >= length)
     groups: list[list[tuple[int, int, int]]] = []
     room = 0
-    for r in long.tolist():  # pieces overlap by length - 1 bytes
+    for r in np.flatnonzero(np.diff(offsets) >= length).tolist():  # pieces overlap by length - 1 bytes
         a, end = int(offsets[r]), int(offsets[r + 1])
         while True:
             b = min(end, a + PIECE)
@@ -76,34 +77,40 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
         part = np.concatenate([data[a:b] for _, a, b in group])
         hashes = gram_windows(part, gram)
         low = np.uint64((1 << 24) - 1)
-        key = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
-        least = _least(key, width)
-        start = np.r_[0, np.cumsum([b - a for _, a, b in group])]
+        least = _least((hashes & ~low) | np.arange(len(hashes), dtype=np.uint64), width)
+        begin = np.r_[0, np.cumsum([b - a for _, a, b in group])]
         inside = np.zeros(len(least) + 1, np.int32)
-        np.add.at(inside, start[:-1], 1)
-        np.add.at(inside, np.minimum(start[1:] - length + 1, len(least)), -1)
-        least = least[np.cumsum(inside[:-1]) > 0]
-        at = (least & low).astype(np.int64)
-        at = at[np.r_[True, at[1:] != at[:-1]]]
-        piece = np.searchsorted(start, at, side="right") - 1
+        np.add.at(inside, begin[:-1], 1)
+        np.add.at(inside, np.minimum(begin[1:] - length + 1, len(least)), -1)
+        starts = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+        at = (least[starts] & low).astype(np.int64)
+        new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        first, last, at = starts[new], starts[np.r_[new[1:], len(starts)] - 1], at[new]
+        piece = np.searchsorted(begin, at, side="right") - 1
         rows, froms = np.array([r for r, _, _ in group]), np.array([a for _, a, _ in group])
-        found.append((rows[piece], at - start[piece] + froms[piece] - offsets[rows[piece]], hashes[at]))
+        move = froms[piece] - begin[piece] - offsets[rows[piece]]
+        found.append((rows[piece], at + move, hashes[at], first + move, last + move))
     if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    rows, pos, h = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((pos, rows))
-    rows, pos, h = rows[order], pos[order], h[order]
-    new = np.r_[True, (rows[1:] != rows[:-1]) | (pos[1:] != pos[:-1])]
-    return rows[new], pos[new], h[new]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))  # type: ignore[return-value]
 
 
 def _words(text: np.ndarray, starts: np.ndarray, k: int, depth: int) -> np.ndarray:
-    """Bytes 8k..8k+7 of each suffix as one big-endian number; beyond `depth` as 0."""
+    """Bytes 8k..8k+7 of each suffix as one big-endian number; beyond `depth` as 0.  (`text` has 8 bytes to spare.)"""
+    eight = np.ndarray(len(text) - 7, ">u8", text, 0, (1,))
+    out = eight[starts + 8 * k].astype(np.uint64)
+    more = depth - 8 * k
+    return out if more >= 8 else out & ~np.uint64((1 << (64 - 8 * more)) - 1)
+
+
+def _string_hashes(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
+    """A hash of the `depth` bytes at each start, computed piece by piece."""
     out = np.zeros(len(starts), np.uint64)
-    for j in range(8 * k, 8 * k + 8):
-        out <<= np.uint64(8)
-        if j < depth:
-            out |= text[starts + j].astype(np.uint64)
+    for a in range(0, len(text), PIECE):
+        b, e = np.searchsorted(starts, (a, a + PIECE))
+        if b < e:
+            part = gram_windows(text[a : a + PIECE + depth - 1], depth)
+            out[b:e] = part[starts[b:e] - a]
     return out
 
 
@@ -126,7 +133,7 @@ def two_stage_sort(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarr
     successor, bucket by bucket."""
     if len(wanted) < 2:
         return wanted
-    text = np.concatenate([text, np.zeros(2 * depth + 2, np.uint8)])
+    text = np.concatenate([text, np.zeros(2 * depth + 10, np.uint8)])
     starts = _extended(text, wanted, depth)
     n = len(starts)
     follows = np.r_[starts[1:] == starts[:-1] + 1, False]
@@ -139,6 +146,7 @@ def two_stage_sort(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarr
     # first stage
     some = np.flatnonzero(direct)
     rank = np.zeros(len(some), np.int64)
+    whole = _string_hashes(text, starts[some], depth)
     active, k = np.arange(len(some)), 0
     while len(active) and 8 * k < depth:
         key = _words(text, starts[some[active]], k, depth)
@@ -147,10 +155,12 @@ def two_stage_sort(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarr
         old = rank[a]
         group = np.r_[True, old[1:] != old[:-1]]
         new = group | np.r_[True, key[1:] != key[:-1]]
-        first = np.maximum.accumulate(np.where(group, np.arange(len(a)), 0))
-        rank[a] = old + np.maximum.accumulate(np.where(new, np.arange(len(a)), 0)) - first
-        alone = new & np.r_[new[1:], True]
-        active, k = a[~alone], k + 1
+        begin = np.maximum.accumulate(np.where(group, np.arange(len(a)), 0))
+        rank[a] = old + np.maximum.accumulate(np.where(new, np.arange(len(a)), 0)) - begin
+        # a group of equal strings (alone or by their hash) needs no more bytes
+        first = np.flatnonzero(new)
+        same = np.minimum.reduceat(whole[a], first) == np.maximum.reduceat(whole[a], first)
+        active, k = a[~np.repeat(same, np.diff(np.r_[first, len(a)]))], k + 1
     some = some[np.argsort(rank, kind="stable")]
     # second stage: in each bucket the induced ones come first, then the directly sorted
     cut = np.searchsorted(now[some], np.arange(257))
@@ -181,7 +191,7 @@ def two_stage_sort(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarr
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """Of each neighbouring two of `order`, the bytes they have in common, up to `depth`."""
-    text = np.concatenate([text, np.zeros(depth, np.uint8)])
+    text = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
     a, b = order[:-1], order[1:]
     common = np.zeros(len(a), np.int64)
     active = np.arange(len(a))
@@ -205,13 +215,11 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndar
     return np.sort(order[np.r_[same, False] | np.r_[False, same]])
 
 
-def _keyed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with a key of their own and the text compressed."""
-    task, serial, press = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)  # type: ignore[union-attr]
+def _press(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(level=3)
     for batch in it:
-        keys = (task << 40) + serial + np.arange(batch.num_rows)
-        serial += batch.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("doc_id"), pa.array([press.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], ["key", "doc_id", "z"])
+        z = pa.array([press.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "other")), z], ["doc_id", "key", "other", "z"])
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -223,96 +231,114 @@ def _anchored(length: int, gram: int) -> Callable:
     def run(it):
         for batch in it:
             keys = batch.column("key").to_numpy()
-            whole = pa.array(_texts(batch), pa.large_binary())
-            data, offsets = K.column_bytes(whole)
-            for a, b in K.slices(offsets, 4 << 20):
-                rows, pos, h = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[a + rows]), pa.array(pos)], ["anchor", "key", "pos"])
+            data, offsets = K.column_bytes(batch.column("text"))
+            for a, b in K.slices(offsets, 1 << 20):
+                rows, pos, h, first, last = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[a + rows]), pa.array(pos), pa.array((pos - first).astype(np.int16)), pa.array((last - first).astype(np.int16))], ["anchor", "key", "pos", "back", "more"])
 
     return run
 
 
-def _segments(length: int, gram: int) -> Callable:
-    """Rows (key, z, found): a document's repeated anchors (struct anchor, pos, many)."""
+_SEGMENT = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("other", pa.int64()), ("first", pa.int64()), ("count", pa.int64()), ("segment", pa.binary())])
+
+
+def _segments(length: int, parts: int) -> Callable:
+    """Of rows (key, other, z, found), found being a document's repeated anchors: their segments,
+    packed by the part that will sort them."""
 
     def run(it):
+        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts)], 0
+
+        def packed():
+            some = [p for p in range(parts) if rows[p]]
+            blobs = [press.compress(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()) for p in some]
+            for p in some:
+                rows[p].clear()
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["part", "segments"])
+
         for batch in it:
-            keys = batch.column("key").to_pylist()
-            for key, text, found in zip(keys, _texts(batch), batch.column("found").to_pylist(), strict=True):
-                pos = np.array([f["pos"] for f in found], np.int64)
-                first = np.maximum(pos - (length - gram), 0)
-                last = np.minimum(pos, len(text) - length)  # last start of a string through the anchor
-                step = 4096
-                for a in range(0, len(found), step):
-                    part = range(a, min(a + step, len(found)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([found[k]["anchor"] for k in part], pa.int64()), pa.array([key] * len(part), pa.int64()), pa.array(first[a : a + step]), pa.array(last[a : a + step] - first[a : a + step] + 1), pa.array([found[k]["many"] for k in part], pa.bool_()), pa.array([text[first[k] : last[k] + length] for k in part], pa.binary())],
-                        ["anchor", "key", "first", "count", "many", "segment"],
-                    )
+            for key, other, text, found in zip(*(batch.column(c).to_pylist() for c in ("key", "other")), _texts(batch), batch.column("found").to_pylist(), strict=True):
+                for f in found:
+                    first = f["pos"] - f["back"]
+                    last = first + f["more"]
+                    segment = text[first : last + length]
+                    rows[f["anchor"] % parts].append((f["anchor"], key, other, first, last - first + 1, segment))
+                    size += len(segment)
+                    if size > 16 << 20:
+                        yield packed()
+                        size = 0
+        if size:
+            yield packed()
 
     return run
 
 
-_RUNS = "key long, first long, last long"
+def _opened(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdDecompressor()
+    for batch in it:
+        for z in batch.column("segments").to_pylist():
+            yield pa.ipc.read_record_batch(pa.py_buffer(press.decompress(z)), _SEGMENT)
+
+
+_RUNS = "key long, other long, first long, last long"
 
 
-def _runs(keys: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+def _runs(keys: np.ndarray, others: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
     """Starts as runs of consecutive ones."""
-    order = np.lexsort((starts, keys))
-    keys, starts = keys[order], starts[order]
-    new = np.r_[True, (keys[1:] != keys[:-1]) | (starts[1:] > starts[:-1] + 1)] if len(keys) else np.zeros(0, bool)
+    order = np.lexsort((starts, others, keys))
+    keys, others, starts = keys[order], others[order], starts[order]
+    new = np.r_[True, (keys[1:] != keys[:-1]) | (others[1:] != others[:-1]) | (starts[1:] > starts[:-1] + 1)] if len(keys) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(keys)] - 1 if len(first) else first
-    return pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(starts[first]), pa.array(starts[last])], ["key", "first", "last"])
-
-
-def _sorted(length: int) -> Callable:
-    """Segments sorted by anchor; many anchors share a sort, their strings can't be taken for another's."""
-
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        rows = [r for r in rows if r[3] > 0]
-        if not rows:
-            return _runs(np.zeros(0, np.int64), np.zeros(0, np.int64))
-        text = np.frombuffer(b"".join(r[4] for r in rows) + b"\0", np.uint8)
-        at = np.r_[0, np.cumsum([len(r[4]) for r in rows])]
-        counts = np.array([r[3] for r in rows])
-        row = np.repeat(np.arange(len(rows)), counts)
-        starts = np.arange(len(row)) - np.r_[0, np.cumsum(counts)[:-1]][row] + at[row]
-        # a document's segments can overlap: the same start may stand in two, so a repeat needs two different starts
-        keys, place = np.array([r[1] for r in rows])[row], np.array([r[2] for r in rows])[row] + starts - at[row]
-        once = np.lexsort((place, keys))
-        new = np.r_[True, (keys[once][1:] != keys[once][:-1]) | (place[once][1:] != place[once][:-1])]
-        use = np.zeros(len(row), bool)
-        use[once[new]] = True
-        found = repeated_starts(text, starts[use], length)
-        k = np.searchsorted(starts, found)
-        return _runs(keys[k], place[k])
+    return pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(others[first]), pa.array(starts[first]), pa.array(starts[last])], ["key", "other", "first", "last"])
+
+
+def _solve(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """Repeated starts of the segments; many anchors share a sort, a string can't be taken for another's."""
+    data, at = K.column_bytes(rows.column("segment"))
+    counts, first, key, other = (rows.column(c).to_numpy() for c in ("count", "first", "key", "other"))
+    row = np.repeat(np.arange(len(counts)), counts)
+    starts = np.arange(len(row)) - np.r_[0, np.cumsum(counts)[:-1]][row] + at[row]
+    # a text's segments overlap: one start may stand in several, and a repeat needs two different starts
+    keys, others, place = key[row], other[row], first[row] + starts - at[row]
+    once = np.lexsort((place, others, keys))
+    k, o, p = keys[once], others[once], place[once]
+    use = np.zeros(len(row), bool)
+    use[once[np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1]) | (p[1:] != p[:-1])]]] = True
+    found = np.searchsorted(starts, repeated_starts(data, starts[use], length))
+    return _runs(keys[found], others[found], place[found])
+
+
+def _sorted(length: int, at_once: int = 1 << 19) -> Callable:
+    """The segments of whole parts, sorted in groups of anchors of about `at_once` bytes."""
 
     def run(it):
-        held: list[tuple] = []
-        size, last = 0, None
-        for batch in it:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "first", "count", "segment")), strict=True):
-                if size > 1 << 20 and r[0] != last:
-                    yield solve(held)
-                    held, size = [], 0
-                held.append(r)
-                size += len(r[4])
-                last = r[0]
-        if held:
-            yield solve(held)
+        held = list(_opened(it))
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).combine_chunks()
+        del held
+        anchor = rows.column("anchor").to_numpy()
+        order = np.argsort(anchor, kind="stable")
+        last = np.flatnonzero(np.r_[anchor[order][1:] != anchor[order][:-1], True]) + 1  # where an anchor's rows end
+        size = np.r_[0, np.cumsum(pa.compute.binary_length(rows.column("segment")).to_numpy()[order])]
+        a = 0
+        while a < len(order):
+            k = int(np.searchsorted(size[last], size[a] + at_once))
+            b = int(last[min(k, len(last) - 1)])
+            yield _solve(rows.take(pa.array(order[a:b])).combine_chunks(), length)
+            a = b
 
     return run
 
 
 def _hashed(length: int) -> Callable:
     def run(it):
-        for batch in it:
-            for key, first, count, segment in zip(*(batch.column(c).to_pylist() for c in ("key", "first", "count", "segment")), strict=True):
-                if count > 0:
-                    raw = np.frombuffer(segment, np.uint8)
-                    h = [gram_windows(x, length)[:count].view(np.int64) for x in (raw, raw ^ np.uint8(0x55))]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), pa.array(np.full(count, key, np.int64)), pa.array(first + np.arange(count))], ["h1", "h2", "key", "start"])
+        for batch in _opened(it):
+            for key, other, first, count, segment in zip(*(batch.column(c).to_pylist() for c in ("key", "other", "first", "count", "segment")), strict=True):
+                raw = np.frombuffer(segment, np.uint8)
+                h = [gram_windows(x, length)[:count].view(np.int64) for x in (raw, raw ^ np.uint8(0x55))]
+                yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), pa.array(np.full(count, key, np.int64)), pa.array(np.full(count, other, np.int64)), pa.array(first + np.arange(count))], ["h1", "h2", "key", "other", "start"])
 
     return run
 
@@ -321,8 +347,10 @@ def _removed(length: int) -> Callable:
     def run(it):
         for batch in it:
             rows = []
-            for doc, text, runs in zip(batch.column("doc_id").to_pylist(), _texts(batch), batch.column("runs").to_pylist(), strict=True):
+            for doc, text, runs, copies in zip(batch.column("doc_id").to_pylist(), _texts(batch), batch.column("runs").to_pylist(), batch.column("copies").to_pylist(), strict=True):
                 spans: list[list[int]] = []
+                if copies > 1 and len(text) >= length:  # all of it occurs elsewhere
+                    spans, runs = [[0, len(text)]], None
                 for r in sorted((r["first"], r["last"] + length) for r in runs or ()):
                     if spans and r[0] <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], r[1])
@@ -342,20 +370,33 @@ def _removed(length: int) -> Callable:
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, spans (starts and ends removed, alternating), kept (the bytes that remain)."""
-    n = store.parts(docs.sparkSession)
-    keyed = store.written(store.texts(docs.withColumn("doc_id", F.col("doc_id").cast("long"))).mapInArrow(_keyed, "key long, doc_id long, z binary"), "texts")
-    all_of = store.written(keyed.select("key", "z").mapInArrow(_anchored(length, gram), "anchor long, key long, pos long"), "anchors")
-    twice = all_of.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select(F.col("anchor").alias("a"), (F.col("c") > most).alias("many"))
-    found = all_of.join(twice, all_of.anchor == twice.a).groupBy("key").agg(F.collect_list(F.struct("anchor", "pos", "many")).alias("found")).withColumnRenamed("key", "k")
-    cut = keyed.join(found, keyed["key"] == found.k).select("key", "z", "found").mapInArrow(_segments(length, gram), "anchor long, key long, first long, count long, many boolean, segment binary")
-    segments = store.written(cut, "segments")
-    store.forget(all_of)
-    few = segments.where("not many").repartition(n, "anchor").sortWithinPartitions("anchor").select("anchor", "key", "first", "count", "segment").mapInArrow(_sorted(length), _RUNS)
-    strings = segments.where("many").select("key", "first", "count", "segment").mapInArrow(_hashed(length), "h1 long, h2 long, key long, start long").distinct()
+    n, both = store.parts(docs.sparkSession), ["key", "other"]
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("other"), "text")
+    packed = rows.transform(store.arrow, _press, "doc_id long, key long, other long, z binary")
+    copies = store.written(rows.groupBy(*both).agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head")), "copies")
+    all_of = store.written(rows.select("key", "text").transform(store.arrow, _anchored(length, gram), "anchor long, key long, pos long, back short, more short"), "anchors")
+    twice = all_of.groupBy("anchor").agg(F.count("*").alias("c"), F.min("key").alias("k"), F.max("key").alias("l"), F.min("pos").alias("p"), F.max("pos").alias("q"))
+    twice = twice.where("k <> l or p <> q").select(F.col("anchor").alias("a"), (F.col("c") > most).alias("many"))
+
+    def segments(many: bool) -> DataFrame:
+        """Of one row of each distinct text."""
+        found = all_of.join(twice.where(F.col("many") == many), F.col("anchor") == F.col("a")).groupBy("key").agg(F.collect_set(F.struct("anchor", "pos", "back", "more")).alias("found"))
+        found = copies.join(found, "key").select(F.col("key").alias("k"), F.col("other").alias("o"), "head", "found")
+        cut = packed.join(found, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o")) & (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("head"))).select(*both, "z", "found")
+        return cut.transform(store.arrow, _segments(length, 2 * n), "part int, segments binary")
+
+    few = segments(False).repartition(n, "part").transform(store.arrow, _sorted(length), _RUNS)
+    strings = segments(True).transform(store.arrow, _hashed(length), "h1 long, h2 long, key long, other long, start long").distinct()
     again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-    many = strings.join(again, (strings.h1 == again.g1) & (strings.h2 == again.g2)).select("key", F.col("start").alias("first"), F.col("start").alias("last"))
-    runs = few.union(many).distinct().groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("runs")).withColumnRenamed("key", "k")
-    return keyed.join(runs, keyed["key"] == runs.k, "left").select("doc_id", "z", "runs").mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")
+    many = strings.join(again, (strings.h1 == again.g1) & (strings.h2 == again.g2)).select(*both, F.col("start").alias("first"), F.col("start").alias("last"))
+    runs = store.written(few.union(many).distinct(), "runs")
+    store.forget(all_of)
+    del few, strings, again, many
+    store.release(docs.sparkSession)
+    spans = copies.join(runs.groupBy(*both).agg(F.collect_list(F.struct("first", "last")).alias("runs")), both, "left").select(F.col("key").alias("k"), F.col("other").alias("o"), "copies", "runs")
+    out = packed.join(spans, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o"))).select("doc_id", "z", "runs", "copies")
+    return out.transform(store.arrow, _removed(length), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
