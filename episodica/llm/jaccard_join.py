@@ -16,7 +16,7 @@ A document's set holds its distinct word shingles.  The steps:
 5. Each family emits a spanning forest of true links, never its pairs; components follow from these.
 
 Null and empty texts have no set and link with nothing.  Fewer words than a shingle: the whole sequence is one.
-Ids should be unique; a repeated id's rows link through their own texts.  A row without id takes the component of its equal texts, else null.
+Ids should be unique: a repeated id's different texts are told apart by their sets, but are one node.  A row without id takes the component of its equal texts, else null.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ SHINGLE = 4
 #: Jaccard similarity from which two sets link, in percent.
 PERCENT = 85
 #: Counters of the sketch: DEPTH rows of 2**WIDTH.
-WIDTH, DEPTH = 21, 2
+WIDTH, DEPTH = 22, 2
 #: Index lists that may be longer than this are built by a join instead of in one task.
-LONG = 20_000
+LONG = 500_000
 #: Members of a family that are compared in one task.
 CHUNK = 4096
 
@@ -72,26 +72,34 @@ def _sets(column, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield a, np.searchsorted(rows, np.arange(b - a + 1)), found
 
 
-def _fingerprints(size: int, packed: bool) -> Callable:
+def _fingerprint(bounds: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each row's set, the same for equal sets."""
+    out = []
+    for x in (K.mix(found), K.mix(found ^ np.uint64(0x5851F42D4C957F2D))):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
+        out.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
+    return out[0], out[1]
+
+
+def _fingerprints(size: int) -> Callable:
     def run(it):
-        press = zstandard.ZstdCompressor(level=3)
         for batch in it:
-            n, f1, f2 = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
+            n, f1, f2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             for a, bounds, found in _sets(batch.column("text"), size):
-                for out, x in ((f1, K.mix(found)), (f2, K.mix(found ^ np.uint64(0x5851F42D4C957F2D)))):
-                    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)])
-                    out[a : a + len(bounds) - 1] = sums[bounds[1:]] - sums[bounds[:-1]]
-                n[a : a + len(bounds) - 1] = np.diff(bounds)
-            out = [batch.column("doc_id"), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64))]
-            names = ["doc_id", "n", "f1", "f2"]
-            if packed:
-                out.append(pa.array([press.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary()))
-                names.append("z")
-            yield pa.RecordBatch.from_arrays(out, names)
+                b = a + len(bounds) - 1
+                n[a:b] = np.diff(bounds)
+                f1[a:b], f2[a:b] = _fingerprint(bounds, found)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(f1), pa.array(f2)], ["doc_id", "n", "f1", "f2"])
 
     return run
 
 
+def _press(it):
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in it:
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([press.compress((t or "").encode()) for t in batch.column("text").to_pylist()], pa.binary())], ["doc_id", "z"])
+
+
 def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Slices of about 4 MB of text, with their texts."""
     press, rows, a, size = zstandard.ZstdDecompressor(), [], 0, 0
@@ -107,40 +115,49 @@ def _slots(found: np.ndarray, row: int) -> np.ndarray:
     return ((found * np.uint64(0x9E3779B97F4A7C15 + 2 * row)) >> np.uint64(64 - WIDTH)).astype(np.int64)
 
 
-_PIECE = 1 << 13
+_PIECE = 1 << 16
+
+
+def _capped(x: np.ndarray) -> np.ndarray:
+    """Counts as the sketch keeps them: what is too many for 32 bits stays the largest."""
+    return np.minimum(x, np.int64(0xFFFFFFFF)).astype(np.uint32)
 
 
 def _sketch(size: int) -> Callable:
     def run(it):
-        table = np.zeros((DEPTH, 1 << WIDTH), np.int64)
+        table = np.zeros((DEPTH, 1 << WIDTH), np.uint32)
         for batch in it:
-            for _, texts in _unpacked(batch):
-                for _, _, found in _sets(texts, size):
-                    for row in range(DEPTH):
-                        table[row] += np.bincount(_slots(found, row), minlength=1 << WIDTH)
+            for _, _, found in _sets(batch.column("text"), size):
+                for row in range(DEPTH):
+                    slots, n = np.unique(_slots(found, row), return_counts=True)
+                    table[row, slots] = _capped(table[row, slots].astype(np.int64) + n)
         flat = table.reshape(-1, _PIECE)
-        some = np.flatnonzero(flat.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([flat[k].astype(np.int64).tobytes() for k in some], pa.binary())], ["piece", "counts"])
+        for k in np.flatnonzero(flat.any(axis=1)):
+            planes = np.ascontiguousarray(flat[k].view(np.uint8).reshape(-1, 4).T)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zstandard.compress(planes.tobytes(), 3)], pa.binary())], ["piece", "counts"])
 
     return run
 
 
+def _read_piece(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+
+
 def _add(it):
     total: dict[int, np.ndarray] = {}
     for batch in it:
         for k, x in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            y = np.frombuffer(x, np.int64)
-            total[k] = total[k] + y if k in total else y
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["piece", "counts"])
-
-
-def frequencies(reps: DataFrame, size: int) -> np.ndarray:
-    """The sketch of all shingles' document frequencies, of fixed size (counts above 2**31 as that)."""
-    made = reps.mapInArrow(_sketch(size), "piece long, counts binary")
-    n = min(store.parts(reps.sparkSession), DEPTH << (WIDTH - 13))
-    table = np.zeros((DEPTH << WIDTH) // _PIECE * _PIECE, np.int32).reshape(-1, _PIECE)
-    for k, x in made.repartition(n, "piece").mapInArrow(_add, "piece long, counts binary").collect():
-        table[k] = np.minimum(np.frombuffer(x, np.int64), (1 << 31) - 1)
+            y = _read_piece(x)
+            total[k] = _capped(total[k].astype(np.int64) + y) if k in total else y
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), 3) for x in total.values()], pa.binary())], ["piece", "counts"])
+
+
+def frequencies(rows: DataFrame, size: int) -> np.ndarray:
+    """The sketch of all shingles' document frequencies, of fixed size."""
+    made = rows.select("text").transform(store.arrow, _sketch(size), "piece long, counts binary")
+    table = np.zeros(((DEPTH << WIDTH) // _PIECE, _PIECE), np.uint32)
+    for k, x in made.repartition(min(store.parts(rows.sparkSession), len(table)), "piece").transform(store.arrow, _add, "piece long, counts binary").collect():
+        table[k] = _read_piece(x)
     return table.reshape(DEPTH, -1)
 
 
@@ -148,30 +165,32 @@ _ENTRY = np.dtype([("token", "<i8"), ("id", "<i8"), ("n", "<i4"), ("pos", "<i4")
 
 
 def _prefixes(size: int, percent: int, shared, parts: int, long: int) -> Callable:
+    """Prefix entries, packed by part; entries of equal sets within some megabytes of text are one."""
+
     def run(it):
         table = shared.value
         for batch in it:
             made: list[np.ndarray] = []
             counts: list[np.ndarray] = []
-            for part, texts in _unpacked(batch):
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                for a, bounds, found in _sets(texts, size):
-                    often = np.minimum.reduce([table[row][_slots(found, row)] for row in range(DEPTH)])
-                    n = np.diff(bounds)
-                    rows = np.repeat(np.arange(len(n)), n)
-                    order = np.lexsort((found, often, rows))
-                    pos = np.arange(len(found)) - bounds[rows]
-                    keep = pos < n[rows] - (percent * n[rows] + 99) // 100 + 1
-                    e = np.zeros(int(keep.sum()), _ENTRY)
-                    e["token"], e["id"], e["n"], e["pos"] = found[order][keep].view(np.int64), ids[a + rows[keep]], n[rows[keep]], pos[keep]
-                    made.append(e)
-                    counts.append(often[order][keep])
+            for _, bounds, found in _sets(batch.column("text"), size):
+                often = np.minimum.reduce([table[row][_slots(found, row)] for row in range(DEPTH)])
+                n = np.diff(bounds)
+                rows = np.repeat(np.arange(len(n)), n)
+                order = np.lexsort((found, often, rows))
+                pos = np.arange(len(found)) - bounds[rows]
+                keep = pos < n[rows] - (percent * n[rows] + 99) // 100 + 1
+                e = np.zeros(int(keep.sum()), _ENTRY)
+                e["token"], e["id"], e["n"], e["pos"] = found[order][keep].view(np.int64), _fingerprint(bounds, found)[0][rows[keep]], n[rows[keep]], pos[keep]
+                made.append(e)
+                counts.append(often[order][keep])
             if not made:
                 continue
             e, often = np.concatenate(made), np.concatenate(counts)
-            part_of = np.where(often > long, -1, (e["token"].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64) if long >= 0 else np.full(len(e), -1)
-            order = np.argsort(part_of, kind="stable")
+            part_of = np.where(often > long, -1, ((e["token"].view(np.uint64) >> np.uint64(20)) % np.uint64(parts)).astype(np.int64))
+            order = np.lexsort((e["id"], e["token"], part_of))
             e, part_of = e[order], part_of[order]
+            new = np.r_[True, (e["token"][1:] != e["token"][:-1]) | (e["id"][1:] != e["id"][:-1])] if len(e) else np.zeros(0, bool)
+            e, part_of = e[new], part_of[new]
             first = np.flatnonzero(np.r_[True, part_of[1:] != part_of[:-1]]) if len(e) else np.zeros(0, int)
             yield pa.RecordBatch.from_arrays([pa.array(part_of[first], pa.int64()), pa.array([x.tobytes() for x in np.split(e, first[1:])] if len(e) else [], pa.binary())], ["part", "entries"])
 
@@ -181,9 +200,11 @@ def _prefixes(size: int, percent: int, shared, parts: int, long: int) -> Callabl
 def _compatible(e: np.ndarray, percent: int) -> np.ndarray:
     """Of entries sorted by token, then n: which have a partner that sizes and positions allow."""
     n, m = e["n"].astype(np.int64), len(e)
+    if not m:
+        return np.zeros(0, bool)
     need = -(-2 * percent * n // (100 + percent))
     early = e["pos"] <= n - need  # the smaller of two linked sets has the shingle this early
-    group = np.cumsum(np.r_[True, e["token"][1:] != e["token"][:-1]]) if m else np.zeros(0, int)
+    group = np.cumsum(np.r_[True, e["token"][1:] != e["token"][:-1]])
     nxt = np.r_[(group[1:] == group[:-1]) & (n[:-1] * 100 >= percent * n[1:]), False]
     last = np.maximum.accumulate(np.where(early, np.arange(m), -1))
     last = np.r_[-1, last[:-1]]
@@ -197,6 +218,7 @@ def _families(percent: int) -> Callable:
         held = [np.frombuffer(x, _ENTRY) for batch in it for x in batch.column("entries").to_pylist()]
         e = np.concatenate(held) if held else np.zeros(0, _ENTRY)
         del held
+        e = np.unique(e)  # equal sets of different places
         token, count = np.unique(e["token"], return_counts=True)
         e = e[np.isin(e["token"], token[count > 1])]
         e = e[np.lexsort((e["pos"], e["n"], e["token"]))]
@@ -216,17 +238,20 @@ def _entries(it):
             yield pa.RecordBatch.from_arrays([pa.array(e[c]) for c in ("token", "id", "n", "pos")], ["token", "id", "n", "pos"])
 
 
-def family_members(reps: DataFrame, size: int, percent: int, long: int = LONG) -> DataFrame:
-    """(family, id): families of ids such that every two linked sets are in one family."""
-    spark = reps.sparkSession
-    shared = spark.sparkContext.broadcast(frequencies(reps, size))
+def family_members(rows: DataFrame, size: int, percent: int, long: int = LONG) -> DataFrame:
+    """(family, id): families of sets, by their first fingerprints, such that every two linked sets are in one family."""
+    spark = rows.sparkSession
+    table = frequencies(rows, size)
+    lengthy = bool((table > long).any(axis=1).all())  # else the sketch proves that no list is that long
+    shared = spark.sparkContext.broadcast(table)
     n = store.parts(spark)
-    made = reps.select("doc_id", "z").mapInArrow(_prefixes(size, percent, shared, 4 * n, long), "part long, entries binary")
-    packed = made.where("part >= 0").repartition(n, "part").mapInArrow(_families(percent), "family long, id long")
-    rows = made.where("part < 0").mapInArrow(_entries, "token long, id long, n int, pos int")
-    lists = rows.groupBy("token").agg(F.min("id").alias("family"), F.count("*").alias("c")).where("c > 1").select(F.col("token").alias("t"), "family")
-    lengthy = rows.join(lists, rows.token == lists.t).select("family", "id")
-    return packed.union(lengthy).distinct()
+    made = rows.select("text").transform(store.arrow, _prefixes(size, percent, shared, 4 * n, long), "part long, entries binary")
+    packed = made.where("part >= 0").repartition(n, "part").transform(store.arrow, _families(percent), "family long, id long")
+    if lengthy:
+        entries = made.where("part < 0").transform(store.arrow, _entries, "token long, id long, n int, pos int").distinct()
+        lists = entries.groupBy("token").agg(F.min("id").alias("family"), F.count("*").alias("c")).where("c > 1").select(F.col("token").alias("t"), "family")
+        packed = packed.union(entries.join(lists, entries.token == lists.t).select("family", "id"))
+    return packed.distinct()
 
 
 class _Forest:
@@ -344,23 +369,24 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk: i
     links between ids whose components are those of all links between different sets, by their smallest ids."""
     spark, n = docs.sparkSession, store.parts(docs.sparkSession)
     rows = store.texts(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
-    classes = store.written(rows.mapInArrow(_fingerprints(size, False), "doc_id long, n long, f1 long, f2 long"), "classes")
+    classes = store.written(rows.transform(store.arrow, _fingerprints(size), "doc_id long, n long, f1 long, f2 long"), "classes")
     heads = classes.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("head")).where("head is not null")
-    packed = rows.mapInArrow(_fingerprints(size, True), "doc_id long, n long, f1 long, f2 long, z binary").where("n > 0").withColumnsRenamed({"f1": "g1", "f2": "g2"})
-    reps = packed.join(heads, (packed.doc_id == heads["head"]) & (packed.g1 == heads.f1) & (packed.g2 == heads.f2)).select("doc_id", "z")
-    reps = store.written(reps, "representatives")
-    members = store.written(family_members(reps, size, percent, long), "families")
+    members = store.written(family_members(rows, size, percent, long), "families")
+    store.release(spark)
     sizes = members.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select(F.col("family").alias("f"), F.ceil(F.col("c") / chunk).cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("id"), "chunks").cast("int")
     members = members.join(sizes, members.family == sizes.f).withColumn("mine", mine)
-    members = members.select("family", "id", "mine", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
-        "family", "id", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+    members = members.select("family", F.col("id").alias("f1"), "mine", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
+        "family", "f1", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         F.when(F.col("mine") == F.col("other"), F.lit(0)).otherwise(F.when(F.col("mine") < F.col("other"), 1).otherwise(2)).alias("side"),
     )
-    joined = members.join(reps, members.id == reps.doc_id).select("family", "i", "j", "id", "side", "z")
-    found = joined.repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(_link(size, percent), "a long, b long")
+    # from here on a set goes by its smallest id; its text is that id's
+    members = members.join(heads, "f1").select("family", "i", "j", F.col("head").alias("id"), "side")
+    texts = rows.where("doc_id is not null").transform(store.arrow, _press, "doc_id long, z binary")
+    joined = texts.join(members.hint("merge"), texts.doc_id == members.id).select("family", "i", "j", "id", "side", "z")
+    found = joined.repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j").transform(store.arrow, _link(size, percent), "a long, b long")
     edges = store.written(found.distinct(), "links")
-    store.forget(reps)
+    store.release(spark)
     return classes, edges
 
 
