@@ -26,7 +26,7 @@ def running_total(df: DataFrame, order: str, value: Column | None = None, name:
     first = totals.select(F.col("__b").alias("__k"), F.coalesce(F.sum("__t").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first"))
     within = Window.partitionBy("__b").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     x = x.withColumn("__in", F.coalesce(F.sum("__v").over(within), F.lit(0))).join(F.broadcast(first), F.col("__b") == F.col("__k"))
-    return x.withColumn(name, (F.col("__first") + F.col("__in")).cast("long")).select(*df.columns, name)
+    return x.withColumn(name, (F.col("__first") + F.col("__in")).cast("long")).select(*(f"`{c}`" for c in df.columns), name)
 
 
 def compact_ids(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -45,12 +45,17 @@ def global_index_violations(rows: DataFrame, order: str, index: str, ties: tuple
     return running_total(rows, order, name="expected", ties=ties).where(~F.col(index).eqNullSafe(F.col("expected"))).select(index, "expected")
 
 
-def file_order_violations(rows: DataFrame, path: str, row: str, index: str) -> DataFrame:
-    """Rows whose `index` isn't their place in (path by components, row) order: file offsets come from per-file counts."""
+def file_positions(rows: DataFrame, path: str = "file_path", row: str = "row_index", name: str = "place") -> DataFrame:
+    """Each row's place in (path by components, row) order: file offsets come from per-file counts, so only they
+    (one row a file) are accumulated in one place."""
     counts = rows.groupBy(path).agg(F.count("*").alias("c"))
     first = counts.select(F.col(path).alias("__p"), F.coalesce(F.sum("c").over(Window.orderBy(F.split(path, "/")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first"))
-    out = rows.join(first, rows[path] == first["__p"]).withColumn("expected", F.col("__first") + F.col(row))
-    return out.where(~F.col(index).eqNullSafe(F.col("expected"))).select(path, row, index, "expected")
+    return rows.join(first, rows[path] == first["__p"]).withColumn(name, (F.col("__first") + F.col(row)).cast("long")).drop("__p", "__first")
+
+
+def file_order_violations(rows: DataFrame, path: str, row: str, index: str) -> DataFrame:
+    """Rows whose `index` isn't their place in the files."""
+    return file_positions(rows, path, row, "expected").where(~F.col(index).eqNullSafe(F.col("expected"))).select(path, row, index, "expected")
 
 
 def contiguity_violations(frames: DataFrame, group: str, number: str, order: list[str], start: int = 0) -> DataFrame:

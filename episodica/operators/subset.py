@@ -42,7 +42,7 @@ def frame_reuse(reuse: DataFrame, frames: DataFrame, episode: str = EPISODE, tar
     """Reuse rows whose target frame is kept, renumbered; the others go."""
     m = frames.select(F.col(episode).alias("__e"), F.col("pos").alias("__p"), "new_episode", "new_frame")
     out = reuse.join(m, (reuse[episode] == m["__e"]) & (reuse[target] == m["__p"]))
-    return out.withColumn(episode, F.col("new_episode")).withColumn(target, F.col("new_frame")).select(*reuse.columns)
+    return out.withColumn(episode, F.col("new_episode")).withColumn(target, F.col("new_frame")).select(*(f"`{c}`" for c in reuse.columns))
 
 
 def counts(flags: DataFrame, subtask: str = "subtask_index") -> DataFrame:

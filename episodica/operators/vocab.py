@@ -39,7 +39,7 @@ def remap(frames: DataFrame, pairs: DataFrame, keys: list[str], new: str, strict
     value = F.col(new)
     if strict:
         value = F.when(F.col(new).isNull(), F.raise_error(F.concat(F.lit(f"no mapping for {keys[-1]} "), F.coalesce(F.col(keys[-1]).cast("string"), F.lit("null")))).cast("long")).otherwise(F.col(new))
-    return out.withColumn(keys[-1], value).select(*frames.columns)
+    return out.withColumn(keys[-1], value).select(*(f"`{c}`" for c in frames.columns))
 
 
 def unresolved(frames: DataFrame, vocabulary: DataFrame, index: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import model
 
@@ -54,7 +53,7 @@ def episode_of(path: Column) -> Column:
 def annotations(spark: SparkSession, root: str) -> DataFrame:
     """One row an annotation file: episode_index from its name, its document, and the text that didn't parse."""
     bad = "_corrupt_record"
-    df = spark.read.schema(StructType([*model.ANNOTATION.fields, StructField(bad, StringType())])).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.json").option("columnNameOfCorruptRecord", bad).json(f"{root}/annotations")
+    df = spark.read.schema(f"{model.ANNOTATION}, {bad} string").option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.json").option("columnNameOfCorruptRecord", bad).json(f"{root}/annotations")
     return df.select(episode_of(F.col("_metadata.file_path")).alias("episode_index"), "*")
 
 
