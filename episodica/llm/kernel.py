@@ -9,7 +9,7 @@ finished by a bit mixer.  Work arrays are bounded by SEGMENT bytes: longer texts
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,9 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+#: Every byte as it is.
+SAME = np.arange(256, dtype=np.uint8)
+
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -88,20 +91,21 @@ def gram_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-def words(data: np.ndarray, table: np.ndarray, offsets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash of each maximal run of bytes that `table` marks, lower-cased; no run crosses a row's offset."""
+def words(data: np.ndarray, table: np.ndarray, offsets: np.ndarray | None = None, fold: np.ndarray = LOWER, trim: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each maximal run of bytes that `table` marks, each byte first replaced by
+    `fold` (lower-cased); no run crosses a row's offset.  `trim` may move the ends within a piece of the bytes."""
     n, found, a = len(data), [], 0
     inner = offsets[1:-1] if offsets is not None else np.zeros(0, np.int64)
     while a < n:
         b = min(n, a + SEGMENT)
-        while b < n and table[LOWER[data[b - 1]]] and b not in inner:  # extend to the end of a word
-            more = np.flatnonzero(~table[LOWER[data[b : b + 4096]]])
+        while b < n and table[fold[data[b - 1]]] and b not in inner:  # extend to the end of a word
+            more = np.flatnonzero(~table[fold[data[b : b + 4096]]])
             nxt = b + (int(more[0]) if len(more) else min(4096, n - b))
             cut = inner[(inner > b) & (inner <= nxt)]
             b = int(cut[0]) if len(cut) else nxt
             if len(more) or len(cut):
                 break
-        part = LOWER[data[a:b]]
+        part = fold[data[a:b]]
         inside = np.zeros(len(part) + 2, bool)
         inside[1:-1] = table[part]
         cuts = inner[(inner > a) & (inner < b)] - a
@@ -112,6 +116,8 @@ def words(data: np.ndarray, table: np.ndarray, offsets: np.ndarray | None = None
             begin[both] = True
             end[both] = True
         s, e = np.flatnonzero(begin), np.flatnonzero(end)
+        if trim is not None:
+            e = trim(part, s, e)
         found.append((s + a, e + a, gram_hashes(part, s, e)))
         a = b
     if not found:

@@ -20,7 +20,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernel as K
 from . import store
 
 MAGIC, INDEX = b"TOKSHRD1", b"TOKINDX1"
@@ -76,15 +76,64 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
                 b += 1
         out.append(text[a:b])
         a = b
-    return [*out, text[a:]]
-
-
-#: The split of a byte-level BPE with its own pattern, for texts of only these characters; no token crosses it.
-_SPLIT = re.compile(r"'(?:[st]|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-_PLAIN = re.compile(r"[^\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]")
-#: Split words whose ids a process keeps.
-KEEP = 400_000
-_words: dict[str, dict[str, bytes]] = {}
+    return [*out, text[a:]] if a < len(text) or not out else out
+
+
+#: Bytes of the characters whose class is read alike everywhere: tab, line ends, printable ASCII, Latin letters to U+017F.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = True
+_NOT_BLANK = np.arange(256) != 0x20
+#: Words whose ids a process keeps (about 25 bytes each).
+KEEP = 2_000_000
+
+
+class _Known:
+    """Ids of words seen, by the word's hash.  Sorted keys in two levels (the latest apart, so that adding moves little),
+    and where their ids lie in one array."""
+
+    def __init__(self) -> None:
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))  # keys, places, numbers of ids
+        self.levels = [none, none]
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+
+    def __len__(self) -> int:
+        return sum(len(x[0]) for x in self.levels)
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """`keys` sorted, none of them known."""
+        if len(self) + len(keys) > KEEP:
+            self.__init__()  # type: ignore[misc]
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        new = (keys, self.used + np.cumsum(n) - n, n)
+        self.used += len(ids)
+        for k in (1, 0):
+            new = self._merged(self.levels[k], new)
+            if k == 0 or len(new[0]) < len(self.levels[0][0]) // 4:
+                self.levels[k] = new
+                break
+            self.levels[k] = tuple(x[:0] for x in new)
+
+    @staticmethod
+    def _merged(old: tuple, new: tuple) -> tuple:
+        place = np.searchsorted(old[0], new[0])
+        return tuple(np.insert(a, place, b) for a, b in zip(old, new, strict=True))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(whether known, place, number of ids) of each key."""
+        known, at, n = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        for level, places, numbers in self.levels:
+            if len(level):
+                k = np.minimum(np.searchsorted(level, keys), len(level) - 1)
+                here = level[k] == keys
+                known |= here
+                at[here], n[here] = places[k[here]], numbers[k[here]]
+        return known, at, n
+
+
+_known: dict[str, _Known] = {}
 
 
 def _encode(model, texts: list[str]) -> list[list[int]]:
@@ -101,37 +150,94 @@ def _encode(model, texts: list[str]) -> list[list[int]]:
     return out
 
 
-def _encode_words(model, words: list[str], at_once: int = 20_000) -> Iterator[bytes]:
-    """Ids of split words, each by itself: many words are one call."""
+def _encode_words(model, words: list[str], at_once: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, how many of them are each word's), every word by itself: many words are one call."""
+    ids, n = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for a in range(0, len(words), at_once):
         part = words[a : a + at_once]
         made = model.encode(part, is_pretokenized=True, add_special_tokens=False)
-        ids, of = np.array(made.ids, np.uint32), np.array(made.word_ids, np.int64)
-        cut = (4 * np.searchsorted(of, np.arange(len(part) + 1))).tolist()
-        raw = ids.tobytes()
-        yield from (raw[b:c] for b, c in zip(cut[:-1], cut[1:], strict=True))
+        ids.append(np.array(made.ids, np.uint32))
+        n.append(np.bincount(np.array(made.word_ids, np.int64), minlength=len(part)))
+    return np.concatenate(ids), np.concatenate(n)
+
+
+def _even(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts of plain bytes in which every space stands between two characters that aren't white space: such a text
+    can be cut before each space, and no token crosses a cut."""
+    bad = ~_PLAIN[data]
+    bad[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # multiplication and division signs
+    blank, white = ~_NOT_BLANK[data], ~K.NOT_SPACE[data]
+    bad[1:] |= blank[1:] & white[:-1]
+    bad[:-1] |= blank[:-1] & white[1:]
+    some = np.diff(offsets) > 0
+    edge = np.r_[offsets[:-1][some], offsets[1:][some] - 1]
+    bad[edge] |= blank[edge]
+    sums = np.r_[0, np.cumsum(bad)]
+    return sums[offsets[1:]] == sums[offsets[:-1]]
+
+
+_MARK = np.isin(np.arange(256), [0x2C, 0x2E])
+_LETTER = np.array([c >= 0x80 or chr(c).isalnum() for c in range(256)])
 
 
-def encoded(path: str, texts: list[str]) -> list[np.ndarray]:
+def _without_mark(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Ends without a last comma or full stop after a letter or digit: such a mark is a word of its own."""
+    cut = (end - start > 1) & _MARK[data[end - 1]] & _LETTER[data[end - 2]]
+    return end - cut
+
+
+def encoded(path: str, texts: list[str] | pa.Array) -> list[np.ndarray]:
     """Ids of each text, with the end id.
 
-    A byte-level BPE encodes each word of its split by itself, so words are encoded once and their ids kept; texts
-    with characters whose class could be read differently here go to the library whole."""
-    model, known = tokenizer(path), _words.setdefault(path, {})
-    end = np.array([END_ID], np.uint32).tobytes()
-    split = [_SPLIT.findall(t) if _by_words(path) and not _PLAIN.search(t) else None for t in texts]
-    if len(known) > KEEP:
-        known.clear()
-    fresh = sorted({w for x in split if x for w in x}.difference(known))
-    known.update(zip(fresh, _encode_words(model, fresh), strict=True))
-    out = []
-    for t, x in zip(texts, split, strict=True):
-        raw = b"".join(map(known.__getitem__, x)) if x is not None else b"".join(np.array(i, np.uint32).tobytes() for i in _encode(model, pieces(t)))
-        out.append(np.frombuffer(raw + end, np.uint32))
+    A byte-level BPE encodes each word of its split by itself, so even texts (see `_even`) are cut before their
+    spaces, a last comma or full stop apart, and each distinct piece is encoded once and kept by its 64-bit hash.  Other texts go to the library whole."""
+    model, known = tokenizer(path), _known.setdefault(path, _Known())
+    column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
+    data, offsets = K.column_bytes(column)
+    even = _even(data, offsets) if _by_words(path) else np.zeros(len(offsets) - 1, bool)
+    start, end, h = K.words(data, _NOT_BLANK, offsets, K.SAME, _without_mark)
+    bounds = K.rows_of(start, offsets)
+    use = np.repeat(even, np.diff(bounds))
+    first = np.zeros(len(start), bool)
+    first[bounds[:-1][np.diff(bounds) > 0]] = True  # a text's first piece has no space before it
+    row_end = np.repeat(offsets[1:], np.diff(bounds))
+    marked = (end < row_end) & _MARK[data[np.minimum(end, len(data) - 1)]] if len(data) else np.zeros(0, bool)
+    start, end, first, h, marked = start[use], end[use], first[use], h[use], marked[use]
+    keys, sample, number = np.unique(K.mix(h + first.astype(np.uint64)), return_index=True, return_inverse=True)
+    there, at, n = known.find(keys)
+    while not there.all():  # again if the kept words had to be dropped for new ones
+        new, raw = np.flatnonzero(~there), data.tobytes()
+        cut = zip((start - (~first).astype(np.int64))[sample[new]].tolist(), end[sample[new]].tolist(), strict=True)
+        known.add(keys[new], *_encode_words(model, [raw[a:b].decode() for a, b in cut]))
+        there, at, n = known.find(keys)
+    length, begin = n[number] + marked, at[number]
+    ends = np.cumsum(length)
+    flat = known.flat[np.minimum(np.repeat(begin - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0), len(known.flat) - 1)]
+    flat[ends[marked] - 1] = _mark_ids(path)[data[end[marked]]]
+    pieces_before = np.r_[0, np.cumsum(np.where(even, np.diff(bounds), 0))]
+    cuts = np.r_[0, ends][pieces_before]
+    stop, out = np.array([END_ID], np.uint32), []
+    for k in range(len(even)):
+        if even[k]:
+            ids = flat[cuts[k] : cuts[k + 1]]
+        else:
+            ids = np.array([i for x in _encode(model, pieces(data[offsets[k] : offsets[k + 1]].tobytes().decode())) for i in x], np.uint32)
+        out.append(np.concatenate([ids, stop]))
     return out
 
 
 _splits: dict[str, bool] = {}
+_marks: dict[str, np.ndarray] = {}
+
+
+def _mark_ids(path: str) -> np.ndarray:
+    """The id of a comma and of a full stop, by byte."""
+    if path not in _marks:
+        _marks[path] = np.zeros(256, np.uint32)
+        for c in ",.":
+            (_marks[path][ord(c)],) = tokenizer(path).encode(c, add_special_tokens=False).ids
+    return _marks[path]
+
 
 
 def _by_words(path: str) -> bool:
@@ -150,7 +256,7 @@ def _open(url: str) -> tuple[pafs.FileSystem, str]:
 def _sampled(path: str) -> Callable:
     def run(it):
         for batch in it:
-            ids = encoded(path, [t or "" for t in batch.column("text").to_pylist()])
+            ids = encoded(path, batch.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_IDS].tobytes() for x in ids], pa.binary())], ["ids"])
 
     return run
@@ -160,7 +266,7 @@ def dictionary(docs: DataFrame, path: str, width: int, sample: int = SAMPLE) ->
     """A zstandard dictionary from the ids of about `sample` documents; raw ids if they are too few to train on."""
     n = docs.count()
     chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30)))
-    rows = chosen.select("text").mapInArrow(_sampled(path), "ids binary").collect()
+    rows = chosen.select("text").transform(store.arrow, _sampled(path), "ids binary").collect()
     samples = sorted(np.frombuffer(r.ids, np.uint32).astype(f"<u{width}").tobytes() for r in rows)
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
@@ -185,8 +291,8 @@ def _writer(folder: str, path: str, shared, width: int) -> Callable:
         with fs.open_output_stream(temp) as out:
             out.write(head := MAGIC + hashlib.sha256(shared.value).digest() + np.uint32(width).tobytes())
             at = len(head)
-            for batch in store.batches(it, 1 << 20):
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(path, [t or "" for t in batch.column("text").to_pylist()]), strict=True):
+            for batch in store.batches(it, 2 << 20):
+                for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(path, batch.column("text")), strict=True):
                     frame = press.compress(ids.astype(f"<u{width}").tobytes())
                     out.write(frame)
                     entries.append((doc is not None, doc or 0, at, len(frame), len(ids)))
@@ -217,7 +323,7 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, s
         out.write(data)
     shared = spark.sparkContext.broadcast(data)
     dealt = rows.repartitionByRange(shards or store.parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return store.written(dealt.mapInArrow(_writer(folder, path, shared, width), _SHARDS), "shards")
+    return store.written(dealt.transform(store.arrow, _writer(folder, path, shared, width), _SHARDS), "shards")
 
 
 class Shard:
@@ -271,7 +377,7 @@ def read_back(spark: SparkSession, shards: DataFrame) -> DataFrame:
     rows = shards.orderBy("shard").collect()  # a row for each file
     starts = np.r_[0, np.cumsum([r.ids for r in rows])] if rows else []
     listed = spark.createDataFrame([(r.url, int(s)) for r, s in zip(rows, starts, strict=False)], "url string, start long")
-    return listed.repartition(max(1, len(rows))).mapInArrow(_reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return listed.repartition(max(1, len(rows))).transform(store.arrow, _reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
