@@ -140,6 +140,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", **opt
     if mode == "documents":
         return marked.where(F.size("__hits") == 0).select(*docs.columns)
 
+    columns = docs.columns
+
     def cut(it):
         for batch in it:
             kept = []
@@ -152,7 +154,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", **opt
                     text = b"".join([*rest, raw[at:]]).decode()
                 kept.append(text)
             k = batch.schema.get_field_index("text")
-            yield batch.set_column(k, "text", pa.array(kept, pa.string())).select(docs.columns)
+            yield batch.set_column(k, "text", pa.array(kept, pa.string())).select(columns)
 
     return marked.transform(store.arrow, cut, docs.schema)
 

@@ -87,8 +87,11 @@ class Vectors:
         code = self.letters[points].astype(np.int64)
         space = code == _SPACE
         row = np.repeat(np.arange(n), np.diff(place))
-        keep = ~(space & np.r_[False, space[:-1] & (row[1:] == row[:-1])]) if len(code) else np.zeros(0, bool)
-        code, row = code[keep], row[keep]
+        if len(code):  # of white space between words one stays, at a row's ends none
+            keep = ~(space & np.r_[True, space[:-1] | (row[1:] != row[:-1])])
+            code, row = code[keep], row[keep]
+            keep = (code != _SPACE) | np.r_[row[1:] == row[:-1], False]
+            code, row = code[keep], row[keep]
         lettered = np.bincount(row[code != _SPACE], minlength=n) > 0
         # a space before and after each row
         ends = np.searchsorted(row, np.arange(n + 1))

@@ -56,7 +56,8 @@ def release(spark: SparkSession) -> None:
 
 def remainder(doc_id: Column | str, n: int) -> Column:
     """crc32 of the id as text modulo n, as the held-out folds use it (null ids: as the empty text)."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % n
+    text = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % n
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

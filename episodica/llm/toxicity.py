@@ -79,7 +79,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
     share = min(1.0, sample / max(1, marked.count()))
     chosen = marked.withColumn("order", F.xxhash64("id", F.lit(17))).where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = store.texts(docs).join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("id")).where("text is not null").select("order", "label", "text")
-    held = [(r.order, int(r.label), np.frombuffer(r.found, np.int32)) for r in rows.mapInArrow(_featurised(bits), "order long, label int, found binary").collect()]
+    held = [(r.order, int(r.label), np.frombuffer(r.found, np.int32)) for r in rows.transform(store.arrow, _featurised(bits), "order long, label int, found binary").collect()]
     held.sort(key=lambda r: (r[0], r[1]))
     model = Ftrl(bits)
     for k in range(rounds if held else 0):
@@ -109,5 +109,5 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bits
     held = store.remainder("doc_id", 3) == 1
     model = train(docs, labels.where(~held).select("doc_id", F.col("toxic").alias("label")), bits=bits, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").mapInArrow(_scored(shared, bits), "doc_id long, held_out boolean, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").transform(store.arrow, _scored(shared, bits), "doc_id long, held_out boolean, score double")
     return rows.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
