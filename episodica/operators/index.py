@@ -14,9 +14,16 @@ BUCKETS = 256
 
 def _bucket(df: DataFrame, order: str) -> Column:
     shares = [k / BUCKETS for k in range(1, BUCKETS)]
-    cuts = df.agg(F.percentile_approx(order, F.lit(shares), 2000)).first()[0] or []
-    out = F.lit(0)
-    return F.aggregate(F.lit(sorted(set(cuts))), out, lambda n, c: n + (F.col(order) >= c).cast("int")) if cuts else out
+    cuts = sorted(set(df.agg(F.percentile_approx(order, F.lit(shares), 2000)).first()[0] or []))
+
+    def search(low: int, high: int) -> Column:
+        """How many of cuts[low:high] aren't above the value, plus low: a binary search as nested conditions."""
+        if low == high:
+            return F.lit(low)
+        mid = (low + high) // 2
+        return F.when(F.col(order) >= F.lit(cuts[mid]), search(mid + 1, high)).otherwise(search(low, mid))
+
+    return search(0, len(cuts))
 
 
 def running_total(df: DataFrame, order: str, value: Column | None = None, name: str = "before", ties: tuple[str, ...] = ()) -> DataFrame:
