@@ -27,7 +27,7 @@ from .boosting import Trees
 from .dom import GROUPS, TAGS, Page
 
 #: Pages composed for training.
-PAGES = 500
+PAGES = 1000
 #: Price of leaving the choice to the children, in log odds.
 PRICE = 0.5
 _PLACES = tuple(TAGS.index(t) for t in ("article", "main", "nav", "header", "footer", "aside", "form", "li", "table"))
@@ -161,7 +161,13 @@ def composed_page(rng: np.random.Generator) -> tuple[str, set[str]]:
             elif x < 0.95:
                 parts.append("<table>" + "".join(f"<tr><td>{kept(words(1, 4))}</td><td>{kept(words(1, 6))}</td></tr>" for _ in range(rng.integers(2, 5))) + "</table>")
             elif x < 0.98:
-                parts.append(f'<div class="{pick("ad", "ads", "promo", "sponsored")}">{words(3, 20)}</div>')
+                y = rng.random()
+                if y < 0.4:
+                    parts.append(f'<div class="{pick("ad", "ads", "promo", "sponsored")}">{words(3, 20)}</div>')
+                elif y < 0.7:
+                    parts.append(form())
+                else:
+                    parts.append(box(("related", "share", "newsletter", "widget", "toc"), ("aside", "div")))
             else:
                 parts.append(f"<pre>{kept(words(5, 30))}</pre>")
         body = "".join(parts)
