@@ -90,15 +90,40 @@ def language_view(data: Dataset, variant: str, overall: str = "", mapped: dict[s
     else:
         tasks = data.subtasks.sparkSession.createDataFrame([(0, overall)], "task_index long, task string")
     lists = _task_lists(frames, tasks)
-    refreshed = stats.column_stats(frames, ["task_index"], ["episode_index"])
-    columns = [c for c in data.episodes.columns if c.startswith("stats/task_index/")]
-    episodes = data.episodes.drop("tasks").join(lists, "episode_index")
-    for c in columns:
-        one = refreshed.select("episode_index", F.array(F.col(c.rsplit("/", 1)[1]).cast(data.episodes.schema[c].dataType.elementType)).alias("__new"))
-        episodes = episodes.join(one, "episode_index").withColumn(c, F.col("__new")).drop("__new")
+    episodes = refreshed(data.episodes.drop("tasks").join(lists, "episode_index"), frames, ["task_index"])
     return data.replaced(frames=frames, tasks=tasks, episodes=episodes.select(*_names(data.episodes)), info=data.info | {"total_tasks": tasks.count()})
 
 
+INTEGERS = ("index", "episode_index", "frame_index", "task_index", "subtask_index")
+
+
+def refreshed(episodes: DataFrame, frames: DataFrame, columns: list[str] | tuple[str, ...] = INTEGERS) -> DataFrame:
+    """Episode rows with their `stats/<column>/<stat>` arrays recomputed from the frames, where the columns exist."""
+    there = [(c, n) for c in columns for n in ("mean", "std", "min", "max", "count") if f"stats/{c}/{n}" in episodes.columns]
+    if not there:
+        return episodes
+    found = stats.column_stats(frames, sorted({c for c, _ in there}), ["episode_index"])
+    wide = found.groupBy("episode_index").agg(*(F.max(F.when(F.col("feature") == c, F.array(F.col(n).cast(episodes.schema[f"stats/{c}/{n}"].dataType.elementType)))).alias(f"new/{c}/{n}") for c, n in there))
+    out = episodes.join(wide, "episode_index")
+    for c, n in there:
+        out = out.withColumn(f"stats/{c}/{n}", F.col(f"`new/{c}/{n}`"))
+    return out.select(*_names(episodes))
+
+
+def global_stats(frames: DataFrame, episodes: DataFrame, columns: list[str] | tuple[str, ...] = INTEGERS) -> DataFrame:
+    """(feature, dim, mean, std, min, max, count): integer columns over all frames, every other feature pooled from its
+    per-episode statistics; a feature that lacks one of them in some episode is an error."""
+    own = stats.column_stats(frames, [c for c in columns if c in frames.columns]).withColumn("dim", F.lit(0))
+    names = sorted({c.split("/")[1] for c in episodes.columns if c.startswith("stats/")} - set(columns))
+    order = ["feature", "dim", "mean", "std", "min", "max", "count"]
+    for f in names:
+        part = [F.col(f"`stats/{f}/{n}`").alias(n) for n in ("mean", "std", "min", "max", "count")]
+        rows = episodes.select(*part).select(F.posexplode(F.arrays_zip("mean", "std", "min", "max")).alias("dim", "s"), F.element_at("count", 1).alias("count")).select(F.lit(f).alias("feature"), "dim", *(F.col(f"s.{n}").cast("double").alias(n) for n in ("mean", "std", "min", "max")), "count")
+        whole = F.when(F.col("mean").isNull() | F.col("std").isNull() | F.col("min").isNull() | F.col("max").isNull() | F.col("count").isNull(), F.raise_error(F.lit(f"incomplete statistics of {f}")).cast("double")).otherwise(F.col("mean"))
+        own = own.select(order).unionByName(stats.pooled(rows.withColumn("mean", whole), ["feature", "dim"]).select(order))
+    return own.select(order)
+
+
 def _task_lists(frames: DataFrame, tasks: DataFrame) -> DataFrame:
     """Per episode the prompts' texts, consecutive repeats removed."""
     starts = segments.with_runs(frames, "task_index", ["frame_index"]).where("changed").join(tasks, "task_index", "left")
@@ -166,6 +191,7 @@ def merged(sources: list[Dataset]) -> Dataset:
     if all(s.annotations is not None for s in sources):
         said = merge.annotations(union(lambda s: s.annotations), ids).drop(merge.SOURCE)
     total = {k: sum(s.info.get(k) or 0 for s in sources) for k in ("total_episodes", "total_frames")}
+    meta = refreshed(meta, out)
     return Dataset(out.select(*_names(sources[0].frames)), new_tasks, new_words, meta, said, sources[0].info | total)
 
 

@@ -85,6 +85,9 @@ def test_merge_subset_slice_and_write(spark, tree, tmp_path):
     both = datasets.merged([data, other])
     assert both.frames.count() == 90 and both.subtasks.count() == 6 and [r.subtask for r in both.subtasks.orderBy("subtask_index").collect()] == ["step 0", "step 1", "step 2", "step 3", "step 4", "new"]
     assert rules.ready(datasets.preflight(both).where("rule not like '%caption'"))
+    assert [r["stats/task_index/mean"] for r in both.episodes.orderBy("episode_index").collect()] == [[2.0], [2.0]]
+    whole = {r.feature: r for r in datasets.global_stats(both.frames, both.episodes).collect()}
+    assert (whole["index"]["mean"], whole["index"]["max"], whole["episode_index"]["count"]) == (44.5, 89.0, 90)
     named = both.frames.join(both.subtasks, "subtask_index").where("episode_index = 1 and frame_index < 9").select("subtask").distinct().collect()
     assert [r.subtask for r in named] == ["new"]
     with pytest.raises(ValueError):
@@ -110,3 +113,12 @@ def test_language_annotation_must_agree(spark, tree):
     assert datasets.with_language_annotation(out).count() == 45
     with pytest.raises(Exception, match="differs"):
         datasets.with_language_annotation(out.withColumn("annotation.human.task_description", F.lit(9).cast("long"))).collect()
+
+
+def test_pooled_global_stats(spark, tree):
+    data = datasets.load(spark, tree)
+    meta = spark.createDataFrame([(0, [1.0, 2.0], [0.0, 0.0], [1.0, 2.0], [1.0, 2.0], [2]), (1, [4.0, 2.0], [0.0, 1.0], [4.0, 1.0], [4.0, 3.0], [4])], "episode_index long, `stats/v/mean` array<double>, `stats/v/std` array<double>, `stats/v/min` array<double>, `stats/v/max` array<double>, `stats/v/count` array<bigint>")
+    got = {r.dim: r for r in datasets.global_stats(data.frames, meta).where("feature = 'v'").collect()}
+    assert (got[0]["mean"], got[0]["std"], got[0]["min"], got[0]["count"]) == (3.0, 2**0.5, 1.0, 6) and abs(got[1]["std"] - (4 / 6) ** 0.5) < 1e-12
+    with pytest.raises(Exception, match="incomplete"):
+        datasets.global_stats(data.frames, meta.withColumn("stats/v/std", F.array(F.lit(None).cast("double"), F.lit(1.0)))).collect()
