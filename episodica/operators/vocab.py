@@ -55,3 +55,13 @@ def prompt_index(use_subtask: bool, subtask: str = "subtask_index") -> Column:
 def texts_of(indices: Column, lookup: Column) -> Column:
     """Texts of an array of indices, from a map."""
     return F.transform(indices, lambda i: F.element_at(lookup, i))
+
+
+def duplicates(vocabulary: DataFrame, text: str) -> DataFrame:
+    """Texts that stand more than once."""
+    return vocabulary.groupBy(text).agg(F.count("*").alias("entries")).where("entries > 1")
+
+
+def differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Entries of one vocabulary that the other lacks, with the side that has them."""
+    return a.exceptAll(b).withColumn("side", F.lit("left")).unionAll(b.exceptAll(a).withColumn("side", F.lit("right")))

@@ -227,6 +227,35 @@ def write(data: Dataset, root: str, files_: int = 1) -> None:
         sinks.vocabulary(df, f"{root}/meta/{name}.parquet", cols)
 
 
+class GateError(ValueError):
+    """A stage's gate found violations; the first is the message."""
+
+
+def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, phases: int | None = None) -> tuple[Dataset, dict[str, Any]]:
+    """Preflight, caption audit, slicing, preflight again, boundary report: each stage only if the gate before it is clean."""
+    report: dict[str, Any] = {}
+
+    def gate(name: str, found: DataFrame) -> None:
+        worst = rules.first(found)
+        if worst is not None:
+            raise GateError(f"{name}: {worst.rule} at {worst.location}: expected {worst.expected}, observed {worst.observed}")
+        report[name] = "ready"
+
+    gate("preflight", preflight(data))
+    violations, modes = caption_audit(data, mode, phases)
+    gate("captions", violations)
+    found = modes.first()
+    if found is None or not found.ready:
+        raise GateError(f"captions: modes {found.modes if found else ''}, expected {mode}")
+    out = sliced(data, dims)
+    frames, after = data.frames.count(), out.frames.count()
+    if frames != after:
+        raise GateError(f"slices: {after} frames, expected {frames}")
+    gate("slices", preflight(out))
+    report["boundaries"] = boundary_manifest(out, steps)[1].first().asDict()
+    return out, report
+
+
 def registration(name: str, root: str, info: dict[str, Any], revision: str, robot_revision: str, task: str, workspace: str = "", **more: Any) -> dict[str, Any]:
     """A dataset's registration document, its contract derived from the metadata unless given."""
     features = info.get("features") or {}

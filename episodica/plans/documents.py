@@ -39,6 +39,26 @@ def updated_info(info: dict[str, Any], names: dict[str, list[str]], sizes: dict[
     return out | {k: v / 1e6 for k, v in sizes.items()}
 
 
+def source_problems(info: dict[str, Any], names: list[str], cameras: dict[str, list[int]], fps: float, version: str = "v3.0") -> list[str]:
+    """Why a source can't be sliced to `names`: version, rate, cameras' shapes, and state and action names, which must be
+    unique and begin with exactly these, in this order."""
+    out = [] if info.get("codebase_version") == version else [f"version {info.get('codebase_version')}"]
+    if info.get("fps") != fps:
+        out.append(f"fps {info.get('fps')}")
+    features = info.get("features") or {}
+    for camera, shape in cameras.items():
+        if list((features.get(camera) or {}).get("shape") or []) != shape:
+            out.append(f"{camera} shape")
+    for vector in ("observation.state", "action"):
+        feature = features.get(vector) or {}
+        found, shape = list(feature.get("names") or []), list(feature.get("shape") or [])
+        if len(set(found)) != len(found) or shape != [len(found)]:
+            out.append(f"{vector} names")
+        elif found[: len(names)] != names:
+            out.append(f"{vector} order")
+    return out
+
+
 def missing_payloads(present: list[str], version: str | None, required: list[str], expected_version: str = "v3.0") -> list[str]:
     """What a source lacks to be merged."""
     return ([f"version {version}"] if version != expected_version else []) + [r for r in required if r not in present]

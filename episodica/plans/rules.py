@@ -53,6 +53,9 @@ def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tu
         said = episodes.select("episode_index", F.posexplode("subtask_instructions").alias("p", "t"))
         out.append(captions(said, "episode_caption", 31, at("episode", F.col("episode_index"), F.col("p")), F.col("t")))
     if annotations is not None:
+        if "_corrupt_record" in annotations.columns:
+            broken = annotations.where("_corrupt_record is not null")
+            out.append(violations(broken, "annotation_json", 39, at("episode", F.col("episode_index")), F.lit("valid JSON"), F.col("_corrupt_record")))
         said = annotations.select("episode_index", F.posexplode("sub_task_annotation").alias("p", "s"))
         out.append(captions(said, "annotation_caption", 40, at("episode", F.col("episode_index"), F.col("p")), F.col("s.sub_task_instruction")))
     numbered = index.running_total(frames, order, name="__expected").where(~F.col("index").eqNullSafe(F.col("__expected")))

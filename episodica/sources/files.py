@@ -53,8 +53,9 @@ def episode_of(path: Column) -> Column:
 def annotations(spark: SparkSession, root: str) -> DataFrame:
     """One row an annotation file: episode_index from its name, its document, and the text that didn't parse."""
     bad = "_corrupt_record"
-    df = spark.read.schema(f"{model.ANNOTATION}, {bad} string").option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.json").option("columnNameOfCorruptRecord", bad).json(f"{root}/annotations")
-    return df.select(episode_of(F.col("_metadata.file_path")).alias("episode_index"), "*")
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.json").text(f"{root}/annotations", wholetext=True)
+    parsed = F.from_json("value", f"{model.ANNOTATION}, {bad} string", {"columnNameOfCorruptRecord": bad})
+    return df.select(episode_of(F.col("_metadata.file_path")).alias("episode_index"), parsed.alias("j")).select("episode_index", "j.*")
 
 
 def info(spark: SparkSession, root: str) -> DataFrame:

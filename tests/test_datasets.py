@@ -122,3 +122,21 @@ def test_pooled_global_stats(spark, tree):
     assert (got[0]["mean"], got[0]["std"], got[0]["min"], got[0]["count"]) == (3.0, 2**0.5, 1.0, 6) and abs(got[1]["std"] - (4 / 6) ** 0.5) < 1e-12
     with pytest.raises(Exception, match="incomplete"):
         datasets.global_stats(data.frames, meta.withColumn("stats/v/std", F.array(F.lit(None).cast("double"), F.lit(1.0)))).collect()
+
+
+def test_pipeline_stops_at_the_first_gate(spark, tree):
+    data = datasets.load(spark, tree)
+    out, report = datasets.pipeline(data, "per_subtask", {"observation.state": [0, 1]}, 40, 5)
+    assert report["boundaries"]["crossing_starts"] == 6 and len(out.frames.first()["observation.state"]) == 2
+    with pytest.raises(datasets.GateError, match="modes per_subtask, expected full_episode"):
+        datasets.pipeline(data, "full_episode", {"observation.state": [0]}, 40)
+    bad = data.replaced(frames=data.frames.withColumn("index", F.when(F.col("index") == 44, 45).otherwise(F.col("index"))))
+    with pytest.raises(datasets.GateError, match="preflight: global_index"):
+        datasets.pipeline(bad, "per_subtask", {"observation.state": [0]}, 40)
+
+
+def test_broken_annotation(spark, tree):
+    from pathlib import Path
+
+    Path(f"{tree}/annotations/chunk-000/episode_000001.json").write_text("{")
+    assert "annotation_json" in {r.rule for r in datasets.preflight(datasets.load(spark, tree)).collect()}

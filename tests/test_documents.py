@@ -29,3 +29,12 @@ def test_small_documents():
     assert D.digest({"b": 1, "a": 2}) == D.digest({"a": 2, "b": 1}) and len(D.run_manifest({}, [], {}, None)["config_sha256"]) == 64
     assert D.blank_result("r")["status"]["state"] == "pending" and D.stamp(compact=True).endswith("Z")
     assert D.language_receipt("v", {}, {}, {}, "", "k")["sampling_change_applied"] is False and D.acknowledgement("p", "m", {})["package"] == "p"
+
+
+def test_source_problems():
+    names = ["j1", "j2"]
+    vector = lambda n: {"shape": [len(n)], "names": n}
+    good = {"codebase_version": "v3.0", "fps": 15, "features": {"cam": {"shape": [3, 480, 640]}, "observation.state": vector(["j1", "j2", "x"]), "action": vector(["j1", "j2"])}}
+    assert D.source_problems(good, names, {"cam": [3, 480, 640]}, 15.0) == []
+    bad = {"codebase_version": "v2.1", "fps": 30, "features": {"cam": {"shape": [3, 720, 1280]}, "observation.state": vector(["j2", "j1"]), "action": vector(["j1", "j1"])}}
+    assert D.source_problems(bad, names, {"cam": [3, 480, 640]}, 15.0) == ["version v2.1", "fps 30", "cam shape", "observation.state order", "action names"]
