@@ -17,7 +17,6 @@ rows are such copies too, even under one id.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -244,13 +243,13 @@ _SEGMENT = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("other", pa.
 
 def _segments(length: int, parts: int) -> Callable:
     """Of rows (key, other, z, found), found being a document's repeated anchors: their segments,
-    packed by the part that will sort them."""
+    packed by the part that will sort them (-1: anchors too common for a task)."""
 
     def run(it):
-        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts)], 0
+        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts + 1)], 0
 
         def packed():
-            some = [p for p in range(parts) if rows[p]]
+            some = [p for p in range(-1, parts) if rows[p]]
             blobs = [press.compress(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()) for p in some]
             for p in some:
                 rows[p].clear()
@@ -262,7 +261,7 @@ def _segments(length: int, parts: int) -> Callable:
                     first = f["pos"] - f["back"]
                     last = first + f["more"]
                     segment = text[first : last + length]
-                    rows[f["anchor"] % parts].append((f["anchor"], key, other, first, last - first + 1, segment))
+                    rows[-1 if f["many"] else f["anchor"] % parts].append((f["anchor"], key, other, first, last - first + 1, segment))
                     size += len(segment)
                     if size > 16 << 20:
                         yield packed()
@@ -377,22 +376,24 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = M
     copies = store.written(rows.groupBy(*both).agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head")), "copies")
     all_of = store.written(rows.select("key", "text").transform(store.arrow, _anchored(length, gram), "anchor long, key long, pos long, back short, more short"), "anchors")
     twice = all_of.groupBy("anchor").agg(F.count("*").alias("c"), F.min("key").alias("k"), F.max("key").alias("l"), F.min("pos").alias("p"), F.max("pos").alias("q"))
-    twice = twice.where("k <> l or p <> q").select(F.col("anchor").alias("a"), (F.col("c") > most).alias("many"))
-
-    def segments(many: bool) -> DataFrame:
-        """Of one row of each distinct text."""
-        found = all_of.join(twice.where(F.col("many") == many), F.col("anchor") == F.col("a")).groupBy("key").agg(F.collect_set(F.struct("anchor", "pos", "back", "more")).alias("found"))
-        found = copies.join(found, "key").select(F.col("key").alias("k"), F.col("other").alias("o"), "head", "found")
-        cut = packed.join(found, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o")) & (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("head"))).select(*both, "z", "found")
-        return cut.transform(store.arrow, _segments(length, 2 * n), "part int, segments binary")
-
-    few = segments(False).repartition(n, "part").transform(store.arrow, _sorted(length), _RUNS)
-    strings = segments(True).transform(store.arrow, _hashed(length), "h1 long, h2 long, key long, other long, start long").distinct()
-    again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-    many = strings.join(again, (strings.h1 == again.g1) & (strings.h2 == again.g2)).select(*both, F.col("start").alias("first"), F.col("start").alias("last"))
-    runs = store.written(few.union(many).distinct(), "runs")
+    twice = store.written(twice.where("k <> l or p <> q").select(F.col("anchor").alias("a"), (F.col("c") > most).alias("many")), "repeated")
+    store.release(docs.sparkSession)
+    found = all_of.join(twice, F.col("anchor") == F.col("a")).groupBy("key").agg(F.collect_set(F.struct("anchor", "pos", "back", "more", "many")).alias("found"))
+    found = copies.join(found, "key").select(F.col("key").alias("k"), F.col("other").alias("o"), "head", "found")
+    # of one row of each distinct text
+    cut = packed.join(found, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o")) & (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("head"))).select(*both, "z", "found")
+    cut = store.written(cut.transform(store.arrow, _segments(length, 2 * n), "part int, segments binary"), "segments")
     store.forget(all_of)
-    del few, strings, again, many
+    store.release(docs.sparkSession)
+    few = cut.where("part >= 0").repartition(n, "part").transform(store.arrow, _sorted(length), _RUNS)
+    runs = store.written(few, "runs")
+    many = cut.where("part < 0")
+    if not many.isEmpty():
+        strings = many.transform(store.arrow, _hashed(length), "h1 long, h2 long, key long, other long, start long").distinct()
+        again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+        more = strings.join(again, (strings.h1 == again.g1) & (strings.h2 == again.g2)).select(*both, F.col("start").alias("first"), F.col("start").alias("last"))
+        runs = runs.union(store.written(more, "runs"))
+    store.forget(cut)
     store.release(docs.sparkSession)
     spans = copies.join(runs.groupBy(*both).agg(F.collect_list(F.struct("first", "last")).alias("runs")), both, "left").select(F.col("key").alias("k"), F.col("other").alias("o"), "copies", "runs")
     out = packed.join(spans, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o"))).select("doc_id", "z", "runs", "copies")
@@ -402,7 +403,3 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = M
 def report(docs: DataFrame, **options) -> DataFrame:
     out = dedup(docs, **options)
     return out.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
-
-
-def digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()
