@@ -2,9 +2,10 @@
 
 A document's set holds its distinct word shingles.  The steps:
 
-1. Equal sets are one class, found by an aggregation on a 128-bit set fingerprint; one member stands for it.
-2. Each class representative indexes a prefix of its set, rarest shingles first.  The order comes from a
-   count-min sketch of fixed size; any common order is exact, the sketch only makes prefixes selective.
+1. Equal sets are one class, found by an aggregation on a 128-bit set fingerprint; its smallest id stands for it.
+2. Each document indexes a prefix of its set, rarest shingles first, under its fingerprint, so that equal sets are
+   one entry.  The order comes from a count-min sketch of fixed size; any common order is exact, the sketch only
+   makes prefixes selective.
 3. An index list is skipped by position and size: an entry stays only if a partner of compatible size exists
    and the smaller of the two has the shingle within its index prefix.  A list's members form the family of
    its smallest id, so every pair that could link meets in some family.  Lists that may be long (the sketch
