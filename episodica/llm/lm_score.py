@@ -249,7 +249,11 @@ def score(docs: DataFrame, trains=None) -> DataFrame:
     asked = blocks.transform(store.arrow, _asked(parts), _BLOCKS)
     answers = store.written(asked.repartition(parts, "part").sortWithinPartitions("part").transform(store.arrow, _answered, _BLOCKS), "counts")
     total, distinct = (sum(x) for x in zip((0, 0), *((int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in answers.where("block = -1").select("a", "b").collect()), strict=True))
+    del asked
+    store.release(spark)
     met = blocks.union(answers.where("block >= 0")).repartition(store.parts(spark), "block").sortWithinPartitions("block", "part")
-    cells = met.transform(store.arrow, _histogram(total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = met.transform(store.arrow, _histogram(total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = store.written(cells, "cells").collect()
+    store.release(spark)
     weights = fit_weights(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], float), distinct)
     return met.transform(store.arrow, _scored(total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
