@@ -111,7 +111,8 @@ def log_metrics(line: Column) -> Column:
     return F.when(line.rlike(r"step:\s*\d.*loss:"), step).when(line.rlike(r"'train_loss':"), summary)
 
 
-OUT_OF_MEMORY = r"(?i)out of memory|cuda.*oom|outofmemoryerror"
+#: What a log says when memory ran out.
+OUT_OF_MEMORY = r"(?i)CUDA out of memory|OutOfMemoryError|CUBLAS_STATUS_ALLOC_FAILED"
 
 
 def failure_category(code: Column, timed_out: Column, log: Column) -> Column:

@@ -147,7 +147,7 @@ def config(document: dict) -> list[tuple[str, str]]:
             a, b = float(optimizer["lr"]), float(optimizer["learning_rate"])
             say(abs(a - b) <= 1e-9 * max(abs(a), abs(b)), "learning_rate", f"{a} and {b}")
     action = document.get("action", {})
-    if kind == "isaac_groot_n17" and isinstance(action, dict):
+    if kind == "isaac_groot" and isinstance(action, dict):
         say(not action.get("relative", False), "absolute_action", "relative actions")
         say(action.get("horizon", 40) == 40, "horizon", str(action.get("horizon")))
     names = [str(n) for n in document.get("contract", {}).get("action_names", [])]

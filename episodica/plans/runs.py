@@ -8,8 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.config import ConfigError, flags, switch
 
-#: Backend names and their aliases.
-BACKENDS = {"lerobot_act": "lerobot_act", "act": "lerobot_act", "lerobot_groot_n17": "lerobot_groot_n17", "lerobot_groot": "lerobot_groot_n17", "isaac_groot_n17": "isaac_groot_n17", "isaac_groot": "isaac_groot_n17", "isaac": "isaac_groot_n17"}
+#: The trainers' names as configurations write them, and the canonical one of each.
+BACKENDS = {
+    "lerobot": "lerobot_groot",
+    "lerobot-groot": "lerobot_groot",
+    "lerobot_groot": "lerobot_groot",
+    "groot": "lerobot_groot",
+    "lerobot-act": "lerobot_act",
+    "lerobot_act": "lerobot_act",
+    "act": "lerobot_act",
+    "isaac-groot": "isaac_groot",
+    "isaac_groot": "isaac_groot",
+    "isaac": "isaac_groot",
+}
 
 
 def backend(name: str) -> str:
@@ -25,7 +36,7 @@ def canonical_backend(name: Column) -> Column:
 
 
 def model_family(name: Column) -> Column:
-    return F.when(F.endswith(canonical_backend(name), F.lit("act")), "act").otherwise("groot_n17")
+    return F.when(canonical_backend(name) == "isaac_groot", "groot").otherwise("lerobot")
 
 
 def command(document: dict, output: str, resume: str | None = None) -> list[str]:

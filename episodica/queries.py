@@ -522,10 +522,10 @@ def exclusion_terms(spark, d):
     return runs.excluded_actions(spark.createDataFrame([("N_1",), ("2",)], "term string"), _t(spark, d, "nation").select(F.col("n_name").alias("name")))
 
 
-@query("SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 'act' ELSE 'groot_n17' END AS family, CASE WHEN c_nationkey % 3 = 0 THEN 'lerobot_act' WHEN c_nationkey % 3 = 1 THEN 'isaac_groot_n17' ELSE 'lerobot_groot_n17' END AS backend FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_nationkey % 3 = 1 THEN 'groot' ELSE 'lerobot' END AS family, CASE WHEN c_nationkey % 3 = 0 THEN 'lerobot_act' WHEN c_nationkey % 3 = 1 THEN 'isaac_groot' ELSE 'lerobot_groot' END AS backend FROM customer")
 def backend_aliases(spark, d):
     k = F.col("c_nationkey") % 3
-    name = F.when(k == 0, "act").when(k == 1, "isaac").otherwise("lerobot_groot")
+    name = F.when(k == 0, "act").when(k == 1, "isaac").otherwise("lerobot-groot")
     return _t(spark, d, "customer").select("c_custkey", runs.model_family(name).alias("family"), runs.canonical_backend(name).alias("backend"))
 
 

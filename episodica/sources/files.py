@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import model
 
-#: What a payload manifest leaves out.
-MANIFEST_SKIP = (".groot_registry_download.json",)
-MANIFEST_SKIP_FOLDERS = (".cache",)
-
 
 def frames(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
     """All data files below root/data, with the file's path and the row's place in it; only `columns` are read if given."""
