@@ -113,47 +113,63 @@ def language(frames: DataFrame, episodes: DataFrame, annotations: DataFrame, ord
     return all_of(out)
 
 
-#: Order of a run configuration's top-level checks.
-CONFIG_KEYS = "_base schema_version name backend tags dataset contract policy training optimizer action augmentation tracking runtime output evaluation".split()
+#: A run configuration's top-level keys, and those of them that are mappings.
+CONFIG_KEYS = "schema_version backend name description hypothesis tags dataset_ref dataset contract policy train optimizer scheduler tracking resources artifacts annotation adapters".split()
+CONFIG_MAPPINGS = "dataset contract policy train optimizer scheduler tracking resources artifacts annotation".split()
+#: What the native trainer supports.
+NATIVE = {"action_representation": "absolute", "chunk_size": 40, "seed": 42}
 
 
-def config(document: dict) -> list[tuple[str, str]]:
-    """(rule, message) of a run configuration, in the order of the checks."""
+def _whole(x: object, least: int) -> bool:
+    return isinstance(x, int) and not isinstance(x, bool) and x >= least
+
+
+def config(document: dict) -> list[tuple[str, object]]:
+    """(rule, offending value) of a run configuration: every broken rule, in the order in which they are checked."""
     from ..functions.config import ConfigError
     from .runs import backend
 
-    out: list[tuple[str, str]] = []
-    say = lambda ok, rule, text: None if ok else out.append((rule, text))
-    whole = lambda x: isinstance(x, int) and not isinstance(x, bool) and x > 0
-    unknown = sorted(set(document) - set(CONFIG_KEYS))
-    say(not unknown, "unknown_key", ", ".join(unknown))
-    say(document.get("schema_version") == 1, "schema_version", str(document.get("schema_version")))
+    part = {k: v if isinstance(v := document.get(k), dict) else {} for k in CONFIG_MAPPINGS}
+    data, policy, train, tracking, resources = (part[k] for k in ("dataset", "policy", "train", "tracking", "resources"))
     try:
         kind = backend(str(document.get("backend")))
-    except ConfigError as e:
+    except ConfigError:
         kind = ""
-        out.append(("backend", str(e)))
-    name = str(document.get("name", ""))
-    say(bool(name) and name[0].isalnum() and all(c.isalnum() or c in "._-" for c in name), "name", name)
-    tags = document.get("tags", [])
-    say(isinstance(tags, list) and all(isinstance(t, str) and t for t in tags), "tags", str(tags))
-    training, optimizer = document.get("training", {}), document.get("optimizer", {})
-    say(isinstance(training, dict) and isinstance(optimizer, dict), "mapping", "training and optimizer")
-    if isinstance(training, dict):
-        for k in ("batch_size", "steps"):
-            if k in training:
-                say(whole(training[k]), k, str(training[k]))
-        if isinstance(optimizer, dict) and {"lr", "learning_rate"} <= optimizer.keys():
-            a, b = float(optimizer["lr"]), float(optimizer["learning_rate"])
-            say(abs(a - b) <= 1e-9 * max(abs(a), abs(b)), "learning_rate", f"{a} and {b}")
-    action = document.get("action", {})
-    if kind == "isaac_groot" and isinstance(action, dict):
-        say(not action.get("relative", False), "absolute_action", "relative actions")
-        say(action.get("horizon", 40) == 40, "horizon", str(action.get("horizon")))
-    names = [str(n) for n in document.get("contract", {}).get("action_names", [])]
-    for term in (action.get("relative_exclude", []) if isinstance(action, dict) else []):
-        say(any(str(term).lower() in n.lower() for n in names), "exclusion_term", str(term))
-    return out
+    name, tags = str(document.get("name", "")), document.get("tags")
+    relative, excluded = bool(policy.get("use_relative_actions")), policy.get("relative_exclude_joints")
+    names = [str(n).lower() for n in (part["contract"].get("action") or {}).get("names", [])]
+    lr, other_lr = part["optimizer"].get("lr"), policy.get("optimizer_lr")
+    native = kind == "isaac_groot"
+    unknown = sorted(set(document) - set(CONFIG_KEYS))
+    lost = [t for t in (excluded if isinstance(excluded, list) else []) if not any(str(t).lower() in n for n in names)]
+    # (rule, whether it holds, value)
+    table = [
+        ("unknown_key", not unknown, unknown),
+        ("schema_version", document.get("schema_version") == 1, document.get("schema_version")),
+        ("backend", bool(kind), document.get("backend")),
+        ("name", name[:1].isascii() and name[:1].isalnum() and all(c.isascii() and (c.isalnum() or c in "._-") for c in name), name),
+        ("tags", isinstance(tags, list) and all(isinstance(t, str) for t in tags), tags),
+        ("mapping", all(isinstance(document.get(k), dict) for k in CONFIG_MAPPINGS), [k for k in CONFIG_MAPPINGS if not isinstance(document.get(k), dict)]),
+        ("dataset", bool(data.get("repo_id") and data.get("root")), data),
+        ("policy_type", policy.get("type") == ("act" if kind == "lerobot_act" else "groot") and policy.get("device") in ("cuda", "cpu", "mps"), [policy.get("type"), policy.get("device")]),
+        ("max_steps", kind != "lerobot_groot" or policy.get("max_steps") == train.get("steps"), policy.get("max_steps")),
+        ("learning_rate", other_lr is None or (lr is not None and abs(float(lr) - float(other_lr)) <= 1e-9 * max(abs(float(lr)), abs(float(other_lr)))), [lr, other_lr]),
+        ("batch_size", _whole(train.get("batch_size"), 1), train.get("batch_size")),
+        ("steps", _whole(train.get("steps"), 1), train.get("steps")),
+        ("num_workers", _whole(train.get("num_workers"), 0), train.get("num_workers")),
+        ("absolute_action", not native or policy.get("action_representation") == NATIVE["action_representation"], policy.get("action_representation")),
+        ("modality", not native or bool(data.get("modality_config_path")), data.get("modality_config_path")),
+        ("horizon", not native or policy.get("chunk_size") == NATIVE["chunk_size"], policy.get("chunk_size")),
+        ("seed", not native or train.get("seed", NATIVE["seed"]) == NATIVE["seed"], train.get("seed")),
+        ("relative_exclusions", bool(excluded) == relative and (not excluded or isinstance(excluded, list)), excluded),
+        ("exclusion_term", not lost, lost),
+        ("tracking_backend", tracking.get("backend") in ("wandb", "none"), tracking.get("backend")),
+        ("tracking_project", tracking.get("backend") != "wandb" or bool(tracking.get("project")), tracking.get("project")),
+        ("tracking_mode", tracking.get("mode") in (None, "online", "offline", "disabled"), tracking.get("mode")),
+        ("timeout", float(resources.get("timeout_hours", 0)) > 0, resources.get("timeout_hours")),
+        ("memory_guard", resources.get("memory_guard_gib") is None or float(resources["memory_guard_gib"]) > 0, resources.get("memory_guard_gib")),
+    ]
+    return [(rule, value) for rule, holds, value in table if not holds]
 
 
 def contract(expected: DataFrame, observed: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def command(document: dict, output: str, resume: str | None = None) -> list[str]
     out += flags("policy", document.get("policy", {}), frozenset({"policy.name"})) + flags("dataset", {k: v for k, v in document.get("dataset", {}).items() if k in ("repo_id", "root", "eval_split")})
     if kind.startswith("isaac"):
         return [f"--output-dir={output}", *(f.replace("_", "-") for f in out), *(switch(k.replace("_", "-"), v) for k, v in document.get("switches", {}).items())]
-    return [*out, *flags("", document.get("training", {})), f"--output_dir={output}"]
+    return [*out, *flags("", document.get("train", {})), f"--output_dir={output}"]
 
 
 def latest_attempts(results: DataFrame, run: str = "run", path: str = "path") -> DataFrame:

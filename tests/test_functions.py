@@ -46,9 +46,12 @@ def test_config(spark):
     with pytest.raises(config.ConfigError, match="unknown variable q"):
         config.substituted("${q}", {})
     assert config.flags("p", {"a": True, "b": None, "c": [], "d": {"e": [1, 2]}, "tfs": {"k": 1}}) == ["--p.a=true", "--p.d.e=[1,2]", '--p.tfs={"k":1}']
-    assert rules.config({"schema_version": 1, "backend": "act", "name": "n", "training": {"steps": 5}}) == []
-    bad = rules.config({"schema_version": 2, "backend": "zz", "name": "-n", "zzz": 1, "training": {"steps": True}, "optimizer": {"lr": 1.0, "learning_rate": 2.0}})
-    assert [r for r, _ in bad] == ["unknown_key", "schema_version", "backend", "name", "steps", "learning_rate"]
+    good = {k: {} for k in rules.CONFIG_MAPPINGS} | {"schema_version": 1, "backend": "act", "name": "n", "tags": ["t"], "dataset": {"repo_id": "r", "root": "/r"}, "policy": {"type": "act", "device": "cpu"}, "train": {"steps": 5, "batch_size": 1, "num_workers": 0}, "tracking": {"backend": "none"}, "resources": {"timeout_hours": 1}}
+    assert rules.config(good) == []
+    bad = config.merge(good, {"schema_version": 2, "backend": "zz", "name": "-n", "zzz": 1, "train": {"steps": True}, "optimizer": {"lr": 1.0}, "policy": {"type": "groot", "optimizer_lr": 2.0, "use_relative_actions": True, "relative_exclude_joints": ["grip"]}, "tracking": {"backend": "wandb"}})
+    assert [r for r, _ in rules.config(bad)] == ["unknown_key", "schema_version", "backend", "name", "learning_rate", "steps", "exclusion_term", "tracking_project"]
+    native = config.merge(good, {"backend": "isaac", "policy": {"type": "groot", "chunk_size": 16}, "train": {"seed": 1}})
+    assert [r for r, _ in rules.config(native)] == ["absolute_action", "modality", "horizon", "seed"]
     assert "--policy.type=act" in runs.command({"backend": "act", "policy": {"type": "act"}}, "o")
     links = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "d")], "child string, parent string")
     assert {r.name: r.cyclic for r in config.chains(links).collect()} == {"a": True, "b": True, "c": False, "d": False}
