@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages over `documents`; each stage's result is written as Parquet and is the next one's docs.
 
 1. language_id: rows without a recognisable language go.
-2. near_duplicates: one row of each group of near duplicates stays, the one with the smallest id.
+2. near_duplicates: one row of each group of near duplicates (sets of five-word shingles, Jaccard similarity from 0.8)
+   stays, the one with the smallest id.
 3. decontamination: rows that hold a benchmark window go.
 4. mixing: each source is taken to its target, whole copies first, then a Pareto order sample.
 5. token_output: what is left, as binary shards of token ids, read back per row.
@@ -15,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from episodica.llm import decontaminate, jaccard_join, language_id, mixing, store, token_output
 
+#: Words of a shingle, and similarity in percent from which two documents are near copies, in the second stage.
+SHINGLE, PERCENT = 5, 80
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     store.bounded_batches(spark)
@@ -23,7 +27,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     store.bounded_batches(spark)
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, size=SHINGLE, percent=PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import sys
 from pathlib import Path
 
@@ -46,3 +47,24 @@ def test_pipeline_stage_by_stage(llm):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         at = stage(llm, at, SMALL)
         assert at.columns == docs.columns, name
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(llm):
+    rng = random.Random(5)
+    rows, bases = [], [[f"w{rng.randrange(10**6)}" for _ in range(200)] for _ in range(8)]
+    for base in bases:
+        rows.append(" ".join(base))
+        for tail in (20, 30, 45, 60):  # the longest falls below both measures
+            rows.append(" ".join(base + [f"t{rng.randrange(10**6)}" for _ in range(tail)]))
+    rows += ["a b c d", "a b c d", "a b c d e", ""]
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if (w := t.split()) else frozenset() for t in rows]
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for k, b in enumerate(sets[:i]):
+            if a and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = root[i], root[k]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    want = [k for k, r in enumerate(root) if k == r]
+    docs = llm.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(llm, docs, SMALL).collect())
+    assert got == want and got != sorted(r.doc_id for r in jaccard_join.keep_one(docs).collect())
