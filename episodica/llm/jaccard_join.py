@@ -402,7 +402,25 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of each group of near duplicates: the one whose id is the group's smallest.  Rows without a set stay."""
-    found = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    out = docs.join(found, docs["doc_id"] == found["__kept"], "left_semi")
-    return out.select(*docs.columns)
+    """One row of each group of near duplicates: the one whose id is the group's smallest.  Rows without a set stay.
+
+    Rows without id take part: equal texts are one row, known by the text's 64-bit hash, and it stays if its group has
+    no row with an id and no smaller hash."""
+    lost = docs.where(F.col("doc_id").isNull())
+    if lost.isEmpty():
+        found = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+        return docs.join(found, docs["doc_id"] == found["__kept"], "left_semi").select(*docs.columns)
+    word = F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    mark = F.xxhash64("text", F.lit(5))
+    have = docs.where(F.col("doc_id").isNotNull())
+    nameless = lost.where(word).withColumn("__mark", mark).dropDuplicates(["__mark"])
+    rows = store.texts(have).select(F.col("doc_id").cast("long").alias("doc_id"), "text").union(lost.where(word).select(mark.alias("doc_id"), "text"))
+    marks = nameless.select("__mark").distinct()
+    found = near_duplicates(rows, **options)
+    found = found.join(marks, found["doc_id"] == marks["__mark"], "left")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__mark").isNotNull().alias("nameless"), F.col("doc_id").alias("id"))).alias("first"))
+    kept = first.select("first.nameless", F.col("first.id").alias("__kept")).distinct()
+    with_id, without = kept.where("not nameless").select("__kept"), kept.where("nameless").select("__kept")
+    out = have.join(with_id, have["doc_id"] == with_id["__kept"], "left_semi").select(*docs.columns)
+    alone = nameless.join(without, nameless["__mark"] == without["__kept"], "left_semi").select(*docs.columns)
+    return out.union(alone).union(lost.where(~word).select(*docs.columns))

@@ -78,6 +78,25 @@ def test_edges(edges, empty):
     assert J.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_keeps_rows_without_id(llm, edges):
+    rng = random.Random(8)
+    base, other, third = ([f"{c}{rng.randrange(10**6)}" for _ in range(100)] for c in "abc")
+    near = lambda w, c: " ".join([*w, f"{c}{rng.randrange(10**6)}"])
+    rows = [
+        (42, "", "empty"), (None, "", "empty, no id"), (None, " \t\n", "blank"), (None, None, "null"), (None, None, "null again"),
+        (None, "only here", "alone"), (None, "Only  HERE", "its equal set"), (None, "only here", "its copy"), (-5, " ".join(base), "head"), (9, near(base, "x"), "near"), (None, near(base, "y"), "near, no id"),
+        (None, " ".join(base), "equal, no id"), (None, " ".join(other), "pair"), (None, near(other, "z"), "pair"), (2**63 - 1, " ".join(third), "largest id"), (None, near(third, "v"), "near the largest"),
+    ]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, name string").repartition(3)
+    kept = [r.name for r in J.keep_one(docs).collect()]
+    alone = [n for n in kept if n in ("alone", "its equal set", "its copy")]
+    assert len(alone) == 1 and sorted(set(kept) - set(alone)) == sorted({"empty", "empty, no id", "blank", "null", "null again", "head", "pair", "largest id"})
+    assert kept.count("pair") == 1 and len(kept) == 9
+    out = J.keep_one(edges)
+    assert out.columns == edges.columns and [r.text for r in out.where("doc_id is null").collect()] == [None]
+    assert J.keep_one(docs.where("doc_id is null")).where("name = 'pair'").count() == 1
+
+
 def test_components_of_long_chains(llm):
     rng = random.Random(0)
     order = rng.sample(range(300), 300)
