@@ -1,4 +1,7 @@
-"""A forgiving HTML reader: block-level nodes with their text blocks, as flat arrays in page order."""
+"""A forgiving HTML reader: block-level nodes with their text blocks, as flat arrays in page order.
+
+Raw-text elements without an end tag run to the end of the page, as in HTML.  Other elements that show no text (see MUTE)
+are read like any element and end by their end tag, by an implied one or with their parent; they make no nodes."""
 
 from __future__ import annotations
 
@@ -7,8 +10,10 @@ import re
 
 #: Fixed lists: elements by how they nest and show.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select option object canvas noembed noframes xmp".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var ins del nobr button".split())
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
+MUTE = frozenset("noscript template select option svg canvas annotation annotation-xml".split())
+MATH = "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr mstyle merror mpadded mphantom menclose mfenced maction semantics"
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var ins del nobr button object".split()) | frozenset(MATH.split())
 TAGS = tuple("html body div p article main section nav header footer aside form ul ol li table tr td h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dl dt dd address details dialog".split())
 #: Attribute tokens that hint at a part of a page, by group.
 HINTS = {
@@ -30,6 +35,10 @@ _TAG = {t: k for k, t in enumerate(TAGS)}
 #: A start tag of these ends an open one (of the second list) first, up to the given stops.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th"), "thead": ("caption",), "tfoot": ("tbody", "tr", "td", "th")}
 _STOP = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
+#: Start tags that end an open select; those that end an open svg, unless inside these of its elements.
+_NOT_IN_SELECT = frozenset("select input keygen textarea caption table tbody thead tfoot tr td th".split())
+_NOT_IN_SVG = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_IN_SVG = frozenset("foreignobject desc".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label|hidden|style)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -46,6 +55,9 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []
         self._text: list[str] = []
         self._linked = self._in_link = 0
+        self._mute = 0  # where on the stack the outermost open element without text is; 0: none
+        self._inline: dict[str, int] = {}  # open inline elements outside of it
+        self._inside: dict[str, int] = {}  # open elements inside, itself too
         stack: list[tuple[str, int]] = [("", 0)]
         at, n = 0, len(source)
         while at < n:
@@ -63,6 +75,8 @@ class Page:
             if closing:
                 self._close(stack, name)
                 continue
+            if self._mute:
+                self._implied(stack, name)
             if name in RAW:
                 if name not in _ENDS:
                     _ENDS[name] = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I)
@@ -70,6 +84,14 @@ class Page:
                     e = _ENDS[name].search(source, at)
                     at = e.end() if e else n
                 continue
+            if self._mute or name in MUTE:
+                if name not in VOID and not attributes.endswith("/"):
+                    self._mute = self._mute or len(stack)
+                    stack.append((name, stack[-1][1]))
+                    self._inside[name] = self._inside.get(name, 0) + 1
+                continue
+            if name in INLINE and not attributes.endswith("/"):
+                self._inline[name] = self._inline.get(name, 0) + 1
             if name == "br":
                 self._text.append(" ")
             elif name == "a":
@@ -86,7 +108,7 @@ class Page:
         self.end[0] = len(self.parent)
 
     def _add(self, text: str) -> None:
-        if text:
+        if text and not self._mute:
             self._text.append(text)
             if self._in_link:
                 self._linked += len(text.strip())
@@ -105,10 +127,48 @@ class Page:
         self._flush(stack)
         self.end[stack.pop()[1]] = len(self.parent)
 
+    def _cut(self, stack: list[tuple[str, int]], k: int) -> None:
+        """Ends elements from the k-th on, all of them in one without text."""
+        for name, _ in stack[k:]:
+            self._inside[name] -= 1
+        del stack[k:]
+        if k <= self._mute:
+            self._mute = 0
+
+    def _implied(self, stack: list[tuple[str, int]], name: str) -> None:
+        """What a start tag ends of an open element without text."""
+        if name in ("option", "optgroup"):
+            while self._mute and (stack[-1][0] == "option" or stack[-1][0] == name):
+                self._cut(stack, len(stack) - 1)
+            return
+        has = self._inside.get
+        if name in _NOT_IN_SELECT and has("select"):
+            self._cut(stack, next(k for k in range(self._mute, len(stack)) if stack[k][0] == "select"))
+        elif name in _NOT_IN_SVG and has("svg") and not any(has(t) for t in _IN_SVG):
+            self._cut(stack, next(k for k in range(self._mute, len(stack)) if stack[k][0] == "svg"))
+        if 0 < self._mute < len(stack) - 1 and stack[-1][0] == "p" and name not in INLINE and name not in VOID:
+            self._cut(stack, len(stack) - 1)
+        if self._mute and name in _CLOSES and not has("template"):
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in _STOP.get(name, ()):
+                    break
+                if stack[k][0] in _CLOSES[name]:
+                    self._cut(stack, max(k, self._mute))
+                    break
+
     def _close(self, stack: list[tuple[str, int]], name: str) -> None:
+        if self._mute:
+            if self._inside.get(name):
+                self._cut(stack, next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
+                return
+            if not (self._inline.get(name) if name in INLINE else any(t == name for t, _ in stack)):
+                return
+            self._cut(stack, self._mute)  # its parent ends
+        if name in INLINE and self._inline.get(name):
+            self._inline[name] -= 1
         if name == "a":
             self._in_link = 0
-        elif name == "p" or not (name in INLINE or name in VOID or name in RAW):
+        elif name == "p" or not (name in INLINE or name in VOID or name in RAW or name in MUTE):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     while len(stack) > k:

@@ -22,6 +22,31 @@ def test_reader_follows_implied_ends():
     assert p.end[0] == len(p.parent) and all(k < p.end[k] <= p.end[max(p.parent[k], 0)] for k in range(len(p.parent)))
 
 
+def blocks(source):
+    p = Page(source)
+    assert p.end[0] == len(p.parent) and all(k < p.end[k] <= p.end[max(p.parent[k], 0)] for k in range(len(p.parent)))
+    return [b[1] for b in p.blocks]
+
+
+def test_elements_without_text_end_with_their_parent():
+    article = "<article><h1>t</h1><p>a <b>b</b></p><p>c</p></article>"
+    for top in (
+        "<form><datalist><option value=a><option value=b></datalist></form>", "<form><select><option>x<option>y</form>", "<div><label>l <select><option>x</label></div>",
+        "<div><noscript>n<p>m</div>", "<div><svg><g><text>s</div>", "<svg><g><text>s", "<a href=x><svg><path></a>", "<div><canvas>v</div>", "<header><template><p>q</header>",
+        "<table><tr><td><select><option>x<td>k</table>", "<ul><li><canvas>v<li>k</ul>", "<select><option>x<input>", "<div><select><option>x<option>y</select></div>", "<svg/>",
+        "<noscript><div><p>n</div></noscript>", "<template><ul><li>n<li>m</ul></template>", "<svg><title>i</title><foreignObject><p>s</p></foreignObject></svg>",
+    ):
+        shown = [b for b in blocks(f"<body>{top}{article}<select><option>z</option></select></body>") if b not in ("l", "k")]
+        assert shown == ["t", "a b", "c"], top
+    assert blocks("<p>one<svg><path d=x></path><text>no</text></svg> two<noscript>no</noscript> three</p>") == ["one two three"]
+    assert blocks("<p>a<p>b<script>x<p>no") == ["a", "b"]
+
+
+def test_formulas_and_objects_are_text():
+    assert blocks("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='tex'>no</annotation></semantics></math> holds</p>") == ["so x=2 holds"]
+    assert blocks("<div>see <object data=x><param name=a><p>a text</p></object></div>") == ["see", "a text"]
+
+
 def test_composed_pages_come_back():
     rng, trees = np.random.default_rng(123), H.fitted()
     kept = found = main = 0
