@@ -26,8 +26,8 @@ from . import store
 
 DIMS = 1024
 GRAM = 3
-#: Training texts a language, about, and languages at most (the most common).
-SAMPLE, LANGUAGES = 2000, 1000
+#: Training texts a language, about; languages that are summed, fetched and compared at once.
+SAMPLE, BLOCK = 2000, 1000
 UNKNOWN = "und"
 _SPACE = 32
 
@@ -35,7 +35,7 @@ _SPACE = 32
 def _letters() -> np.ndarray:
     """For each code point its lower-cased letter, or a space."""
     table = np.full(0x110000, _SPACE, np.uint32)
-    for c in range(0x30000):
+    for c in range(len(table)):
         x = chr(c)
         if x.isalpha():
             low = x.lower()
@@ -133,6 +133,12 @@ def _profiles(dims: int, gram: int) -> Callable:
             v, _ = _vectors(dims, gram).bundle(*K.column_bytes(batch.column("text")))
             for k, lang in enumerate(batch.column("lang").to_pylist()):
                 sums[lang] = sums.get(lang, 0) + v[k].astype(np.int64)
+                if len(sums) == BLOCK:
+                    yield from flushed(sums)
+                    sums.clear()
+        yield from flushed(sums)
+
+    def flushed(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, v in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * dims), pa.array(range(dims), pa.int32()), pa.array(v)], ["lang", "dim", "value"])
 
@@ -142,18 +148,22 @@ def _profiles(dims: int, gram: int) -> Callable:
 def learn(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages, sorted, and their prototypes.  `docs`: doc_id, text, lang of the training rows."""
     rows = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
     if not counts:
         return [], np.zeros((0, dims))
     shares = docs.sparkSession.createDataFrame([(r.lang, int(min(1.0, sample / r.n) * (1 << 30))) for r in counts], "l string, share long")
     chosen = rows.join(F.broadcast(shares), F.col("lang") == F.col("l")).where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < F.col("share")).select("lang", "text")
-    sums = chosen.transform(store.arrow, _profiles(dims, gram), "lang string, dim int, value long").groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
-    names = sorted({r.lang for r in sums})
-    out = np.zeros((len(names), dims))
-    at = {x: k for k, x in enumerate(names)}
-    for r in sums:
-        out[at[r.lang], r.dim] = r.value
-    return names, out
+    sums = chosen.transform(store.arrow, _profiles(dims, gram), "lang string, dim int, value long").groupBy("lang", "dim").agg(F.sum("value").alias("value"))
+    known = sorted(r.lang for r in counts)
+    if len(known) > BLOCK:
+        sums = store.written(sums, "profiles")
+    found: dict[str, np.ndarray] = {}
+    for a in range(0, len(known), BLOCK):
+        part = known[a : a + BLOCK]
+        for r in (sums if len(known) <= BLOCK else sums.where(F.col("lang").isin(part))).collect():
+            found.setdefault(r.lang, np.zeros(dims))[r.dim] = r.value
+    names = sorted(found)
+    return names, np.stack([found[x] for x in names]) if names else np.zeros((0, dims))
 
 
 def _judged(shared, dims: int, gram: int) -> Callable:
@@ -164,9 +174,14 @@ def _judged(shared, dims: int, gram: int) -> Callable:
             v, lettered = _vectors(dims, gram).bundle(*K.column_bytes(batch.column("text")))
             lang, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             if names:
-                cos = v.astype(float) @ unit / np.maximum(np.linalg.norm(v.astype(float), axis=1, keepdims=True), 1e-12)
-                best = cos.argmax(axis=1)
-                score = np.where(lettered, np.clip(cos[np.arange(len(best)), best], 0, 1), 0.0)
+                best, top = np.zeros(len(v), np.int64), np.full(len(v), -np.inf)
+                for a in range(0, len(names), BLOCK):
+                    cos = v.astype(float) @ unit[:, a : a + BLOCK] / np.maximum(np.linalg.norm(v.astype(float), axis=1, keepdims=True), 1e-12)
+                    k = cos.argmax(axis=1)
+                    most = cos[np.arange(len(k)), k]
+                    more = most > top
+                    best[more], top[more] = a + k[more], most[more]
+                score = np.where(lettered, np.clip(top, 0, 1), 0.0)
                 lang = [names[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*batch.schema.names, "__lang", "__score"])
 

@@ -40,6 +40,20 @@ def test_language_of_held_out_rows(llm):
     assert sum(r.lang == r.lang_pred for r in held) >= 0.97 * len(held)
 
 
+def test_every_language_value_is_learned(llm):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(12)), f"l{k:04d}") for k in range(1003)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in L.report(docs, trains=F.lit(True), dims=128).collect()}
+    assert got == {k: lang for k, _, lang in rows}
+
+
+def test_letters_of_all_planes():
+    assert L._vectors(64, 3).bundle(*K.column_bytes(pa.array(["\U00030000\U00031350", "\U000e0100"])))[1].tolist() == [True, False]
+
+
 def test_language_edges(edges, empty):
     rows = L.report(edges).collect()
     assert len(rows) == edges.count()
