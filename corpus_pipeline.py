@@ -1,6 +1,6 @@
 """A corpus pipeline of five stages over `documents`; each stage's result is written as Parquet and is the next one's docs.
 
-1. language_id: rows without a recognisable language go.
+1. language_id: rows without letters go; no score is too low to stay.
 2. near_duplicates: one row of each group of near duplicates (sets of five-word shingles, Jaccard similarity from 0.8)
    stays, the one with the smallest id.
 3. decontamination: rows that hold a benchmark window go.

@@ -206,5 +206,8 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.0, **options) -> DataFrame:
-    """`docs` without rows that have no recognisable language: no letters, or a cosine under `least` with every prototype."""
+    """`docs` without rows that have no letters, or a cosine under `least` with every prototype.
+
+    Cosines are cut off at 0, so the default `least`, which the pipeline takes, rejects rows without letters only; texts of
+    letters in a language that wasn't learned stay, under the nearest name.  Without training rows every row goes."""
     return annotate(docs, **options).where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
