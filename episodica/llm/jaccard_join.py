@@ -1,4 +1,4 @@
-"""Exact n-gram Jaccard self-join by set-relation skipping; near duplicates and their components.
+"""Exact n-gram Jaccard self-join by filtered prefix lists; near duplicates and their components.
 
 A document's set holds its distinct word shingles.  The steps:
 
@@ -6,13 +6,13 @@ A document's set holds its distinct word shingles.  The steps:
 2. Each document indexes a prefix of its set, rarest shingles first, under its fingerprint, so that equal sets are
    one entry.  The order comes from a count-min sketch of fixed size; any common order is exact, the sketch only
    makes prefixes selective.
-3. An index list is skipped by position and size: an entry stays only if a partner of compatible size exists
+3. An index list is filtered by position and size, entry by entry: an entry stays only if a partner of compatible size exists
    and the smaller of the two has the shingle within its index prefix.  A list's members form the family of
    its smallest id, so every pair that could link meets in some family.  Lists that may be long (the sketch
    never counts too low) take an aggregation and a join, which Spark can split; the others are packed.
-4. Within a family, answers are derived from answers: the exact overlaps with a pivot are computed first, and a
+4. Within a family, answers spare comparisons: the exact overlaps with one pivot are computed first, and a
    set is compared only with sets that aren't already connected to it and whose distance to the pivot
-   allows a link (triangle inequality of the Jaccard distance).  Families beyond `chunk` members are cut into
+   allows a link (triangle inequality of the Jaccard distance); with those, in full.  Families beyond `chunk` members are cut into
    chunks and every two chunks meet in a task of their own: no family, however large, is one task.
 5. Each family emits a spanning forest of true links, never its pairs; components follow from these.
 
