@@ -7,9 +7,8 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
-DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")

@@ -1,13 +1,7 @@
-import sys
-from pathlib import Path
-
 import pytest
+from oracle import DATA, both
 
-sys.path.insert(0, str(Path(__file__).parent))
-from conftest import DATA  # noqa: E402
-from oracle import both  # noqa: E402
-
-from episodica.queries import ORACLES, QUERIES  # noqa: E402
+from episodica.queries import ORACLES, QUERIES
 
 
 def test_every_query_has_its_sql():

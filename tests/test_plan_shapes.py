@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import DATA
+from oracle import DATA
 
 from episodica import proxies
 from episodica.operators import horizon, segments, subset
