@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -22,3 +26,26 @@ def session(master: str | None = None, **more: str) -> SparkSession:
     for k, v in (SETTINGS | {k.replace("_", "."): v for k, v in more.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir, which all executors share.
+
+    Where it is unset and driver and executors are one process, a temporary folder that goes with it; on a cluster an
+    unset folder is an error, as each machine would write its own disk."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        here = tempfile.mkdtemp(prefix="shared-")
+        atexit.register(shutil.rmtree, here, ignore_errors=True)
+        found = f"file://{here}"
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def checkpoints(spark: SparkSession) -> None:
+    """Makes `DataFrame.checkpoint` usable."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
