@@ -1,13 +1,15 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams against every training window.
 
-Test items are cut into windows of WINDOW words (a shorter item is one window).  Their hashes are broadcast
-in blocks of at most `max_grams`, so the broadcast has a fixed bound; a larger benchmark takes more passes
-over the documents, each starting from the written result of the one before.  A document batch is hashed once
+Test items are cut into windows of WINDOW words (a shorter item is one window).  Their hashes and texts are broadcast
+as a few arrays, in blocks of about `block_bytes`, so the broadcast has a fixed bound; a larger benchmark takes more
+passes over the documents, each starting from the written result of the one before.  A document batch is hashed once
 for each window length in use, filtered by a bitmap, looked up, and every hit is verified word by word, so a
 hash collision can't mark a clean document.  The documents are never shuffled.
 
-Nulls, empty texts: no words, never contaminated.  Repeated rows and ids: each row is judged by itself.
-Items of equal id count once.  An empty benchmark leaves all documents clean.  Extra columns pass through.
+Nulls, empty texts: no words, never contaminated.  Very long texts are read in pieces between words.  Repeated rows and
+ids: each row is judged by itself.  Items of equal id count once; a null item id is the id "null".  An empty benchmark
+leaves all documents clean, an empty table stays empty.  Extra columns pass through, whatever their names: the columns
+added take other ones.
 """
 
 from __future__ import annotations
@@ -24,10 +26,10 @@ from . import kernel as K
 from . import store
 
 WINDOW = 10
-#: Most windows in one broadcast (about 150 bytes each).
-MAX_GRAMS = 1_000_000
+#: Bytes of one broadcast, about: a window's words, and 24 for its hash and places.
+BLOCK_BYTES = 64 << 20
 _GRAMS = "item string, length int, hash long, words binary"
-_STATE = [T.StructField("__words", T.LongType()), T.StructField("__hits", T.ArrayType(T.LongType())), T.StructField("__items", T.ArrayType(T.StringType())), T.StructField("__spans", T.ArrayType(T.LongType()))]
+_KINDS = {"words": T.LongType(), "hits": T.ArrayType(T.LongType()), "items": T.ArrayType(T.StringType()), "spans": T.ArrayType(T.LongType())}
 
 
 def _grams(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -51,31 +53,46 @@ def _grams(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 class _Set:
-    """One block of test windows, by length: sorted hashes, a bitmap of their top bits, and what to verify."""
+    """One block of test windows: by length their sorted hashes, a bitmap of the hashes' top bits, and the numbers of
+    the windows, whose words lie in one buffer and whose items in one list."""
 
     BITS = 22
 
-    def __init__(self, rows: list) -> None:
-        self.known: dict[tuple[int, int], dict[bytes, set[str]]] = {}
-        for item, length, h, text in rows:
-            self.known.setdefault((length, h), {}).setdefault(bytes(text), set()).add(item)
-        self.hashes = {n: np.unique(np.array([h for m, h in self.known if m == n], np.int64).view(np.uint64)) for n in {m for m, _ in self.known}}
-        self.bitmaps = {}
-        for n, h in self.hashes.items():
-            self.bitmaps[n] = np.zeros(1 << self.BITS, bool)
-            self.bitmaps[n][(h >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+    def __init__(self, rows: pa.Table) -> None:
+        self.text, self.at = K.column_bytes(rows.column("words"))
+        self.text = self.text.tobytes()
+        items = rows.column("item").combine_chunks().dictionary_encode()
+        if isinstance(items, pa.ChunkedArray):
+            items = pa.concat_arrays([c for c in items.unify_dictionaries().chunks]) if items.num_chunks else pa.array([], pa.string()).dictionary_encode()
+        self.names, self.item = items.dictionary.to_pylist(), items.indices.to_numpy()
+        length, h = rows.column("length").to_numpy(), rows.column("hash").to_numpy().view(np.uint64)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n in np.unique(length).tolist():
+            some = np.flatnonzero(length == n)
+            some = some[np.argsort(h[some], kind="stable")]
+            top = np.zeros(1 << self.BITS, bool)
+            top[(h[some] >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
+            self.windows[n] = h[some], some.astype(np.int32), top
 
     def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(first word, length, hash) of windows with a known hash."""
-        for n, wanted in self.hashes.items():
+        for n, (wanted, _, top) in self.windows.items():
             starts, found = K.windows_in_rows(hashes, bounds, n)
-            near = np.flatnonzero(self.bitmaps[n][(found >> np.uint64(64 - self.BITS)).astype(np.int64)])
+            near = np.flatnonzero(top[(found >> np.uint64(64 - self.BITS)).astype(np.int64)])
             at = np.minimum(np.searchsorted(wanted, found[near]), len(wanted) - 1)
             near = near[wanted[at] == found[near]]
-            yield from zip(starts[near].tolist(), [n] * len(near), found[near].view(np.int64).tolist(), strict=True)
+            yield from zip(starts[near].tolist(), [n] * len(near), found[near].tolist(), strict=True)
 
+    def owners(self, length: int, h: int, text: bytes) -> set[str]:
+        """The items with a window of this hash whose words are these."""
+        wanted, number, _ = self.windows[length]
+        a, b = np.searchsorted(wanted, np.uint64(h), "left"), np.searchsorted(wanted, np.uint64(h), "right")
+        return {self.names[self.item[k]] for k in number[a:b].tolist() if self.text[self.at[k] : self.at[k + 1]] == text}
+
+
+def _scan(shared, names: list[str], again: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the columns `names` (words, hits, items, spans); `again`: to what earlier blocks found, in columns of these names."""
 
-def _scan(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: _Set = shared.value
         for batch in store.batches(it, 2 << 20):
@@ -87,16 +104,16 @@ def _scan(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
             items: dict[int, set[str]] = {}
             for first, length, h in known.hits(hashes, bounds):
                 text = b" ".join(K.LOWER[data[s:e]].tobytes() for s, e in zip(starts[first : first + length], ends[first : first + length], strict=True))
-                if (owners := known.known[length, h].get(text)) is not None:
+                if owners := known.owners(length, h, text):
                     r = int(np.searchsorted(bounds, first, side="right")) - 1
                     hit.setdefault(r, set()).update(range(first - int(bounds[r]), first - int(bounds[r]) + length))
                     items.setdefault(r, set()).update(owners)
-            if "__hits" in batch.schema.names:  # what earlier blocks found
-                for name, found in (("__hits", hit), ("__items", items)):
+            if again:
+                for name, found in ((names[1], hit), (names[2], items)):
                     for r, old in enumerate(batch.column(name).to_pylist()):
                         if old:
                             found.setdefault(r, set()).update(old)
-                batch = batch.select([c for c in batch.schema.names if not c.startswith("__")])
+                batch = batch.select(batch.schema.names[: -len(names)])
             spans = []
             for r in range(n):
                 at = sorted(hit.get(r, ()))
@@ -110,42 +127,46 @@ def _scan(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
                 spans.append(cuts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()), pa.array([sorted(hit.get(r, ())) for r in range(n)], pa.list_(pa.int64())), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))],
-                [*batch.schema.names, *(f.name for f in _STATE)],
+                [*batch.schema.names, *names],
             )
 
     return run
 
 
-def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_grams: int = MAX_GRAMS) -> DataFrame:
-    """`docs` (with a text column) and __words (count), __hits (numbers of the words hit), __items (ids of the
-    items found, as strings, sorted), __spans (byte starts and ends of hit runs, alternating)."""
+def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[str]]:
+    """`docs` (with a text column) and four more columns, whose names are returned too: words (count), hits (numbers of the
+    words hit), items (ids of the items found, as strings, sorted), spans (byte starts and ends of hit runs, alternating)."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
     grams = items.transform(store.arrow, _grams(window), _GRAMS).distinct()
-    blocks = max(1, -(-grams.count() // max_grams))
-    schema = T.StructType([*docs.schema.fields, *_STATE])
-    out = docs
+    size = grams.agg(F.sum(F.length("words") + 24)).first()[0] or 0
+    blocks = max(1, -(-size // block_bytes))
+    names = store.unused(docs.columns, *(f"__{k}" for k in _KINDS))
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, _KINDS.values(), strict=True))])
+    out, before = docs, None
     for k in range(blocks):
         block = grams.where(F.pmod("hash", F.lit(blocks)) == k) if blocks > 1 else grams
-        shared = spark.sparkContext.broadcast(_Set([tuple(r) for r in block.collect()]))
-        out = out.transform(store.arrow, _scan(shared), schema)
+        shared = spark.sparkContext.broadcast(_Set(block.toArrow()))
+        out = out.transform(store.arrow, _scan(shared, names, k > 0), schema)
         if k + 1 < blocks:
             out = store.written(out, "decontaminate")
-    return out
+            if before is not None:
+                store.forget(before)
+            before = out
+    return out, names
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", **options) -> DataFrame:
     """`docs` without contamination: mode "documents" drops each contaminated row, "spans" cuts the hit runs out of its text."""
-    marked = annotate(docs, benchmark, **options)
-    if mode == "documents":
-        return marked.where(F.size("__hits") == 0).select(*docs.columns)
-
+    marked, (_, hits, _, runs) = annotate(docs, benchmark, **options)
     columns = docs.columns
+    if mode == "documents":
+        return marked.where(F.size(hits) == 0).select(*(f"`{c}`" for c in columns))
 
     def cut(it):
         for batch in it:
             kept = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(runs).to_pylist(), strict=True):
                 if spans:
                     raw, at, rest = text.encode(), 0, []
                     for s, e in zip(spans[::2], spans[1::2], strict=True):
@@ -161,8 +182,8 @@ def remove(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", **opt
 
 def report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document: its words, the words hit, the items found and the digest of their ids."""
-    found = annotate(store.texts(docs), benchmark, **options)
+    found, (words, hits, items, _) = annotate(store.texts(docs), benchmark, **options)
     return found.select(
-        "doc_id", F.col("__words").alias("n_words"), F.size("__hits").cast("long").alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ",").cast("binary"), 256).alias("items_sha256"), (F.size("__hits") > 0).alias("contaminated"),
+        "doc_id", F.col(words).alias("n_words"), F.size(hits).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (F.size(hits) > 0).alias("contaminated"),
     )

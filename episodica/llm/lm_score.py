@@ -1,20 +1,23 @@
-"""Language-model scores by deleted interpolation of bigram, unigram and uniform estimates.
+"""Language-model scores by deleted interpolation of n-gram, ..., unigram and uniform estimates.
 
-P(w|v) = l2 c(v,w)/c(v) + l1 c(w)/N + l0/(V+1), where the weights (l2, l1, l0) depend on the bucket of the
-context's count c(v) and come from expectation-maximisation on deleted counts: each training token is
-predicted by the counts of all other training tokens, so it is held out from its own estimate.
+P(w|u,v) = l3 c(u,v,w)/c(u,v) + l2 c(v,w)/c(v) + l1 c(w)/N + l0/(V+1) for `order` 3; order 2, the default, has no l3.
+The weights depend on the bucket of the count of the longest context that was seen, and come from
+expectation-maximisation on deleted counts: each training token is predicted by the counts of all other training
+tokens, so it is held out from its own estimate.
 
 Counts are exact, over all training documents, and never meet in one place:
 
 1. Documents become blocks of about BLOCK bytes in a written table: vocabulary hashes and word numbers.
-2. Each block asks for its distinct words and bigrams: packed sorted 64-bit keys with the block's training
-   counts, dealt to parts by key range.  A word as frequent as "the" is one key a block, not one row a token.
-3. Each part sums its keys and answers every block; N and V are sums over the parts.
-4. Blocks meet their answers.  A first pass gathers a histogram of (bucket, log ratio cells) whose size is
-   bounded by its cells, and EM on the driver fits the weights; a second pass scores the documents.
-
-Text null or empty: one token (the end).  Lower-cased A-Z, words without ASCII white space.  Repeated rows and
-ids: each row by itself.  No training documents: N = V = 0, every token has probability 1 by the uniform part.
+2. Each block asks for its distinct words and n-grams: packed sorted 64-bit keys with the block's training counts, dealt
+   to parts by key range, as many as keep a part at PART bytes.  A word as frequent as "the" is one key a block, not
+   one row a token.
+3. Each part sums its keys, a sub-range at a time, and answers every block; N and V are sums over the parts.
+4. Blocks meet their answers.  A first pass gathers a histogram of (bucket, log ratio cells) whose size is bounded by
+   its cells, and EM on the driver fits the weights; a second pass scores the documents.
+
+Text null or empty: one token (the end).  Lower-cased A-Z, words without ASCII white space.  A very long text is a block of its
+own.  Repeated rows and ids: each row by itself.  Null ids are held out or not as the empty text.  No training documents:
+N = V = 0, every token has probability 1 by the uniform part.  No rows: none.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,12 +34,14 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from . import store
 
-#: Bytes of text in a block.
-BLOCK = 4 << 20
+#: Bytes of text in a block, and of packed keys in a part.
+BLOCK, PART = 4 << 20, 16 << 20
+#: Longest n-gram.
+ORDER = 2
 #: Buckets of context counts: 0, then powers of two.
 BUCKETS = 24
-#: Cells for each halving of a ratio in the histogram of EM, and halvings told apart.
-FINE, DEEP = 4, 40
+#: Cells for each halving of a ratio in the histogram of EM, by order, and halvings told apart.
+FINE, DEEP = {1: 8, 2: 4, 3: 1}, 40
 END = np.uint64(0x7E57AB1E0DDBA115)
 _BLOCKS = "block long, part int, a binary, b binary, c binary, d binary"
 
@@ -63,6 +68,25 @@ def _open_keys(x: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+def _frames(some: list[bytes]) -> bytes:
+    """Byte strings as one, each after its length."""
+    return b"".join(x for s in some for x in (len(s).to_bytes(8, "little"), s))
+
+
+def _unframed(x: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(x):
+        n = int.from_bytes(x[at : at + 8], "little")
+        out.append(x[at + 8 : at + 8 + n])
+        at += 8 + n
+    return out
+
+
+def _rows(block: list[int], part: list[int], *columns: list[bytes | None]) -> pa.RecordBatch:
+    filled = [*columns, *([[None] * len(block)] * (4 - len(columns)))]
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(part, pa.int32()), *(pa.array(c, pa.binary()) for c in filled)], ["block", "part", "a", "b", "c", "d"])
+
+
 def _tokenised(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents.  a: ids; b: tokens of each; c: whether it trains; d: vocabulary and word numbers."""
     task, serial = TaskContext.get().partitionId(), 0  # type: ignore[union-attr]
@@ -81,9 +105,8 @@ def _tokenised(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([b.select(["doc_id", "trains"]) for b in rows])
         ids, trains = table.column("doc_id").to_pylist(), np.array(table.column("trains").to_pylist(), bool)
         known = np.array([x is not None for x in ids], np.uint8)
-        out = [np.array([x or 0 for x in ids], np.int64).tobytes() + known.tobytes(), _press(np.concatenate(lengths)), _press(trains), (v := _press_keys(vocabulary)) and len(v).to_bytes(8, "little") + v + _press(codes)]
         serial += 1
-        return pa.RecordBatch.from_arrays([pa.array([task << 32 | serial]), pa.array([-1], pa.int32()), *(pa.array([x], pa.binary()) for x in out)], ["block", "part", "a", "b", "c", "d"])
+        return _rows([task << 32 | serial], [-1], [np.array([x or 0 for x in ids], np.int64).tobytes() + known.tobytes()], [_press(np.concatenate(lengths))], [_press(trains)], [_frames([_press_keys(vocabulary), _press(codes)])])
 
     for batch in store.batches(it, BLOCK):
         n = batch.column("text").nbytes
@@ -97,147 +120,206 @@ def _tokenised(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Block:
-    """A block of the written table, and the keys it asks for: its words, then its bigrams."""
+    """A block of the written table, and by n-gram length the sorted keys it asks for and each token's number among them.
+
+    The n-gram before a text's first words is made of ends; `first` marks tokens whose context holds no word of the text."""
 
-    def __init__(self, a: bytes, b: bytes, c: bytes, d: bytes) -> None:
+    def __init__(self, order: int, a: bytes, b: bytes, c: bytes, d: bytes) -> None:
         n = len(a) // 9
         self.ids, self.known = np.frombuffer(a[: 8 * n], np.int64), np.frombuffer(a[8 * n :], np.uint8).astype(bool)
         self.lengths, self.trains = _open(b).astype(np.int64), _open(c).astype(bool)
-        size = int.from_bytes(d[:8], "little")
-        self.vocabulary, self.codes = _open_keys(d[8 : 8 + size]), _open(d[8 + size :]).astype(np.int64)
+        vocabulary, codes = _unframed(d)
+        keys, number = _open_keys(vocabulary), _open(codes).astype(np.int64)
         self.doc = np.repeat(np.arange(n), self.lengths)
-        first = np.r_[0, np.cumsum(self.lengths)[:-1]]
-        end = int(np.searchsorted(self.vocabulary, END))
-        before = np.r_[end, self.codes[:-1]]
-        before[first] = end  # a text begins after the end of another
-        self.before = before
-        pair = before * np.int64(len(self.vocabulary)) + self.codes
-        pairs, number = np.unique(pair, return_inverse=True)
-        keys = K.mix(self.vocabulary[pairs // len(self.vocabulary)] * K._Q + self.vocabulary[pairs % len(self.vocabulary)] + np.uint64(1))
-        order = np.argsort(keys, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.pairs, self.number = keys[order], place[number]
-
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        self.first = np.r_[0, np.cumsum(self.lengths)[:-1]]
+        self.end = int(np.searchsorted(keys, END))
+        self.keys, self.numbers = [keys], [number]
+        words, before = keys, np.r_[self.end, number[:-1]]
+        before[self.first] = self.end  # a text begins after the end of another
+        for _ in range(order - 1):
+            longer, number = np.unique(before * np.int64(len(words)) + self.numbers[0], return_inverse=True)
+            made = K.mix(keys[longer // len(words)] * K._Q + words[longer % len(words)] + np.uint64(len(self.keys)))
+            place = np.empty(len(made), np.int64)
+            place[by := np.argsort(made, kind="stable")] = np.arange(len(made))
+            keys, number = made[by], place[number]
+            self.keys.append(keys)
+            self.numbers.append(number)
+            before = np.r_[0, number[:-1]]  # of a text's first token the n-gram before is another text's; `counted` leaves it out
+
+    def asked(self) -> list[np.ndarray]:
+        """The training counts of the keys, by length."""
         use = self.trains[self.doc]
-        return np.bincount(self.codes[use], minlength=len(self.vocabulary)), np.bincount(self.number[use], minlength=len(self.pairs))
+        return [np.bincount(x[use], minlength=len(k)) for x, k in zip(self.numbers, self.keys, strict=True)]
+
+    def counted(self, totals: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Of every token, by n-gram length: the count of its n-gram, and of what stands before its last word (from length 2)."""
+        grams = [t[x] for t, x in zip(totals, self.numbers, strict=True)]
+        contexts = []
+        for k, c in enumerate(grams[:-1]):
+            before = np.r_[c[:1], c[:-1]]
+            before[self.first] = totals[0][self.end] if k == 0 else 0
+            contexts.append(before)
+        for k in range(2, len(grams)):
+            grams[k] = np.where(contexts[k - 1] > 0, grams[k], 0)
+        return grams, contexts
 
 
 def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _asked(parts: int) -> Callable:
+def _asked(order: int, parts: int) -> Callable:
     def run(it):
         for batch in it:
             for row in batch.to_pylist():
-                b = _Block(row["a"], row["b"], row["c"], row["d"])
-                n1, n2 = b.counts()
-                cut1, cut2 = (np.searchsorted(_part_of(k, parts), np.arange(parts + 1)) for k in (b.vocabulary, b.pairs))
-                some = [p for p in range(parts) if cut1[p] < cut1[p + 1] or cut2[p] < cut2[p + 1]]
-                cols = [[f(x[c[p] : c[p + 1]]) for p in some] for f, x, c in ((_press_keys, b.vocabulary, cut1), (_press, n1, cut1), (_press_keys, b.pairs, cut2), (_press, n2, cut2))]
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(some)), pa.array(some, pa.int32()), *(pa.array(c, pa.binary()) for c in cols)], ["block", "part", "a", "b", "c", "d"])
+                b = _Block(order, row["a"], row["b"], row["c"], row["d"])
+                counts = b.asked()
+                cuts = [np.searchsorted(_part_of(k, parts), np.arange(parts + 1)) for k in b.keys]
+                some = [p for p in range(parts) if any(c[p] < c[p + 1] for c in cuts)]
+                pressed = [[_frames([f(x[c[p] : c[p + 1]]) for x, c in zip(xs, cuts, strict=True)]) for p in some] for f, xs in ((_press_keys, b.keys), (_press, counts))]
+                yield _rows([row["block"]] * len(some), some, *pressed)
 
     return run
 
 
+def summed(keys: list[np.ndarray], counts: list[np.ndarray], at_once: int = 1 << 18) -> tuple[list[np.ndarray], int, int]:
+    """Of several blocks' sorted keys and counts: each block's keys with their counts over all blocks, the sum of all
+    counts, and the keys counted at all.  About `at_once` keys are merged at a time."""
+    answers, total, distinct = [np.zeros(len(k), np.int64) for k in keys], 0, 0
+    pieces = sum(map(len, keys)) // at_once
+    bounds = np.zeros(0, np.uint64)
+    if pieces:
+        sample = np.sort(np.concatenate([k[:: max(1, len(k) // 64)] for k in keys]))
+        bounds = np.unique(sample[np.linspace(0, len(sample) - 1, pieces + 1).astype(np.int64)[1:-1]])
+    cuts = [np.r_[0, np.searchsorted(k, bounds), len(k)] for k in keys]
+    for p in range(len(bounds) + 1):
+        some = [j for j, c in enumerate(cuts) if c[p] < c[p + 1]]
+        if not some:
+            continue
+        k = np.concatenate([keys[j][cuts[j][p] : cuts[j][p + 1]] for j in some])
+        n = np.concatenate([counts[j][cuts[j][p] : cuts[j][p + 1]] for j in some]).astype(np.int64)
+        order = np.argsort(k, kind="stable")
+        new = np.r_[True, (s := k[order])[1:] != s[:-1]]
+        sums = np.add.reduceat(n[order], np.flatnonzero(new))
+        total, distinct = total + int(sums.sum()), distinct + int((sums > 0).sum())
+        n[order] = sums[np.cumsum(new) - 1]
+        at = 0
+        for j in some:
+            a, b = cuts[j][p], cuts[j][p + 1]
+            answers[j][a:b] = n[at : at + b - a]
+            at += b - a
+    return answers, total, distinct
+
+
 def _answered(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one part's rows: each block's keys get their total counts.  A row of block -1 has N, V."""
     for table in store.by_group(it, "part"):
         blocks, part = table.column("block").to_pylist(), table.column("part")[0].as_py()
-        out, totals = [], (0, 0)
-        for keys, counts in (("a", "b"), ("c", "d")):
-            k = [_open_keys(x) for x in table.column(keys).to_pylist()]
-            n = np.concatenate([_open(x).astype(np.int64) for x in table.column(counts).to_pylist()])
-            ends = np.cumsum([len(x) for x in k])[:-1]
-            k = np.concatenate(k)
-            order = np.argsort(k, kind="stable")
-            new = np.r_[True, k[order][1:] != k[order][:-1]] if len(k) else np.zeros(0, bool)
-            total = np.add.reduceat(n[order], np.flatnonzero(new)) if len(k) else np.zeros(0, np.int64)
-            if keys == "a":
-                totals = (int(total.sum()), int((total > 0).sum()))
-            answer = np.empty(len(k), np.int64)
-            answer[order] = total[np.cumsum(new) - 1]
-            out.append([_press(x) for x in np.split(answer, ends)])
-        none = pa.nulls(len(blocks), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array([part] * len(blocks), pa.int32()), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), none, none], ["block", "part", "a", "b", "c", "d"])
-        total = [np.array([x], np.int64).tobytes() for x in totals]
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([part], pa.int32()), *(pa.array([x], pa.binary()) for x in total), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary())], ["block", "part", "a", "b", "c", "d"])
-
-
-def _met(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, np.ndarray, np.ndarray]]:
-    """Blocks with the total counts of their words and bigrams."""
+        keys, counts = ([_unframed(x) for x in table.column(c).to_pylist()] for c in "ab")
+        del table
+        out: list[list[bytes]] = [[] for _ in blocks]
+        totals = (0, 0)
+        for level in range(len(keys[0])):
+            found, total, distinct = summed([_open_keys(k[level]) for k in keys], [_open(n[level]) for n in counts])
+            totals = totals if level else (total, distinct)
+            for o, x in zip(out, found, strict=True):
+                o.append(_press(x))
+        del keys, counts
+        for a in range(0, len(blocks), 64):
+            yield _rows(blocks[a : a + 64], [part] * len(blocks[a : a + 64]), [_frames(o) for o in out[a : a + 64]])
+        yield _rows([-1], [part], *([np.array([x], np.int64).tobytes()] for x in totals))
+
+
+def _met(order: int, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, list[np.ndarray], list[np.ndarray]]]:
+    """Blocks with the counts of their tokens' n-grams and contexts."""
     for table in store.by_group(it, "block"):
         rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-        b = _Block(*(rows[0][c] for c in "abcd"))
-        yield b, *(np.concatenate([_open(r[c]).astype(np.int64) for r in rows[1:]]) for c in "ab")
+        b = _Block(order, *(rows[0][c] for c in "abcd"))
+        found = [_unframed(r["a"]) for r in rows[1:]]
+        yield b, *b.counted([np.concatenate([_open(x[k]).astype(np.int64) for x in found]) for k in range(order)])
 
 
 def bucket(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.where(count > 0, np.floor(np.log2(np.maximum(count, 1))) + 1, 0), BUCKETS - 1).astype(np.int64)
 
 
-def _cell(ratio: np.ndarray) -> np.ndarray:
-    """0 for a ratio of 0, else 1 + its halvings in steps of 1/FINE."""
-    return np.where(ratio > 0, 1 + np.minimum(np.round(-np.log2(np.maximum(ratio, 1e-300)) * FINE), FINE * DEEP), 0).astype(np.int64)
+def state(contexts: list[np.ndarray]) -> np.ndarray:
+    """The bucket of the longest context that was seen: BUCKETS numbers a length, the shortest first."""
+    out = np.zeros(len(contexts[0]), np.int64)
+    for k, c in enumerate(contexts):
+        out = np.where(c > 0, k * BUCKETS + bucket(c), out)
+    return out
 
 
-_SPAN = FINE * DEEP + 2
+def _span(order: int) -> int:
+    return FINE[order] * DEEP + 2
+
+
+def _cell(ratio: np.ndarray, order: int) -> np.ndarray:
+    """0 for a ratio of 0, else 1 + its halvings in steps of 1/FINE."""
+    fine = FINE[order]
+    return np.where(ratio > 0, 1 + np.minimum(np.round(-np.log2(np.maximum(ratio, 1e-300)) * fine), fine * DEEP), 0).astype(np.int64)
 
 
-def _histogram(total: int) -> Callable:
+def _histogram(order: int, total: int) -> Callable:
     def run(it):
-        for b, words, pairs in _met(it):
+        for b, grams, contexts in _met(order, it):
             use = b.trains[b.doc]
-            c2, cv, cw = pairs[b.number[use]] - 1, words[b.before[use]] - 1, words[b.codes[use]] - 1
-            cell = (bucket(cv) * _SPAN + _cell(c2 / np.maximum(cv, 1))) * _SPAN + _cell(cw / max(total - 1, 1))
+            grams, contexts = [np.maximum(g[use] - 1, 0) for g in grams], [np.maximum(c[use] - 1, 0) for c in contexts]
+            cell = state(contexts) if contexts else np.zeros(len(grams[0]), np.int64)
+            for c2, c in zip(grams[:0:-1], contexts[::-1], strict=True):
+                cell = cell * _span(order) + _cell(c2 / np.maximum(c, 1), order)
+            cell = cell * _span(order) + _cell(grams[0] / max(total - 1, 1), order)
             cells, n = np.unique(cell, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n.astype(np.int64))], ["cell", "n"])
 
     return run
 
 
-def fit_weights(cells: np.ndarray, n: np.ndarray, distinct: int, rounds: int = 60) -> np.ndarray:
-    """Mixture weights (l2, l1, l0) by bucket, by EM over the cells of the deleted counts."""
-    weights = np.tile([0.0, 0.9, 0.1], (BUCKETS, 1))
-    back = lambda c: np.where(c > 0, 2.0 ** (-(c - 1) / FINE), 0.0)
-    of, p2, p1 = cells // _SPAN // _SPAN, back(cells // _SPAN % _SPAN), back(cells % _SPAN)
-    for k in range(BUCKETS):
+def fit_weights(cells: np.ndarray, n: np.ndarray, distinct: int, order: int = ORDER, rounds: int = 60) -> np.ndarray:
+    """Mixture weights by state, longest n-gram first and the uniform part last, by EM over the cells of the deleted counts."""
+    span, states = _span(order), BUCKETS * max(order - 1, 1)
+    back = lambda c: np.where(c > 0, 2.0 ** (-(c - 1) / FINE[order]), 0.0)
+    of = cells // span**order
+    p = np.stack([*(back(cells // span**k % span) for k in range(order - 1, -1, -1)), np.full(len(cells), 1 / (distinct + 1))], axis=1)
+    weights = np.zeros((states, order + 1))
+    for k in range(states):
         use = of == k
-        w = np.array([0.0, 0.5, 0.5] if k == 0 else [0.4, 0.4, 0.2])
+        seen = 0 if k == 0 else k // BUCKETS + 1  # lengths of context that are seen; no weight on longer n-grams
+        w = np.r_[np.zeros(order - 1 - seen), np.full(seen, 1.0), 1.0, 0.5]
         if use.any():
-            p = np.stack([p2[use], p1[use], np.full(use.sum(), 1 / (distinct + 1))], axis=1)
+            w = w / w.sum()
             for _ in range(rounds):
-                q = w * p
+                q = w * p[use]
                 w = (n[use, None] * q / q.sum(axis=1, keepdims=True)).sum(axis=0)
                 w /= w.sum()
-        elif k:
-            w = weights[k - 1]
-        w = np.maximum(w, [0, 0, 1e-6])
+        elif k % BUCKETS > 1 or (k and seen == 1):  # as the next smaller bucket
+            w = weights[k - 1] if weights[k - 1][order - 1 - seen] else w
+        w = np.maximum(w, np.r_[np.zeros(order), 1e-6])
         weights[k] = w / w.sum()
     return weights
 
 
-def _scored(total: int, distinct: int, weights: np.ndarray) -> Callable:
+def _scored(order: int, total: int, distinct: int, weights: np.ndarray) -> Callable:
     def run(it):
-        for b, words, pairs in _met(it):
-            cv, cw, c2 = words[b.before], words[b.codes], pairs[b.number]
-            w = weights[bucket(cv)]
-            p = w[:, 0] * c2 / np.maximum(cv, 1) + w[:, 1] * cw / max(total, 1) + w[:, 2] / (distinct + 1)
+        for b, grams, contexts in _met(order, it):
+            w = weights[state(contexts) if contexts else np.zeros(len(grams[0]), np.int64)]
+            p = w[:, order] / (distinct + 1) + w[:, order - 1] * grams[0] / max(total, 1)
+            for k, (c2, c) in enumerate(zip(grams[1:], contexts, strict=True)):
+                p += w[:, order - 2 - k] * c2 / np.maximum(c, 1)
             p = np.where(total > 0, p, 1 / (distinct + 1))
-            base = np.log10((cw + 0.1) / (total + 0.1 * (distinct + 1)))
+            base = np.log10((grams[0] + 0.1) / (total + 0.1 * (distinct + 1)))
             n = len(b.ids)
             sums = lambda x: np.bincount(b.doc, weights=x, minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(b.ids, mask=~b.known), pa.array(~b.trains), pa.array(b.lengths), pa.array(sums(cw > 0).astype(np.int64)), pa.array(np.full(n, total, np.int64)), pa.array(sums(base)), pa.array(sums(np.log10(p)))],
+                [pa.array(b.ids, mask=~b.known), pa.array(~b.trains), pa.array(b.lengths), pa.array(sums(grams[0] > 0).astype(np.int64)), pa.array(np.full(n, total, np.int64)), pa.array(sums(base)), pa.array(sums(np.log10(p)))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
     return run
 
 
-def score(docs: DataFrame, trains=None) -> DataFrame:
+def score(docs: DataFrame, trains=None, order: int = ORDER) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10).
 
     `trains`: a condition on the columns of `docs`; by default crc32(doc_id as text) mod 10 is not 0."""
@@ -245,15 +327,16 @@ def score(docs: DataFrame, trains=None) -> DataFrame:
     trains = store.remainder("doc_id", 10) != 0 if trains is None else trains
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(trains, F.lit(False)).alias("trains"), "text")
     blocks = store.written(rows.transform(store.arrow, _tokenised, _BLOCKS), "blocks")
-    parts = 2 * store.parts(spark)
-    asked = blocks.transform(store.arrow, _asked(parts), _BLOCKS)
+    # packed keys of all lengths are about 1.2 times the packed words for each length
+    size = blocks.agg(F.sum(F.length("d"))).first()[0] or 0
+    parts = store.parts(spark, 1.2 * size * order, PART)
+    asked = blocks.transform(store.arrow, _asked(order, parts), _BLOCKS)
     answers = store.written(asked.repartition(parts, "part").sortWithinPartitions("part").transform(store.arrow, _answered, _BLOCKS), "counts")
     total, distinct = (sum(x) for x in zip((0, 0), *((int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in answers.where("block = -1").select("a", "b").collect()), strict=True))
     del asked
     store.release(spark)
-    met = blocks.union(answers.where("block >= 0")).repartition(store.parts(spark), "block").sortWithinPartitions("block", "part")
-    cells = met.transform(store.arrow, _histogram(total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = store.written(cells, "cells").collect()
+    met = blocks.union(answers.where("block >= 0")).repartition(store.parts(spark, size, PART), "block").sortWithinPartitions("block", "part")
+    cells = met.transform(store.arrow, _histogram(order, total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     store.release(spark)
-    weights = fit_weights(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], float), distinct)
-    return met.transform(store.arrow, _scored(total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    weights = fit_weights(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], float), distinct, order)
+    return met.transform(store.arrow, _scored(order, total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

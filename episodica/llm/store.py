@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import hashlib
@@ -16,18 +17,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests), one of this machine's own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='shared-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from ..session import shared_dir
 
 
 def fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the application's own part of the shared folder, which is deleted when the driver ends."""
+    app = spark.sparkContext.applicationId
+    own = f"{shared_dir(spark)}/{app}"
+    if app not in _cleared:
+        _cleared.add(app)
+        atexit.register(_delete, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+_cleared: set[str] = set()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    if spark.sparkContext._jsc is not None and jvm is not None:  # else the session is stopped
+        there = jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -39,13 +49,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table of `written` that nothing will read again."""
-    path = getattr(df, "written_at", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        there = jvm.org.apache.hadoop.fs.Path(path)
-        there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of `written` that nothing will read again."""
+    for df in tables:
+        path = getattr(df, "written_at", None)
+        if path:
+            _delete(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:
@@ -65,8 +74,19 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", *more, "text")
 
 
-def parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as keep it apart from the columns (whatever their case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def parts(spark: SparkSession, size: float = 0, each: int = 16 << 20) -> int:
+    """Tasks of a shuffle: as the session is set, or more where `size` bytes would be more than `each` a task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-int(size) // each))
 
 
 def batches(it: Iterator[pa.RecordBatch], limit: int = 8 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -29,15 +29,15 @@ def brute(docs, items, window=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("most", [10**6, 7])
-def test_against_brute_force(llm, most):
+@pytest.mark.parametrize("block", [D.BLOCK_BYTES, 900])
+def test_against_brute_force(llm, block):
     rng = random.Random(2)
     text = lambda n: " ".join(rng.choice(["Aa", "b", "c-d", "é", "7"]) for _ in range(n))
     items = [(k, text(rng.choice([0, 1, 3, 9, 10, 14]) + 2 * (k > 3))) for k in range(12)] + [(3, "unseen words"), (99, None), (98, "!!")]
     docs = [(k, text(rng.randrange(80))) for k in range(40)] + [(7, items[5][1]), (None, items[6][1]), (50, None)]
     a = llm.createDataFrame(docs, "doc_id long, text string").repartition(3)
     b = llm.createDataFrame(items, "item_id long, text string")
-    got = sorted((tuple(r) for r in D.report(a, b, max_grams=most).collect()), key=str)
+    got = sorted((tuple(r) for r in D.report(a, b, block_bytes=block).collect()), key=str)
     assert got == brute(docs, items)
 
 
@@ -49,3 +49,12 @@ def test_removal(llm, edges, empty):
     assert cut.text == "Keep this, ; and this"
     assert D.remove(edges, bench.where("false")).count() == edges.count() and D.report(empty, bench).count() == 0
     assert len(D.report(edges, bench).collect()) == edges.count()
+
+
+@pytest.mark.parametrize("block", [D.BLOCK_BYTES, 60])
+def test_columns_named_as_its_own(llm, block):
+    docs = llm.createDataFrame([(1, "a b c d e f g h i j k", 5, "x"), (2, "none of it", 6, "y")], "doc_id long, text string, __words long, __HITS string")
+    bench = llm.createDataFrame([(1, "a b c d e f g h i j"), (2, "k")], "item_id long, text string")
+    assert [tuple(r) for r in D.remove(docs, bench, block_bytes=block).collect()] == [(2, "none of it", 6, "y")]
+    cut = {r.doc_id: tuple(r) for r in D.remove(docs, bench, "spans", block_bytes=block).collect()}
+    assert cut == {1: (1, "", 5, "x"), 2: (2, "none of it", 6, "y")}
