@@ -90,7 +90,8 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.root, d.doc_
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT v, min(root) AS root FROM r GROUP BY v) k ON d.doc_id = k.v
 """,
     "op7_mixing": r"""
-WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, row_number() OVER () AS key FROM documents),
+WITH s AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+  md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS mark, row_number() OVER () AS key FROM documents),
 g AS (SELECT source, sum(size)::BIGINT AS size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s GROUP BY source),
 r AS (SELECT *, 3 * size / weight::DOUBLE AS room FROM g),
 f AS (SELECT *, (sum(size) OVER () - 3 * coalesce(sum(size) OVER (ORDER BY room, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
@@ -98,14 +99,21 @@ f AS (SELECT *, (sum(size) OVER () - 3 * coalesce(sum(size) OVER (ORDER BY room,
 t AS (SELECT source, size AS source_size, least(3.0::DOUBLE * size, coalesce((SELECT max(level) FROM f WHERE level <= room), 'inf'::DOUBLE) * weight) AS target FROM f),
 w AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM t),
 x AS (SELECT *, target - whole * source_size AS rest FROM w),
-d AS (SELECT s.doc_id, s.size, s.key, x.*, CASE WHEN s.size > 0 AND s.size <= x.rest THEN s.size END AS fits,
-  (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u FROM s JOIN x ON s.source IS NOT DISTINCT FROM x.source),
-p AS (SELECT *, least(rest / (sum(fits) OVER (PARTITION BY source))::DOUBLE, 1.0::DOUBLE) AS p FROM d),
+d AS (SELECT s.doc_id, s.size, s.mark, s.key, x.*, CASE WHEN s.size > 0 AND s.size <= x.rest THEN s.size END AS fits,
+  (('0x' || substr(mark, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u FROM s JOIN x ON s.source IS NOT DISTINCT FROM x.source),
+z AS (SELECT source, rest, fits, count(*)::HUGEINT AS c FROM d WHERE fits IS NOT NULL GROUP BY source, rest, fits),
+y AS (SELECT source, fits, (rest - coalesce(sum(c * fits) OVER (PARTITION BY source ORDER BY fits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+  / (sum(c * fits * fits) OVER (PARTITION BY source ORDER BY fits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS l FROM z),
+k AS (SELECT source, arg_max(l, fits) AS l FROM y WHERE l * fits <= 1 GROUP BY source),
+p AS (SELECT d.*, least(coalesce(k.l * size, 1.0::DOUBLE), 1.0::DOUBLE) AS p FROM d LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source),
 o AS (SELECT *, CASE WHEN fits IS NULL THEN NULL WHEN p >= 1 THEN 0.0 ELSE (u / (1 - u)) / (p / (1 - p)) END AS q FROM p),
 c AS (SELECT *, CASE WHEN q > 0 THEN q / (1 + q) ELSE q END AS rank FROM o),
-m AS (SELECT *, CASE WHEN fits IS NOT NULL AND sum(fits) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, size, key ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS more FROM c),
-n AS (SELECT *, CASE WHEN more = 0 THEN rank END AS free, rest - (sum(more * size) OVER (PARTITION BY source))::DOUBLE AS gap FROM m),
-l AS (SELECT key AS last_key FROM (SELECT key, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), rank, doc_id, key) AS k FROM n WHERE free IS NOT NULL AND abs(size - gap) < gap) WHERE k = 1)
+m AS (SELECT *, CASE WHEN fits IS NOT NULL AND sum(fits) OVER (PARTITION BY source ORDER BY rank, mark, key ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS more FROM c),
+n AS (SELECT *, rest - (sum(more * size) OVER (PARTITION BY source))::DOUBLE AS gap FROM m),
+e AS (SELECT source, key AS last_key, size AS filled FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), coalesce(rank, 1.0), mark, key) AS k FROM n WHERE more = 0 AND size > 0 AND abs(size - gap) < gap) WHERE k = 1),
+n2 AS (SELECT n.* REPLACE (gap - filled AS gap) FROM n JOIN e ON n.source IS NOT DISTINCT FROM e.source WHERE key <> last_key),
+e2 AS (SELECT key AS last_key FROM (SELECT key, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), coalesce(rank, 1.0), mark, key) AS k FROM n2 WHERE more = 0 AND size > 0 AND abs(size - gap) < gap) WHERE k = 1),
+l AS (SELECT last_key FROM e UNION ALL SELECT last_key FROM e2)
 SELECT doc_id, size, source_size, target, ((whole + more + CASE WHEN last_key IS NOT NULL THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM n LEFT JOIN l ON key = last_key
 """,
 }

@@ -8,6 +8,7 @@ import gc
 import hashlib
 import io
 import tempfile
+import time
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -58,9 +59,13 @@ def forget(*tables: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Lets Spark delete the shuffle files of finished steps now, not when the driver happens to collect its garbage.
+
+    Twice: what a job leaves in the listeners' queue is free only after a moment."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def remainder(doc_id: Column | str, n: int) -> Column:

@@ -27,7 +27,8 @@ def test_targets_and_what_is_taken(llm, seed):
     rng = random.Random(seed)
     rows = [(k, " ".join(["w"] * rng.randrange(1, 30)), rng.choice(["a", "b", "b", "b", "c", "d", "é", None, "small"]) if k > 5 else "tiny") for k in range(900)]
     df = llm.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
-    out = M.mix(df, buckets=16 if seed else M.BUCKETS)
+    options = {"step": 4, "few": 0} if seed else {}
+    out = M.mix(df, **options)
     got = {r.doc_id: r for r in out.collect()}
     sizes = {}
     for d, t, s in rows:
@@ -38,7 +39,35 @@ def test_targets_and_what_is_taken(llm, seed):
         mine = [got[d] for d, _, x in rows if x == s]
         assert all(r.source_size == sizes[s] and r.target == pytest.approx(want[s]) and r.taken % r.size == 0 and r.taken <= 3 * r.size for r in mine)
         assert abs(sum(r.taken for r in mine) - want[s]) <= 1
-    assert {r.doc_id: r.taken for r in M.mix(df.repartition(7), buckets=16 if seed else M.BUCKETS).collect()} == {d: r.taken for d, r in got.items()}
+    assert {r.doc_id: r.taken for r in M.mix(df.repartition(7), **options).collect()} == {d: r.taken for d, r in got.items()}
+
+
+def test_inclusion_follows_the_probabilities(llm):
+    """Over many sources that differ in their ids only, a document is in the sample as often as its size says."""
+    rng = random.Random(11)
+    size = [rng.choice([5, 10, 20, 40, 80]) for _ in range(120)] + [1500]
+    rows = [(t * 1000 + k, " ".join(["w"] * n), f"s{t:03}") for t in range(240) for k, n in enumerate(size)]
+    got = M.mix(llm.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    # weights 1, 2, 3 of equal sources: half a source, the whole, and one and a half
+    rest = sum(size) / 2
+    share = (rest - 1500) / sum(n * n for n in size[:-1])  # the large one is certain
+    assert share * 1500 > 1 > share * 80
+    sampled = {n: [] for n in size}
+    for r in got:
+        t = r.doc_id // 1000
+        if t % 3 != 1:
+            sampled[r.size].append(r.copies - (t % 3 == 2))
+        else:
+            assert r.copies == 1
+    assert all(set(x) <= {0, 1} for x in sampled.values()) and set(sampled[1500]) == {1}
+    for n in (5, 10, 20, 40, 80):
+        assert abs(sum(sampled[n]) / len(sampled[n]) - share * n) < 0.03, n
+
+
+def test_one_larger_than_what_is_left(llm):
+    rows = [(1, " ".join(["w"] * 10), "a"), (2, " ".join(["w"] * 10), "b"), (3, "w w w", "b")]
+    got = {r.doc_id: r.taken for r in M.mix(llm.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == {1: 10, 2: 10, 3: 6}  # targets 23/3 and 46/3: ten words are nearer to the first than none
 
 
 def test_the_mix_has_the_rows(edges):
