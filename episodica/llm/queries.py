@@ -115,5 +115,22 @@ n2 AS (SELECT n.* REPLACE (gap - filled AS gap) FROM n JOIN e ON n.source IS NOT
 e2 AS (SELECT key AS last_key FROM (SELECT key, row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), coalesce(rank, 1.0), mark, key) AS k FROM n2 WHERE more = 0 AND size > 0 AND abs(size - gap) < gap) WHERE k = 1),
 l AS (SELECT last_key FROM e UNION ALL SELECT last_key FROM e2)
 SELECT doc_id, size, source_size, target, ((whole + more + CASE WHEN last_key IS NOT NULL THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM n LEFT JOIN l ON key = last_key
+""",
+    "op8_suffix_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+n AS (SELECT *, (length(x) // 2)::BIGINT AS n FROM d),
+-- a row's bytes in pieces, as a substring is found from the start of its text
+q AS (SELECT r, a, substr(x, 2 * a + 1, 2 * 2199) AS y, least(2000, n - a - 199) AS k FROM (SELECT r, x, n, unnest(range(0, greatest(n - 199, 0), 2000)) AS a FROM n)),
+s AS (SELECT r, a + i AS i, md5_number(substr(y, 2 * i + 1, 400)) AS h FROM (SELECT r, a, y, unnest(range(0, k)) AS i FROM q)),
+t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS c FROM s) WHERE c > 1),
+u AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS f FROM t),
+v AS (SELECT r, i, sum(f) OVER (PARTITION BY r ORDER BY i) AS g FROM u),
+w AS (SELECT r, g, min(i) AS a, max(i) + 200 AS b FROM v GROUP BY r, g),
+z AS (SELECT r, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed FROM w GROUP BY r),
+-- what is kept lies before each span, and after the last
+p AS (SELECT r, a AS until, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM w UNION ALL SELECT r, NULL, max(b) FROM w GROUP BY r),
+k AS (SELECT n.r, string_agg(substr(x, 2 * since + 1, 2 * (coalesce(until, n) - since)), '' ORDER BY since) AS kept FROM p JOIN n ON p.r = n.r GROUP BY n.r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM n LEFT JOIN z ON n.r = z.r LEFT JOIN k ON n.r = k.r
 """,
 }

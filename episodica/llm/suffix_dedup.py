@@ -7,12 +7,16 @@
 3. Segments meet by anchor.  Their suffixes up to the anchor are sorted in two stages: those smaller than their
    successor directly, the others induced by scanning buckets of the first byte; then common prefixes of
    neighbours are computed, up to LENGTH bytes.  A suffix that shares LENGTH bytes with a neighbour is a repeat.
-   An anchor of more than `most` segments is no task: its strings go as hashes through an aggregation instead.
+   An anchor of more than `most` segments is no single task: its segments are sorted in packs of HOT bytes, each string
+   that a pack holds more than once is settled there, and of each different string one goes on.  Those that other packs
+   may hold too (by a hash, which only filters) meet by it and are sorted again, so that bytes decide everywhere and a string that
+   stands in every document is one row a pack.
 4. Each document gets its repeated starts, merges what they cover and removes it.
 
-Matches never cross rows; they are judged on the input, overlaps count.  Null and short texts keep all.
-Equal texts are told by a 128-bit hash and cut once; if there are several, all of each occurs elsewhere.  Repeated
-rows are such copies too, even under one id.
+Matches never cross rows; they are judged on the input, overlaps count.  Null, empty and short texts keep all; very long ones
+are read in pieces that overlap.  Equal texts are told by a 128-bit hash and cut once; if there are several, all of each
+occurs elsewhere.  Repeated rows are such copies too, even under one id; null ids are rows like any.  An empty table stays
+empty.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +36,8 @@ from . import store
 
 LENGTH = 200
 GRAM = 64
-#: Segments that one task sorts for one anchor; more common ones take the aggregation.
-MOST = 20_000
+#: Segments that one task sorts for one anchor; those of more common ones are sorted in packs of HOT bytes.
+MOST, HOT = 20_000, 1 << 20
 #: Bytes of text whose anchors are found at once.
 PIECE = 1 << 19
 
@@ -207,11 +212,16 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarr
     return common
 
 
+def equal_strings(text: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The starts in the order of their strings of `depth` bytes, and the number of each one's string."""
+    order = two_stage_sort(text, starts, depth)
+    return order, np.cumsum(np.r_[False, common_prefixes(text, order, depth) < depth]) if len(order) else np.zeros(0, np.int64)
+
+
 def repeated_starts(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """The starts whose string of `depth` bytes occurs at another start too."""
-    order = two_stage_sort(text, starts, depth)
-    same = common_prefixes(text, order, depth) >= depth
-    return np.sort(order[np.r_[same, False] | np.r_[False, same]])
+    order, number = equal_strings(text, starts, depth)
+    return np.sort(order[np.bincount(number)[number] > 1]) if len(order) else order
 
 
 def _press(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,19 +251,22 @@ def _anchored(length: int, gram: int) -> Callable:
 _SEGMENT = pa.schema([("anchor", pa.int64()), ("key", pa.int64()), ("other", pa.int64()), ("first", pa.int64()), ("count", pa.int64()), ("segment", pa.binary())])
 
 
-def _segments(length: int, parts: int) -> Callable:
-    """Of rows (key, other, z, found), found being a document's repeated anchors: their segments,
-    packed by the part that will sort them (-1: anchors too common for a task)."""
+def _segments(length: int, parts: int, hot: int) -> Callable:
+    """Of rows (key, other, z, found), found being a document's repeated anchors: their segments, packed by the part that
+    will sort them.  Those of anchors too common for a task are part -1, in packs of about `hot` bytes with a number each."""
 
     def run(it):
-        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts + 1)], 0
+        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts + 1)], [0, 0]
+        task, serial = TaskContext.get().partitionId(), 0  # type: ignore[union-attr]
 
-        def packed():
-            some = [p for p in range(-1, parts) if rows[p]]
+        def packed(some: list[int]) -> pa.RecordBatch:
+            nonlocal serial
+            some = [p for p in some if rows[p]]
             blobs = [press.compress(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()) for p in some]
             for p in some:
                 rows[p].clear()
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["part", "segments"])
+            serial += 1
+            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([task << 32 | serial] * len(some), pa.int64()), pa.array(blobs, pa.binary())], ["part", "pack", "segments"])
 
         for batch in it:
             for key, other, text, found in zip(*(batch.column(c).to_pylist() for c in ("key", "other")), _texts(batch), batch.column("found").to_pylist(), strict=True):
@@ -262,21 +275,26 @@ def _segments(length: int, parts: int) -> Callable:
                     last = first + f["more"]
                     segment = text[first : last + length]
                     rows[-1 if f["many"] else f["anchor"] % parts].append((f["anchor"], key, other, first, last - first + 1, segment))
-                    size += len(segment)
-                    if size > 16 << 20:
-                        yield packed()
-                        size = 0
-        if size:
-            yield packed()
+                    size[f["many"]] += len(segment)
+                    if size[1] > hot:
+                        yield packed([-1])
+                        size[1] = 0
+                    if size[0] > 16 << 20:
+                        yield packed(list(range(parts)))
+                        size[0] = 0
+        yield packed(list(range(-1, parts)))
 
     return run
 
 
+def _unpacked(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.read_record_batch(pa.py_buffer(zstandard.decompress(blob)), _SEGMENT)
+
+
 def _opened(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdDecompressor()
     for batch in it:
         for z in batch.column("segments").to_pylist():
-            yield pa.ipc.read_record_batch(pa.py_buffer(press.decompress(z)), _SEGMENT)
+            yield _unpacked(z)
 
 
 _RUNS = "key long, other long, first long, last long"
@@ -292,19 +310,25 @@ def _runs(keys: np.ndarray, others: np.ndarray, starts: np.ndarray) -> pa.Record
     return pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(others[first]), pa.array(starts[first]), pa.array(starts[last])], ["key", "other", "first", "last"])
 
 
-def _solve(rows: pa.Table, length: int) -> pa.RecordBatch:
-    """Repeated starts of the segments; many anchors share a sort, a string can't be taken for another's."""
+def _starts(rows: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of segments: their bytes, and of each string in them where it starts there, its text (key, other) and its place in
+    the text.  A text's segments overlap, so one place may stand in several; it is listed once, as a repeat needs two."""
     data, at = K.column_bytes(rows.column("segment"))
     counts, first, key, other = (rows.column(c).to_numpy() for c in ("count", "first", "key", "other"))
     row = np.repeat(np.arange(len(counts)), counts)
     starts = np.arange(len(row)) - np.r_[0, np.cumsum(counts)[:-1]][row] + at[row]
-    # a text's segments overlap: one start may stand in several, and a repeat needs two different starts
     keys, others, place = key[row], other[row], first[row] + starts - at[row]
     once = np.lexsort((place, others, keys))
     k, o, p = keys[once], others[once], place[once]
     use = np.zeros(len(row), bool)
     use[once[np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1]) | (p[1:] != p[:-1])]]] = True
-    found = np.searchsorted(starts, repeated_starts(data, starts[use], length))
+    return data, starts[use], keys[use], others[use], place[use]
+
+
+def _solve(rows: pa.Table, length: int) -> pa.RecordBatch:
+    """Repeated starts of the segments; many anchors share a sort, a string can't be taken for another's."""
+    data, starts, keys, others, place = _starts(rows)
+    found = np.searchsorted(starts, repeated_starts(data, starts, length))
     return _runs(keys[found], others[found], place[found])
 
 
@@ -331,13 +355,85 @@ def _sorted(length: int, at_once: int = 1 << 19) -> Callable:
     return run
 
 
-def _hashed(length: int) -> Callable:
+_HOT = f"{_RUNS}, pack long, number int, h long, many boolean"
+
+
+def _hot(length: int) -> Callable:
+    """Of packs: the runs of starts whose string the pack holds more than once; and a row (pack, number, h, many) for each
+    different string: the number of one of its starts, its hash, whether it is settled."""
+
+    def run(it):
+        for batch in it:
+            for pack, blob in zip(batch.column("pack").to_pylist(), batch.column("segments").to_pylist(), strict=True):
+                data, starts, keys, others, place = _starts(_unpacked(blob))
+                order, number = equal_strings(data, starts, length)
+                at, many = np.searchsorted(starts, order), (np.bincount(number) > 1)
+                settled = at[many[number]]
+                runs = _runs(keys[settled], others[settled], place[settled])
+                yield pa.RecordBatch.from_arrays([*runs.columns, *(pa.nulls(runs.num_rows, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], _HOT_NAMES)
+                one = at[np.r_[True, number[1:] != number[:-1]]] if len(number) else at
+                h = _string_hashes(np.concatenate([data, np.zeros(length, np.uint8)]), starts, length)[one].view(np.int64)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(one), pa.int64()) for _ in range(4)), pa.array(np.full(len(one), pack, np.int64)), pa.array(one.astype(np.int32)), pa.array(h), pa.array(many)], _HOT_NAMES)
+
+    return run
+
+
+_HOT_NAMES = [c.split()[0] for c in _HOT.split(", ")]
+
+
+def _strings(length: int) -> Callable:
+    """Of packs and the strings wanted of each: the strings themselves with their text and place."""
+
     def run(it):
-        for batch in _opened(it):
-            for key, other, first, count, segment in zip(*(batch.column(c).to_pylist() for c in ("key", "other", "first", "count", "segment")), strict=True):
-                raw = np.frombuffer(segment, np.uint8)
-                h = [gram_windows(x, length)[:count].view(np.int64) for x in (raw, raw ^ np.uint8(0x55))]
-                yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), pa.array(np.full(count, key, np.int64)), pa.array(np.full(count, other, np.int64)), pa.array(first + np.arange(count))], ["h1", "h2", "key", "other", "start"])
+        for batch in it:
+            for blob, wanted in zip(batch.column("segments").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+                data, starts, keys, others, place = _starts(_unpacked(blob))
+                at, raw = np.array([w["number"] for w in wanted], np.int64), data.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([w["h"] for w in wanted], pa.int64()), pa.array([w["many"] for w in wanted], pa.bool_()), pa.array(keys[at]), pa.array(others[at]), pa.array(place[at]), pa.array([raw[s : s + length] for s in starts[at].tolist()], pa.binary())],
+                    ["h", "many", "key", "other", "start", "string"],
+                )
+
+    return run
+
+
+def _met(length: int, at_once: int = 1 << 19) -> Callable:
+    """Of strings sorted by h: the starts of those that occur more than once, by a sort of about `at_once` bytes at a time.
+    Where strings of one h are cut apart, one of each goes on to the next sort."""
+
+    def run(it):
+        most = max(2, at_once // length)
+        held: list[pa.RecordBatch] = []
+
+        def solve() -> tuple[pa.RecordBatch, pa.RecordBatch | None]:
+            """The runs, and what the next rows of the last h are compared with."""
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            data, at = K.column_bytes(rows.column("string"))
+            order, number = equal_strings(data, at[:-1], length)
+            row = np.searchsorted(at, order)
+            twice = np.bincount(number)[number] > 1
+            many, h = rows.column("many").to_numpy(zero_copy_only=False), rows.column("h").to_numpy()
+            new = row[twice & ~many[row]]
+            keys, others, starts = (rows.column(c).to_numpy()[new] for c in ("key", "other", "start"))
+            many[row] |= twice
+            one = row[np.r_[True, number[1:] != number[:-1]]]
+            one = np.sort(one[h[one] == h[-1]])
+            k = rows.schema.get_field_index("many")
+            return _runs(keys, others, starts), rows.set_column(k, "many", pa.array(many)).take(pa.array(one))
+
+        for batch in it:
+            h = batch.column("h").to_numpy()
+            a = 0
+            while a < len(h):  # up to the end of an h, or as many as are sorted at once
+                b = min(len(h), a + max(1, most - sum(x.num_rows for x in held)))
+                held.append(batch.slice(a, b - a))
+                a = b
+                if sum(x.num_rows for x in held) >= most:
+                    runs, rest = solve()
+                    yield runs
+                    held = [rest] if rest is not None and rest.num_rows else []
+        if held:
+            yield solve()[0]
 
     return run
 
@@ -367,34 +463,38 @@ def _removed(length: int) -> Callable:
     return run
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = MOST, hot: int = HOT) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, spans (starts and ends removed, alternating), kept (the bytes that remain)."""
-    n, both = store.parts(docs.sparkSession), ["key", "other"]
+    spark, both = docs.sparkSession, ["key", "other"]
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("other"), "text")
     packed = rows.transform(store.arrow, _press, "doc_id long, key long, other long, z binary")
-    copies = store.written(rows.groupBy(*both).agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head")), "copies")
+    copies = store.written(rows.groupBy(*both).agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head"), F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes")), "copies")
+    n = store.parts(spark, copies.agg(F.sum("bytes")).first()[0] or 0)
     all_of = store.written(rows.select("key", "text").transform(store.arrow, _anchored(length, gram), "anchor long, key long, pos long, back short, more short"), "anchors")
     twice = all_of.groupBy("anchor").agg(F.count("*").alias("c"), F.min("key").alias("k"), F.max("key").alias("l"), F.min("pos").alias("p"), F.max("pos").alias("q"))
     twice = store.written(twice.where("k <> l or p <> q").select(F.col("anchor").alias("a"), (F.col("c") > most).alias("many")), "repeated")
-    store.release(docs.sparkSession)
+    store.release(spark)
     found = all_of.join(twice, F.col("anchor") == F.col("a")).groupBy("key").agg(F.collect_set(F.struct("anchor", "pos", "back", "more", "many")).alias("found"))
     found = copies.join(found, "key").select(F.col("key").alias("k"), F.col("other").alias("o"), "head", "found")
     # of one row of each distinct text
     cut = packed.join(found, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o")) & (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("head"))).select(*both, "z", "found")
-    cut = store.written(cut.transform(store.arrow, _segments(length, 2 * n), "part int, segments binary"), "segments")
-    store.forget(all_of)
-    store.release(docs.sparkSession)
-    few = cut.where("part >= 0").repartition(n, "part").transform(store.arrow, _sorted(length), _RUNS)
+    cut = store.written(cut.transform(store.arrow, _segments(length, 2 * n, hot), "part int, pack long, segments binary"), "segments")
+    store.forget(all_of, twice)
+    store.release(spark)
+    few = cut.where("part >= 0").select("part", "segments").repartition(n, "part").transform(store.arrow, _sorted(length), _RUNS)
     runs = store.written(few, "runs")
-    many = cut.where("part < 0")
-    if not many.isEmpty():
-        strings = many.transform(store.arrow, _hashed(length), "h1 long, h2 long, key long, other long, start long").distinct()
-        again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"))
-        more = strings.join(again, (strings.h1 == again.g1) & (strings.h2 == again.g2)).select(*both, F.col("start").alias("first"), F.col("start").alias("last"))
-        runs = runs.union(store.written(more, "runs"))
+    packs = cut.where("part < 0").select("pack", "segments")
+    if not packs.isEmpty():
+        seen = store.written(packs.transform(store.arrow, _hot(length), _HOT), "hot")
+        strings = seen.where("h is not null").select("pack", "number", "h", "many")
+        again = strings.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h").alias("g"))
+        wanted = strings.join(again, F.col("h") == F.col("g")).groupBy("pack").agg(F.collect_list(F.struct("number", "h", "many")).alias("wanted")).withColumnRenamed("pack", "of")
+        strings = packs.join(wanted, F.col("pack") == F.col("of")).select("segments", "wanted").transform(store.arrow, _strings(length), "h long, many boolean, key long, other long, start long, string binary")
+        more = strings.repartition(n, "h").sortWithinPartitions("h").transform(store.arrow, _met(length), _RUNS)
+        runs = runs.union(seen.where("h is null").select(*both, "first", "last")).union(store.written(more, "runs"))
     store.forget(cut)
-    store.release(docs.sparkSession)
+    store.release(spark)
     spans = copies.join(runs.groupBy(*both).agg(F.collect_list(F.struct("first", "last")).alias("runs")), both, "left").select(F.col("key").alias("k"), F.col("other").alias("o"), "copies", "runs")
     out = packed.join(spans, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o"))).select("doc_id", "z", "runs", "copies")
     return out.transform(store.arrow, _removed(length), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")

@@ -56,8 +56,8 @@ def brute(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("length", "gram", "most"), [(200, 64, 20_000), (30, 8, 20_000), (30, 8, 1)])
-def test_against_brute_force(llm, length, gram, most):
+@pytest.mark.parametrize(("length", "gram", "options"), [(200, 64, {}), (30, 8, {}), (200, 64, {"most": 1}), (30, 8, {"most": 1, "hot": 100}), (30, 8, {"most": 8, "hot": 2000})])
+def test_against_brute_force(llm, length, gram, options):
     rng = random.Random(length)
     text = lambda n: "".join(rng.choice("abcdeé \n") for _ in range(n))
     shared = [text(k) for k in (length - 5, length, length + 7, 3 * length)]
@@ -65,7 +65,7 @@ def test_against_brute_force(llm, length, gram, most):
     texts += [texts[0], texts[0], "z" * 700, "xy" * 350, None, "", text(length - 1), shared[3] * 2]
     rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[5])]
     df = llm.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    got = sorted((tuple(r) for r in S.report(df, length=length, gram=gram, most=most).collect()), key=str)
+    got = sorted((tuple(r) for r in S.report(df, length=length, gram=gram, **options).collect()), key=str)
     assert got == brute(rows, length)
 
 
@@ -83,3 +83,19 @@ def test_edges(edges, empty):
     by = {r.doc_id: r for r in rows}
     assert len(rows) == edges.count() and (by[0].n_bytes, by[0].n_spans) == (0, 0) and by[11].n_removed == by[11].n_bytes and by[6].n_removed == by[6].n_bytes
     assert S.report(empty).count() == 0
+
+
+def test_strings_of_one_hash_in_several_sorts():
+    """Rows of one h are cut apart after every few; what was met before is met again."""
+    rng = random.Random(2)
+    kinds = [bytes(rng.choice(b"abc") for _ in range(20)) for _ in range(5)]
+    rows = [(7, False, 1, k, 5 * k, rng.choice(kinds[:3])) for k in range(60)] + [(8, True, 2, 0, 0, kinds[3]), (8, False, 2, 1, 9, kinds[3]), (9, False, 3, 0, 0, kinds[4])]
+    schema = S.pa.schema([("h", S.pa.int64()), ("many", S.pa.bool_()), ("key", S.pa.int64()), ("other", S.pa.int64()), ("start", S.pa.int64()), ("string", S.pa.binary())])
+    batches = [S.pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows[a : a + 11]], schema) for a in range(0, len(rows), 11)]
+    count = {}
+    for r in rows:
+        count[r[0], r[5]] = count.get((r[0], r[5]), 0) + 1
+    want = sorted((r[2], r[3], r[4]) for r in rows if count[r[0], r[5]] > 1 and not r[1])
+    for at_once in (20 * 1000, 20 * 7, 40):
+        got = sorted((r["key"], r["other"], x) for b in S._met(20, at_once)(iter(batches)) for r in b.to_pylist() for x in range(r["first"], r["last"] + 1))
+        assert got == want
