@@ -336,7 +336,8 @@ def score(docs: DataFrame, trains=None, order: int = ORDER) -> DataFrame:
     del asked
     store.release(spark)
     met = blocks.union(answers.where("block >= 0")).repartition(store.parts(spark, size, PART), "block").sortWithinPartitions("block", "part")
-    cells = met.transform(store.arrow, _histogram(order, total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = met.transform(store.arrow, _histogram(order, total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = store.written(cells.coalesce(4), "cells").collect()  # written, or the driver would hold on to the shuffle
     store.release(spark)
     weights = fit_weights(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], float), distinct, order)
     return met.transform(store.arrow, _scored(order, total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
