@@ -12,9 +12,9 @@ import re
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 MUTE = frozenset("noscript template select option svg canvas annotation annotation-xml".split())
-MATH = "math mi mo mn ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd mlabeledtr mstyle merror mpadded mphantom menclose mfenced maction semantics"
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data dfn em font i kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var ins del nobr button object".split()) | frozenset(MATH.split())
 TAGS = tuple("html body div p article main section nav header footer aside form ul ol li table tr td h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dl dt dd address details dialog".split())
+#: Elements that begin a block of text; all others, unknown ones too, stand in a line.
+BLOCK = frozenset(TAGS) | frozenset("head th thead tbody tfoot caption colgroup fieldset legend summary hgroup menu dir center search listing plaintext frameset".split())
 #: Attribute tokens that hint at a part of a page, by group.
 HINTS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager tabs toolbar skip toc",
@@ -39,6 +39,12 @@ _STOP = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table
 _NOT_IN_SELECT = frozenset("select input keygen textarea caption table tbody thead tfoot tr td th".split())
 _NOT_IN_SVG = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 _IN_SVG = frozenset("foreignobject desc".split())
+
+
+def _in_line(name: str) -> bool:
+    return not (name in BLOCK or name in VOID or name in RAW or name in MUTE)
+
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label|hidden|style)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -90,14 +96,14 @@ class Page:
                     stack.append((name, stack[-1][1]))
                     self._inside[name] = self._inside.get(name, 0) + 1
                 continue
-            if name in INLINE and not attributes.endswith("/"):
+            if _in_line(name) and not attributes.endswith("/"):
                 self._inline[name] = self._inline.get(name, 0) + 1
             if name == "br":
                 self._text.append(" ")
             elif name == "a":
                 self._in_link = 1
                 self.links[stack[-1][1]] += 1
-            elif name in INLINE or name in VOID:
+            elif name not in BLOCK:
                 if name == "hr":
                     self._flush(stack)
             else:
@@ -109,16 +115,15 @@ class Page:
 
     def _add(self, text: str) -> None:
         if text and not self._mute:
+            if "&" in text:  # a character reference ends where its run of text does
+                text = html.unescape(text)
             self._text.append(text)
             if self._in_link:
                 self._linked += len(text.strip())
 
     def _flush(self, stack: list[tuple[str, int]]) -> None:
         if self._text:
-            text = "".join(self._text)
-            if "&" in text:
-                text = html.unescape(text)
-            text = SPACE.sub(" ", text).strip()
+            text = SPACE.sub(" ", "".join(self._text)).strip()
             if text:
                 self.blocks.append((stack[-1][1], text, self._linked))
             self._text, self._linked = [], 0
@@ -146,7 +151,7 @@ class Page:
             self._cut(stack, next(k for k in range(self._mute, len(stack)) if stack[k][0] == "select"))
         elif name in _NOT_IN_SVG and has("svg") and not any(has(t) for t in _IN_SVG):
             self._cut(stack, next(k for k in range(self._mute, len(stack)) if stack[k][0] == "svg"))
-        if 0 < self._mute < len(stack) - 1 and stack[-1][0] == "p" and name not in INLINE and name not in VOID:
+        if 0 < self._mute < len(stack) - 1 and stack[-1][0] == "p" and name in BLOCK:
             self._cut(stack, len(stack) - 1)
         if self._mute and name in _CLOSES and not has("template"):
             for k in range(len(stack) - 1, 0, -1):
@@ -161,14 +166,14 @@ class Page:
             if self._inside.get(name):
                 self._cut(stack, next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
                 return
-            if not (self._inline.get(name) if name in INLINE else any(t == name for t, _ in stack)):
+            if not (self._inline.get(name) if _in_line(name) else any(t == name for t, _ in stack)):
                 return
             self._cut(stack, self._mute)  # its parent ends
-        if name in INLINE and self._inline.get(name):
+        if self._inline.get(name):
             self._inline[name] -= 1
         if name == "a":
             self._in_link = 0
-        elif name == "p" or not (name in INLINE or name in VOID or name in RAW or name in MUTE):
+        elif name in BLOCK:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == name:
                     while len(stack) > k:

@@ -6,18 +6,23 @@ A document's set holds its distinct word shingles.  The steps:
 2. Each document indexes a prefix of its set, rarest shingles first, under its fingerprint, so that equal sets are
    one entry.  The order comes from a count-min sketch of fixed size; any common order is exact, the sketch only
    makes prefixes selective.
-3. An index list is filtered by position and size, entry by entry: an entry stays only if a partner of compatible size exists
-   and the smaller of the two has the shingle within its index prefix.  A list's members form the family of
-   its smallest id, so every pair that could link meets in some family.  Lists that may be long (the sketch
-   never counts too low) take an aggregation and a join, which Spark can split; the others are packed.
-4. Within a family, answers spare comparisons: the exact overlaps with one pivot are computed first, and a
-   set is compared only with sets that aren't already connected to it and whose distance to the pivot
-   allows a link (triangle inequality of the Jaccard distance); with those, in full.  Families beyond `chunk` members are cut into
-   chunks and every two chunks meet in a task of their own: no family, however large, is one task.
-5. Each family emits a spanning forest of true links, never its pairs; components follow from these.
-
-Null and empty texts have no set and link with nothing.  Fewer words than a shingle: the whole sequence is one.
-Ids should be unique: a repeated id's different texts are told apart by their sets, but are one node.  A row without id takes the component of its equal texts, else null.
+3. An index list falls into blocks of entries of equal size and position, and is skipped block by block: a block stays only
+   if a partner of compatible size exists and the smaller of the two has the shingle within its index prefix.  A
+   list's members form the family of its smallest id, so every pair that could link meets in some family.  Lists that may
+   be long (the sketch never counts too low) take an aggregation and a join, which Spark can split; the others are packed.
+4. Within a family the exact overlaps with one pivot are computed first.  A set is then compared only with sets that
+   aren't already connected to it, whose sizes allow a link, and whose distance to the pivot does (triangle inequality
+   of the Jaccard distance).  Its overlaps are derived from the known ones of a set X connected to it: X's overlap, less
+   the shingles only X has, more those only it has; where the number of these shows that nothing can link, nothing is counted.
+5. A family of more than `chunk` shingles is dealt to chunks, each with the pivot.  Sets that got connected to the pivot
+   need no comparison with each other; only the others meet the members of all chunks, in tasks of their own.  So a
+   family of near copies of one text is compared in time and space proportional to its size.
+6. Each task emits a spanning forest of true links, never its pairs; components follow from these.
+
+Null and empty texts have no set and link with nothing.  Fewer words than a shingle: the whole sequence is one.  Very long texts
+are read in pieces between words.  Ids should be unique: a repeated id's different texts are told apart by their sets, but
+are one node; repeated rows are equal sets.  A row without id takes the component of its equal texts, else null.  An empty table
+stays empty.  Extra columns are ignored by `near_duplicates` and kept by `keep_one`, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,8 +46,10 @@ PERCENT = 85
 WIDTH, DEPTH = 22, 2
 #: Index lists that may be longer than this are built by a join instead of in one task.
 LONG = 500_000
-#: Members of a family that are compared in one task.
-CHUNK = 4096
+#: Shingles of a family's sets that are compared in one task, about.
+CHUNK = 1 << 20
+#: Families of several chunks up to which a row for each is broadcast.
+FEW = 100_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,19 +205,26 @@ def _prefixes(size: int, percent: int, shared, parts: int, long: int) -> Callabl
     return run
 
 
-def _compatible(e: np.ndarray, percent: int) -> np.ndarray:
-    """Of entries sorted by token, then n: which have a partner that sizes and positions allow."""
-    n, m = e["n"].astype(np.int64), len(e)
-    if not m:
+def _compatible(token: np.ndarray, n: np.ndarray, pos: np.ndarray, count: np.ndarray, percent: int) -> np.ndarray:
+    """Of blocks of `count` entries, sorted by token, size and position: which have a partner that sizes and positions allow."""
+    if not len(token):
         return np.zeros(0, bool)
-    need = -(-2 * percent * n // (100 + percent))
-    early = e["pos"] <= n - need  # the smaller of two linked sets has the shingle this early
-    group = np.cumsum(np.r_[True, e["token"][1:] != e["token"][:-1]])
-    nxt = np.r_[(group[1:] == group[:-1]) & (n[:-1] * 100 >= percent * n[1:]), False]
-    last = np.maximum.accumulate(np.where(early, np.arange(m), -1))
+    n = n.astype(np.int64)
+    early = pos <= n - -(-2 * percent * n // (100 + percent))  # the smaller of two linked sets has the shingle this early
+    group = np.cumsum(np.r_[True, token[1:] != token[:-1]])
+    after = np.r_[(group[1:] == group[:-1]) & (n[:-1] * 100 >= percent * n[1:]), False] | (count > 1)
+    last = np.maximum.accumulate(np.where(early, np.arange(len(n)), -1))
     last = np.r_[-1, last[:-1]]
     before = (last >= 0) & (group[last] == group) & (n[last] * 100 >= percent * n)
-    return (early & nxt) | before
+    return (early & after) | before
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out):
+        out[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return out
 
 
 def _families(percent: int) -> Callable:
@@ -219,15 +233,20 @@ def _families(percent: int) -> Callable:
         held = [np.frombuffer(x, _ENTRY) for batch in it for x in batch.column("entries").to_pylist()]
         e = np.concatenate(held) if held else np.zeros(0, _ENTRY)
         del held
-        e = np.unique(e)  # equal sets of different places
-        token, count = np.unique(e["token"], return_counts=True)
-        e = e[np.isin(e["token"], token[count > 1])]
-        e = e[np.lexsort((e["pos"], e["n"], e["token"]))]
-        e = e[_compatible(e, percent)]
-        e = e[np.lexsort((e["id"], e["token"]))]
-        new = np.r_[True, e["token"][1:] != e["token"][:-1]] if len(e) else np.zeros(0, bool)
-        pairs = np.unique(np.stack([e["id"][np.flatnonzero(new)][np.cumsum(new) - 1], e["id"]], axis=1), axis=0) if len(e) else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["family", "id"])
+        e = e[np.lexsort((e["id"], e["pos"], e["n"], e["token"]))]
+        e = e[_changes(*(e[c] for c in ("token", "n", "pos", "id")))]  # equal sets of different places
+        first = np.flatnonzero(_changes(e["token"], e["n"], e["pos"]))
+        count = np.diff(np.r_[first, len(e)])
+        e = e[np.repeat(_compatible(e["token"][first], e["n"][first], e["pos"][first], count, percent), count)]
+        first = np.flatnonzero(_changes(e["token"]))
+        count = np.diff(np.r_[first, len(e)])
+        family = np.repeat(np.minimum.reduceat(e["id"], first), count) if len(e) else e["id"]
+        some = np.repeat(count > 1, count)
+        family, member = family[some], e["id"][some]
+        order = np.lexsort((member, family))
+        family, member = family[order], member[order]
+        new = _changes(family, member)
+        yield pa.RecordBatch.from_arrays([pa.array(family[new]), pa.array(member[new])], ["family", "id"])
 
     return run
 
@@ -239,13 +258,13 @@ def _entries(it):
             yield pa.RecordBatch.from_arrays([pa.array(e[c]) for c in ("token", "id", "n", "pos")], ["token", "id", "n", "pos"])
 
 
-def family_members(rows: DataFrame, size: int, percent: int, long: int = LONG) -> DataFrame:
-    """(family, id): families of sets, by their first fingerprints, such that every two linked sets are in one family."""
+def family_members(rows: DataFrame, size: int, percent: int, n: int, long: int = LONG) -> DataFrame:
+    """(family, id): families of sets, by their first fingerprints, such that every two linked sets are in one family.
+    The index is dealt to `n` tasks."""
     spark = rows.sparkSession
     table = frequencies(rows, size)
     lengthy = bool((table > long).any(axis=1).all())  # else the sketch proves that no list is that long
     shared = spark.sparkContext.broadcast(table)
-    n = store.parts(spark)
     made = rows.select("text").transform(store.arrow, _prefixes(size, percent, shared, 4 * n, long), "part long, entries binary")
     packed = made.where("part >= 0").repartition(n, "part").transform(store.arrow, _families(percent), "family long, id long")
     if lengthy:
@@ -255,105 +274,151 @@ def family_members(rows: DataFrame, size: int, percent: int, long: int = LONG) -
     return packed.distinct()
 
 
-class _Forest:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-
-
-def family_links(ids: np.ndarray, side: np.ndarray, bounds: np.ndarray, found: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among one family's sets: (id, smallest connected id).
-
-    `side`: pairs of two members of the same side other than 0 are another task's (0: a family in one chunk)."""
-    m, n = len(ids), np.diff(bounds)
-    if m < 2:
-        return []
-    order = np.argsort(ids, kind="stable")
-    forest = _Forest(m)
-    vocabulary, codes = np.unique(found, return_inverse=True)
-    mark = np.zeros(len(vocabulary), bool)
-
-    def overlaps(x: int, others: np.ndarray | None) -> np.ndarray:
-        """Shingles that set x shares with the others (None: all)."""
-        mark[codes[bounds[x] : bounds[x + 1]]] = True
-        if others is None:
-            out = np.add.reduceat(mark[codes], bounds[:-1], dtype=np.int64)
-        else:
-            length = n[others]
-            at = np.repeat(bounds[others] - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
-            out = np.add.reduceat(mark[codes[at]], np.r_[0, np.cumsum(length)[:-1]], dtype=np.int64)
-        mark[codes[bounds[x] : bounds[x + 1]]] = False
-        return out
-
-    links = lambda x, others, common: others[100 * common >= percent * (n[x] + n[others] - common)]
-    everyone, far = np.arange(m), 1 - percent / 100 + 1e-9
-    pivot = int(order[0])
-    common = overlaps(pivot, None)
-    distance = 1 - common / (n[pivot] + n - common)
-    for y in links(pivot, everyone, common):
-        if side[y] == 0 or side[y] != side[pivot] or y == pivot:
-            forest.join(pivot, int(y))
-    label = np.array([forest.root(x) for x in range(m)])
-    for x in order[1:].tolist():
-        if m == 2:
-            break
+class _Overlaps:
+    """How many shingles each of a family's sets shares with one of them: counted from the shingles' lists of sets, or derived
+    from the known overlaps of another one by the shingles in which the two differ."""
+
+    KEEP = 64
+
+    def __init__(self, bounds: np.ndarray, found: np.ndarray) -> None:
+        vocabulary, self.codes = np.unique(found, return_inverse=True)
+        self.bounds, self.m = bounds, len(bounds) - 1
+        by = np.argsort(self.codes, kind="stable")
+        self.sets = np.repeat(np.arange(self.m), np.diff(bounds))[by]
+        self.cuts = np.searchsorted(self.codes[by], np.arange(len(vocabulary) + 1))
+        self.known: dict[int, np.ndarray] = {}
+
+    def of(self, x: int) -> np.ndarray:
+        return self.codes[self.bounds[x] : self.bounds[x + 1]]
+
+    def count(self, codes: np.ndarray) -> np.ndarray:
+        n = self.cuts[codes + 1] - self.cuts[codes]
+        at = np.repeat(self.cuts[codes] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        return np.bincount(self.sets[at], minlength=self.m)
+
+    def keep(self, x: int, common: np.ndarray) -> np.ndarray:
+        if len(self.known) >= self.KEEP:
+            del self.known[next(iter(self.known))]
+        self.known[x] = common
+        return common
+
+    def differences(self, x: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+        """The shingles that only x has, and those that only `base` has."""
+        a, b = self.of(x), self.of(base)
+        return np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+
+
+def family_links(ids: np.ndarray, bounds: np.ndarray, found: np.ndarray, percent: int, pivot: int | None = None, side: np.ndarray | None = None, together: np.ndarray | None = None, distance: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(component, distance to the pivot) of each of a family's sets; components are numbered by a member.
+
+    Pairs of members of one `side` are another task's; members `together` are known to be connected; `distance`: to a
+    pivot that isn't among them, instead of to member `pivot`."""
+    m, n, label = len(ids), np.diff(bounds), np.arange(len(ids))
+    fits = lambda x, others, common: 100 * common >= percent * (n[x] + n[others] - common)
+    if m == 2 and side is None:
+        common = len(np.intersect1d(found[: bounds[1]], found[bounds[1] :], assume_unique=True))
+        if fits(0, 1, common):
+            label[1] = 0
+        return label, np.where(np.arange(2) == (pivot or 0), 0.0, 1 - common / max(1, n.sum() - common))
+    if together is not None and together.any():
+        label[together] = np.flatnonzero(together)[0]
+    overlaps, everyone, far = _Overlaps(bounds, found), np.arange(m), 1 - percent / 100 + 1e-9
+    answered: dict[int, int] = {}  # component -> a member whose overlaps are known
+
+    def join(x: int, others: np.ndarray) -> None:
+        roots = np.unique(np.append(label[others], label[x]))
+        label[np.isin(label, roots)] = roots[0]
+        answered.update({int(roots[0]): answered[r] for r in roots.tolist() if r in answered})
+
+    if distance is None:
+        pivot = pivot or 0
+        common = overlaps.keep(pivot, overlaps.count(overlaps.of(pivot)))
+        distance = 1 - common / np.maximum(n[pivot] + n - common, 1)
+        answered[pivot] = pivot
+        join(pivot, everyone[fits(pivot, everyone, common)])
+    for x in np.argsort(ids, kind="stable").tolist():
+        if x == pivot:
+            continue
         rest = (label != label[x]) & (np.abs(distance - distance[x]) <= far) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
-        if side[x]:
+        if side is not None:
             rest &= side != side[x]
         rest = np.flatnonzero(rest)
-        if len(rest):
-            near = links(x, rest, overlaps(x, rest))
-            if len(near):
-                for y in near.tolist():
-                    forest.join(x, y)
-                label = np.array([forest.root(y) for y in range(m)])
-    out, least = [], {}
-    for x in order.tolist():
-        r = forest.root(x)
-        if r in least:
-            out.append((int(ids[x]), least[r]))
+        if not len(rest):
+            continue
+        base = answered.get(int(label[x]), -1)
+        if base in overlaps.known:
+            mine, other = overlaps.differences(x, base)
+            known = overlaps.known[base]
+            rest = rest[fits(x, rest, known[rest] + len(mine))]  # no more than these can be common
+            if not len(rest):
+                continue
+            common = known + overlaps.count(mine) - overlaps.count(other)
         else:
-            least[r] = int(ids[x])
-    return [(a, b) for a, b in out if a != b]
+            common = overlaps.count(overlaps.of(x))
+        overlaps.keep(x, common)
+        answered[int(label[x])] = x
+        near = rest[fits(x, rest, common[rest])]
+        if len(near):
+            join(x, near)
+    return label, distance
+
+
+_KEY = ("family", "i", "j")
+_LINKED = "a long, b long, family long, chunk int, near boolean, far double, n long"
 
 
-def _link(size: int, percent: int) -> Callable:
-    """Rows (family, i, j, id, side, z) sorted by the first three."""
+def _link(size: int, percent: int, second: bool) -> Callable:
+    """Rows (family, i, j, id, z, pivot, side, near, far, several) sorted by the first three, a task's rows each: links (a, b), and for
+    members of families in several chunks (family, chunk, a, near, far, n): whether they are connected to the pivot."""
+    names = [c.split()[0] for c in _LINKED.split(", ")]
 
     def solve(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-        ids, side = whole.column("id").to_numpy(), whole.column("side").to_numpy()
-        key = [whole.column(c).to_numpy() for c in ("family", "i", "j")]
-        first = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in key], axis=0)])
+        get = lambda c: whole.column(c).to_numpy(zero_copy_only=False)
+        ids, key = get("id"), [get(c) for c in _KEY]
+        first = np.flatnonzero(_changes(*key))
         sets, sizes = [], []
         for _, texts in _unpacked(whole):
             for _, bounds, found in _sets(texts, size):
                 sets.append(found)
                 sizes.append(np.diff(bounds))
         found, bounds = np.concatenate(sets), np.r_[0, np.cumsum(np.concatenate(sizes))]
-        out = []
+        pivots, several, side, near, far = (get(c) for c in ("pivot", "several", "side", "near", "far"))
+        a_of, b_of, state = [], [], []
         for a, b in zip(first, np.r_[first[1:], len(ids)], strict=True):
-            out += family_links(ids[a:b], side[a:b], bounds[a : b + 1] - bounds[a], found[bounds[a] : bounds[b]], percent)
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
+            if b - a < 2:
+                continue
+            part = slice(a, b)
+            inner = (ids[part], bounds[a : b + 1] - bounds[a], found[bounds[a] : bounds[b]], percent)
+            if second:
+                label, _ = family_links(*inner, side=side[part], together=near[part] & (side[part] == 2), distance=far[part])
+            else:
+                pivot = int(np.argmax(pivots[part]))
+                label, apart = family_links(*inner, pivot=pivot)
+                if several[a]:
+                    keep = ~pivots[part]
+                    state.append((np.full(keep.sum(), key[0][a]), np.full(keep.sum(), key[1][a]), ids[part][keep], (label == label[pivot])[keep], apart[keep], np.diff(bounds[a : b + 1])[keep]))
+            order = np.lexsort((ids[part], label))
+            least = np.flatnonzero(_changes(label[order]))
+            head = np.repeat(ids[part][order][least], np.diff(np.r_[least, b - a]))
+            other = ids[part][order] != head
+            a_of.append(ids[part][order][other])
+            b_of.append(head[other])
+        a_of, b_of = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_of, b_of))
+        none = [pa.nulls(len(a_of), t) for t in (pa.int64(), pa.int32(), pa.bool_(), pa.float64(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(a_of), pa.array(b_of), *none], names)
+        for family, chunk, member, is_near, apart, n in state:
+            yield pa.RecordBatch.from_arrays([pa.array(member), pa.nulls(len(member), pa.int64()), pa.array(family), pa.array(chunk.astype(np.int32)), pa.array(is_near), pa.array(apart), pa.array(n.astype(np.int64))], names)
 
     def run(it):
         held: list[pa.RecordBatch] = []
         for batch in it:
             if not batch.num_rows:
                 continue
-            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in ("family", "i", "j")]
-            same = np.all([batch.column(c).to_numpy() == x for c, x in zip(("family", "i", "j"), last, strict=True)], axis=0)
+            last = [batch.column(c)[batch.num_rows - 1].as_py() for c in _KEY]
+            same = np.all([batch.column(c).to_numpy() == x for c, x in zip(_KEY, last, strict=True)], axis=0)
             cut = int(np.argmax(same))
-            if cut or (held and [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in ("family", "i", "j")] != last):
+            if cut or (held and [held[-1].column(c)[held[-1].num_rows - 1].as_py() for c in _KEY] != last):
                 if cut:
                     held.append(batch.slice(0, cut))
                 yield from solve(held)
@@ -368,25 +433,43 @@ def _link(size: int, percent: int) -> Callable:
 def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk: int = CHUNK, long: int = LONG) -> tuple[DataFrame, DataFrame]:
     """(classes, edges).  classes: doc_id, n, f1, f2 of every row, f1 and f2 the same for equal sets.  edges (a, b):
     links between ids whose components are those of all links between different sets, by their smallest ids."""
-    spark, n = docs.sparkSession, store.parts(docs.sparkSession)
+    spark = docs.sparkSession
     rows = store.texts(docs.withColumn("doc_id", F.col("doc_id").cast("long")))
     classes = store.written(rows.transform(store.arrow, _fingerprints(size), "doc_id long, n long, f1 long, f2 long"), "classes")
-    heads = classes.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("head")).where("head is not null")
-    members = store.written(family_members(rows, size, percent, long), "families")
-    store.release(spark)
-    sizes = members.groupBy("family").agg(F.count("*").alias("c")).where("c > 1").select(F.col("family").alias("f"), F.ceil(F.col("c") / chunk).cast("int").alias("chunks"))
-    mine = F.pmod(F.xxhash64("id"), "chunks").cast("int")
-    members = members.join(sizes, members.family == sizes.f).withColumn("mine", mine)
-    members = members.select("family", F.col("id").alias("f1"), "mine", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
-        "family", "f1", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        F.when(F.col("mine") == F.col("other"), F.lit(0)).otherwise(F.when(F.col("mine") < F.col("other"), 1).otherwise(2)).alias("side"),
-    )
+    entries = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 2)).first()[0] or 0
+    heads = classes.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("head"), F.max("n").alias("n")).where("head is not null")
+    members = family_members(rows, size, percent, store.parts(spark, entries * _ENTRY.itemsize), long)
     # from here on a set goes by its smallest id; its text is that id's
-    members = members.join(heads, "f1").select("family", "i", "j", F.col("head").alias("id"), "side")
-    texts = rows.where("doc_id is not null").transform(store.arrow, _press, "doc_id long, z binary")
-    joined = texts.join(members.hint("merge"), texts.doc_id == members.id).select("family", "i", "j", "id", "side", "z")
-    found = joined.repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j").transform(store.arrow, _link(size, percent), "a long, b long")
-    edges = store.written(found.distinct(), "links")
+    members = store.written(members.join(heads, members.id == heads.f1).select("family", (F.col("id") == F.col("family")).alias("pivot"), F.col("head").alias("id"), "n"), "families")
+    store.release(spark)
+    total, large = members.agg(F.sum("n")).first()[0] or 0, members.groupBy("family").agg(F.sum("n").alias("s")).where(F.col("s") > chunk)
+    large = store.written(large.select(F.col("family").alias("f"), F.ceil(F.col("s") / chunk).cast("int").alias("chunks")), "large")
+    few = F.broadcast if large.count() <= FEW else (lambda df: df)
+    parts = store.parts(spark, total * 8)
+    packed = rows.where("doc_id is not null").transform(store.arrow, _press, "doc_id long, z binary")
+
+    def compared(tasks: DataFrame, second: bool) -> DataFrame:
+        tasks = tasks.select("family", F.col("i").cast("int"), F.col("j").cast("int"), "id", "pivot", F.col("side").cast("int"), "near", "far", "several")
+        joined = packed.join(tasks.hint("merge"), packed.doc_id == tasks.id).drop("doc_id")
+        done = joined.repartition(parts, *_KEY).sortWithinPartitions(*_KEY).transform(store.arrow, _link(size, percent, second), _LINKED)
+        return store.written(done, "links")
+
+    none = {"j": F.lit(0), "side": F.lit(0), "near": F.lit(False), "far": F.lit(0.0)}
+    tasks = members.join(few(large), members.family == large.f, "left").withColumn("mine", F.coalesce(F.pmod(F.xxhash64("id"), "chunks"), F.lit(0)))
+    tasks = tasks.withColumn("i", F.explode(F.when(F.col("pivot") & F.col("chunks").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).otherwise(F.array("mine"))))
+    first = compared(tasks.withColumns(none | {"several": F.col("chunks").isNotNull()}), False)
+    edges = first.where("b is not null").select("a", "b")
+    state = first.where("family is not null").select("family", "chunk", F.col("a").alias("id"), "near", "far", "n")
+    apart = state.where("not near").groupBy("family").agg(F.sum("n").alias("s"))
+    apart = store.written(apart.select(F.col("family").alias("g"), F.ceil(F.col("s") / chunk).cast("long").alias("groups")), "apart")
+    if not apart.isEmpty():
+        state = state.join(few(apart), state.family == apart.g).join(few(large), F.col("family") == F.col("f"))
+        state = state.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), "groups")).withColumns({"pivot": F.lit(False), "several": F.lit(False)})
+        one = state.where("not near").withColumns({"i": F.col("own"), "side": F.lit(1), "j": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))})
+        # of two that aren't near, one asks the other
+        other = state.withColumns({"j": F.col("chunk"), "side": F.lit(2), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("near"), F.col("groups") - 1).otherwise(F.col("own"))))})
+        edges = edges.union(compared(one.unionByName(other), True).where("b is not null").select("a", "b"))
+    store.forget(members, large, apart)
     store.release(spark)
     return classes, edges
 
@@ -406,21 +489,22 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
     Rows without id take part: equal texts are one row, known by the text's 64-bit hash, and it stays if its group has
     no row with an id and no smaller hash."""
+    columns, (kept, marked) = [f"`{c}`" for c in docs.columns], store.unused(docs.columns, "__kept", "__mark")
     lost = docs.where(F.col("doc_id").isNull())
     if lost.isEmpty():
-        found = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-        return docs.join(found, docs["doc_id"] == found["__kept"], "left_semi").select(*docs.columns)
+        found = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
+        return docs.join(found, docs["doc_id"] == found[kept], "left_semi").select(*columns)
     word = F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
     mark = F.xxhash64("text", F.lit(5))
     have = docs.where(F.col("doc_id").isNotNull())
-    nameless = lost.where(word).withColumn("__mark", mark).dropDuplicates(["__mark"])
+    nameless = lost.where(word).withColumn(marked, mark).dropDuplicates([marked])
     rows = store.texts(have).select(F.col("doc_id").cast("long").alias("doc_id"), "text").union(lost.where(word).select(mark.alias("doc_id"), "text"))
-    marks = nameless.select("__mark").distinct()
+    marks = nameless.select(marked).distinct()
     found = near_duplicates(rows, **options)
-    found = found.join(marks, found["doc_id"] == marks["__mark"], "left")
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("__mark").isNotNull().alias("nameless"), F.col("doc_id").alias("id"))).alias("first"))
-    kept = first.select("first.nameless", F.col("first.id").alias("__kept")).distinct()
-    with_id, without = kept.where("not nameless").select("__kept"), kept.where("nameless").select("__kept")
-    out = have.join(with_id, have["doc_id"] == with_id["__kept"], "left_semi").select(*docs.columns)
-    alone = nameless.join(without, nameless["__mark"] == without["__kept"], "left_semi").select(*docs.columns)
-    return out.union(alone).union(lost.where(~word).select(*docs.columns))
+    found = found.join(marks, found["doc_id"] == marks[marked], "left")
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col(marked).isNotNull().alias("nameless"), F.col("doc_id").alias("id"))).alias("first"))
+    first = first.select("first.nameless", F.col("first.id").alias(kept)).distinct()
+    with_id, without = first.where("not nameless").select(kept), first.where("nameless").select(kept)
+    out = have.join(with_id, have["doc_id"] == with_id[kept], "left_semi").select(*columns)
+    alone = nameless.join(without, nameless[marked] == without[kept], "left_semi").select(*columns)
+    return out.union(alone).union(lost.where(~word).select(*columns))

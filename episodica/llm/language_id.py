@@ -7,8 +7,9 @@ bundles the texts of that language.  A text goes to the prototype with the large
 Texts are lower-cased; everything but letters counts as one space between words.  Prototypes are learned from a
 bounded sample of about `sample` texts a language, chosen by a hash of the id, and summed by an aggregation.
 
-Null texts and texts without letters: `und`, score 0.  Null languages don't train.  No training rows: every text is
-`und`.  Equal cosines: the language first in code point order.  Repeated rows are judged alike.
+Null and empty texts and texts without letters: `und`, score 0.  Very long texts are whole, in slices of n-grams.  Null languages
+don't train.  No training rows: every text is `und`.  Equal cosines: the language first in code point order.  Repeated rows
+are judged alike.  An empty table stays empty.  Extra columns pass through, whatever their names: the columns added take other ones.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kernel as K
 from . import store
@@ -166,7 +168,7 @@ def learn(docs: DataFrame, dims: int = DIMS, gram: int = GRAM, sample: int = SAM
     return names, np.stack([found[x] for x in names]) if names else np.zeros((0, dims))
 
 
-def _judged(shared, dims: int, gram: int) -> Callable:
+def _judged(shared, dims: int, gram: int, columns: list[str]) -> Callable:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prototypes = shared.value
         unit = (prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-12)).T
@@ -183,26 +185,25 @@ def _judged(shared, dims: int, gram: int) -> Callable:
                     best[more], top[more] = a + k[more], most[more]
                 score = np.where(lettered, np.clip(top, 0, 1), 0.0)
                 lang = [names[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*batch.schema.names, "__lang", "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], [*batch.schema.names, *columns])
 
     return run
 
 
-def annotate(docs: DataFrame, trains: Column | None = None, dims: int = DIMS, gram: int = GRAM, sample: int = SAMPLE) -> DataFrame:
-    """`docs` with __lang and __score; learned from its rows under `trains` (by default crc32(doc_id as text) mod 4 is not 2)."""
+def annotate(docs: DataFrame, trains: Column | None = None, dims: int = DIMS, gram: int = GRAM, sample: int = SAMPLE) -> tuple[DataFrame, str, str]:
+    """`docs` with two more columns, language and score, and their names; learned from its rows under `trains` (by
+    default crc32(doc_id as text) mod 4 is not 2)."""
     trains = store.remainder("doc_id", 4) != 2 if trains is None else trains
     model = learn(docs.where(trains), dims, gram, sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join(["__lang string", "__score double"])
-    from pyspark.sql.types import StructType
-
-    return docs.transform(store.arrow, _judged(shared, dims, gram), StructType([*docs.schema.fields, *StructType.fromDDL(schema).fields]))
+    lang, score = store.unused(docs.columns, "__lang", "__score")
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
+    return docs.transform(store.arrow, _judged(shared, dims, gram, [lang, score]), schema), lang, score
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
-    rows = docs.select("doc_id", "text", "lang")
-    out = annotate(rows, **options)
-    return out.select("doc_id", (store.remainder("doc_id", 4) == 2).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+    out, lang, score = annotate(docs.select("doc_id", "text", "lang"), **options)
+    return out.select("doc_id", (store.remainder("doc_id", 4) == 2).alias("held_out"), F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
 
 
 def keep_known(docs: DataFrame, least: float = 0.0, **options) -> DataFrame:
@@ -210,4 +211,5 @@ def keep_known(docs: DataFrame, least: float = 0.0, **options) -> DataFrame:
 
     Cosines are cut off at 0, so the default `least`, which the pipeline takes, rejects rows without letters only; texts of
     letters in a language that wasn't learned stay, under the nearest name.  Without training rows every row goes."""
-    return annotate(docs, **options).where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least)).select(*docs.columns)
+    out, lang, score = annotate(docs, **options)
+    return out.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*(f"`{c}`" for c in docs.columns))

@@ -17,6 +17,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_dir
 
@@ -31,6 +32,11 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
+def lasting(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder that stays."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 _cleared: set[str] = set()
 
 
@@ -115,15 +121,22 @@ def _trim() -> None:
 
 
 def arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """mapInArrow that leaves no freed memory behind in the worker."""
+    """mapInArrow that leaves no freed memory behind in the worker and takes columns of any name."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns, names = df.columns, kind.names
+    plain = not any("." in c or "`" in c for c in columns)
 
     def lean(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(it)
+            for batch in run(it if plain else (b.rename_columns(columns) for b in it)):
+                yield batch if plain else batch.rename_columns([f"c{k}" for k in range(len(names))])
         finally:
             _trim()
 
-    return df.mapInArrow(lean, schema)
+    if plain:
+        return df.mapInArrow(lean, kind)
+    out = T.StructType([T.StructField(f"c{k}", f.dataType, f.nullable) for k, f in enumerate(kind.fields)])
+    return df.toDF(*(f"c{k}" for k in range(len(columns)))).mapInArrow(lean, out).toDF(*names)
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:

@@ -7,12 +7,18 @@ A shard file, all numbers little-endian:
     index: for each document  known (u8: 0 if its id is null) | doc_id (i8) | offset (u8) | length (u8) | ids (u8)
     number of documents (u8) | offset of the index (u8) | magic "TOKINDX1"
 
-The dictionary is a file of its own beside the shards.  It is trained on the serialized ids of a bounded sample of
-documents, chosen by a hash of the id.  Documents are dealt to shards by ranges of doc_id and sorted within them, so
+The dictionary is a file of its own beside the shards.  It is trained on serialized ids: of a bounded sample of
+documents, chosen by a hash of the id, whole texts are encoded and cut into pieces, and of these as many as about
+SAMPLE_BYTES hold are chosen by a hash of the piece.  Documents are dealt to shards by ranges of doc_id and sorted within them, so
 the shards in order hold ascending ids.  A shard is written under a name of its attempt and renamed when complete, so
 a lost executor leaves nothing half written; a repeated attempt writes the same bytes.
 
-Null texts are empty: their ids are the end id alone.  Null ids come first.  Repeated rows are written as often.
+Ids are those of the library as the file sets it up: the string of an added token in a text, such as <|endoftext|>, becomes
+that token's id.
+
+Null and empty texts: their ids are the end id alone.  Very long texts are encoded in pieces that no token can cross.  Null
+ids come first.  Repeated rows are written as often; equal ids go by their texts.  An empty table: no shard, no rows.  Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -37,8 +44,8 @@ from . import store
 
 MAGIC, INDEX = b"TOKSHRD1", b"TOKINDX1"
 END_ID = 0
-#: Documents that train the dictionary, about; ids taken of each at most; the dictionary's bytes.
-SAMPLE, SAMPLE_IDS, DICTIONARY = 2000, 4096, 112_640
+#: Documents that train the dictionary, about; ids of a piece of them; bytes of the pieces taken, about; the dictionary's bytes.
+SAMPLE, PIECE_IDS, SAMPLE_BYTES, DICTIONARY = 2000, 4096, 16 << 20, 112_640
 _ENTRY = np.dtype([("known", "<u8"), ("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("ids", "<u8")])
 #: Texts longer than this are encoded in pieces, cut before a single space between words, where no token can cross.
 PIECE = 1 << 20
@@ -58,9 +65,7 @@ def tokenizer(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True
-        _loaded[path] = made
+        _loaded[path] = Tokenizer.from_file(path)
     return _loaded[path]
 
 
@@ -194,7 +199,11 @@ def encoded(path: str, texts: list[str] | pa.Array) -> list[np.ndarray]:
     model, known = tokenizer(path), _known.setdefault(path, _Known())
     column = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
     data, offsets = K.column_bytes(column)
-    even = _even(data, offsets) if _by_words(path) else np.zeros(len(offsets) - 1, bool)
+    even, (added, cuttable) = _even(data, offsets) if _by_words(path) else np.zeros(len(offsets) - 1, bool), _added(path)
+    special = np.zeros(len(even), bool)
+    for t in added:
+        special |= pa.compute.match_substring(column.fill_null(""), t).to_numpy(zero_copy_only=False)
+    even &= ~special
     start, end, h = K.words(data, _NOT_BLANK, offsets, K.SAME, _without_mark)
     bounds = K.rows_of(start, offsets)
     use = np.repeat(even, np.diff(bounds))
@@ -221,11 +230,24 @@ def encoded(path: str, texts: list[str] | pa.Array) -> list[np.ndarray]:
         if even[k]:
             ids = flat[cuts[k] : cuts[k + 1]]
         else:
-            ids = np.array([i for x in _encode(model, pieces(data[offsets[k] : offsets[k + 1]].tobytes().decode())) for i in x], np.uint32)
+            text = data[offsets[k] : offsets[k + 1]].tobytes().decode()
+            ids = np.array([i for x in _encode(model, [text] if special[k] and not cuttable else pieces(text)) for i in x], np.uint32)
         out.append(np.concatenate([ids, stop]))
     return out
 
 
+_adds: dict[str, tuple[list[str], bool]] = {}
+
+
+def _added(path: str) -> tuple[list[str], bool]:
+    """The strings of the tokenizer's added tokens, and whether a text that holds them can be cut at spaces all the same."""
+    if path not in _adds:
+        found = json.loads(tokenizer(path).to_str()).get("added_tokens") or []
+        plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or any(c.isspace() for c in t["content"]) for t in found)
+        _adds[path] = [t["content"] for t in found], plain
+    return _adds[path]
+
+
 _splits: dict[str, bool] = {}
 _marks: dict[str, np.ndarray] = {}
 
@@ -253,21 +275,25 @@ def _open(url: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(url) if "://" in url else (pafs.LocalFileSystem(), url.removeprefix("file:"))
 
 
-def _sampled(path: str) -> Callable:
+def _sampled(path: str, width: int, share: float) -> Callable:
     def run(it):
         for batch in it:
-            ids = encoded(path, batch.column("text"))
-            yield pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_IDS].tobytes() for x in ids], pa.binary())], ["ids"])
+            for ids in encoded(path, batch.column("text")):
+                pieces_of = [ids[a : a + PIECE_IDS].astype(f"<u{width}").tobytes() for a in range(0, len(ids), PIECE_IDS)]
+                kept = [x for x in pieces_of if zlib.crc32(x) <= share * 0xFFFFFFFF]
+                yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary())], ["ids"])
 
     return run
 
 
-def dictionary(docs: DataFrame, path: str, width: int, sample: int = SAMPLE) -> bytes:
-    """A zstandard dictionary from the ids of about `sample` documents; raw ids if they are too few to train on."""
-    n = docs.count()
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30)))
-    rows = chosen.select("text").transform(store.arrow, _sampled(path), "ids binary").collect()
-    samples = sorted(np.frombuffer(r.ids, np.uint32).astype(f"<u{width}").tobytes() for r in rows)
+def dictionary(docs: DataFrame, path: str, width: int, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> bytes:
+    """A zstandard dictionary from pieces of about `sample` documents; raw ids if they are too few to train on."""
+    n, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    part = min(1.0, sample / max(n, 1))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(part * (1 << 30)))
+    share = min(1.0, sample_bytes / max(1.0, size * part * width / 4))  # a token is about four bytes of text
+    rows = chosen.select("text").transform(store.arrow, _sampled(path, width, share), "ids binary").toArrow()
+    samples = sorted(rows.column("ids").to_pylist())
     try:
         return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
     except zstandard.ZstdError:
@@ -313,7 +339,7 @@ _SHARDS = "shard int, url string, docs long, ids long"
 def write(docs: DataFrame, folder: str | None = None, path: str | None = None, shards: int | None = None) -> DataFrame:
     """Writes `docs` (doc_id, text) and returns the shards: (shard, url, docs, ids), the folder's `dictionary` beside them."""
     spark = docs.sparkSession
-    path, folder = path or default_tokenizer(), folder or store.fresh(spark, "tokens")
+    path, folder = path or default_tokenizer(), folder or store.lasting(spark, "tokens")
     width = 2 if tokenizer(path).get_vocab_size() <= 1 << 16 else 4
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     data = dictionary(rows, path, width)

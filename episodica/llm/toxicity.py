@@ -2,10 +2,12 @@
 
 A text's features are the distinct hashes of its words, word pairs and pairs that skip one word (words of a-z,
 digits and non-ASCII characters, lower-cased), in BITS bits.  Training walks over a bounded sample of the
-labelled rows: at most about `sample` of them, taken by a hash of the id, whichever their label.  Per-coordinate
+labelled rows: at most about `sample` of them, taken by a hash of the id, whichever their label, and in the hash's order
+only as many as have `sample_bytes` of features together.  Per-coordinate
 learning rates and L1 leave a sparse weight table of fixed maximal size, which is broadcast for scoring.
 
-Only the text is scored.  Null and empty texts have no feature: their score is that of the bias.  Labels that
+Only the text is scored.  Null and empty texts have no feature: their score is that of the bias.  Very long texts are read in
+pieces between words.  An empty table stays empty.  Labels that
 are null or of rows without text don't train; several labels of an id train as that many rows.  No labels at
 all: every score is 0.5.  Repeated rows score alike; extra columns are ignored.
 """
@@ -16,15 +18,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
 from . import store
 
 BITS = 20
-#: Labelled rows that train, about.
-SAMPLE = 12_000
+#: Labelled rows that train, about, and bytes of their features (4 each) that the driver takes.
+SAMPLE, SAMPLE_BYTES = 12_000, 96 << 20
 THRESHOLD = 0.7
 
 
@@ -73,14 +75,19 @@ def _featurised(bits: int) -> Callable:
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, bits: int = BITS, rounds: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """(features, weights) that aren't 0, the bias last.  `labels`: doc_id, label (0 or 1), already without held-out rows."""
     marked = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("label").cast("int").alias("label")).where("id is not null and label in (0, 1)")
     share = min(1.0, sample / max(1, marked.count()))
     chosen = marked.withColumn("order", F.xxhash64("id", F.lit(17))).where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = store.texts(docs).join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("id")).where("text is not null").select("order", "label", "text")
-    held = [(r.order, int(r.label), np.frombuffer(r.found, np.int32)) for r in rows.transform(store.arrow, _featurised(bits), "order long, label int, found binary").collect()]
-    held.sort(key=lambda r: (r[0], r[1]))
+    made = store.written(rows.transform(store.arrow, _featurised(bits), "order long, label int, found binary"), "features")
+    upto = F.sum(F.length("found")).over(Window.orderBy("order", "label"))  # over `sample` rows, about
+    last = made.select("order", upto.alias("upto")).where(F.col("upto") > sample_bytes).agg(F.min("order")).first()[0]
+    table = (made if last is None else made.where(F.col("order") < last)).toArrow()
+    store.forget(made)
+    held = [(o, y, np.frombuffer(x, np.int32)) for o, y, x in zip(*(table.column(c).to_pylist() for c in ("order", "label", "found")), strict=True)]
+    held.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
     model = Ftrl(bits)
     for k in range(rounds if held else 0):
         for r in np.random.default_rng(k).permutation(len(held)):

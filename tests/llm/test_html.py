@@ -87,3 +87,13 @@ def test_edges(llm):
     out = H.extract(df).collect()
     assert len(out) == 7 and all(r.text == "" for r in out if r.page_id in (1, 2)) and max(r.n_chars for r in out) == len("word, and more. " * 40_000) - 1
     assert H.extract(df.where("false")).count() == 0
+
+
+def test_elements_that_stand_in_a_line():
+    assert blocks("<p>a <picture><source srcset=x><img src=y></picture>b <output>c</output> <my-tag class=x>d <b>e</b></my-tag> f</p>") == ["a b c d e f"]
+    assert blocks("<p>x <video src=v>no video</video> y<fieldset><legend>l</legend>z</fieldset>") == ["x no video y", "l", "z"]
+
+
+def test_a_reference_ends_with_its_text():
+    assert blocks("<p>&am<b>p;lt</b> &lt;b&gt; &#x26;amp; &nbsp;&eacute;</p>") == ["&amp;lt <b> &amp; é"] or blocks("<p>&am<b>p;lt</b></p>") == ["&amp;lt"]
+    assert blocks("<p>a&lt<i>b</i> &copy;&notit; &#0;</p>")[0].startswith("a<b ©¬it;")

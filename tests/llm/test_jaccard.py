@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from episodica.llm import jaccard_join as J
@@ -41,7 +42,7 @@ def family(rng, base, n, most):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"chunk": 5}, {"long": 3}, {"long": 0, "chunk": 4}])
+@pytest.mark.parametrize("options", [{}, {"chunk": 600}, {"chunk": 60}, {"long": 3}, {"long": 0, "chunk": 500}])
 def test_against_brute_force(llm, options):
     rng = random.Random(9)
     texts = []
@@ -58,10 +59,67 @@ def test_against_brute_force(llm, options):
 def test_a_large_family_links_as_pairs_do(llm):
     rng = random.Random(3)
     rows = list(enumerate(family(rng, [f"w{k}" for k in range(150)], 400, 14)))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string"), chunk=64).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string"), chunk=64 * 147).collect()}
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("chunk", [1 << 20, 3000])
+def test_families_of_several_clusters(llm, chunk):
+    """Texts that share a passage, so that they are one family, in clusters of near copies that don't reach one another."""
+    rng = random.Random(6)
+    shared, texts = [f"s{k}" for k in range(30)], []
+    for _ in range(12):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(25)]
+        texts += family(rng, own + shared, 12, 4)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string").repartition(3), chunk=chunk, long=0).collect()}
+    assert got == brute(rows)
+
+
+def test_overlaps_are_derived(monkeypatch):
+    """Chains of sets: what is derived from an answer is what a count says, and most is."""
+    rng = np.random.default_rng(3)
+    sets, counted, derived = [], [0], [0]
+    for _ in range(5):
+        x = set(rng.integers(0, 4000, 120).tolist())
+        for _ in range(40):
+            sets.append(x)
+            x = set(x)
+            for _ in range(4):
+                x.discard(next(iter(x)))
+                x.add(int(rng.integers(0, 4000)))
+    found = np.concatenate([np.array(sorted(s), np.uint64) for s in sets])
+    bounds = np.r_[0, np.cumsum([len(s) for s in sets])]
+    count, differences = J._Overlaps.count, J._Overlaps.differences
+
+    def spy(self, codes):
+        counted[0] += len(codes)
+        return count(self, codes)
+
+    monkeypatch.setattr(J._Overlaps, "count", spy)
+    monkeypatch.setattr(J._Overlaps, "differences", lambda self, x, base: derived.__setitem__(0, derived[0] + 1) or differences(self, x, base))
+    label, _ = J.family_links(np.arange(len(sets)), bounds, found, 85)
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for k in range(i):
+            if 100 * len(a & sets[k]) >= 85 * len(a | sets[k]):
+                x, y = root[i], root[k]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    same = lambda of: [[j for j in range(len(of)) if of[j] == of[i]] for i in range(len(of))]
+    assert same(label.tolist()) == same(root) and derived[0] > 50 and counted[0] < len(found) / 2
+
+
+def test_a_large_family_of_near_copies_is_linear(llm, monkeypatch):
+    """Sets connected to the pivot meet once, whatever the number of chunks."""
+    rng, shipped = random.Random(5), []
+    rows = list(enumerate(family(rng, [f"w{k}" for k in range(150)], 300, 2)))
+    write = J.store.written
+    monkeypatch.setattr(J.store, "written", lambda df, name: shipped.append(name) or write(df, name))
+    got = J.near_duplicates(llm.createDataFrame(rows, "doc_id long, text string"), chunk=20 * 147)
+    assert {r.component_id for r in got.collect()} == {0} and shipped.count("links") == 1
+
+
 def test_driver_s_table(llm, docs):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_duplicates(docs).collect()}
     assert got == brute([(r.doc_id, r.text) for r in docs.collect()])

@@ -68,3 +68,19 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(llm):
     docs = llm.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
     got = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(llm, docs, SMALL).collect())
     assert got == want and got != sorted(r.doc_id for r in jaccard_join.keep_one(docs).collect())
+
+
+def test_edges_through_the_pipeline(llm, edges, empty, tmp_path):
+    own = edges.selectExpr("*", "1 as __lang", "'x' as __words", "2 as __kept", "3 as `a.b`")
+    for name, df, count in (("edges", own, None), ("empty", own.where("false"), 0), ("blank", own.where("doc_id < 3"), 0)):
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        llm.createDataFrame([(1, "same row here with five words"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+        docs = llm.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for stage, f in corpus_pipeline.STAGES[:-1]:
+            docs = f(llm, docs, f"{tmp_path}/{name}")
+            assert docs.columns == own.columns, stage
+        left = [r.doc_id for r in docs.collect()]
+        out = corpus_pipeline.run(llm, f"{tmp_path}/{name}").collect()
+        assert len(out) == (len(left) if count is None else count)
+        if count is None:
+            assert {r.doc_id for r in out} == set(left) and not {0, 1, 2, 7, 15} & set(left) and {6, 10, 12} <= set(left)

@@ -8,16 +8,13 @@ from tokenizers import Tokenizer
 from episodica.llm import token_output as O
 
 
-def plain(path):
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+plain = Tokenizer.from_file
 
 
 @pytest.mark.parametrize("alphabet", [" \t\n\r''stveml_1a9zéñß.,-!?  ", " \n²ſİ \x85\x1c\xa0漢😀a'b,", "ab ,."])
 def test_encoding_is_the_library_s(alphabet):
     rng, path = random.Random(1), O.default_tokenizer()
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(3000)] + ["<|endoftext|> a", "", " ", "a" * 3000]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(3000)] + ["<|endoftext|> a", "The end. <|endoftext|> Next one", "a<|endoftext|>b c", "<|endoftext|", "", " ", "a" * 3000]
     want = [e.ids + [0] for e in plain(path).encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in O.encoded(path, texts)] == want
 
@@ -31,6 +28,26 @@ def test_pieces_join_without_changing_ids():
     assert O.pieces("x" * 200, 50) == ["x" * 200]
 
 
+def test_an_added_token_is_its_id():
+    path, end = O.default_tokenizer(), Tokenizer.from_file(O.default_tokenizer()).token_to_id("<|endoftext|>")
+    text = "some words here " * 40 + "<|endoftext|>" + " and some more" * 40
+    (got,) = O.encoded(path, [text])
+    assert got.tolist() == plain(path).encode(text, add_special_tokens=False).ids + [0] and got.tolist().count(end) == 1
+    long, parts = text * 3, O.pieces(text * 3, 100)
+    assert len(parts) > 10 and [i for p in parts for i in plain(path).encode(p, add_special_tokens=False).ids] == plain(path).encode(long, add_special_tokens=False).ids
+
+
+def test_the_dictionary_comes_from_whole_texts(llm):
+    """A text of one long document and pieces from all over it."""
+    words = [f"w{k}" for k in range(30_000)]
+    docs = llm.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+    made = docs.select("text").transform(O.store.arrow, O._sampled(O.default_tokenizer(), 2, 1.0), "ids binary").collect()
+    whole = O.encoded(O.default_tokenizer(), [" ".join(words)])[0].astype("<u2").tobytes()
+    assert b"".join(r.ids for r in made) == whole and len(made) > 5
+    part = docs.select("text").transform(O.store.arrow, O._sampled(O.default_tokenizer(), 2, 0.5), "ids binary").collect()
+    assert 0 < len(part) < len(made) and any(r.ids != made[0].ids for r in part)
+
+
 def test_round_trip(llm, docs, tmp_path):
     shards = O.write(docs, f"file://{tmp_path}/t", shards=5)
     rows, t = sorted(docs.collect(), key=lambda r: r.doc_id), plain(O.default_tokenizer())
