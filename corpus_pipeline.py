@@ -6,6 +6,12 @@
 3. decontamination: rows that hold a benchmark window go.
 4. mixing: each source is taken to its target, whole copies first, then a Pareto order sample.
 5. token_output: what is left, as binary shards of token ids, read back per row.
+
+Null, empty and blank texts go in the first stage, as they have no letters.  Null ids pass: in the second stage rows without id are
+told apart by their texts (one of equal ones stays), elsewhere they are rows like any.  Null languages don't train, a null
+source is a source of its own.  Repeated rows are near duplicates of each other; those of one id stay together.  Very long
+texts are whole in every stage.  An empty table, or one that a stage leaves empty, ends in no rows.  Extra columns are kept up to the
+fourth stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -59,8 +65,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = store.written(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        kept = store.written(stage(spark, docs, sf_dir), name)
+        store.forget(docs)
+        docs = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
