@@ -12,7 +12,7 @@ from pathlib import PurePosixPath
 from string import Template
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -130,26 +130,40 @@ def leaves(spark: SparkSession, documents: dict[str, dict]) -> DataFrame:
     return spark.createDataFrame(rows, "document string, path string, value string")
 
 
-def merged_leaves(layers: DataFrame) -> DataFrame:
-    """Of (layer number, path, value): the value of the highest layer for each path, dropping a lower layer's leaves
+def merged_leaves(layers: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Of (keys, layer number, path, value): the value of the highest layer for each path, dropping a lower layer's leaves
     above or below a higher layer's (a leaf replaces a mapping and the reverse)."""
-    top = layers.withColumn("n", F.row_number().over(Window.partitionBy("path").orderBy(F.desc("layer")))).where("n = 1").drop("n")
-    up = top.select(F.col("layer").alias("l"), F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("path", r"\."))), lambda n: F.concat_ws(".", F.slice(F.split("path", r"\."), 1, n)))).alias("p"), F.col("path").alias("of"))
+    keys = keys or []
+    top = layers.withColumn("n", F.row_number().over(Window.partitionBy(*keys, "path").orderBy(F.desc("layer")))).where("n = 1").drop("n")
+    parts = F.split("path", r"\.")
+    up = top.select(*keys, F.col("layer").alias("l"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat_ws(".", F.slice(parts, 1, n)))).alias("p"), F.col("path").alias("of"))
     up = up.where("p <> of")
-    lower = up.join(top, up.p == top.path)  # leaf `p` against leaf `of` below it
-    hidden = lower.select(F.when(F.col("l") > F.col("layer"), F.col("p")).otherwise(F.col("of")).alias("path")).distinct()
-    return top.join(hidden, "path", "left_anti")
+    above = top.select(*keys, "layer", F.col("path").alias("p"))
+    lower = up.join(above, [*keys, "p"])  # leaf `p` against leaf `of` below it
+    hidden = lower.select(*keys, F.when(F.col("l") > F.col("layer"), F.col("p")).otherwise(F.col("of")).alias("path")).distinct()
+    return top.join(hidden, [*keys, "path"], "left_anti")
 
 
-def chains(links: DataFrame, limit: int = 100) -> DataFrame:
-    """Of (child, parent): (name, chain array, cyclic) for every name, walked by joins until all chains end."""
+def chains(links: DataFrame) -> DataFrame:
+    """Of (child, parent): (name, chain array, cyclic) for every name, walked by joins until all chains end.
+
+    Each round ends a chain or makes it longer by a name that it doesn't hold, so rounds are as many as the longest chain."""
     names = links.select(F.col("child").alias("name")).union(links.select("parent")).distinct()
     at = names.select("name", F.array("name").alias("chain"), F.lit(False).alias("cyclic"), F.lit(False).alias("done"))
     up = links.select(F.col("child").alias("c"), F.col("parent").alias("p")).where("p is not null")
-    for _ in range(limit):
+    open_ones = at.count()
+    while open_ones:
         at = at.join(up, (F.element_at("chain", -1) == F.col("c")) & ~F.col("done"), "left")
-        again = F.array_contains("chain", F.col("p"))
-        at = at.select("name", F.when(F.col("p").isNull(), F.col("chain")).otherwise(F.concat("chain", F.array("p"))).alias("chain"), (F.col("cyclic") | F.coalesce(again, F.lit(False))).alias("cyclic"), (F.col("done") | F.col("p").isNull() | F.coalesce(again, F.lit(False))).alias("done")).checkpoint()
-        if at.where("not done").isEmpty():
-            break
+        again = F.coalesce(F.array_contains("chain", F.col("p")), F.lit(False))
+        longer = F.when(F.col("p").isNull(), F.col("chain")).otherwise(F.concat("chain", F.array("p")))
+        at = at.select("name", longer.alias("chain"), (F.col("cyclic") | again).alias("cyclic"), (F.col("done") | F.col("p").isNull() | again).alias("done")).checkpoint()
+        open_ones = at.where("not done").count()
     return at.select("name", "chain", "cyclic")
+
+
+def alias_value(values: Column, names: list[str]) -> Column:
+    """Of a map, the value of the first name that is present, even if it is null."""
+    out = F.lit(None)
+    for n in reversed(names):
+        out = F.when(F.map_contains_key(values, n), F.element_at(values, F.lit(n))).otherwise(out)
+    return out

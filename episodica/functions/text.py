@@ -97,18 +97,25 @@ def gibibytes(size: Column) -> Column:
     return size / F.lit(float(1 << 30))
 
 
-#: One number as log lines print it.
+#: One number as log lines print it, and fixed values: a trainer's step line, and its last summary where it prints no steps.
 _NUMBER = r"([-+0-9.eE]+)"
-METRICS = {"step": rf"step:\s*{_NUMBER}(K|k|M)?", "loss": rf"loss:\s*{_NUMBER}", "gradient_norm": rf"grdn:\s*{_NUMBER}", "samples_per_second": rf"smp/s:\s*{_NUMBER}", "memory_gb": rf"mem_gb:\s*{_NUMBER}"}
-FALLBACK = {"loss": rf"'train_loss':\s*'?{_NUMBER}", "samples_per_second": rf"'train_samples_per_second':\s*'?{_NUMBER}"}
+STEP_LINE = rf"\bstep:(\d+).*?\bloss:{_NUMBER}.*?\bgrdn:{_NUMBER}.*?\bsmp/s:{_NUMBER}.*?\bmem_gb:{_NUMBER}"
+METRICS = {"step": "long", "loss": "double", "gradient_norm": "double", "samples_per_second": "double", "cuda_memory_gib": "double"}
+SUMMARY = {"loss": rf"'train_loss':\s*{_NUMBER}", "samples_per_second": rf"'train_samples_per_second':\s*{_NUMBER}"}
 
 
-def log_metrics(line: Column) -> Column:
-    """A struct of the metrics of a log line: the step format, else the summary format, else null."""
-    get = lambda p: F.nullif(F.regexp_extract(line, p, 1), F.lit("")).try_cast("double")
-    step = F.struct(*(get(p).cast("long" if k == "step" else "double").alias(k) for k, p in METRICS.items()))
-    summary = F.struct(*((get(FALLBACK[k]) if k in FALLBACK else F.lit(None)).cast("long" if k == "step" else "double").alias(k) for k in METRICS))
-    return F.when(line.rlike(r"step:\s*\d.*loss:"), step).when(line.rlike(r"'train_loss':"), summary)
+def step_metrics(line: Column) -> Column:
+    """A struct of the metrics of the last complete step report in a line, else null: one match, then a split."""
+    found = F.when(F.contains(line, F.lit("mem_gb:")), F.get(F.regexp_extract_all(line, F.lit(f".*({STEP_LINE})"), F.lit(1)), F.lit(0)))
+    parts = F.split(F.regexp_replace(found, rf"\A{STEP_LINE}\z", "$1|$2|$3|$4|$5"), r"\|")
+    whole = F.struct(*(F.get(parts, F.lit(k)).try_cast(kind).alias(name) for k, (name, kind) in enumerate(METRICS.items())))
+    return F.when(found.isNotNull(), whole)
+
+
+def summary_metric(line: Column, name: str) -> Column:
+    """The last value of a summary's metric in a line, else null."""
+    pattern = SUMMARY[name]
+    return F.when(F.contains(line, F.lit("'train_")), F.get(F.regexp_extract_all(line, F.lit(f".*{pattern}"), F.lit(1)), F.lit(0)).try_cast("double"))
 
 
 #: What a log says when memory ran out.
@@ -116,5 +123,20 @@ OUT_OF_MEMORY = r"(?i)CUDA out of memory|OutOfMemoryError|CUBLAS_STATUS_ALLOC_FA
 
 
 def failure_category(code: Column, timed_out: Column, log: Column) -> Column:
-    """Null for exit 0; else timeout before oom before signal (codes from 128) before trainer_error."""
-    return F.when(timed_out, F.lit("timeout")).when(code == 0, F.lit(None)).when(F.coalesce(log.rlike(OUT_OF_MEMORY), F.lit(False)), F.lit("oom")).when(code >= 128, F.lit("signal")).otherwise(F.lit("trainer_error"))
+    """Null for exit 0, whatever else; then timeout before oom before signal (codes from 128) before trainer_error."""
+    oom = F.coalesce(log.rlike(OUT_OF_MEMORY), F.lit(False))
+    return F.when(code == 0, F.lit(None)).when(timed_out, F.lit("timeout")).when(oom, F.lit("oom")).when(code >= 128, F.lit("signal")).otherwise(F.lit("trainer_error"))
+
+
+def device_inode(text: Column) -> Column:
+    """Whether a text names a device and inode, as `stat` prints them."""
+    return F.coalesce(text.rlike(r"\A[0-9]+:[0-9]+\z"), F.lit(False))
+
+
+def whole_number(text: Column) -> Column:
+    """A value as a whole number as far as it is one: numbers are cut off at the point, texts must be digits; else null."""
+    return text.try_cast("long")
+
+
+def enough_space(free_bytes: Column, least_gib: Column) -> Column:
+    return gibibytes(free_bytes) >= least_gib

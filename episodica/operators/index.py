@@ -1,7 +1,7 @@
-"""Numbering without a global window: ranks, prefix sums and gap-free indices in two levels.
+"""Numbering without a global window: ranks, prefix sums and gap-free indices in one pass over ranges.
 
-Rows are bucketed by quantiles of the order column; buckets are numbered or summed each by itself, and only the
-buckets' totals (at most BUCKETS rows) are accumulated in one place.
+Rows are dealt to tasks by ranges of the order columns, sorted there, and written once with their place in the task; only
+the tasks' totals (a row each) are accumulated in one place.
 """
 
 from __future__ import annotations
@@ -9,31 +9,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+from ..tables import written
 
+#: Of monotonically_increasing_id: the bits of a row's place in its task, above which stands the task.
+_PLACE = 33
 
-def _bucket(df: DataFrame, order: str) -> Column:
-    shares = [k / BUCKETS for k in range(1, BUCKETS)]
-    cuts = sorted(set(df.agg(F.percentile_approx(order, F.lit(shares), 2000)).first()[0] or []))
 
-    def search(low: int, high: int) -> Column:
-        """How many of cuts[low:high] aren't above the value, plus low: a binary search as nested conditions."""
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(F.col(order) >= F.lit(cuts[mid]), search(mid + 1, high)).otherwise(search(low, mid))
-
-    return search(0, len(cuts))
+def running_totals(df: DataFrame, order: list[str], sums: dict[str, Column | None]) -> DataFrame:
+    """`df` and, for each name, the sum of a column over all rows before each in the order (None: how many rows these are)."""
+    values = {n: v for n, v in sums.items() if v is not None}
+    id_, first = "__id", {n: f"__first_{n}" for n in sums}
+    x = df.withColumns({f"__{n}": v.cast("long") for n, v in values.items()}) if values else df
+    x = written(x.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(id_, F.monotonically_increasing_id()), "numbered")
+    task = F.shiftright(F.col(id_), _PLACE)
+    totals = x.groupBy(task.alias("__task")).agg(*(F.count("*").alias(n) if v is None else F.sum(f"__{n}").alias(n) for n, v in sums.items()))
+    ahead = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("__task").alias("__of"), *(F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(first[n]) for n in sums))
+    x = x.withColumn("__task", task)
+    within = Window.partitionBy("__task").orderBy(id_).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col(id_).bitwiseAND(F.lit((1 << _PLACE) - 1))
+    x = x.withColumns({f"__in_{n}": place if v is None else F.coalesce(F.sum(f"__{n}").over(within), F.lit(0)) for n, v in sums.items()})
+    x = x.join(F.broadcast(starts), F.col("__task") == F.col("__of"))  # a row for each task
+    return x.select(*(f"`{c}`" for c in df.columns), *((F.col(first[n]) + F.col(f"__in_{n}")).cast("long").alias(n) for n in sums))
 
 
 def running_total(df: DataFrame, order: str, value: Column | None = None, name: str = "before", ties: tuple[str, ...] = ()) -> DataFrame:
     """`df` and the sum of `value` (by default 1) over all rows before each in the order, `ties` breaking equal ones."""
-    x = df.withColumn("__b", _bucket(df, order)).withColumn("__v", (F.lit(1) if value is None else value).cast("long"))
-    totals = x.groupBy("__b").agg(F.sum("__v").alias("__t"))
-    first = totals.select(F.col("__b").alias("__k"), F.coalesce(F.sum("__t").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first"))
-    within = Window.partitionBy("__b").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("__in", F.coalesce(F.sum("__v").over(within), F.lit(0))).join(F.broadcast(first), F.col("__b") == F.col("__k"))
-    return x.withColumn(name, (F.col("__first") + F.col("__in")).cast("long")).select(*(f"`{c}`" for c in df.columns), name)
+    return running_totals(df, [order, *ties], {name: value})
 
 
 def compact_ids(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -11,20 +11,55 @@ def hashed(files: DataFrame, path: str = "path", content: str = "content") -> Da
     return files.select(F.col(path).alias("path"), F.octet_length(content).cast("long").alias("bytes"), F.sha2(F.col(content).cast("binary"), 256).alias("sha256"))
 
 
-def excluded(files: DataFrame, names: list[str], folders: list[str] = (), path: str = "path") -> DataFrame:  # type: ignore[assignment]
-    """Files but those named so, or below a folder named so."""
+def excluded(files: DataFrame, names: list[str], folders: list[str] | None = None, path: str = "path") -> DataFrame:
+    """Files but those named so, or in a folder at the top named so."""
     parts = F.split(path, "/")
-    return files.where(~F.element_at(parts, -1).isin(*names) if names else F.lit(True)).where(~F.arrays_overlap(parts, F.lit(list(folders))) if folders else F.lit(True))
+    kept = files.where(~F.element_at(parts, -1).isin(names)) if names else files
+    return kept.where(~F.get(parts, F.lit(0)).isin(folders)) if folders else kept
 
 
 def lines(manifest: DataFrame) -> DataFrame:
-    """One row: text "hash  path\\n" sorted by path, its sha256, files, bytes.  A manifest of one dataset is one document."""
-    pairs = F.array_sort(F.collect_list(F.struct("path", "sha256", "bytes")))
+    """One row: text "hash  path\n" sorted by path, folder by folder, its sha256, files, bytes.  A manifest of one dataset is one document."""
+    pairs = F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("parts"), "path", "sha256", "bytes")))
     out = manifest.agg(pairs.alias("p"), F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
     out = out.withColumn("text", F.array_join(F.transform("p", lambda s: F.concat(s["sha256"], F.lit("  "), s["path"], F.lit("\n"))), ""))
     return out.select("text", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "files", "bytes")
 
 
+#: What each flavour of a payload's digest leaves out: files by name, folders at the top.
+LEFT_OUT = {
+    "registry": ([".groot_registry_download.json"], [".cache"]),
+    "merge": (["MERGE_RECEIPT.json"], []),
+    "correction": (["INSTRUCTION_CORRECTION_RECEIPT.json"], []),
+    "language": (["LANGUAGE_VARIANT_RECEIPT.json", "DERIVATION_RECEIPT.json", "ISAAC_DERIVATION_RECEIPT.json", ".groot_registry_download.json"], []),
+}
+
+
+def payload(files: DataFrame, flavour: str, path: str = "path", content: str = "content") -> DataFrame:
+    """The manifest of a payload as one of the flavours digests it."""
+    names, folders = LEFT_OUT[flavour]
+    return lines(hashed(excluded(files, names, folders, path), path, content))
+
+
+def fingerprint(files: DataFrame) -> DataFrame:
+    """One row: inventory_sha256 (paths and lengths), metadata_sha256 (paths and bytes of files below meta/), file_count, bytes.
+
+    files: path, content.  Of contents only the metadata's are gathered."""
+    meta = F.when(F.startswith("path", F.lit("meta/")), F.col("content").cast("binary"))
+    rows = files.select("path", F.octet_length("content").cast("long").alias("n"), meta.alias("m"))
+    out = rows.agg(F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("parts"), "path", "n", "m"))).alias("p"), F.count("*").alias("file_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes"))
+    zero = F.lit(b"\0")
+    whole = lambda parts: F.aggregate(parts, F.lit(b""), lambda a, x: F.concat(a, x))
+    lines = F.transform("p", lambda s: F.concat(s["path"].cast("binary"), zero, s["n"].cast("string").cast("binary"), F.lit(b"\n")))
+    meta = F.transform(F.filter("p", lambda s: s["m"].isNotNull()), lambda s: F.concat(s["path"].cast("binary"), zero, s["m"]))
+    return out.select(F.sha2(whole(lines), 256).alias("inventory_sha256"), F.sha2(whole(meta), 256).alias("metadata_sha256"), "file_count", "bytes")
+
+
+def relink_differences(pairs: DataFrame) -> DataFrame:
+    """Of `relinked` pairs: files without a partner or with other bytes, which must not be linked."""
+    return pairs.where("source is null or output is null or not same").select("camera", "place", "source", "output")
+
+
 def parsed(text_lines: DataFrame, line: str = "value") -> DataFrame:
     """(sha256, path) of manifest lines; blank lines are skipped."""
     parts = F.split(line, "  ", 2)

@@ -11,11 +11,10 @@ SOURCE = "source_id"
 
 
 def compacted(frames: DataFrame, episode: str = "episode_index") -> DataFrame:
-    """(source, episode, compact): each source's episode ids numbered 0.. without gaps, after all earlier sources'.
-
-    One two-level numbering over (source, episode) gives both the compact id and the source's offset."""
-    ids = frames.select(SOURCE, episode).distinct()
-    return index.running_total(ids, SOURCE, name="new_episode", ties=(episode,))
+    """(source, episode, length, new_episode, dataset_from_index): each source's episode ids numbered 0.. without gaps, after all
+    earlier sources', and the merged index of their first frames, in one numbering over (source, episode)."""
+    ids = frames.groupBy(SOURCE, episode).agg(F.count("*").alias("length"))
+    return index.running_totals(ids, [SOURCE, episode], {"new_episode": None, "dataset_from_index": F.col("length")})
 
 
 def offsets(ids: DataFrame) -> DataFrame:
@@ -29,18 +28,43 @@ def source_of(episodes: DataFrame, bounds: DataFrame, episode: str = "new_episod
     return episodes.join(F.broadcast(b), (F.col(episode) >= F.col("from_episode")) & (F.col(episode) < F.col("to_episode"))).withColumn(SOURCE, F.col("__s")).drop("__s", "from_episode", "to_episode")
 
 
-def frames(rows: DataFrame, vocabularies: DataFrame, order: list[str], episode: str = "episode_index", subtask: str = "subtask_index", text: str = "subtask") -> DataFrame:
-    """Merged frames: new_episode, frame_index (place), new_index, new_subtask.  `rows` has source_id and these columns."""
-    ids = compacted(rows, episode)
+def frames(rows: DataFrame, vocabularies: DataFrame, order: list[str], episode: str = "episode_index", subtask: str = "subtask_index", text: str = "subtask", ids: DataFrame | None = None) -> DataFrame:
+    """Merged frames: new_episode, frame_index (place), new_index, new_subtask.  `rows` has source_id and these columns; a
+    subtask that its source's vocabulary lacks is an error.  `ids`: of `compacted`, if it is there already."""
+    ids = compacted(rows, episode) if ids is None else ids
     merged = vocab.union(vocabularies, subtask, text)
     pairs = vocab.mapping(vocabularies, merged, subtask, text)
     w = Window.partitionBy(SOURCE, episode).orderBy(*order)
-    out = rows.withColumn("place", (F.row_number().over(w) - 1).cast("long")).join(ids, [SOURCE, episode])
-    lengths = out.groupBy("new_episode").agg(F.count("*").alias("length"))
-    first = index.episode_offsets(lengths, "new_episode").select("new_episode", "dataset_from_index")
-    out = out.join(first, "new_episode").withColumn("new_index", F.col("dataset_from_index") + F.col("place"))
-    out = out.join(pairs, [SOURCE, subtask], "left").withColumnRenamed(f"new_{subtask}", "new_subtask")
-    return out.drop("dataset_from_index")
+    out = rows.withColumn("place", (F.row_number().over(w) - 1).cast("long")).join(ids.select(SOURCE, episode, "new_episode", "dataset_from_index"), [SOURCE, episode])
+    out = out.withColumn("new_index", F.col("dataset_from_index") + F.col("place")).withColumn("new_subtask", F.col(subtask))
+    known = pairs.select(SOURCE, F.col(subtask).alias("new_subtask"), F.col(f"new_{subtask}").alias("__new"))
+    return vocab.remap(out, known, [SOURCE, "new_subtask"], "__new").drop("dataset_from_index")
+
+
+def unmapped(rows: DataFrame, vocabularies: DataFrame, subtask: str = "subtask_index") -> DataFrame:
+    """(source, subtask) of frames whose subtask their source's vocabulary lacks."""
+    return rows.select(SOURCE, subtask).distinct().join(vocabularies.select(SOURCE, subtask), [SOURCE, subtask], "left_anti")
+
+
+def gates(sources: DataFrame, vocabularies: DataFrame | None = None, text: str = "subtask", shared: list[str] | None = None) -> DataFrame:
+    """(rule, location): why sources can't be merged; none if they can.
+
+    sources: source_id, root, annotation_path, features (a map from name to its contract as text).  Roots must differ,
+    annotation paths be there and the same, features equal those of the first source, and vocabularies agree on the
+    shared columns of a text."""
+    rule = lambda df, name, where: df.select(F.lit(name).alias("rule"), where.cast("string").alias("location"))
+    out = rule(sources.groupBy("root").agg(F.count("*").alias("c")).where("c > 1"), "unique_roots", F.col("root"))
+    out = out.unionAll(rule(sources.where("annotation_path is null"), "annotation_path", F.col("root")))
+    paths = sources.agg(F.array_sort(F.collect_set("annotation_path")).alias("p")).where(F.size("p") > 1)
+    out = out.unionAll(rule(paths, "one_annotation_path", F.array_join("p", " ")))
+    first = sources.agg(F.min_by("features", SOURCE).alias("f"))  # one row
+    each = sources.select("root", F.explode("features").alias("name", "said")).join(F.broadcast(first.select(F.explode("f").alias("name", "expected"))), "name", "full_outer")
+    names = first.select(F.explode(F.map_keys("f")).alias("name"))
+    lost = sources.select("root", F.map_keys("features").alias("have")).join(F.broadcast(names), ~F.array_contains("have", F.col("name")))
+    out = out.unionAll(rule(each.where("root is not null and not said <=> expected"), "feature", F.concat_ws(" ", "root", "name"))).unionAll(rule(lost, "feature", F.concat_ws(" ", "root", "name")))
+    if vocabularies is not None and shared:
+        out = out.unionAll(rule(vocab.conflicts(vocabularies, text, shared), "vocabulary", F.col(text)))
+    return out
 
 
 def episode_rows(merged: DataFrame, names: DataFrame, subtask: str = "subtask_index", text: str = "subtask") -> DataFrame:
@@ -54,7 +78,7 @@ def episode_rows(merged: DataFrame, names: DataFrame, subtask: str = "subtask_in
 
 def annotations(rows: DataFrame, ids: DataFrame, episode: str = "episode_index") -> DataFrame:
     """Annotation rows under their new episode."""
-    return rows.join(ids, [SOURCE, episode]).withColumn(episode, F.col("new_episode")).drop("new_episode")
+    return rows.join(ids.select(SOURCE, episode, "new_episode"), [SOURCE, episode]).withColumn(episode, F.col("new_episode")).drop("new_episode")
 
 
 def frame_reuse(parts: list[DataFrame], ids: DataFrame, episode: str = "episode_index") -> DataFrame:

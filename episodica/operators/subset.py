@@ -27,8 +27,8 @@ def segments(kept: DataFrame, episode: str = EPISODE) -> DataFrame:
     """One row an island: source_episode, start_frame, end_frame, length, new episode id and global bounds."""
     out = kept.groupBy(episode, "island").agg(F.min("pos").alias("start_frame"), (F.max("pos") + 1).alias("end_frame"))
     out = out.withColumn("length", F.col("end_frame") - F.col("start_frame")).withColumnRenamed(episode, "source_episode")
-    out = index.running_total(out, "source_episode", name="new_episode", ties=("start_frame",))
-    return index.episode_offsets(out, "new_episode")
+    out = index.running_totals(out, ["source_episode", "start_frame"], {"new_episode": None, "dataset_from_index": F.col("length")})
+    return out.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
 
 
 def reindexed(kept: DataFrame, found: DataFrame, fps: float, episode: str = EPISODE) -> DataFrame:

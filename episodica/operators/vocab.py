@@ -47,9 +47,27 @@ def unresolved(frames: DataFrame, vocabulary: DataFrame, index: str) -> DataFram
     return frames.select(index).distinct().join(vocabulary.select(index), index, "left_anti")
 
 
-def prompt_index(use_subtask: bool, subtask: str = "subtask_index") -> Column:
-    """Task index of a language view: the subtask's, or 0 for one prompt an episode."""
-    return F.when(F.lit(use_subtask), F.col(subtask)).otherwise(F.lit(0)).cast("long")
+def prompt_index(use_subtask: bool, subtask: str = "subtask_index", size: int | None = None) -> Column:
+    """Task index of a language view: the subtask's, or 0 for one prompt an episode.  A subtask outside a vocabulary of
+    `size` prompts is an error."""
+    if not use_subtask:
+        return F.lit(0).cast("long")
+    if size is None:
+        return F.col(subtask).cast("long")
+    inside = F.coalesce(F.col(subtask).between(0, size - 1), F.lit(False))
+    return F.when(inside, F.col(subtask).cast("long")).otherwise(F.raise_error(F.concat(F.lit("outside the task vocabulary: "), F.coalesce(F.col(subtask).cast("string"), F.lit("null")))).cast("long"))
+
+
+def task_problems(tasks: DataFrame, text: str = "task") -> DataFrame:
+    """(text, problem): task texts that are blank or stand more than once."""
+    blank = tasks.where(F.col(text).isNull() | (F.trim(text) == "")).select(text, F.lit("blank").alias("problem"))
+    return blank.unionAll(duplicates(tasks, text).select(text, F.lit("not unique").alias("problem")))
+
+
+def remap_lists(lists: Column, lookup: Column) -> Column:
+    """Ids in an array replaced by a map; an id that the map lacks is an error."""
+    new = lambda i: F.element_at(lookup, i.cast("long"))
+    return F.transform(lists, lambda i: F.when(new(i).isNull(), F.raise_error(F.concat(F.lit("no new id for "), i.cast("string"))).cast("long")).otherwise(new(i)))
 
 
 def texts_of(indices: Column, lookup: Column) -> Column:

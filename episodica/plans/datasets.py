@@ -9,14 +9,20 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import model
 from ..functions import text
-from ..operators import horizon, index, merge, segments, stats, subset, vectors, vocab
+from ..functions.config import canonical
+from ..operators import horizon, index, media, merge, segments, stats, subset, vectors, vocab
 from ..sources import files, sinks
-from . import rules
+from . import documents, rules
 
 FRAME = ["episode_index", "frame_index", "index"]
 
 
+class GateError(ValueError):
+    """A stage's gate found violations; the first is the message."""
+
+
 @dataclass(frozen=True)
 class Dataset:
     """The tables of one dataset.  Frames keep their place in the files as `place`."""
@@ -46,7 +52,7 @@ def load(spark: SparkSession, root: str, columns: list[str] | None = None) -> Da
         files.vocabulary(spark, f"{root}/meta/subtasks.parquet", "subtask_index", "subtask"),
         files.episodes(spark, root).drop("file_path", "row_index"),
         files.annotations(spark, root),
-        said.asDict(True) if said else {},
+        (said.asDict(True) if said else {}) | {"root": root},
     )
 
 
@@ -54,7 +60,7 @@ def preflight(data: Dataset) -> DataFrame:
     """Integrity violations, by files' order."""
     totals = (data.info.get("total_episodes"), data.info.get("total_frames"))
     words = {"tasks": (data.tasks, "task_index", "task"), "subtasks": (data.subtasks, "subtask_index", "subtask")}
-    return rules.preflight(data.frames, data.episodes, words, data.annotations, totals if None not in totals else None, "place")
+    return rules.preflight(data.frames, data.episodes, words, data.annotations, totals if None not in totals else None, "place", True)
 
 
 def caption_audit(data: Dataset, mode: str, phases: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -84,16 +90,68 @@ def language_view(data: Dataset, variant: str, overall: str = "", mapped: dict[s
     """The dataset with other prompts: one for the whole episode, the subtasks' texts, or mapped ones.  Only task
     indices, the task table, the episodes' task lists and their statistics change."""
     own = VARIANTS[variant]
-    frames = data.frames.withColumn("task_index", vocab.prompt_index(own).cast(data.frames.schema["task_index"].dataType))
-    if own:
-        tasks = data.subtasks.select(F.col("subtask_index").alias("task_index"), text.replaced(F.col("subtask"), mapped or {}).alias("task"))
-    else:
-        tasks = data.subtasks.sparkSession.createDataFrame([(0, overall)], "task_index long, task string")
+    kind = data.frames.schema["task_index"].dataType
+    frames = data.frames.withColumn("task_index", vocab.prompt_index(own, size=data.subtasks.count()).cast(kind))
+    tasks = prompts(data, variant, overall, mapped)
     lists = _task_lists(frames, tasks)
     episodes = refreshed(data.episodes.drop("tasks").join(lists, "episode_index"), frames, ["task_index"])
     return data.replaced(frames=frames, tasks=tasks, episodes=episodes.select(*_names(data.episodes)), info=data.info | {"total_tasks": tasks.count()})
 
 
+def prompts(data: Dataset, variant: str, overall: str = "", mapped: dict[str, str] | None = None) -> DataFrame:
+    """The task table of a language view."""
+    if not VARIANTS[variant]:
+        return data.subtasks.sparkSession.createDataFrame([(0, overall)], "task_index long, task string")
+    return data.subtasks.select(F.col("subtask_index").alias("task_index"), text.replaced(F.col("subtask"), mapped or {}).alias("task"))
+
+
+def line_view(frames: DataFrame, episodes: DataFrame, episode_stats: DataFrame, tasks: DataFrame, own: bool, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A language view of a tree whose metadata are JSON lines: frames (task index and its annotation), episodes with their
+    task lists, and per-episode statistics with those of the task index.
+
+    episodes: episode_index, tasks; episode_stats: episode_index, stats (a map from feature to a map from statistic to values)."""
+    new = frames.withColumn("task_index", vocab.prompt_index(own, size=size).cast(frames.schema["task_index"].dataType))
+    note = "annotation.human.task_description"
+    if note not in frames.columns:
+        raise ValueError(f"frames lack {note}")
+    new = new.withColumn(note, F.col("task_index"))
+    lists = _task_lists(new, tasks)
+    found = stats.column_stats(new, ["task_index"], ["episode_index"])
+    one = F.create_map(*(x for n in ("mean", "std", "min", "max", "count") for x in (F.lit(n), F.array(F.col(n).cast("double")))))
+    found = found.select("episode_index", F.create_map(F.lit("task_index"), one).alias("__new"))
+    old = F.map_filter(F.coalesce("stats", F.create_map().cast("map<string,map<string,array<double>>>")), lambda k, v: k != "task_index")
+    out = episode_stats.join(found, "episode_index").withColumn("stats", F.map_concat(old, "__new")).select(*_names(episode_stats))
+    return new, episodes.drop("tasks").join(lists, "episode_index").select(*_names(episodes)), out
+
+
+def write_boundary_manifest(starts: DataFrame, root: str) -> tuple[str, str]:
+    """Writes the crossing starts below a tree's metadata; the path below the root and the SHA-256 of the file's bytes."""
+    path = "meta/language_h40_boundary_starts.parquet"
+    sinks.table(starts.select(*(f.split()[0] for f in model.BOUNDARY_STARTS.split(", "))), f"{root}/{path}", ["episode_index", "frame_index"], 1)
+    parts = files.files(starts.sparkSession, f"{root}/{path}", "*.parquet")
+    return path, parts.select(F.sha2("content", 256).alias("h")).first().h
+
+
+def rich_subtasks(data: Dataset, phases: int = 5) -> list[str]:
+    """The subtasks' texts in order; there must be just so many, numbered from 0, none blank."""
+    rows = data.subtasks.orderBy("subtask_index").collect()  # a vocabulary
+    if [r.subtask_index for r in rows] != list(range(phases)) or not all((r.subtask or "").strip() for r in rows):
+        raise ValueError(f"expected {phases} contiguous subtasks")
+    return [r.subtask for r in rows]
+
+
+def parent_problems(info: dict[str, Any], present: list[str], version: str, receipt: str | None = None) -> list[str]:
+    """Why a tree can't be the parent of language views."""
+    return ([] if info.get("codebase_version") == version else [f"expected {version}, observed {info.get('codebase_version')}"]) + ([f"missing parent {receipt}"] if receipt and receipt not in present else [])
+
+
+def variants(source: Dataset, prepared: Dataset, requested: list[str], overall: str, mapped: dict[str, str] | None = None) -> dict[str, tuple[Dataset, Dataset]]:
+    """Of both frame trees each requested language view, in the order of VARIANTS; the trees must share their subtasks."""
+    if rich_subtasks(source) != rich_subtasks(prepared):
+        raise ValueError("source and prepared subtask vocabularies differ")
+    return {v: (language_view(source, v, overall, mapped), language_view(prepared, v, overall, mapped)) for v in chosen_variants(requested)}
+
+
 INTEGERS = ("index", "episode_index", "frame_index", "task_index", "subtask_index")
 
 
@@ -133,15 +191,19 @@ def _task_lists(frames: DataFrame, tasks: DataFrame) -> DataFrame:
 
 def corrected(data: Dataset, pairs: dict[str, str], phases: int = 5) -> tuple[Dataset, DataFrame]:
     """The dataset with instructions replaced where they match exactly, and (old, found, expected) counts: each must be
-    once in the vocabulary, and once in every episode and every annotation."""
+    once in the vocabulary, and once in every episode and every annotation, else it is an error."""
     assert data.annotations is not None
-    keys = [F.lit(k) for k in pairs]
     said = data.subtasks.select(F.col("subtask").alias("old"))
     for rows, field in ((data.episodes, F.col("subtask_instructions")), (data.annotations, F.transform("sub_task_annotation", lambda b: b["sub_task_instruction"]))):
         checked = F.when(F.size(field) == phases, field).otherwise(F.raise_error(F.lit(f"not {phases} instructions")).cast("array<string>"))
         said = said.unionAll(rows.select(F.explode(checked).alias("old")))
     want = 1 + data.episodes.count() + data.annotations.count()
-    counts = said.where(F.col("old").isin(*keys)).groupBy("old").agg(F.count("*").alias("found")).withColumn("expected", F.lit(want).cast("long"))
+    spark = data.frames.sparkSession
+    asked = spark.createDataFrame([(k,) for k in pairs], "old string")
+    counts = exact_counts(said, asked, want)
+    wrong = counts.where("found <> expected").orderBy("old").first()
+    if wrong is not None:
+        raise GateError(f"{wrong.old!r}: found {wrong.found} times, expected {wrong.expected}")
     out = data.replaced(
         subtasks=data.subtasks.withColumn("subtask", text.replaced(F.col("subtask"), pairs)),
         episodes=data.episodes.withColumn("subtask_instructions", text.replaced_list(F.col("subtask_instructions"), pairs)),
@@ -150,6 +212,60 @@ def corrected(data: Dataset, pairs: dict[str, str], phases: int = 5) -> tuple[Da
     return out, counts
 
 
+def exact_counts(said: DataFrame, asked: DataFrame, expected: int) -> DataFrame:
+    """(old, found, expected): how often each asked text stands among those said."""
+    found = asked.distinct().join(said.groupBy("old").agg(F.count("*").alias("found")), "old", "left")
+    return found.select("old", F.coalesce("found", F.lit(0)).cast("long").alias("found"), F.lit(expected).cast("long").alias("expected"))
+
+
+def sliced_stats(rows: DataFrame, dims: dict[str, list[int]]) -> DataFrame:
+    """Global statistics (feature, stat, dim, value) with the features' dimensions cut to those given, renumbered in their
+    order; counts and other features stay."""
+    spark = rows.sparkSession
+    keep = spark.createDataFrame([(f, old, new) for f, ds in dims.items() for new, old in enumerate(ds)], "f string, old int, new int")
+    cut = F.col("feature").isin(list(dims)) & (F.col("stat") != "count")
+    inner = rows.where(cut).join(F.broadcast(keep), (F.col("feature") == F.col("f")) & (F.col("dim") == F.col("old")))
+    return rows.where(~cut).select("feature", "stat", "dim", "value").unionAll(inner.select("feature", "stat", F.col("new").alias("dim"), "value"))
+
+
+def letterboxed_stats(rows: DataFrame, camera: str, kept: float = 0.75) -> DataFrame:
+    """Global statistics (feature, stat, dim, value) with a camera's moments as they are when the rest of its picture is black."""
+    mine = rows.where((F.col("feature") == camera) & F.col("stat").isin("mean", "std"))
+    both = mine.groupBy("feature", "dim").agg(F.max(F.when(F.col("stat") == "mean", F.col("value"))).alias("m"), F.max(F.when(F.col("stat") == "std", F.col("value"))).alias("s")).where("m is not null and s is not null")
+    mean, std = stats.padded_moments(F.col("m"), F.col("s"), kept)
+    new = both.select("feature", F.explode(F.create_map(F.lit("mean"), mean, F.lit("std"), std)).alias("stat", "new"), "dim")
+    return rows.join(new, ["feature", "stat", "dim"], "left").select("feature", "stat", "dim", F.coalesce("new", "value").alias("value"))
+
+
+def derivative_problems(data: Dataset, frames: int, dims: dict[str, int], probes: DataFrame, cameras: dict[str, int], fps: float, tolerance: float, max_gop: int) -> list[str]:
+    """Why a derivative can't be used: task texts, vectors of another size, frames lost, videos that aren't as they must be.
+
+    probes: camera and the columns of `media.acceptable`; cameras: videos expected of each."""
+    out = [f"task {r.task!r} is {r.problem}" for r in vocab.task_problems(data.tasks).collect()]
+    for column, n in dims.items():
+        if not data.frames.where(~F.size(F.col(f"`{column}`")).eqNullSafe(n)).isEmpty():
+            out.append(f"{column} isn't {n}-dimensional")
+    if (found := data.frames.count()) != frames:
+        out.append(f"frame count changed: {frames} -> {found}")
+    good = media.acceptable(640, 480, fps, tolerance, "h264", max_gop)
+    videos = {r.camera: (r.n, r.bad) for r in probes.groupBy("camera").agg(F.count("*").alias("n"), F.count_if(~F.coalesce(good, F.lit(False))).alias("bad")).collect()}
+    for camera, n in cameras.items():
+        there, bad = videos.get(camera, (0, 0))
+        out += [f"{camera}: {there} videos, expected {n}"] if there != n else []
+        out += [f"{camera}: {bad} videos of another format"] if bad else []
+    return out
+
+
+def dataset_totals(data: Dataset) -> dict[str, int]:
+    """Episodes, frames, and captions checked: of both vocabularies, of the episodes' lists and of the annotations."""
+    of = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0]
+    captions = data.tasks.count() + data.subtasks.count() + of(data.episodes, F.greatest(F.size("subtask_instructions"), F.lit(0)))
+    if data.annotations is not None:
+        captions += of(data.annotations, F.greatest(F.size("sub_task_annotation"), F.lit(0)))
+    seen = data.frames.agg(F.count_distinct("episode_index").alias("e"), F.count("*").alias("f")).first()
+    return {"episodes": seen.e, "frames": seen.f, "captions_checked": captions}
+
+
 def sliced(data: Dataset, dims: dict[str, list[int]]) -> Dataset:
     """Vector columns and their per-episode statistics reduced to the given dimensions (null statistics stay null)."""
     frames, episodes = data.frames, data.episodes
@@ -178,19 +294,28 @@ def merged(sources: list[Dataset]) -> Dataset:
     tag = lambda part, k: part.withColumn(merge.SOURCE, F.lit(k))
     union = lambda of: _union([tag(of(s), k) for k, s in enumerate(sources)])
     rows, tasks, words = union(lambda s: s.frames), union(lambda s: s.tasks), union(lambda s: s.subtasks)
+    spark = rows.sparkSession
+    said_of = [(k, str(s.info.get("root", k)), s.info.get("annotation_path"), {f: canonical(v) for f, v in documents.feature_view(s.info).items()}) for k, s in enumerate(sources)]
+    gates = merge.gates(spark.createDataFrame(said_of, "source_id int, root string, annotation_path string, features map<string,string>"))
+    shared = [c for c in tasks.columns if c not in ("task_index", "task", merge.SOURCE)]
+    gates = gates.unionAll(vocab.conflicts(tasks, "task", shared).select(F.lit("vocabulary").alias("rule"), F.col("task").alias("location"))) if shared else gates
+    broken = gates.orderBy("rule", "location").first()
+    if broken is not None:
+        raise GateError(f"{broken.rule}: {broken.location}")
     new_tasks, new_words = vocab.union(tasks, "task_index", "task"), vocab.union(words, "subtask_index", "subtask")
-    frames = merge.frames(rows, words, ["frame_index"])
-    frames = frames.join(vocab.mapping(tasks, new_tasks, "task_index", "task"), [merge.SOURCE, "task_index"], "left")
     ids = merge.compacted(rows)
+    frames = merge.frames(rows, words, ["frame_index"], ids=ids).withColumn("new_task_index", F.col("task_index"))
+    known = vocab.mapping(tasks, new_tasks, "task_index", "task").select(merge.SOURCE, F.col("task_index").alias("new_task_index"), F.col("new_task_index").alias("__new"))
+    frames = vocab.remap(frames, known, [merge.SOURCE, "new_task_index"], "__new")
     lists = segments.first_seen(frames.select("new_episode", "place", "new_task_index").join(new_tasks, F.col("new_task_index") == F.col("task_index")), "task", ["place"], "new_episode").select("new_episode", F.col("values").alias("tasks"))
-    bounds = frames.groupBy("new_episode").agg(F.count("*").alias("length"), F.min("new_index").alias("dataset_from_index"), (F.max("new_index") + 1).alias("dataset_to_index"))
     meta = union(lambda s: s.episodes.drop("length", "dataset_from_index", "dataset_to_index", "tasks")).join(ids, [merge.SOURCE, "episode_index"])
-    meta = meta.join(bounds, "new_episode").join(lists, "new_episode").withColumn("full_episode_index", F.col("new_episode")).withColumn("episode_index", F.col("new_episode")).drop(merge.SOURCE, "new_episode")
+    meta = meta.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
+    meta = meta.join(lists, "new_episode").withColumn("full_episode_index", F.col("new_episode")).withColumn("episode_index", F.col("new_episode")).drop(merge.SOURCE, "new_episode")
     out = frames.withColumn("task_index", F.col("new_task_index")).withColumn("subtask_index", F.col("new_subtask")).withColumn("episode_index", F.col("new_episode")).withColumn("frame_index", F.col("place")).withColumn("index", F.col("new_index")).withColumn("place", F.col("new_index"))
     said = None
     if all(s.annotations is not None for s in sources):
         said = merge.annotations(union(lambda s: s.annotations), ids).drop(merge.SOURCE)
-    total = {k: sum(s.info.get(k) or 0 for s in sources) for k in ("total_episodes", "total_frames")}
+    total = {k: sum(s.info.get(k) or 0 for s in sources) for k in ("total_episodes", "total_frames")} | {"total_tasks": new_tasks.count()}
     meta = refreshed(meta, out)
     return Dataset(out.select(*_names(sources[0].frames)), new_tasks, new_words, meta, said, sources[0].info | total)
 
@@ -227,10 +352,6 @@ def write(data: Dataset, root: str, files_: int = 1) -> None:
         sinks.vocabulary(df, f"{root}/meta/{name}.parquet", cols)
 
 
-class GateError(ValueError):
-    """A stage's gate found violations; the first is the message."""
-
-
 def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, phases: int | None = None) -> tuple[Dataset, dict[str, Any]]:
     """Preflight, caption audit, slicing, preflight again, boundary report: each stage only if the gate before it is clean."""
     report: dict[str, Any] = {}
@@ -254,14 +375,3 @@ def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, p
     gate("slices", preflight(out))
     report["boundaries"] = boundary_manifest(out, steps)[1].first().asDict()
     return out, report
-
-
-def registration(name: str, root: str, info: dict[str, Any], revision: str, robot_revision: str, task: str, workspace: str = "", **more: Any) -> dict[str, Any]:
-    """A dataset's registration document, its contract derived from the metadata unless given."""
-    features = info.get("features") or {}
-    cameras = [{"key": k, "shape": list(f["shape"])} for k, f in features.items() if f.get("dtype") in ("video", "image")]
-    vector = lambda k: {"dim": (features[k]["shape"] or [0])[0], "names": features[k].get("names")} if k in features else None
-    contract = {"fps": info.get("fps"), "cameras": cameras, "state": vector("observation.state"), "action": vector("action")}
-    contract |= more.pop("contract", {})
-    path = f"${{workspace}}{root[len(workspace.rstrip('/')):]}" if workspace and root.startswith(workspace.rstrip("/") + "/") else root
-    return {"schema_version": 1, "name": name, "root": path, "revision": revision, "robot_revision": robot_revision, "task": task, "contract": contract} | more

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import caption_problem
-from ..operators import index, segments
+from ..operators import index, segments, vocab
 
 
 def violations(df: DataFrame, rule: str, order: int, location: Column, expected: Column, observed: Column) -> DataFrame:
@@ -37,15 +37,16 @@ def captions(df: DataFrame, rule: str, order: int, location: Column, text: Colum
     return violations(bad, rule, order, location, F.lit("clean caption"), F.col("__problem"))
 
 
-def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tuple[DataFrame, str, str]], annotations: DataFrame | None, totals: tuple[int, int] | None = None, order: str = "index") -> DataFrame:
-    """Dataset integrity.  frames: index, episode_index, frame_index; episodes: episode_index, length,
+def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tuple[DataFrame, str, str]], annotations: DataFrame | None, totals: tuple[int, int] | None = None, order: str = "index", numbered: bool = False) -> DataFrame:
+    """Dataset integrity.  `numbered`: the order column is each frame's place in the files, so nothing has to be counted.
+    frames: index, episode_index, frame_index; episodes: episode_index, length,
     dataset_from_index, dataset_to_index, subtask_instructions; vocabularies: name -> (table, index, text);
     annotations: episode_index, sub_task_annotation; totals: declared episodes and frames."""
     at = lambda *x: F.concat_ws(" ", *(F.lit(v) if isinstance(v, str) else v.cast("string") for v in x))
     out = []
     for k, (name, (table, number, text)) in enumerate(vocabularies.items()):
-        ranked = index.running_total(table, number, name="__expected").where(~F.col(number).eqNullSafe(F.col("__expected")))
-        out.append(violations(ranked, f"{name}_contiguous", 20 + 2 * k, at(name, F.col(number)), F.col("__expected"), F.col(number)))
+        ranked = vocab.contiguity_violations(table, number, text).where(~F.col("observed").eqNullSafe(F.col("expected")))
+        out.append(violations(ranked, f"{name}_contiguous", 20 + 2 * k, at(name, F.col("observed")), F.col("expected"), F.col("observed")))
         out.append(captions(table, f"{name}_caption", 21 + 2 * k, at(name, F.col(number)), F.col(text)))
     twice = episodes.groupBy("episode_index").agg(F.count("*").alias("c")).where("c > 1")
     out.append(violations(twice, "episode_duplicate", 30, at("episode", F.col("episode_index")), F.lit(1), F.col("c")))
@@ -58,11 +59,18 @@ def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tu
             out.append(violations(broken, "annotation_json", 39, at("episode", F.col("episode_index")), F.lit("valid JSON"), F.col("_corrupt_record")))
         said = annotations.select("episode_index", F.posexplode("sub_task_annotation").alias("p", "s"))
         out.append(captions(said, "annotation_caption", 40, at("episode", F.col("episode_index"), F.col("p")), F.col("s.sub_task_instruction")))
-    numbered = index.running_total(frames, order, name="__expected").where(~F.col("index").eqNullSafe(F.col("__expected")))
-    out.append(violations(numbered, "global_index", 50, at("index", F.col("index")), F.col("__expected"), F.col("index")))
-    placed = index.contiguity_violations(frames, "episode_index", "frame_index", [order])
-    out.append(violations(placed, "frame_index", 51, at("episode", F.col("episode_index"), F.col("expected")), F.col("expected"), F.col("observed")))
-    seen = index.bounds(frames)
+    # of each frame both numbers at once: in the files, and in its episode
+    known = frames if numbered else index.running_total(frames, order, name="__expected")
+    w = Window.partitionBy("episode_index").orderBy(order)
+    own = ["index", "episode_index", "frame_index"]
+    placed = known.select(*own, *([] if order in own else [order]), F.col(order if numbered else "__expected").alias("__global")).withColumn("__place", (F.row_number().over(w) - 1).cast("long"))
+    wrong = lambda rule, n, location, expected, observed: F.when(~observed.eqNullSafe(expected), F.struct(F.lit(rule).alias("rule"), F.lit(n).alias("rule_order"), location.alias("location"), expected.cast("string").alias("expected"), observed.cast("string").alias("observed")))
+    both_rules = F.array(
+        wrong("global_index", 50, at("index", F.col("index")), F.col("__global"), F.col("index")),
+        wrong("frame_index", 51, at("episode", F.col("episode_index"), F.col("__place")), F.col("__place"), F.col("frame_index")),
+    )
+    out.append(placed.select(F.explode(F.filter(both_rules, lambda x: x.isNotNull())).alias("v")).select("v.*"))
+    seen = index.bounds(placed)
     out.append(violations(seen.where("not contiguous"), "episode_contiguous", 52, at("episode", F.col("episode_index")), F.col("to_index") - F.col("from_index"), F.col("frames")))
     both = seen.join(episodes.select(F.col("episode_index").alias("e"), "length", "dataset_from_index", "dataset_to_index"), F.col("episode_index") == F.col("e"), "full_outer")
     out.append(violations(both.where("e is null or episode_index is null"), "episode_set", 60, at("episode", F.coalesce("episode_index", "e")), F.lit("in data and metadata"), F.when(F.col("e").isNull(), "in data only").otherwise("in metadata only")))
@@ -70,12 +78,34 @@ def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tu
         wrong = both.where("e is not null and episode_index is not null").where(~F.col(a).eqNullSafe(F.col(b)))
         out.append(violations(wrong, f"episode_{b}", 61 + k, at("episode", F.col("episode_index")), F.col(a), F.col(b)))
     if totals is not None:
-        counted = frames.agg(F.count_distinct("episode_index").alias("e"), F.count("*").alias("f"))
+        counted = seen.agg(F.count("*").alias("e"), F.coalesce(F.sum("frames"), F.lit(0)).alias("f"))
         out.append(violations(counted.where(F.col("e") != totals[0]), "total_episodes", 70, F.lit("info"), F.col("e"), F.lit(totals[0])))
         out.append(violations(counted.where(F.col("f") != totals[1]), "total_frames", 71, F.lit("info"), F.col("f"), F.lit(totals[1])))
     return all_of(out)
 
 
+def integers(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """Fields of metadata rows that are missing or aren't whole numbers."""
+    one = lambda c: F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("said"), F.col(c).cast("string").try_cast("double").isNotNull().alias("number"))
+    said = rows.select(key, F.explode(F.array(*map(one, fields))).alias("f")).select(key, "f.*").where("said is null or not number")
+    return violations(said, "integer", 32, F.concat_ws(" ", key, "field"), F.lit("an integer"), F.coalesce("said", F.lit("missing")))
+
+
+def missing_columns(footers: DataFrame, required: list[str]) -> DataFrame:
+    """Files (path, columns) that lack a required column."""
+    lost = F.array_except(F.lit(required), "columns")
+    bad = footers.withColumn("lost", lost).where(F.size("lost") > 0)
+    return violations(bad, "columns", 10, F.col("path"), F.lit(", ".join(required)), F.array_join("lost", ", "))
+
+
+def schema_differences(output: DataFrame, source: DataFrame) -> DataFrame:
+    """Files of two trees (path, columns with types), paired by their place in path order, whose schemas differ."""
+    by = Window.orderBy(F.split("path", "/"))  # a row a file
+    place = lambda df, n: df.select((F.row_number().over(by) - 1).alias("place"), F.col("path").alias(f"{n}_path"), F.col("types").alias(f"{n}_types"))
+    both = place(output, "output").join(place(source, "source"), "place", "full_outer").where("not output_types <=> source_types")
+    return violations(both, "schema", 11, F.coalesce("output_path", "source_path"), F.array_join("source_types", ", "), F.array_join("output_types", ", "))
+
+
 def language_modes(frames: DataFrame, tasks: DataFrame, subtasks: DataFrame, order: list[str]) -> DataFrame:
     """(episode_index, mode): full_episode if one prompt holds throughout; per_subtask if the prompts' runs are the
     subtasks' runs with the subtasks' texts; mapped_subtask if the runs agree one to one but texts differ; else invalid."""
@@ -103,10 +133,11 @@ def language(frames: DataFrame, episodes: DataFrame, annotations: DataFrame, ord
     if phases is not None:
         few = runs.groupBy("episode_index").agg(F.count("*").alias("c")).where(F.col("c") != phases)
         out.append(violations(few, "subtask_count", 11, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.lit(phases), F.col("c")))
-    sizes = frames.groupBy("episode_index").agg(F.count("*").alias("frames")).join(episodes.select("episode_index", "length"), "episode_index", "left").where(~F.col("frames").eqNullSafe(F.col("length")))
+    sizes_of = frames.groupBy("episode_index").agg(F.count("*").alias("frames"))
+    sizes = sizes_of.join(episodes.select("episode_index", "length"), "episode_index", "left").where(~F.col("frames").eqNullSafe(F.col("length")))
     out.append(violations(sizes, "episode_length", 12, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.col("frames"), F.col("length")))
-    many = annotations.groupBy("episode_index").agg(F.count("*").alias("c")).where("c > 1")
-    out.append(violations(many, "annotation_file", 13, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.lit(1), F.col("c")))
+    files = sizes_of.join(annotations.groupBy("episode_index").agg(F.count("*").alias("c")), "episode_index", "left").where("not c <=> 1")
+    out.append(violations(files, "annotation_file", 13, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.lit(1), F.coalesce("c", F.lit(0))))
     bad = segments.annotation_mismatches(runs, annotations, "subtask_index")
     text = lambda p: F.concat_ws(":", F.coalesce(F.col(f"{p}_value").cast("string"), F.lit("none")), f"{p}_start", f"{p}_end")
     out.append(violations(bad, "annotation_frame_range", 14, F.concat_ws(" ", F.lit("episode"), "episode_index", "segment"), text("observed"), text("annotated")))
@@ -114,8 +145,11 @@ def language(frames: DataFrame, episodes: DataFrame, annotations: DataFrame, ord
 
 
 #: A run configuration's top-level keys, and those of them that are mappings.
-CONFIG_KEYS = "schema_version backend name description hypothesis tags dataset_ref dataset contract policy train optimizer scheduler tracking resources artifacts annotation adapters".split()
-CONFIG_MAPPINGS = "dataset contract policy train optimizer scheduler tracking resources artifacts annotation".split()
+CONFIG_KEYS = (
+    "schema_version", "backend", "name", "description", "hypothesis", "tags", "dataset_ref", "dataset", "contract", "policy", "train", "optimizer", "scheduler", "tracking",
+    "resources", "artifacts", "annotation", "adapters",
+)
+CONFIG_MAPPINGS = ("dataset", "contract", "policy", "train", "optimizer", "scheduler", "tracking", "resources", "artifacts", "annotation")
 #: What the native trainer supports.
 NATIVE = {"action_representation": "absolute", "chunk_size": 40, "seed": 42}
 

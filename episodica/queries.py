@@ -12,6 +12,7 @@ from .functions import config as cfg
 from .functions import text
 from .operators import horizon, index, manifest, media, merge, segments, stats, subset, vectors, vocab
 from .plans import rules, runs
+from .session import checkpoints
 from .streaming import logs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -357,7 +358,7 @@ def preflight_violations(spark, d):
     bad = good.select("episode_index", F.when(F.col("index") % 89 == 7, F.col("frame_index") + 1000).otherwise(F.col("frame_index")).alias("frame_index"), F.col("place").alias("order"), F.when(F.col("index") % 97 == 5, F.lit(None)).otherwise(F.col("place")).alias("index"))
     meta = ids.where("episode_index % 10 <> 7").withColumn("length", F.when(F.col("episode_index") % 10 == 3, F.col("length") + 1).otherwise(F.col("length")))
     total = (lengths.count(), rows.count() + 1)
-    found = rules.preflight(bad, meta, {}, None, total, "order").where("rule in ('global_index', 'frame_index', 'episode_length', 'episode_set', 'total_frames')")
+    found = rules.preflight(bad, meta, {}, None, total, "order", True).where("rule in ('global_index', 'frame_index', 'episode_length', 'episode_set', 'total_frames')")
     return found.groupBy("rule").agg(F.count("*").alias("violations"))
 
 
@@ -381,7 +382,7 @@ def contract_check(spark, d):
 # --- media and manifests
 
 
-@query("SELECT path, n AS frames, count(*) AS key_frames, max(gap)::BIGINT AS max_gop FROM (SELECT episode_index AS path, n, coalesce(lead(frame_index) OVER (PARTITION BY episode_index ORDER BY frame_index), n) - frame_index AS gap FROM f WHERE subtask = 'signup') GROUP BY path, n", "f")
+@query("SELECT episode_index AS path, any_value(n) AS frames, count(*) FILTER (key) AS key_frames, max(gap)::BIGINT AS max_gop FROM (SELECT episode_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap FROM (SELECT *, subtask = 'signup' AS key FROM f)) GROUP BY path", "f")
 def gop_intervals(spark, d):
     rows = proxies.frames(spark, d).select(F.col("episode_index").alias("path"), "frame_index", (F.col("subtask") == "signup").alias("key"))
     return media.key_intervals(rows, "key", "frame_index")
@@ -446,10 +447,16 @@ def relinked_media(spark, d):
 # --- configuration, runs, queues, logs
 
 
-@query("SELECT path, value FROM (VALUES ('training.steps', '20'), ('training.lr', '0.1'), ('policy.type', '\"act\"'), ('tags', '[\"b\"]'), ('output', '\"x\"')) AS t(path, value)")
+@query(
+    "WITH x AS (SELECT n_regionkey AS layer, CASE WHEN n_nationkey % 3 = 0 THEN 'p' || n_nationkey % 4 ELSE 'p' || n_nationkey % 4 || '.q' || n_nationkey % 2 END AS path, max(n_nationkey) AS value FROM nation GROUP BY ALL), t AS (SELECT path, arg_max(value, layer) AS value, max(layer) AS layer FROM x GROUP BY path), "
+    "h AS (SELECT CASE WHEN t.layer > u.layer THEN u.path ELSE t.path END AS path FROM t JOIN t u ON t.path LIKE u.path || '.%') SELECT path, value::VARCHAR AS value FROM t WHERE path NOT IN (SELECT path FROM h)"
+)
 def config_merge(spark, d):
-    layers = [{"training": {"steps": 10, "lr": 0.1}, "tags": ["a", "c"], "policy": {"type": "base"}, "output": {"dir": "y"}}, {"training": {"steps": 20}, "tags": ["b"], "policy": {"type": "act"}}, {"output": "x"}]
-    rows = cfg.leaves(spark, {str(k): x for k, x in enumerate(layers)}).select(F.col("document").cast("int").alias("layer"), "path", "value")
+    """Layers by region; a leaf of one layer may stand where another has a mapping."""
+    k = F.col("n_nationkey")
+    top = F.concat(F.lit("p"), (k % 4).cast("string"))
+    path = F.when(k % 3 == 0, top).otherwise(F.concat(top, F.lit(".q"), (k % 2).cast("string")))
+    rows = _t(spark, d, "nation").groupBy(F.col("n_regionkey").alias("layer"), path.alias("path")).agg(F.max(k).cast("string").alias("value"))
     return cfg.merged_leaves(rows).select("path", "value")
 
 
@@ -457,21 +464,33 @@ def config_merge(spark, d):
 def config_inheritance(spark, d):
     keys = _t(spark, d, "nation").select(F.col("n_nationkey").alias("child"))
     links = keys.select("child", F.when(F.col("child") > 0, F.floor(F.col("child") / 2).cast("int")).alias("parent"))
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
+    checkpoints(spark)
     out = cfg.chains(links).where("name is not null")
     return out.select("name", (F.size("chain") - 1).cast("int").alias("depth"), F.array_join(F.transform("chain", lambda x: x.cast("string")), ">").alias("chain"))
 
 
+#: A run a customer: its first order is the run's own result, the others are attempts; every 50th run's folder begins with _.
+_RESULTS = (
+    "res AS (SELECT CASE WHEN o_custkey % 50 = 0 THEN '_' ELSE '' END || o_custkey AS run, CASE WHEN n > 1 THEN n - 1 END AS attempt, 'r/' || o_custkey || CASE WHEN n > 1 THEN '/attempt-' || (n - 1) ELSE '' END || '/result.yaml' AS path, "
+    "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'run ' || o_orderkey END AS run_name, CASE o_orderstatus WHEN 'F' THEN 'failed' WHEN 'O' THEN 'completed' ELSE 'running' END AS state, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders))"
+)
+_SQL["results"] = _RESULTS
+
+
 def _results(spark, d):
-    return _t(spark, d, "orders").select(F.concat(F.when(F.col("o_custkey") % 50 == 0, "_").otherwise(""), F.col("o_custkey").cast("string")).alias("run"), F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")).alias("attempt"), F.concat(F.lit("r/attempt-"), F.col("o_orderkey").cast("string")).alias("path"))
+    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    rows = _t(spark, d, "orders").withColumn("n", n).withColumn("key", F.col("o_custkey").cast("string"))
+    return rows.select(
+        F.concat(F.when(F.col("o_custkey") % 50 == 0, "_").otherwise(""), "key").alias("run"), F.when(F.col("n") > 1, F.col("n") - 1).cast("long").alias("attempt"),
+        F.concat(F.lit("r/"), "key", F.when(F.col("n") > 1, F.concat(F.lit("/attempt-"), (F.col("n") - 1).cast("string"))).otherwise(""), F.lit("/result.yaml")).alias("path"),
+        F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("run "), F.col("o_orderkey").cast("string"))).alias("run_name"),
+        F.when(F.col("o_orderstatus") == "F", "failed").when(F.col("o_orderstatus") == "O", "completed").otherwise("running").alias("state"), F.col("o_totalprice").alias("final_eval_loss"), F.lit(None).cast("string").alias("wandb_url"),
+    )
 
 
-@query("SELECT run, arg_max(path, coalesce(attempt, -1 - o_orderkey)) AS path FROM (SELECT o_custkey::VARCHAR AS run, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS attempt, 'r/attempt-' || o_orderkey AS path, o_orderkey FROM orders WHERE o_custkey % 50 <> 0) WHERE attempt IS NOT NULL GROUP BY run")
+@query("SELECT run, arg_max(path, coalesce(attempt, -1)) AS path FROM res WHERE NOT starts_with(run, '_') GROUP BY run", "results")
 def latest_attempt(spark, d):
-    return runs.latest_attempts(_results(spark, d)).where("attempt is not null").select("run", "path")
+    return runs.latest_attempts(_results(spark, d)).select("run", "path")
 
 
 @query("SELECT o_custkey AS run, 'checkpoint-' || max(o_orderkey) AS name FROM orders GROUP BY o_custkey")
@@ -480,18 +499,34 @@ def latest_checkpoint(spark, d):
     return runs.latest_checkpoints(rows)
 
 
-@query("SELECT event_id AS run, CASE WHEN code < 0 THEN 128 - code ELSE code END AS exit_code, CASE WHEN event_id % 11 = 0 THEN 'timeout' WHEN code = 0 THEN NULL WHEN event_type = 'error' THEN 'oom' WHEN code < 0 OR code >= 128 THEN 'signal' ELSE 'trainer_error' END AS failure_category FROM (SELECT *, ((event_id % 7 - 3) * 5)::INT AS code FROM events)")
+@query("SELECT event_id AS run, CASE WHEN code < 0 THEN 128 - code ELSE code END AS exit_code, CASE WHEN code = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'timeout' WHEN event_type = 'error' THEN 'oom' WHEN code < 0 OR code >= 128 THEN 'signal' ELSE 'trainer_error' END AS failure_category FROM (SELECT *, ((event_id % 7 - 3) * 5)::INT AS code FROM events)")
 def failure_category(spark, d):
     rows = _t(spark, d, "events").select(F.col("event_id").alias("run"), ((F.col("event_id") % 7 - 3) * 5).cast("int").alias("code"), (F.col("event_id") % 11 == 0).alias("timed_out"), F.when(F.col("event_type") == "error", "x\nCUDA Out Of Memory").otherwise("fine").alias("log"))
     return runs.failures(rows)
 
 
-@query("SELECT run, step, round(loss, 6) AS loss, round(rate, 6) AS rate FROM (SELECT user_id AS run, arg_max(event_id, event_id) AS step, arg_max(round(value, 3), event_id) AS loss, arg_max(event_id % 50, event_id)::DOUBLE AS rate FROM events GROUP BY user_id)")
+@query(
+    "SELECT user_id AS run, CASE WHEN steps > 0 THEN step END AS step, CASE WHEN steps > 0 THEN loss ELSE end_loss END AS loss, CASE WHEN steps > 0 THEN gradient END AS gradient_norm, (CASE WHEN steps > 0 THEN rate ELSE end_rate END)::DOUBLE AS rate, CASE WHEN steps > 0 THEN 35.94::DOUBLE END AS memory FROM ("
+    "SELECT user_id, count(*) FILTER (kind IN (0, 4)) AS steps, max(event_id) FILTER (kind IN (0, 4)) AS step, arg_max(round(value, 3), event_id) FILTER (kind IN (0, 4)) AS loss, arg_max(CASE kind WHEN 0 THEN 1.519::DOUBLE ELSE 2::DOUBLE END, event_id) FILTER (kind IN (0, 4)) AS gradient, "
+    "arg_max(event_id % 50, event_id) FILTER (kind IN (0, 4)) AS rate, arg_max(round(value, 3), event_id) FILTER (kind = 3) AS end_loss, arg_max(event_id % 50, event_id) FILTER (kind IN (3, 5)) AS end_rate "
+    "FROM (SELECT *, CASE WHEN user_id % 3 = 0 AND event_id % 6 IN (0, 4) THEN 9 ELSE event_id % 6 END AS kind FROM events) GROUP BY user_id) WHERE steps > 0 OR end_loss IS NOT NULL"
+)
 def log_metrics(spark, d):
-    line = F.format_string("INFO step:%d smpl:1K loss:%.3f grdn:1.519 smp/s:%d mem_gb:35.94", F.col("event_id"), F.round("value", 3), F.col("event_id") % 50)
-    rows = _t(spark, d, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("line_no"), line.alias("line"))
-    noise = rows.select("run", (F.col("line_no") + 1).alias("line_no"), F.lit("nothing to see").alias("line"))
-    return runs.last_metrics(rows.unionAll(noise)).select("run", "step", F.round("loss", 6).alias("loss"), F.round(F.col("samples_per_second"), 6).alias("rate"))
+    """Logs of whole and broken step lines, a word that ends in `step`, a second loss, and summaries; some runs have summaries only."""
+    rows = _t(spark, d, "events")
+    kind = F.when((F.col("user_id") % 3 == 0) & (F.col("event_id") % 6).isin(0, 4), 9).otherwise(F.col("event_id") % 6)
+    n, loss, rate = F.col("event_id"), F.round("value", 3), F.col("event_id") % 50
+    line = (
+        F.when(kind == 0, F.format_string("INFO step:%d smpl:1K loss:%.3f grdn:1.519 smp/s:%d mem_gb:35.94", n, loss, rate))
+        .when(kind == 1, F.format_string("step:%d eval_loss:9.5 loss:1.2", n))
+        .when(kind == 2, F.format_string("substep:%d loss:8.25 grdn:1 smp/s:1 mem_gb:1", n))
+        .when(kind == 3, F.format_string("{'train_runtime': 37.7, 'train_samples_per_second': %d, 'train_loss': %.3f}", rate, loss))
+        .when(kind == 4, F.format_string("step:%d eval_loss:9.5 loss:%.3f grdn:2 smp/s:%d mem_gb:35.94", n, loss, rate))
+        .when(kind == 5, F.format_string("{'train_samples_per_second': %d}", rate))
+        .otherwise("nothing to see")
+    )
+    found = runs.last_metrics(rows.select(F.col("user_id").alias("run"), n.alias("line_no"), line.alias("line")))
+    return found.select("run", "step", "loss", "gradient_norm", F.col("samples_per_second").alias("rate"), F.col("cuda_memory_gib").alias("memory"))
 
 
 def _queue_events(spark, d):
@@ -555,3 +590,6 @@ def sliding_windows(spark, d):
 def session_windows(spark, d):
     out = logs.sessions(logs.timed(_t(spark, d, "events")), "6 hours")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "events")
+
+
+from . import queries_more  # noqa: E402, F401  (registers the rest)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +17,29 @@ def frames(spark: SparkSession, root: str, columns: list[str] | None = None) ->
     return df.select(*(f"`{c}`" for c in columns or df.columns), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
 
 
-def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
-    return [c for c in required if c not in df.columns]
+def footers(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
+    """(path, columns, types) of every Parquet file below a folder, in path order, from the footers alone (one is read after another)."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path")
+    rows = []
+    for r in sorted(listed.collect(), key=lambda r: r.path.split("/")):
+        fields = [f for f in spark.read.parquet(r.path).schema.fields if columns is None or f.name in columns]
+        rows.append((r.path, [f.name for f in fields], [f"{f.name} {f.dataType.simpleString()}" for f in fields]))
+    return spark.createDataFrame(rows, "path string, columns array<string>, types array<string>")
+
+
+def first_file(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the first Parquet file below a folder, in path order, and of no other."""
+    path = footers(spark, root, []).first()
+    if path is None:
+        raise FileNotFoundError(f"no data below {root}")
+    return spark.read.parquet(path.path)
 
 
-def vocabulary(spark: SparkSession, path: str, index: str, text: str) -> DataFrame:
-    """(index, text) of a vocabulary file whose text is a column or the saved index of a data frame."""
+def vocabulary(spark: SparkSession, path: str, index: str, text: str, strict: bool = False) -> DataFrame:
+    """(index, text) of a vocabulary file whose text is a column or, unless `strict`, the saved index of a data frame."""
     df = spark.read.parquet(path)
-    name = next((c for c in (text, "__index_level_0__") if c in df.columns), None)
+    names = (text,) if strict else (text, "__index_level_0__")
+    name = next((c for c in names if c in df.columns), None)
     if index not in df.columns or name is None:
         raise ValueError(f"{path} lacks {index if index not in df.columns else text}")
     return df.select(F.col(index).cast("long").alias(index), F.col(name).alias(text))
@@ -70,50 +88,101 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """(path below root, length, content) of every file."""
+    """(path below root, length, content) of every file but hidden ones (see `hidden_files`)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     df = (reader.option("pathGlobFilter", pattern) if pattern else reader).load(root)
     inner = root.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
     return df.select(F.substring_index("path", inner, -1).alias("path"), "length", "content")
 
 
-def manifest_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
-
-
 def key_values(spark: SparkSession, path: str) -> DataFrame:
     """(key, value) of key=value lines."""
     parts = F.split("value", "=", 2)
     return spark.read.text(path).where(F.contains("value", F.lit("="))).select(parts[0].alias("key"), parts[1].alias("value"))
 
 
+#: A download's marker, its receipt of older times, and the receipt's line that names the commit.
+MARKER, RECEIPT, COMMIT = ".groot_registry_download.json", "DOWNLOAD_RECEIPT.txt", "resolved_hub_commit"
+
+
+def _opened(spark: SparkSession, path: str) -> tuple:
+    jvm = spark._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def small_text(spark: SparkSession, path: str) -> str | None:
+    """A small document's text, read on the driver through the path's own file system; None if it isn't there."""
+    fs, there = _opened(spark, path)
+    if not fs.exists(there):
+        return None
+    stream = fs.open(there)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def hidden_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path below root, length, content) of the files that Spark's readers pass over, as they or a folder above them begin
+    with a point or an underscore: markers and caches, listed and read on the driver."""
+    fs, there = _opened(spark, root)
+    found, rows, top = fs.listFiles(there, True), [], str(fs.makeQualified(there).toString()).rstrip("/") + "/"
+    while found.hasNext():
+        at = found.next().getPath()
+        path = at.toString()[len(top) :]
+        if any(x[:1] in "._" for x in path.split("/")):
+            stream = fs.open(at)
+            content = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+            stream.close()
+            rows.append((path, len(content), content))
+    return spark.createDataFrame(rows, "path string, length long, content binary")
+
+
+def source_revision(spark: SparkSession, root: str) -> str | None:
+    """The revision a source was downloaded at: its marker's, else its receipt's, else none."""
+    marker = small_text(spark, f"{root}/{MARKER}")
+    if marker is not None:
+        return json.loads(marker).get("revision")
+    lines = (small_text(spark, f"{root}/{RECEIPT}") or "").splitlines()
+    return next((x.partition("=")[2] for x in lines if x.startswith(f"{COMMIT}=")), None)
+
+
+def probes(spark: SparkSession, root: str) -> DataFrame:
+    """(path, streams, packets) of a prober's documents, one a video, named after it with .json added."""
+    df = spark.read.schema(model.PROBE).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(root)
+    return df.select(F.regexp_replace(F.col("_metadata.file_path"), r"\.json\z", "").alias("path"), "streams", "packets")
+
+
 def queue_table(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated run definitions; # begins a comment line."""
     return spark.read.schema("run_name string, action_mode string, seed long, learning_rate double, augmentation string, save_frequency long").option("sep", "\t").option("comment", "#").csv(path)
 
 
 def results(spark: SparkSession, root: str) -> DataFrame:
-    """All result documents below root (JSON), with the run's folder and the attempt's number (null: the run's own)."""
-    df = spark.read.schema(model.RESULT).option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "result.json").json(root)
-    path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("path"), F.regexp_extract(path, r"/([^/]+)/(?:attempt-\d+/)?result\.json\z", 1).alias("run"), F.regexp_extract(path, r"/attempt-(\d+)/result\.json\z", 1).try_cast("long").alias("attempt"))
+    """All result documents below root, with the run's folder and the attempt's number (null: the run's own).
+
+    A document is YAML, of which JSON is a part; where no YAML reader is installed only JSON documents can be read."""
+    found = files(spark, root, "result.{yaml,json}").select("path", F.col("content").cast("string").alias("text"))
+    rows = [(r.path, json.dumps(_document(r.text, r.path))) for r in found.toLocalIterator()]  # one small document a run
+    said = spark.createDataFrame(rows, "path string, text string").select("path", F.from_json("text", model.RESULT).alias("r")).select("path", "r.*")
+    path = F.concat(F.lit("/"), F.col("path"))
+    name = r"(?:attempt-\d+/)?result\.(?:yaml|json)\z"
+    return said.select("*", F.regexp_extract(path, rf"/([^/]+)/{name}", 1).alias("run"), F.regexp_extract(path, r"/attempt-(\d+)/result\.(?:yaml|json)\z", 1).try_cast("long").alias("attempt"))
+
+
+def _document(text: str, where: str) -> dict:
+    try:
+        import yaml
+    except ImportError:
+        value = json.loads(text)
+    else:
+        value = yaml.safe_load(text)
+    if not isinstance(value, dict):
+        raise ValueError(f"{where} is no mapping")
+    return value
 
 
 def yaml_documents(paths: list[str]) -> dict[str, dict]:
     """Configuration documents, read on the driver; each must be a mapping."""
-    import json
-    from pathlib import Path
-
-    out = {}
-    for p in paths:
-        text = Path(p).read_text()
-        try:
-            import yaml
-
-            value = yaml.safe_load(text)
-        except ImportError:
-            value = json.loads(text)
-        if not isinstance(value, dict):
-            raise ValueError(f"{p} is no mapping")
-        out[p] = value
-    return out
+    return {p: _document(Path(p).read_text(), p) for p in paths}

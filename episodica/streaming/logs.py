@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import log_metrics
+from ..functions.text import METRICS, step_metrics
 
 
 def log_stream(spark: SparkSession, folder: str, per_trigger: int = 100) -> DataFrame:
@@ -15,13 +15,13 @@ def log_stream(spark: SparkSession, folder: str, per_trigger: int = 100) -> Data
 
 
 def metrics(lines: DataFrame) -> DataFrame:
-    """Metric rows of log lines, batch or stream alike."""
-    return lines.withColumn("m", log_metrics(F.col("line"))).where("m is not null").select("path", "m.*")
+    """Metric rows of step lines, batch or stream alike."""
+    return lines.withColumn("m", step_metrics(F.col("line"))).where("m is not null").select("path", "m.*")
 
 
 def last_metrics(lines: DataFrame) -> DataFrame:
     """The metrics of the largest step of each path so far (a stream keeps one row a path)."""
-    return metrics(lines).where("step is not null").groupBy("path").agg(F.max_by(F.struct("step", "loss", "gradient_norm", "samples_per_second", "memory_gb"), "step").alias("m")).select("path", "m.*")
+    return metrics(lines).where("step is not null").groupBy("path").agg(F.max_by(F.struct(*METRICS), "step").alias("m")).select("path", "m.*")
 
 
 def run_states(events: DataFrame, watermark: str = "1 day") -> DataFrame:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.plans import datasets, rules
+from episodica.plans import datasets, documents, rules
 from episodica.sources import files, sinks
 
 
@@ -21,7 +21,7 @@ def tree(spark, tmp_path):
     note = {"task_name": "t", "sub_task_annotation": [{"sub_task_idx": k, "sub_task_instruction": f"step {k}", "frame_duration": [9 * k, 9 * k + 9]} for k in range(5)]}
     (root / "annotations/chunk-000").mkdir(parents=True)
     (root / "annotations/chunk-000/episode_000000.json").write_text(json.dumps(note))
-    (root / "meta/info.json").write_text(json.dumps({"codebase_version": "v3.0", "fps": 15, "total_episodes": 1, "total_frames": 45, "features": {"observation.state": {"dtype": "float32", "shape": [6], "names": list("abcdef")}, "cam": {"dtype": "video", "shape": [3, 480, 640]}}}))
+    (root / "meta/info.json").write_text(json.dumps({"codebase_version": "v3.0", "fps": 15, "total_episodes": 1, "total_frames": 45, "features": {"observation.state": {"dtype": "float32", "shape": [6], "names": list("abcdef")}, "cam": {"dtype": "video", "shape": [3, 480, 640], "info": dict.fromkeys(documents.VIDEO_KEYS, 1)}}, "annotation_path": "annotations"}))
     return str(root)
 
 
@@ -81,7 +81,7 @@ def test_correction_counts(spark, tree):
 
 def test_merge_subset_slice_and_write(spark, tree, tmp_path):
     data = datasets.load(spark, tree)
-    other = data.replaced(subtasks=data.subtasks.withColumn("subtask", F.when(F.col("subtask_index") == 0, "new").otherwise(F.col("subtask"))), frames=data.frames.withColumn("episode_index", F.col("episode_index") + 5), episodes=data.episodes.withColumn("episode_index", F.col("episode_index") + 5), annotations=data.annotations.withColumn("episode_index", F.lit(5).cast("long")))
+    other = data.replaced(subtasks=data.subtasks.withColumn("subtask", F.when(F.col("subtask_index") == 0, "new").otherwise(F.col("subtask"))), frames=data.frames.withColumn("episode_index", F.col("episode_index") + 5), episodes=data.episodes.withColumn("episode_index", F.col("episode_index") + 5), annotations=data.annotations.withColumn("episode_index", F.lit(5).cast("long")), info=data.info | {"root": "other"})
     both = datasets.merged([data, other])
     assert both.frames.count() == 90 and both.subtasks.count() == 6 and [r.subtask for r in both.subtasks.orderBy("subtask_index").collect()] == ["step 0", "step 1", "step 2", "step 3", "step 4", "new"]
     assert rules.ready(datasets.preflight(both).where("rule not like '%caption'"))
@@ -103,8 +103,6 @@ def test_merge_subset_slice_and_write(spark, tree, tmp_path):
     assert files.frames(spark, str(tmp_path / "out")).count() == 90
     with pytest.raises(FileExistsError):
         sinks.table(both.subtasks, str(tmp_path / "out/meta/subtasks.parquet"))
-    r = datasets.registration("n", "/w/x", data.info, "a" * 40, "r", "t", "/w")
-    assert r["root"] == "${workspace}/x" and r["contract"]["cameras"] == [{"key": "cam", "shape": [3, 480, 640]}] and r["contract"]["state"]["dim"] == 6
 
 
 def test_language_annotation_must_agree(spark, tree):
@@ -140,3 +138,80 @@ def test_broken_annotation(spark, tree):
 
     Path(f"{tree}/annotations/chunk-000/episode_000001.json").write_text("{")
     assert "annotation_json" in {r.rule for r in datasets.preflight(datasets.load(spark, tree)).collect()}
+
+
+def test_merge_gates(spark, tree):
+    data = datasets.load(spark, tree)
+    other = lambda **info: data.replaced(info=data.info | {"root": "other"} | info)
+    with pytest.raises(datasets.GateError, match="unique_roots"):
+        datasets.merged([data, data])
+    with pytest.raises(datasets.GateError, match="one_annotation_path: annotations elsewhere"):
+        datasets.merged([data, other(annotation_path="elsewhere")])
+    with pytest.raises(datasets.GateError, match="annotation_path: other"):
+        datasets.merged([data, other(annotation_path=None)])
+    features = data.info["features"] | {"observation.state": data.info["features"]["observation.state"] | {"names": list("abcdeg")}}
+    with pytest.raises(datasets.GateError, match="feature: other observation.state"):
+        datasets.merged([data, other(features=features)])
+    with pytest.raises(datasets.GateError, match="feature: other cam"):
+        datasets.merged([data, other(features={k: v for k, v in data.info["features"].items() if k != "cam"})])
+    with pytest.raises(documents.DocumentError, match="cam lacks"):
+        datasets.merged([data, other(features={"cam": {"dtype": "video", "info": {"video.fps": 15}}})])
+    named = lambda n: data.replaced(tasks=data.tasks.withColumn("task_name", F.lit(n)), info=data.info | {"root": n})
+    with pytest.raises(datasets.GateError, match="vocabulary: step 0"):
+        datasets.merged([named("a"), named("b")])
+    lost = other().replaced(subtasks=data.subtasks.where("subtask_index < 4"))
+    with pytest.raises(Exception, match="no mapping for new_subtask 4"):
+        datasets.merged([data, lost]).frames.collect()
+    both = datasets.merged([data, other()])
+    assert both.info["total_tasks"] == 5 and both.info["total_frames"] == 90
+
+
+def test_correction_must_be_exact(spark, tree):
+    data = datasets.load(spark, tree)
+    with pytest.raises(datasets.GateError, match="'step 2': found 2 times, expected 3"):
+        datasets.corrected(data.replaced(subtasks=data.subtasks.where("subtask_index <> 2")), {"step 2": "right"})
+    with pytest.raises(datasets.GateError, match="'step 9': found 0 times"):
+        datasets.corrected(data, {"step 9": "x"})
+
+
+def test_views_of_all_trees(spark, tree, tmp_path):
+    data = datasets.load(spark, tree)
+    views = datasets.variants(data, data, ["per_subtask", "full_episode"], "insert it")
+    assert list(views) == ["full_episode", "per_subtask"] and all(v.episodes.first().tasks == ["insert it"] for v in views["full_episode"])
+    with pytest.raises(ValueError, match="differ"):
+        datasets.variants(data, data.replaced(subtasks=data.subtasks.withColumn("subtask", F.upper("subtask"))), ["full_episode"], "x")
+    with pytest.raises(ValueError, match="expected 5"):
+        datasets.rich_subtasks(data.replaced(subtasks=data.subtasks.where("subtask_index < 4")))
+    with pytest.raises(Exception, match="outside the task vocabulary: 7"):
+        datasets.language_view(data.replaced(frames=data.frames.withColumn("subtask_index", F.lit(7).cast("long"))), "per_subtask").frames.collect()
+    assert datasets.parent_problems({"codebase_version": "v2.1"}, ["a"], "v3.0", "R") == ["expected v3.0, observed v2.1", "missing parent R"]
+    # a tree of JSON lines
+    frames = datasets.with_language_annotation(data.frames)
+    lines = spark.createDataFrame([(0, ["old"], 45)], "episode_index long, tasks array<string>, length long")
+    old = spark.createDataFrame([(0, {"task_index": {"mean": [9.0]}, "v": {"min": [1.0]}})], "episode_index long, stats map<string,map<string,array<double>>>")
+    new, episodes, found = datasets.line_view(frames, lines, old, datasets.prompts(data, "per_subtask"), True, 5)
+    assert new.where("task_index <> subtask_index or `annotation.human.task_description` <> task_index").isEmpty()
+    assert episodes.first().tasks == [f"step {k}" for k in range(5)]
+    stats = found.first().stats
+    assert stats["v"] == {"min": [1.0]} and stats["task_index"]["mean"] == [2.0] and stats["task_index"]["count"] == [45.0]
+    with pytest.raises(ValueError, match="lack annotation"):
+        datasets.line_view(data.frames, lines, old, datasets.prompts(data, "per_subtask"), True, 5)
+    path, digest = datasets.write_boundary_manifest(datasets.boundary_manifest(data, 40)[0], str(tmp_path / "view"))
+    written = spark.read.parquet(f"{tmp_path}/view/{path}")
+    assert path.startswith("meta/") and len(digest) == 64 and [r.frame_index for r in written.collect()] == list(range(6))
+
+
+def test_derivative_checks(spark, tree):
+    data = datasets.load(spark, tree)
+    probe = [("cam", 640, 480, "15/1", "h264", 12), ("cam", 640, 480, "15/1", "h264", 40)]
+    probes = spark.createDataFrame(probe, "camera string, width int, height int, avg_frame_rate string, codec_name string, max_gop long")
+    good = datasets.derivative_problems(data, 45, {"observation.state": 6}, probes.where("max_gop = 12"), {"cam": 1}, 15.0, 0.05, 15)
+    assert good == []
+    bad = datasets.derivative_problems(data.replaced(tasks=data.tasks.withColumn("task", F.lit(" "))), 46, {"observation.state": 4}, probes, {"cam": 1, "other": 1}, 15.0, 0.05, 15)
+    assert len(bad) == 11 and bad[-5:] == ["observation.state isn't 4-dimensional", "frame count changed: 46 -> 45", "cam: 2 videos, expected 1", "cam: 1 videos of another format", "other: 0 videos, expected 1"]
+    assert datasets.dataset_totals(data) == {"episodes": 1, "frames": 45, "captions_checked": 20}
+    rows = spark.createDataFrame([("s", "mean", k, float(k)) for k in range(4)] + [("s", "count", 0, 9.0), ("head", "mean", 0, 0.5), ("head", "std", 0, 0.25), ("w", "mean", 0, 1.0)], "feature string, stat string, dim int, value double")
+    cut = {(r.feature, r.stat, r.dim): r.value for r in datasets.sliced_stats(rows, {"s": [2, 0]}).collect()}
+    assert cut == {("s", "mean", 0): 2.0, ("s", "mean", 1): 0.0, ("s", "count", 0): 9.0, ("head", "mean", 0): 0.5, ("head", "std", 0): 0.25, ("w", "mean", 0): 1.0}
+    boxed = {(r.feature, r.stat): r.value for r in datasets.letterboxed_stats(rows, "head").where("feature <> 's'").collect()}
+    assert boxed[("w", "mean")] == 1.0 and boxed[("head", "mean")] == 0.375 and abs(boxed[("head", "std")] - (0.75 * (0.25**2 + 0.5**2) - 0.375**2) ** 0.5) < 1e-12

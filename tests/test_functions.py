@@ -26,13 +26,18 @@ def test_scalars(spark):
     assert _one(spark, text.number_after(F.lit("x/attempt-10"), "attempt-")) == 10 and _one(spark, text.number_after(F.lit("x/attempt-a"), "attempt-")) is None
     assert _one(spark, text.exit_code(F.lit(-9))) == 137 and _one(spark, text.fraction(F.lit("30/2"))) == 15.0
     assert _one(spark, text.is_close(F.lit(1e-4), F.lit(1e-4 * (1 + 1e-10))))
-    m = _one(spark, text.log_metrics(F.lit("INFO step:20 smpl:320 loss:1.293 grdn:1.519 smp/s:13 mem_gb:35.94")))
-    assert (m.step, m.loss, m.gradient_norm, m.samples_per_second, m.memory_gb) == (20, 1.293, 1.519, 13.0, 35.94)
-    m = _one(spark, text.log_metrics(F.lit("{'train_runtime': 37.7, 'train_samples_per_second': 0.026, 'train_loss': 1.5}")))
-    assert (m.step, m.loss, m.samples_per_second) == (None, 1.5, 0.026)
-    codes = [(0, False, ""), (1, True, "oom out of memory"), (1, False, "CUDA out of memory"), (137, False, ""), (1, False, "x")]
+    m = _one(spark, text.step_metrics(F.lit("INFO step:20 smpl:320 eval_loss:9.5 loss:1.293 grdn:1.519 smp/s:13 mem_gb:35.94")))
+    assert tuple(m) == (20, 1.293, 1.519, 13.0, 35.94)
+    m = _one(spark, text.step_metrics(F.lit("step:1 loss:1 grdn:1 smp/s:1 mem_gb:1 step:2 loss:2.5 grdn:1 smp/s:1 mem_gb:1")))
+    assert (m.step, m.loss) == (2, 2.5)
+    for line in ("step:20 eval_loss:9.5 loss:1.2", "substep:20 loss:1 grdn:1 smp/s:1 mem_gb:1", "step:20 eval_loss:1 grdn:1 smp/s:1 mem_gb:1", ""):
+        assert _one(spark, text.step_metrics(F.lit(line))) is None
+    said = "{'train_runtime': 37.7, 'train_samples_per_second': 0.026, 'train_loss': 1.5}"
+    assert [_one(spark, text.summary_metric(F.lit(said), k)) for k in ("loss", "samples_per_second")] == [1.5, 0.026]
+    assert _one(spark, text.summary_metric(F.lit("train_loss: 3"), "loss") ) is None
+    codes = [(0, False, ""), (0, True, "CUDA out of memory"), (1, True, "oom out of memory"), (1, False, "CUDA out of memory"), (137, False, ""), (1, False, "x")]
     df = spark.createDataFrame(codes, "c int, t boolean, l string").select(text.failure_category(F.col("c"), F.col("t"), F.col("l")).alias("f"))
-    assert [r.f for r in df.collect()] == [None, "timeout", "oom", "signal", "trainer_error"]
+    assert [r.f for r in df.collect()] == [None, None, "timeout", "oom", "signal", "trainer_error"]
 
 
 def test_config(spark):
@@ -52,11 +57,17 @@ def test_config(spark):
     assert [r for r, _ in rules.config(bad)] == ["unknown_key", "schema_version", "backend", "name", "learning_rate", "steps", "exclusion_term", "tracking_project"]
     native = config.merge(good, {"backend": "isaac", "policy": {"type": "groot", "chunk_size": 16}, "train": {"seed": 1}})
     assert [r for r, _ in rules.config(native)] == ["absolute_action", "modality", "horizon", "seed"]
-    assert "--policy.type=act" in runs.command({"backend": "act", "policy": {"type": "act"}}, "o")
     links = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "d")], "child string, parent string")
     assert {r.name: r.cyclic for r in config.chains(links).collect()} == {"a": True, "b": True, "c": False, "d": False}
 
 
+def test_log_falls_back_only_without_steps(spark):
+    step = "step:{} loss:{} grdn:1 smp/s:2 mem_gb:3"
+    rows = [("a", 1, step.format(1, 0.5)), ("a", 2, step.format(2, 0.4)), ("a", 3, "{'train_loss': 9.0}"), ("b", 1, "{'train_loss': 8.0, 'train_samples_per_second': 4}"), ("b", 2, "{'train_loss': 7.0}"), ("c", 1, "{'train_samples_per_second': 4}"), ("d", 1, "step:3 loss:1")]
+    got = {r.run: tuple(r)[1:] for r in runs.last_metrics(spark.createDataFrame(rows, "run string, line_no long, line string")).collect()}
+    assert got == {"a": (2, 0.4, 1.0, 2.0, 3.0), "b": (None, 7.0, None, 4.0, None)}
+
+
 def test_manifest(spark):
     rows = spark.createDataFrame([("b", "2"), ("a", "1")], "path string, content string")
     one = manifest.lines(manifest.hashed(rows)).first()

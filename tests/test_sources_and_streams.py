@@ -1,7 +1,11 @@
+import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from episodica.operators import manifest, media
+from episodica.plans import rules
 from episodica.sources import files, sinks
 from episodica.streaming import logs
 
@@ -21,9 +25,59 @@ def test_sources(spark, tmp_path):
     for k in ("", "attempt-2/", "attempt-10/"):
         (tmp_path / f"runs/r/{k}").mkdir(parents=True, exist_ok=True)
         (tmp_path / f"runs/r/{k}result.json").write_text(json.dumps({"run_name": "r", "status": {"state": "completed"}}))
+    (tmp_path / "runs/r/attempt-2/result.json").rename(tmp_path / "runs/r/attempt-2/result.yaml")
     assert sorted((r.attempt or -1, r.run) for r in files.results(spark, str(tmp_path / "runs")).collect()) == [(-1, "r"), (2, "r"), (10, "r")]
 
 
+def test_footers_and_probes(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "a long, b string").coalesce(1).write.parquet(f"{tmp_path}/t/chunk-1")
+    spark.createDataFrame([(1,)], "a int").coalesce(1).write.parquet(f"{tmp_path}/t/chunk-0")
+    found = files.footers(spark, f"{tmp_path}/t")
+    assert [r.types for r in found.collect()] == [["a int"], ["a bigint", "b string"]]
+    (lost,) = rules.missing_columns(found, ["a", "b"]).collect()
+    assert lost.observed == "b" and "chunk-0" in lost.location
+    assert files.first_file(spark, f"{tmp_path}/t").columns == ["a"]
+    other = found.withColumn("types", F.transform("types", lambda t: F.regexp_replace(t, "bigint", "int")))
+    assert [r.observed for r in rules.schema_differences(other, found).collect()] == ["a int, b string"]
+    with pytest.raises(ValueError, match="lacks b"):
+        files.vocabulary(spark, f"{tmp_path}/t/chunk-0", "a", "b", strict=True)
+    packets = [{"flags": "K__" if k in (0, 4) else "___"} for k in range(11)]
+    for name, doc in (("v.mp4", {"streams": [{"width": 640, "height": 480, "avg_frame_rate": "15/1", "codec_name": "h264"}], "packets": packets}), ("w.mp4", {"streams": [{"width": 1}], "packets": packets[1:4]})):
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc))
+    got = {r.path.rpartition("/")[2]: r for r in media.probe_rows(files.probes(spark, str(tmp_path))).collect()}
+    v, w = got["v.mp4"], got["w.mp4"]
+    assert (v.width, v.codec_name, v.frames, v.key_frames, v.max_gop) == (640, "h264", 11, 2, 7) and (w.frames, w.key_frames, w.max_gop) == (3, 0, None)
+
+
+def test_source_revision(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s/other.txt").write_text("x")
+    assert files.source_revision(spark, str(tmp_path / "s")) is None
+    (tmp_path / "s/DOWNLOAD_RECEIPT.txt").write_text("a=b\nresolved_hub_commit=abc\n")
+    assert files.source_revision(spark, str(tmp_path / "s")) == "abc"
+    (tmp_path / "s/.groot_registry_download.json").write_text('{"revision": "def"}')
+    assert files.source_revision(spark, str(tmp_path / "s")) == "def"
+
+
+def test_digest_flavours(spark, tmp_path):
+    rows = [("a-b", "1"), ("a/b", "2"), ("meta/info.json", "{}"), ("MERGE_RECEIPT.json", "3"), (".cache/x", "4"), (".groot_registry_download.json", "5")]
+    df = spark.createDataFrame(rows, "path string, content string")
+    names = lambda flavour: [x.split("  ")[1] for x in manifest.payload(df, flavour).first().text.splitlines()]
+    assert names("registry") == ["MERGE_RECEIPT.json", "a/b", "a-b", "meta/info.json"] and names("merge") == [".cache/x", ".groot_registry_download.json", "a/b", "a-b", "meta/info.json"]
+    assert ".groot_registry_download.json" not in names("language") and ".cache/x" in names("language") and len(names("correction")) == 6
+    for path, content in rows:
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text(content)
+    inventory, metadata = hashlib.sha256(), hashlib.sha256()
+    for p in sorted(x for x in tmp_path.rglob("*") if x.is_file()):
+        inventory.update(f"{p.relative_to(tmp_path).as_posix()}\0{p.stat().st_size}\n".encode())
+    metadata.update(b"meta/info.json\0{}")
+    hidden = files.hidden_files(spark, str(tmp_path))
+    assert {r.path for r in hidden.collect()} == {".cache/x", ".groot_registry_download.json"}
+    got = manifest.fingerprint(files.files(spark, str(tmp_path)).unionByName(hidden)).first()
+    assert (got.inventory_sha256, got.metadata_sha256, got.file_count, got.bytes) == (inventory.hexdigest(), metadata.hexdigest(), 6, 7)
+
+
 def test_sinks(spark, tmp_path):
     sinks.document(tmp_path / "d.json", {"b": 1, "a": 2})
     assert (tmp_path / "d.json").read_text().startswith('{\n  "a": 2')
