@@ -48,6 +48,8 @@ WIDTH, DEPTH = 22, 2
 LONG = 500_000
 #: Shingles of a family's sets that are compared in one task, about.
 CHUNK = 1 << 20
+#: Classes that hold more than one of so many rows are looked up by a broadcast.
+LARGE = 1000
 #: Families of several chunks up to which a row for each is broadcast.
 FEW = 100_000
 
@@ -478,10 +480,17 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links)."""
     classes, edges = links(docs, size, percent, **options)
     roots = components(edges)
-    heads = classes.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("head"))
-    heads = heads.join(roots, heads["head"] == roots.node, "left").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("root", "head").alias("component_id"))
-    out = classes.join(heads, (classes.n > 0) & (classes.f1 == heads.g1) & (classes.f2 == heads.g2), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    # a class of more than this share of all rows is looked up by a broadcast of at most as many classes, the others by a join
+    least = classes.count() / LARGE
+    heads = classes.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("head"), (F.count("*") > least).alias("large"))
+    heads = heads.join(roots, heads["head"] == roots.node, "left").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("root", "head").alias("component_id"), "large")
+    heads = store.written(heads, "components")
+    large = F.broadcast(heads.where("large").select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.col("component_id").alias("own")))
+    rows = classes.join(large, (classes.n > 0) & (classes.f1 == large.h1) & (classes.f2 == large.h2), "left")
+    found = rows.where("h1 is not null").select("doc_id", "n", F.col("own").alias("component_id"))
+    rest = rows.where("h1 is null").select("doc_id", "n", "f1", "f2")
+    rest = rest.join(heads.where("not large"), (F.col("n") > 0) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left").select("doc_id", "n", "component_id")
+    return found.unionAll(rest).select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
