@@ -69,6 +69,40 @@ def test_decoding_has_no_contradiction():
     assert trees is H.fitted()
 
 
+def choices(page, k):
+    """Every way to decide the subtree of node k: (sets of kept nodes, splits paid for)."""
+    inside, children = list(range(k, page.end[k])), [j for j in range(k + 1, page.end[k]) if page.parent[j] == k]
+    out = [(frozenset(inside), 0), (frozenset(), 0)]
+    if children:
+        for own in (frozenset(), frozenset([k])):
+            some = [(own, 1)]
+            for j in children:
+                some = [(a | b, m + n) for a, m in some for b, n in choices(page, j)]
+            out += some
+    return out
+
+
+def test_decoding_is_the_best_choice():
+    """Against all choices on small trees: what is kept is worth as much as the best of them."""
+    rng, checked = np.random.default_rng(8), 0
+    for _ in range(60):
+        p = Page("".join(rng.choice(["<div>", "<ul>", "<p>a b c", "x</div>", "</ul>", "<li>word. ", "</li>", "text"], 9)))
+        if not 2 <= len(p.parent) <= 7:
+            continue
+        odds = rng.normal(size=len(p.parent)) * 2
+        weight = np.zeros(len(p.parent))
+        for node, text, _ in p.blocks:
+            weight[node] += 1 + np.log1p(len(text))
+        own = weight * np.clip(odds, -6, 6)
+        value = lambda kept, paid: sum(x if k in kept else -x for k, x in enumerate(own)) - H.PRICE * paid  # noqa: E731, B023
+        best = max(value(*c) for c in choices(p, 0))
+        got = H.decode(p, odds)
+        texts = lambda kept: [t for n, t, _ in p.blocks if n in kept]  # noqa: E731, B023
+        assert any(abs(value(*c) - best) < 1e-9 and texts(c[0]) == got for c in choices(p, 0))
+        checked += 1
+    assert checked > 25
+
+
 def truth(page):
     inner = page[page.index("<article>") + 9 : page.index("</article>")]
     blocks = (re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", b))).strip() for b in re.split(r"</?(?:h1|p)>", inner))
