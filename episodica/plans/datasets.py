@@ -256,6 +256,39 @@ def derivative_problems(data: Dataset, frames: int, dims: dict[str, int], probes
     return out
 
 
+def task_table(old: DataFrame, new: DataFrame) -> DataFrame:
+    """A task table with other prompts in the columns of the old one; a name that all tasks share stays."""
+    if "task_name" not in old.columns:
+        return new.select(*_names(old))
+    name = old.agg(F.min_by("task_name", "task_index").alias("task_name"))  # one row
+    return new.drop("task_name").join(F.broadcast(name)).select(*_names(old))
+
+
+def prepared(data: Dataset, names: list[str], cameras: dict[str, list[int]], fps: float) -> Dataset:
+    """The derivative that trainers read: vectors cut to the named controls, task texts checked, info to match."""
+    wrong = documents.source_problems(data.info, names, cameras, fps) + [f"task {r.task!r} is {r.problem}" for r in vocab.task_problems(data.tasks).collect()]
+    if wrong:
+        raise GateError("; ".join(wrong))
+    vectors_of = ("observation.state", "action")
+    dims = {v: [data.info["features"][v]["names"].index(n) for n in names] for v in vectors_of if v in data.frames.columns}
+    return sliced(data, dims).replaced(info=documents.updated_info(data.info, {v: names for v in vectors_of}))
+
+
+def letterboxed(data: Dataset, statistics: DataFrame, names: list[str], dims: dict[str, int], camera: str, height: int = 480, width: int = 640) -> tuple[Dataset, DataFrame]:
+    """The older derivative: the first controls of each vector, and one camera's picture in a black frame, in the info, the
+    global statistics (feature, stat, dim, value) and the episodes'."""
+    keep = documents.control_positions(data.info, names, dims)
+    info = documents.letterboxed_info(documents.updated_info(data.info, {v: names for v in keep}), camera, height, width)
+    out = sliced(data, {v: k for v, k in keep.items() if v in data.frames.columns})
+    mean, std = (f"stats/{camera}/{n}" for n in ("mean", "std"))
+    episodes = out.episodes
+    if mean in episodes.columns and std in episodes.columns:
+        both = F.zip_with(F.col(f"`{mean}`"), F.col(f"`{std}`"), lambda m, s: F.struct(*(c.alias(n) for c, n in zip(stats.padded_moments(m, s), "ms", strict=True))))
+        rows = episodes.withColumn("__b", both)
+        episodes = rows.withColumn(mean, F.transform("__b", lambda x: x["m"])).withColumn(std, F.transform("__b", lambda x: x["s"])).drop("__b")
+    return out.replaced(episodes=episodes, info=info), letterboxed_stats(sliced_stats(statistics, keep), camera)
+
+
 def dataset_totals(data: Dataset) -> dict[str, int]:
     """Episodes, frames, and captions checked: of both vocabularies, of the episodes' lists and of the annotations."""
     of = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0]

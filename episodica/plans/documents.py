@@ -74,6 +74,53 @@ def source_problems(info: dict[str, Any], names: list[str], cameras: dict[str, l
     return out
 
 
+def control_positions(info: dict[str, Any], names: list[str], dims: dict[str, int]) -> dict[str, list[int]]:
+    """Where the controls stand in each vector; they must be its first ones, in order, of as many dimensions as are said."""
+    out = {}
+    for vector, n in dims.items():
+        feature = (info.get("features") or {}).get(vector) or {}
+        found = list(feature.get("names") or [])
+        if list(feature.get("shape") or []) != [n] or any(c not in found for c in names):
+            raise DocumentError(f"{vector} lacks controls or isn't {n}-dimensional")
+        out[vector] = [found.index(c) for c in names]
+        if out[vector] != list(range(len(names))):
+            raise DocumentError(f"unexpected order in {vector}: {out[vector]}")
+    return out
+
+
+def letterboxed_info(info: dict[str, Any], camera: str, height: int, width: int) -> dict[str, Any]:
+    """Info with a camera's picture in a frame of another size."""
+    out = copy.deepcopy(info)
+    feature = out["features"][camera]
+    feature["shape"] = [3, height, width]
+    feature["info"] = (feature.get("info") or {}) | {"video.height": height, "video.width": width}
+    return out
+
+
+def derivation_receipt(source: str, revision: str | None, manifest_sha256: str | None, before: dict[str, Any], after: dict[str, Any], cameras: dict[str, dict[str, Any]], tasks: list[str], max_gop: int, crf: int, preset: str) -> dict[str, Any]:
+    """What a derivative was made from and how; cameras: their source, output and operation counts."""
+    vector = lambda k: {"source_dimension": before["features"][k]["shape"][0], "output_dimension": after["features"][k]["shape"][0], "names": list(after["features"][k]["names"])}
+    return {
+        "source": source, "source_revision": revision, "source_manifest_sha256": manifest_sha256, "state": vector("observation.state"), "action": vector("action"),
+        "cameras": {k: {"capture": "native_640x480_15fps", "geometry_transform": "identity"} | v for k, v in cameras.items()},
+        "camera_file_operation": f"native geometry retained; H.264 max GOP {max_gop}; long-GOP streams re-encoded with CRF {crf}, preset {preset}; no resize, crop, pad, or letterbox",
+        "image_statistics": "copied from source; training uses ImageNet statistics by default", "tasks": tasks,
+    }
+
+
+def launch_plan(name: str, run_folder: str, output: str, command: list[str], free_bytes: int, least_gib: float, present: list[str], resume: bool = False) -> dict[str, Any]:
+    """What a launch would do: enough space, nothing written over, a saved configuration where it resumes."""
+    free = free_bytes / (1 << 30)
+    if free < least_gib:
+        raise DocumentError(f"{free:.1f} GiB free; {least_gib:.1f} GiB required")
+    saved = f"{output}/checkpoints/last/pretrained_model/train_config.json"
+    if resume and saved not in present:
+        raise DocumentError(f"resume config missing: {saved}")
+    if not resume and output in present:
+        raise DocumentError(f"existing output directory: {output}")
+    return {"run_name": name, "run_dir": run_folder, "output_dir": output, "command": command}
+
+
 def missing_payloads(present: list[str], version: str | None, required: list[str], expected_version: str = "v3.0") -> list[str]:
     """What a source lacks to be merged."""
     return ([f"version {version}"] if version != expected_version else []) + [r for r in required if r not in present]

@@ -110,6 +110,14 @@ def model_paths(candidates: DataFrame, present: DataFrame) -> DataFrame:
     return rows.select("run", "path", F.when(F.col("path").isNull(), "result does not identify a model").when(F.col("there").isNull(), "model directory is incomplete").alias("problem"))
 
 
+def resolved_configs(results: DataFrame, present: DataFrame) -> DataFrame:
+    """(run, path, problem): a run's resolved configuration is where its result says, else beside the result."""
+    path = F.coalesce(F.nullif("resolved_config", F.lit("")), F.concat(F.regexp_replace("path", r"[^/]*\z", ""), F.lit("resolved_config.yaml")))
+    rows = results.select("run", path.alias("path"))
+    known = present.select("path").distinct().withColumn("there", F.lit(True))
+    return rows.join(known, "path", "left").select("run", "path", F.when(F.col("there").isNull(), "resolved training config is missing").alias("problem"))
+
+
 def queue_outcomes(events: DataFrame, continue_on_failure: bool = False) -> DataFrame:
     """(queue, state, runs_done): of (queue, position, attempt, state) the state in which a queue ends: failed at the first run
     without a completed attempt, unless it goes on."""

@@ -32,6 +32,12 @@ def model_folders(spark, d):
     return runs.model_paths(rows, there)
 
 
+@query("SELECT run, CASE WHEN attempt % 2 = 1 THEN 'c/' || run ELSE regexp_replace(path, 'result.yaml$', 'resolved_config.yaml') END AS path, CASE WHEN attempt % 2 = 1 THEN 'resolved training config is missing' END AS problem FROM res", "results")
+def resolved_configs(spark, d):
+    rows = _results(spark, d).withColumn("resolved_config", F.when(F.col("attempt") % 2 == 1, F.concat(F.lit("c/"), "run")))
+    return runs.resolved_configs(rows, rows.select(F.regexp_replace("path", "result.yaml$", "resolved_config.yaml").alias("path")))
+
+
 _ENTRIES = "e AS (SELECT o_custkey AS queue, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position, o_orderkey, o_orderstatus FROM orders)"
 
 
@@ -125,6 +131,13 @@ def task_problems(spark, d):
     return vocab.task_problems(rows)
 
 
+@query("SELECT (row_number() OVER (ORDER BY event_type) - 1)::BIGINT AS task_index, 'do ' || event_type AS task, 'the name' AS task_name FROM events GROUP BY event_type")
+def task_table(spark, d):
+    words = proxies.subtasks(spark, d)
+    old = words.select(F.col("subtask_index").alias("task_index"), F.col("subtask").alias("task"), F.lit("the name").alias("task_name"))
+    return datasets.task_table(old, words.select(F.col("subtask_index").alias("task_index"), F.concat(F.lit("do "), "subtask").alias("task")))
+
+
 @query("SELECT 'full_episode,mapped_subtask' AS modes, false AS ready, count(*) > 0 AS some FROM conversations")
 def modes_ready(spark, d):
     rows = _t(spark, d, "conversations").select("conv_id", F.when(F.col("conv_id") % 2 == 0, "full_episode").otherwise("mapped_subtask").alias("mode"))

@@ -7,6 +7,8 @@ import json
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
 
@@ -94,7 +96,10 @@ def rolling_digest(root: str | Path) -> str:
     """One SHA-256 over path, NUL and bytes of every file below root, in path order."""
     h = hashlib.sha256()
     for p in sorted(x for x in Path(root).rglob("*") if x.is_file()):
-        h.update(str(p.relative_to(root)).encode() + b"\0" + p.read_bytes())
+        h.update(p.relative_to(root).as_posix().encode() + b"\0")
+        with p.open("rb") as f:
+            while block := f.read(8 << 20):
+                h.update(block)
     return h.hexdigest()
 
 
@@ -109,6 +114,56 @@ def package(source: str | Path, target: str | Path, required: list[str]) -> dict
     shutil.rmtree(stage, ignore_errors=True)
     clone(source, stage, ())
     found = sorted(p for p in stage.rglob("*") if p.is_file() and p.name != "SHA256SUMS")
-    text(stage / "SHA256SUMS", "".join(f"{hashlib.sha256(p.read_bytes()).hexdigest()}  {p.relative_to(stage)}\n" for p in found))
+    text(stage / "SHA256SUMS", "".join(f"{file_digest(p)}  {p.relative_to(stage).as_posix()}\n" for p in found))
     os.rename(stage, target)
     return {"files": len(found), "bytes": sum(p.stat().st_size for p in target.rglob("*") if p.is_file() and p.name != "SHA256SUMS")}
+
+
+def relink(pairs: list[tuple[str | Path, str | Path]]) -> dict[str, int]:
+    """Of local (source, output) files with the same bytes, the output becomes a hard link to the source; none is touched
+    unless all are the same."""
+    pairs = [(Path(a), Path(b)) for a, b in pairs]
+    for a, b in pairs:
+        if a.stat().st_size != b.stat().st_size or file_digest(a) != file_digest(b):
+            raise ValueError(f"{b} differs from {a}")
+    for a, b in pairs:
+        temp = b.with_name(f".{b.name}.link")
+        temp.unlink(missing_ok=True)
+        os.link(a, temp)
+        os.replace(temp, b)
+    return {"linked": len(pairs), "bytes": sum(a.stat().st_size for a, _ in pairs)}
+
+
+def file_digest(path: str | Path) -> str:
+    """SHA-256 of a local file, read in blocks."""
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def append_rows(path: str | Path, columns: list[str], rows: list[tuple]) -> None:
+    """Rows at the end of a tab-separated status file, whose first line names the columns."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("a") as f:
+        if not f.tell():
+            f.write("\t".join(columns) + "\n")
+        f.writelines("\t".join(map(str, r)) + "\n" for r in rows)
+        f.flush()
+        os.fsync(f.fileno())
+
+
+@contextmanager
+def exclusive(path: str | Path) -> Iterator[None]:
+    """Held by one process of a machine at a time; another one gets an error at once."""
+    import fcntl
+
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "a") as f:
+        try:
+            fcntl.flock(f, fcntl.LOCK_EX | fcntl.LOCK_NB)
+        except BlockingIOError:
+            raise RuntimeError(f"{path} is held by another process") from None
+        try:
+            yield
+        finally:
+            fcntl.flock(f, fcntl.LOCK_UN)

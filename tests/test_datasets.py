@@ -215,3 +215,24 @@ def test_derivative_checks(spark, tree):
     assert cut == {("s", "mean", 0): 2.0, ("s", "mean", 1): 0.0, ("s", "count", 0): 9.0, ("head", "mean", 0): 0.5, ("head", "std", 0): 0.25, ("w", "mean", 0): 1.0}
     boxed = {(r.feature, r.stat): r.value for r in datasets.letterboxed_stats(rows, "head").where("feature <> 's'").collect()}
     assert boxed[("w", "mean")] == 1.0 and boxed[("head", "mean")] == 0.375 and abs(boxed[("head", "std")] - (0.75 * (0.25**2 + 0.5**2) - 0.375**2) ** 0.5) < 1e-12
+
+
+def test_prepared_and_letterboxed(spark, tree):
+    data = datasets.load(spark, tree)
+    vector = {"dtype": "float32", "shape": [6], "names": list("abcdef")}
+    data = data.replaced(frames=data.frames.withColumn("action", F.col("`observation.state`")), info=data.info | {"features": data.info["features"] | {"observation.state": vector, "action": dict(vector)}})
+    out = datasets.prepared(data, ["a", "b"], {"cam": [3, 480, 640]}, 15.0)
+    assert out.info["features"]["action"]["names"] == ["a", "b"] and out.frames.first()["action"] == [0.0, 1.0]
+    with pytest.raises(datasets.GateError, match="action order"):
+        datasets.prepared(data, ["b", "a"], {"cam": [3, 480, 640]}, 15.0)
+    receipt = documents.derivation_receipt("/s", "r", None, data.info, out.info, {"cam": {"source": 1, "output": 1, "operation": {}}}, ["t"], 15, 18, "medium")
+    assert receipt["state"] == {"source_dimension": 6, "output_dimension": 2, "names": ["a", "b"]} and receipt["cameras"]["cam"]["geometry_transform"] == "identity"
+    meta = data.episodes.withColumn("stats/cam/mean", F.array(F.lit(0.5))).withColumn("stats/cam/std", F.array(F.lit(0.25)))
+    rows = spark.createDataFrame([("action", "mean", k, float(k)) for k in range(6)] + [("cam", "mean", 0, 0.5), ("cam", "std", 0, 0.25)], "feature string, stat string, dim int, value double")
+    old, found = datasets.letterboxed(data.replaced(episodes=meta), rows, ["a", "b", "c"], {"observation.state": 6, "action": 6}, "cam", 600, 800)
+    assert old.info["features"]["cam"]["shape"] == [3, 600, 800] and old.info["features"]["cam"]["info"]["video.width"] == 800 and len(old.frames.first()["action"]) == 3
+    assert old.episodes.first()["stats/cam/mean"] == [0.375] and found.where("feature = 'action'").count() == 3
+    with pytest.raises(documents.DocumentError, match="unexpected order"):
+        datasets.letterboxed(data, rows, ["b", "a"], {"action": 6}, "cam")
+    with pytest.raises(documents.DocumentError, match="5-dimensional"):
+        datasets.letterboxed(data, rows, ["a"], {"action": 5}, "cam")

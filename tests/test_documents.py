@@ -82,3 +82,12 @@ def test_source_problems():
     assert D.source_problems(good, names, {"cam": [3, 480, 640]}, 15.0) == []
     bad = {"codebase_version": "v2.1", "fps": 30, "features": {"cam": {"shape": [3, 720, 1280]}, "observation.state": vector(["j2", "j1"]), "action": vector(["j1", "j1"])}}
     assert D.source_problems(bad, names, {"cam": [3, 480, 640]}, 15.0) == ["version v2.1", "fps 30", "cam shape", "observation.state order", "action names"]
+
+
+def test_launch_plans():
+    free = 10 << 30
+    assert D.launch_plan("r", "/r", "/r/output", ["x"], free, 5, []) == {"run_name": "r", "run_dir": "/r", "output_dir": "/r/output", "command": ["x"]}
+    for options, said in (((1 << 30, 5, []), "1.0 GiB free; 5.0"), ((free, 5, ["/r/output"]), "existing output"), ((free, 5, [], True), "resume config missing")):
+        with pytest.raises(D.DocumentError, match=said):
+            D.launch_plan("r", "/r", "/r/output", ["x"], *options)
+    assert D.launch_plan("r", "/r", "/o", ["x"], free, 5, ["/o", "/o/checkpoints/last/pretrained_model/train_config.json"], True)["output_dir"] == "/o"

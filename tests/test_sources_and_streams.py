@@ -96,6 +96,23 @@ def test_sinks(spark, tmp_path):
         sinks.clone(tmp_path / "src", tmp_path / "dst2")
 
 
+def test_links_status_rows_and_locks(tmp_path):
+    for name, text in (("a", "1"), ("b", "1"), ("c", "2")):
+        (tmp_path / name).write_text(text)
+    with pytest.raises(ValueError, match="differs"):
+        sinks.relink([(tmp_path / "a", tmp_path / "b"), (tmp_path / "a", tmp_path / "c")])
+    assert not (tmp_path / "b").samefile(tmp_path / "a")
+    assert sinks.relink([(tmp_path / "a", tmp_path / "b")]) == {"linked": 1, "bytes": 1} and (tmp_path / "b").samefile(tmp_path / "a")
+    for k in range(2):
+        sinks.append_rows(tmp_path / "s/status.tsv", ["run", "code"], [("r", k)])
+    assert (tmp_path / "s/status.tsv").read_text() == "run\tcode\nr\t0\nr\t1\n"
+    with sinks.exclusive(tmp_path / "lock"):
+        with pytest.raises(RuntimeError, match="held"), sinks.exclusive(tmp_path / "lock"):
+            pass
+    with sinks.exclusive(tmp_path / "lock"):
+        pass
+
+
 def test_log_stream_equals_batch(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(3):
