@@ -21,13 +21,24 @@ from ..tables import forget, fresh, lasting, written  # noqa: F401
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now, not when the driver happens to collect its garbage.
+    """Lets Spark delete the shuffle files of finished steps now, not when the driver happens to collect its garbage, and
+    the executors give back the heap that these steps took.
 
     Twice: what a job leaves in the listeners' queue is free only after a moment."""
     for _ in range(2):
         gc.collect()
         spark._jvm.System.gc()
         time.sleep(0.3)
+    lean_heaps(spark)
+
+
+def lean_heaps(spark: SparkSession) -> None:
+    """A collection in the executors, which shrinks heaps to what is live: beside them stand Python workers, and a heap
+    once grown stays so."""
+    sc = spark.sparkContext
+    if not sc.master.startswith("local[") and sc.master != "local":
+        n = max(1, sc.defaultParallelism)
+        spark.range(0, n, 1, n).selectExpr("reflect('java.lang.System', 'gc') AS done").write.format("noop").mode("overwrite").save()
 
 
 def remainder(doc_id: Column | str, n: int) -> Column:
