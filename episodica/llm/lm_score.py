@@ -1,6 +1,6 @@
 """Language-model scores by deleted interpolation of n-gram, ..., unigram and uniform estimates.
 
-P(w|u,v) = l3 c(u,v,w)/c(u,v) + l2 c(v,w)/c(v) + l1 c(w)/N + l0/(V+1) for `order` 3; order 2, the default, has no l3.
+P(w|u,v) = l3 c(u,v,w)/c(u,v) + l2 c(v,w)/c(v) + l1 c(w)/N + l0/(V+1) for `order` 3, the default; order 2 has no l3.
 The weights depend on the bucket of the count of the longest context that was seen, and come from
 expectation-maximisation on deleted counts: each training token is predicted by the counts of all other training
 tokens, so it is held out from its own estimate.
@@ -10,7 +10,7 @@ Counts are exact, over all training documents, and never meet in one place:
 1. Documents become blocks of about BLOCK bytes in a written table: vocabulary hashes and word numbers.
 2. Each block asks for its distinct words and n-grams: packed sorted 64-bit keys with the block's training counts, dealt
    to parts by key range, as many as keep a part at PART bytes.  A word as frequent as "the" is one key a block, not
-   one row a token.
+   one row a token.  Words and word pairs are one step, triples another, so that one step's shuffle is gone before the next.
 3. Each part sums its keys, a sub-range at a time, and answers every block; N and V are sums over the parts.
 4. Blocks meet their answers.  A first pass gathers a histogram of (bucket, log ratio cells) whose size is bounded by
    its cells, and EM on the driver fits the weights; a second pass scores the documents.
@@ -23,6 +23,7 @@ N = V = 0, every token has probability 1 by the uniform part.  No rows: none.  E
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,11 @@ from . import store
 
 #: Bytes of text in a block, and of packed keys in a part.
 BLOCK, PART = 4 << 20, 16 << 20
-#: Longest n-gram.
-ORDER = 2
+#: Longest n-gram, and the lengths that are counted in one step.
+ORDER = 3
+STEPS = ((1, 2), (3,))
+#: Numbers of parts of one step.
+_SPREAD = 1 << 20
 #: Buckets of context counts: 0, then powers of two.
 BUCKETS = 24
 #: Cells for each halving of a ratio in the histogram of EM, by order, and halvings told apart.
@@ -168,16 +172,19 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _asked(order: int, parts: int) -> Callable:
+def _asked(lengths: tuple[int, ...], parts: int, first: int = 0) -> Callable:
+    """What blocks ask of n-grams of these lengths, dealt to parts from `first` on."""
+
     def run(it):
         for batch in it:
             for row in batch.to_pylist():
-                b = _Block(order, row["a"], row["b"], row["c"], row["d"])
+                b = _Block(max(lengths), row["a"], row["b"], row["c"], row["d"])
                 counts = b.asked()
-                cuts = [np.searchsorted(_part_of(k, parts), np.arange(parts + 1)) for k in b.keys]
+                keys, counts = [b.keys[n - 1] for n in lengths], [counts[n - 1] for n in lengths]
+                cuts = [np.searchsorted(_part_of(k, parts), np.arange(parts + 1)) for k in keys]
                 some = [p for p in range(parts) if any(c[p] < c[p + 1] for c in cuts)]
-                pressed = [[_frames([f(x[c[p] : c[p + 1]]) for x, c in zip(xs, cuts, strict=True)]) for p in some] for f, xs in ((_press_keys, b.keys), (_press, counts))]
-                yield _rows([row["block"]] * len(some), some, *pressed)
+                pressed = [[_frames([f(x[c[p] : c[p + 1]]) for x, c in zip(xs, cuts, strict=True)]) for p in some] for f, xs in ((_press_keys, keys), (_press, counts))]
+                yield _rows([row["block"]] * len(some), [first + p for p in some], *pressed)
 
     return run
 
@@ -234,9 +241,13 @@ def _met(order: int, it: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, lis
     """Blocks with the counts of their tokens' n-grams and contexts."""
     for table in store.by_group(it, "block"):
         rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        del table
         b = _Block(order, *(rows[0][c] for c in "abcd"))
-        found = [_unframed(r["a"]) for r in rows[1:]]
-        yield b, *b.counted([np.concatenate([_open(x[k]).astype(np.int64) for x in found]) for k in range(order)])
+        totals = []
+        for k in range(-(-rows[-1]["part"] // _SPREAD) + 1):
+            found = [_unframed(r["a"]) for r in rows[1:] if r["part"] // _SPREAD == k]
+            totals += [np.concatenate([_open(x[j]).astype(np.int64) for x in found]) for j in range(len(found[0]) if found else 0)]
+        yield b, *b.counted(totals)
 
 
 def bucket(count: np.ndarray) -> np.ndarray:
@@ -327,17 +338,22 @@ def score(docs: DataFrame, trains=None, order: int = ORDER) -> DataFrame:
     trains = store.remainder("doc_id", 10) != 0 if trains is None else trains
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(trains, F.lit(False)).alias("trains"), "text")
     blocks = store.written(rows.transform(store.arrow, _tokenised, _BLOCKS), "blocks")
-    # packed keys of all lengths are about 1.2 times the packed words for each length
-    size = blocks.agg(F.sum(F.length("d"))).first()[0] or 0
-    parts = store.parts(spark, 1.2 * size * order, PART)
-    asked = blocks.transform(store.arrow, _asked(order, parts), _BLOCKS)
-    answers = store.written(asked.repartition(parts, "part").sortWithinPartitions("part").transform(store.arrow, _answered, _BLOCKS), "counts")
-    total, distinct = (sum(x) for x in zip((0, 0), *((int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in answers.where("block = -1").select("a", "b").collect()), strict=True))
-    del asked
-    store.release(spark)
-    met = blocks.union(answers.where("block >= 0")).repartition(store.parts(spark, size, PART), "block").sortWithinPartitions("block", "part")
+    size = blocks.agg(F.sum(F.length("d"))).first()[0] or 0  # a length's packed keys are about as large as the packed words
+    answers = []
+    for k, lengths in enumerate(tuple(n for n in step if n <= order) for step in STEPS):
+        if lengths:
+            parts = store.parts(spark, size * len(lengths), PART)
+            asked = blocks.transform(store.arrow, _asked(lengths, parts, k * _SPREAD), _BLOCKS)
+            dealt = asked.repartition(parts, "part").sortWithinPartitions("part").transform(store.arrow, _answered, _BLOCKS)
+            answers.append(store.written(dealt, "counts"))
+            del asked, dealt
+            store.release(spark)
+    sums = answers[0].where("block = -1").select("a", "b").collect()  # a row a part
+    total, distinct = (sum(x) for x in zip((0, 0), *((int.from_bytes(r.a, "little"), int.from_bytes(r.b, "little")) for r in sums), strict=True))
+    answers = reduce(DataFrame.union, answers).where("block >= 0")
+    met = blocks.union(answers).repartition(store.parts(spark, size, PART), "block").sortWithinPartitions("block", "part")
     cells = met.transform(store.arrow, _histogram(order, total), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = store.written(cells.coalesce(4), "cells").collect()  # written, or the driver would hold on to the shuffle
+    cells = store.written(cells.coalesce(4), "cells").toArrow()  # written, or the driver would hold on to the shuffle
     store.release(spark)
-    weights = fit_weights(np.array([r.cell for r in cells], np.int64), np.array([r.n for r in cells], float), distinct, order)
+    weights = fit_weights(cells.column("cell").to_numpy(), cells.column("n").to_numpy().astype(float), distinct, order)
     return met.transform(store.arrow, _scored(order, total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

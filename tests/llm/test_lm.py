@@ -77,7 +77,7 @@ def test_sums_in_sub_ranges():
 def test_weights_rise_to_the_likeliest():
     cells = np.array([(3 * M._span(2) + 5) * M._span(2) + 40, 3 * M._span(2) * M._span(2) + 30, 3 * M._span(2) * M._span(2)])
     n, v = np.array([50.0, 30.0, 20.0]), 1000
-    w = M.fit_weights(cells, n, v, rounds=400)[3]
+    w = M.fit_weights(cells, n, v, 2, 400)[3]
     back = lambda c: 2.0 ** (-(c - 1) / M.FINE[2]) if c else 0.0
     like = lambda q: sum(k * math.log(q[0] * back(c // M._span(2) % M._span(2)) + q[1] * back(c % M._span(2)) + q[2] / (v + 1)) for c, k in zip(cells.tolist(), n, strict=True))
     rng = np.random.default_rng(0)
