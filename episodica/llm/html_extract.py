@@ -10,7 +10,8 @@ The trees are trained here, on pages composed by `composed_page` from a grammar
 their number is a parameter.  The model is a fixed number of small trees and travels with the task.
 
 Null or empty html: an empty text.  Broken markup: elements end as HTML's implied end tags say, unclosed ones at
-their parent's end.  Repeated rows alike; extra columns are ignored.
+their parent's end.  Very long pages are read whole, a batch at a time.  Null ids and urls stay null.  Repeated rows alike, extra
+columns are ignored, an empty table stays empty.  Of equally good choices a node is kept or dropped whole.
 """
 
 from __future__ import annotations
