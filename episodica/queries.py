@@ -55,12 +55,20 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 # --- segments and horizons
 
 
-@query("SELECT episode_index, run::BIGINT AS run, subtask, start_frame::BIGINT AS start_frame, end_frame::BIGINT AS end_frame, (end_frame - start_frame)::BIGINT AS length FROM s", *_EVENTS)
+@query(
+    "SELECT episode_index, run::BIGINT AS run, subtask, start_frame::BIGINT AS start_frame, end_frame::BIGINT AS end_frame, (end_frame - start_frame)::BIGINT AS length "
+    "FROM s",
+    *_EVENTS,
+)
 def segment_runs(spark, d):
     return segments.run_segments(proxies.frames(spark, d), "subtask", proxies.ORDER)
 
 
-@query("SELECT subtask, count(*) AS segments, min(end_frame - start_frame)::BIGINT AS min_length, max(end_frame - start_frame)::BIGINT AS max_length, sum(end_frame - start_frame)::BIGINT AS frames FROM s GROUP BY subtask", *_EVENTS)
+@query(
+    "SELECT subtask, count(*) AS segments, min(end_frame - start_frame)::BIGINT AS min_length, max(end_frame - start_frame)::BIGINT AS max_length, sum(end_frame - start_frame)::BIGINT AS frames "
+    "FROM s GROUP BY subtask",
+    *_EVENTS,
+)
 def segment_lengths(spark, d):
     return segments.segment_lengths(segments.run_segments(proxies.frames(spark, d), "subtask", proxies.ORDER), "subtask")
 
@@ -71,12 +79,20 @@ def run_values_dedup(spark, d):
     return out.select("episode_index", F.array_join("values", ",").alias("run_values"), F.size("values").cast("long").alias("runs"))
 
 
-@query("SELECT episode_index, string_agg(subtask, ',' ORDER BY p) AS tasks FROM (SELECT episode_index, subtask, min(frame_index) AS p FROM f GROUP BY ALL) GROUP BY episode_index", "f")
+@query(
+    "SELECT episode_index, string_agg(subtask, ',' ORDER BY p) AS tasks FROM (SELECT episode_index, subtask, min(frame_index) AS p FROM f GROUP BY ALL) "
+    "GROUP BY episode_index",
+    "f",
+)
 def first_seen_tasks(spark, d):
     return segments.first_seen(proxies.frames(spark, d), "subtask", proxies.ORDER).select("episode_index", F.array_join("values", ",").alias("tasks"))
 
 
-@query("SELECT episode_index, frame_index::BIGINT AS frame_index, index, subtask_index::BIGINT AS subtask_index, next_index::BIGINT AS next_subtask_index, first_offset::BIGINT AS first_next_offset, end_frame::BIGINT AS boundary_frame_index FROM h WHERE frame_index + 3 <= n AND first_offset < 3", *_EVENTS, "h")
+@query(
+    "SELECT episode_index, frame_index::BIGINT AS frame_index, index, subtask_index::BIGINT AS subtask_index, next_index::BIGINT AS next_subtask_index, first_offset::BIGINT AS first_next_offset, end_frame::BIGINT AS boundary_frame_index "
+    "FROM h WHERE frame_index + 3 <= n AND first_offset < 3",
+    *_EVENTS, "h",
+)
 def boundary_starts(spark, d):
     return horizon.boundary_starts(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER, 3)
 
@@ -96,7 +112,11 @@ def clean_starts(spark, d):
     return horizon.clean_starts(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER, 2).groupBy("episode_index").agg(F.count("*").alias("clean"))
 
 
-@query("SELECT episode_index, string_agg(subtask_index || ':' || subtask || ':' || start_frame || '-' || end_frame, ' ' ORDER BY run) AS blocks FROM s GROUP BY episode_index", *_EVENTS)
+@query(
+    "SELECT episode_index, string_agg(subtask_index || ':' || subtask || ':' || start_frame || '-' || end_frame, ' ' ORDER BY run) AS blocks FROM s "
+    "GROUP BY episode_index",
+    *_EVENTS,
+)
 def annotation_segments(spark, d):
     found = segments.run_segments(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER).join(proxies.subtasks(spark, d), "subtask_index")
     blocks = segments.annotation_blocks(found, "subtask_index", "subtask")
@@ -104,7 +124,11 @@ def annotation_segments(spark, d):
     return blocks.select("episode_index", F.array_join(one, " ").alias("blocks"))
 
 
-@query("SELECT episode_index, run::BIGINT AS segment, start_frame::BIGINT AS observed_start, end_frame::BIGINT AS observed_end, CASE WHEN run % 7 = 6 THEN NULL ELSE start_frame + CASE WHEN run % 5 = 4 THEN 1 ELSE 0 END END::BIGINT AS annotated_start FROM s WHERE run % 5 = 4 OR run % 7 = 6", *_EVENTS)
+@query(
+    "SELECT episode_index, run::BIGINT AS segment, start_frame::BIGINT AS observed_start, end_frame::BIGINT AS observed_end, CASE WHEN run % 7 = 6 THEN NULL ELSE start_frame + CASE WHEN run % 5 = 4 THEN 1 ELSE 0 END END::BIGINT AS annotated_start "
+    "FROM s WHERE run % 5 = 4 OR run % 7 = 6",
+    *_EVENTS,
+)
 def annotation_mismatch(spark, d):
     """Annotations with two planted defects: starts moved by one, entries missing."""
     found = segments.run_segments(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER)
@@ -117,23 +141,37 @@ def annotation_mismatch(spark, d):
 # --- numbering
 
 
-@query("SELECT episode_index, min(index) AS from_index, max(index) + 1 AS to_index, count(*) AS frames, max(index) + 1 - min(index) = count(*) AS contiguous FROM f GROUP BY episode_index", "f")
+@query(
+    "SELECT episode_index, min(index) AS from_index, max(index) + 1 AS to_index, count(*) AS frames, max(index) + 1 - min(index) = count(*) AS contiguous "
+    "FROM f GROUP BY episode_index",
+    "f",
+)
 def episode_bounds(spark, d):
     return index.bounds(proxies.frames(spark, d))
 
 
-@query("SELECT index, (row_number() OVER (ORDER BY o_custkey, index) - 1)::BIGINT AS expected FROM (SELECT o_orderkey AS index, o_custkey FROM orders) QUALIFY index <> row_number() OVER (ORDER BY o_custkey, index) - 1")
+@query(
+    "SELECT index, (row_number() OVER (ORDER BY o_custkey, index) - 1)::BIGINT AS expected FROM (SELECT o_orderkey AS index, o_custkey FROM orders) "
+    "QUALIFY index <> row_number() OVER (ORDER BY o_custkey, index) - 1",
+)
 def global_index_check(spark, d):
     rows = _t(spark, d, "orders").select(F.col("o_orderkey").alias("index"), "o_custkey")
     return index.global_index_violations(rows, "o_custkey", "index", ("index",))
 
 
-@query("SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))::BIGINT AS expected, l_linenumber::BIGINT AS observed FROM lineitem QUALIFY l_linenumber <> row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)")
+@query(
+    "SELECT l_orderkey, (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))::BIGINT AS expected, l_linenumber::BIGINT AS observed "
+    "FROM lineitem QUALIFY l_linenumber <> row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)",
+)
 def frame_contiguity_violations(spark, d):
     return index.contiguity_violations(_t(spark, d, "lineitem"), "l_orderkey", "l_linenumber", ["l_linenumber", "l_partkey", "l_suppkey"], 1)
 
 
-@query("SELECT episode_index, (max(frame_index) + 1)::BIGINT AS length, (sum(max(frame_index) + 1) OVER (ORDER BY episode_index) - max(frame_index) - 1)::BIGINT AS dataset_from_index, (sum(max(frame_index) + 1) OVER (ORDER BY episode_index))::BIGINT AS dataset_to_index FROM f GROUP BY episode_index", "f")
+@query(
+    "SELECT episode_index, (max(frame_index) + 1)::BIGINT AS length, (sum(max(frame_index) + 1) OVER (ORDER BY episode_index) - max(frame_index) - 1)::BIGINT AS dataset_from_index, (sum(max(frame_index) + 1) OVER (ORDER BY episode_index))::BIGINT AS dataset_to_index "
+    "FROM f GROUP BY episode_index",
+    "f",
+)
 def episode_offsets(spark, d):
     lengths = proxies.frames(spark, d).groupBy("episode_index").agg(F.count("*").alias("length"))
     return index.episode_offsets(lengths, "episode_index")
@@ -144,7 +182,11 @@ def compact_ids(spark, d):
     return index.compact_ids(_t(spark, d, "orders"), "o_custkey", "compact")
 
 
-@query("SELECT episode_index, round(max(frame_index) / 15.0, 6) AS last_second, round(any_value(episode_index) + max(frame_index) / 15.0, 6) AS media_second FROM f GROUP BY episode_index", "f")
+@query(
+    "SELECT episode_index, round(max(frame_index) / 15.0, 6) AS last_second, round(any_value(episode_index) + max(frame_index) / 15.0, 6) AS media_second "
+    "FROM f GROUP BY episode_index",
+    "f",
+)
 def media_timestamps(spark, d):
     last = proxies.frames(spark, d).groupBy("episode_index").agg(F.max("frame_index").alias("p"))
     a, b = index.media_interval(F.col("episode_index"), F.lit(0), F.col("p"), 15)
@@ -185,7 +227,11 @@ def range_join_source(spark, d):
     return merge.source_of(ids.select("new_episode"), merge.offsets(ids))
 
 
-@query("SELECT new_episode::BIGINT AS new_episode, frame_index::BIGINT AS place, new_index::BIGINT AS new_index, new_subtask::BIGINT AS new_subtask, index AS old_index FROM m", "f", "v", "src")
+@query(
+    "SELECT new_episode::BIGINT AS new_episode, frame_index::BIGINT AS place, new_index::BIGINT AS new_index, new_subtask::BIGINT AS new_subtask, index AS old_index "
+    "FROM m",
+    "f", "v", "src",
+)
 def merge_frames(spark, d):
     rows, words = proxies.sources(spark, d)
     return merge.frames(rows, words, proxies.ORDER).select("new_episode", "place", "new_index", "new_subtask", F.col("index").alias("old_index"))
@@ -210,7 +256,11 @@ def unresolved_tasks(spark, d):
 # --- subsets
 
 
-@query("SELECT source_episode, start_frame::BIGINT AS start_frame, end_frame::BIGINT AS end_frame, length, new_episode::BIGINT AS new_episode, dataset_from_index::BIGINT AS dataset_from_index, (dataset_from_index + length)::BIGINT AS dataset_to_index FROM n", "f", "kept")
+@query(
+    "SELECT source_episode, start_frame::BIGINT AS start_frame, end_frame::BIGINT AS end_frame, length, new_episode::BIGINT AS new_episode, dataset_from_index::BIGINT AS dataset_from_index, (dataset_from_index + length)::BIGINT AS dataset_to_index "
+    "FROM n",
+    "f", "kept",
+)
 def essential_islands(spark, d):
     return subset.segments(_kept(spark, d)).drop("island")
 
@@ -224,7 +274,11 @@ def _kept(spark, d):
     return subset.islands(_flags(spark, d))
 
 
-@query("SELECT index, new_episode::BIGINT AS new_episode, new_frame::BIGINT AS new_frame, new_index::BIGINT AS new_index, round(new_frame / 15.0, 4) AS new_timestamp FROM x", "f", "kept")
+@query(
+    "SELECT index, new_episode::BIGINT AS new_episode, new_frame::BIGINT AS new_frame, new_index::BIGINT AS new_index, round(new_frame / 15.0, 4) AS new_timestamp "
+    "FROM x",
+    "f", "kept",
+)
 def essential_frames(spark, d):
     kept = _kept(spark, d)
     out = subset.reindexed(kept, subset.segments(kept), 15.0)
@@ -244,7 +298,11 @@ def retained_excluded_counts(spark, d):
     return subset.counts(_flags(spark, d), "subtask")
 
 
-@query("SELECT new_episode::BIGINT AS new_episode, dim, round(avg(v), 6) AS mean, round(greatest(stddev_pop(v), 0.001), 6) AS std, count(*) AS count FROM (SELECT new_episode, 0 AS dim, value AS v FROM x UNION ALL SELECT new_episode, 1, frame_index::DOUBLE FROM x) GROUP BY new_episode, dim", "f", "kept")
+@query(
+    "SELECT new_episode::BIGINT AS new_episode, dim, round(avg(v), 6) AS mean, round(greatest(stddev_pop(v), 0.001), 6) AS std, count(*) AS count "
+    "FROM (SELECT new_episode, 0 AS dim, value AS v FROM x UNION ALL SELECT new_episode, 1, frame_index::DOUBLE FROM x) GROUP BY new_episode, dim",
+    "f", "kept",
+)
 def essential_stats(spark, d):
     kept = _kept(spark, d)
     rows = subset.reindexed(kept, subset.segments(kept), 15.0).withColumn("state", F.array("value", F.col("pos").cast("double")))
@@ -254,33 +312,52 @@ def essential_stats(spark, d):
 # --- statistics and vectors
 
 
-@query("SELECT feature, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS min, max(v) AS max, count(*) AS count FROM (SELECT 'index' AS feature, index::DOUBLE AS v FROM f UNION ALL SELECT 'frame_index', frame_index::DOUBLE FROM f UNION ALL SELECT 'episode_index', episode_index::DOUBLE FROM f) GROUP BY feature", "f")
+@query(
+    "SELECT feature, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, min(v) AS min, max(v) AS max, count(*) AS count "
+    "FROM (SELECT 'index' AS feature, index::DOUBLE AS v FROM f UNION ALL SELECT 'frame_index', frame_index::DOUBLE FROM f UNION ALL "
+    "SELECT 'episode_index', episode_index::DOUBLE FROM f) GROUP BY feature",
+    "f",
+)
 def int_stats(spark, d):
     out = stats.column_stats(proxies.frames(spark, d), ["index", "frame_index", "episode_index"])
     return out.select("feature", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", "count")
 
 
-@query("SELECT episode_index, round(avg(index), 6) AS mean, round(stddev_pop(index), 6) AS std, min(index)::DOUBLE AS min, max(index)::DOUBLE AS max, count(*) AS count FROM f GROUP BY episode_index", "f")
+@query(
+    "SELECT episode_index, round(avg(index), 6) AS mean, round(stddev_pop(index), 6) AS std, min(index)::DOUBLE AS min, max(index)::DOUBLE AS max, count(*) AS count "
+    "FROM f GROUP BY episode_index",
+    "f",
+)
 def episode_int_stats(spark, d):
     out = stats.column_stats(proxies.frames(spark, d), ["index"], ["episode_index"])
     return out.select("episode_index", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", "max", "count")
 
 
-@query("SELECT vec_id, len(embedding[1:16])::INT AS dims, round(list_sum(list_transform(embedding[1:16], lambda x: x::DOUBLE)), 5) AS total, round(embedding[3]::DOUBLE, 6) AS picked FROM embeddings")
+@query(
+    "SELECT vec_id, len(embedding[1:16])::INT AS dims, round(list_sum(list_transform(embedding[1:16], lambda x: x::DOUBLE)), 5) AS total, round(embedding[3]::DOUBLE, 6) AS picked "
+    "FROM embeddings",
+)
 def vector_slice(spark, d):
     v = vectors.select_dims(F.col("embedding"), list(range(16)))
     some = vectors.select_dims(F.col("embedding"), [2, 0, 5])
     return _t(spark, d, "embeddings").select("vec_id", F.size(v).alias("dims"), F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"), F.round(some[0].cast("double"), 6).alias("picked"))
 
 
-@query("SELECT dim - 1 AS dim, round(avg(x), 6) AS mean, round(greatest(stddev_pop(x), 0.001), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max, count(*) AS count FROM (SELECT generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings) WHERE dim <= 16 GROUP BY dim")
+@query(
+    "SELECT dim - 1 AS dim, round(avg(x), 6) AS mean, round(greatest(stddev_pop(x), 0.001), 6) AS std, round(min(x), 6) AS min, round(max(x), 6) AS max, count(*) AS count "
+    "FROM (SELECT generate_subscripts(embedding, 1) AS dim, unnest(embedding)::DOUBLE AS x FROM embeddings) WHERE dim <= 16 GROUP BY dim",
+)
 def vector_stats(spark, d):
     rows = _t(spark, d, "embeddings").withColumn("state", vectors.select_dims(F.col("embedding"), list(range(16))))
     r = lambda c: F.round(c, 6).alias(c)
     return stats.vector_stats(rows, "state").select("dim", r("mean"), r("std"), r("min"), r("max"), "count")
 
 
-@query("SELECT subtask, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max, count(*) AS count FROM f GROUP BY subtask", "f")
+@query(
+    "SELECT subtask, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(min(value), 6) AS min, round(max(value), 6) AS max, count(*) AS count "
+    "FROM f GROUP BY subtask",
+    "f",
+)
 def pooled_stats(spark, d):
     """Per-episode statistics pooled again: the same as over all frames."""
     parts = proxies.frames(spark, d).groupBy("subtask", "episode_index").agg(*stats.numeric("value"))
@@ -288,13 +365,19 @@ def pooled_stats(spark, d):
     return stats.pooled(parts.drop("episode_index"), ["subtask"]).select("subtask", r("mean"), r("std"), r("min"), r("max"), "count")
 
 
-@query("SELECT l_orderkey, l_linenumber, round(0.75 * l_discount, 6) AS mean, round(sqrt(greatest(0.75 * (l_tax * l_tax + l_discount * l_discount) - (0.75 * l_discount) * (0.75 * l_discount), 0)), 6) AS std FROM lineitem")
+@query(
+    "SELECT l_orderkey, l_linenumber, round(0.75 * l_discount, 6) AS mean, round(sqrt(greatest(0.75 * (l_tax * l_tax + l_discount * l_discount) - (0.75 * l_discount) * (0.75 * l_discount), 0)), 6) AS std "
+    "FROM lineitem",
+)
 def padded_image_moments(spark, d):
     m, s = stats.padded_moments(F.col("l_discount"), F.col("l_tax"))
     return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(m, 6).alias("mean"), F.round(s, 6).alias("std"))
 
 
-@query("SELECT vec_id, modality, round(list_sum(list_transform(embedding[a + 1:b], lambda x: x::DOUBLE)), 5) AS total, (b - a)::INT AS dims FROM embeddings, (VALUES ('left_arm', 0, 7), ('left_hand', 7, 8), ('right_arm', 8, 15), ('right_hand', 15, 16)) AS g(modality, a, b)")
+@query(
+    "SELECT vec_id, modality, round(list_sum(list_transform(embedding[a + 1:b], lambda x: x::DOUBLE)), 5) AS total, (b - a)::INT AS dims "
+    "FROM embeddings, (VALUES ('left_arm', 0, 7), ('left_hand', 7, 8), ('right_arm', 8, 15), ('right_hand', 15, 16)) AS g(modality, a, b)",
+)
 def modality_groups(spark, d):
     out = vectors.by_modality(_t(spark, d, "embeddings"), "embedding", [("left_arm", 0, 7), ("left_hand", 7, 8), ("right_arm", 8, 15), ("right_hand", 15, 16)])
     return out.select("vec_id", "modality", F.round(F.aggregate("part", F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"), F.size("part").alias("dims"))
@@ -310,7 +393,10 @@ def finite_vectors(spark, d):
 _WS = r"\t\n\v\f\r\x1c\x1d\x1e\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
-@query(f"SELECT conv_id, turn, CASE WHEN regexp_matches(text, '^[ {_WS}]|[ {_WS}]$') THEN 'leading or trailing whitespace' WHEN contains(text, '  ') THEN 'repeated ASCII spaces' ELSE 'unexpected whitespace U+' || upper(lpad(to_hex(unicode(regexp_extract(text, '[{_WS}]'))), 4, '0')) END AS problem FROM conversations WHERE regexp_matches(text, '^[ {_WS}]|[ {_WS}]$') OR contains(text, '  ') OR regexp_matches(text, '[{_WS}]')")
+@query(
+    f"SELECT conv_id, turn, CASE WHEN regexp_matches(text, '^[ {_WS}]|[ {_WS}]$') THEN 'leading or trailing whitespace' WHEN contains(text, '  ') THEN 'repeated ASCII spaces' ELSE 'unexpected whitespace U+' || upper(lpad(to_hex(unicode(regexp_extract(text, '[{_WS}]'))), 4, '0')) END AS problem "
+    f"FROM conversations WHERE regexp_matches(text, '^[ {_WS}]|[ {_WS}]$') OR contains(text, '  ') OR regexp_matches(text, '[{_WS}]')",
+)
 def caption_whitespace(spark, d):
     return _t(spark, d, "conversations").select("conv_id", "turn", text.whitespace_problem(F.col("text")).alias("problem")).where("problem is not null")
 
@@ -318,19 +404,30 @@ def caption_whitespace(spark, d):
 _PAIRS = {"user": "operator", "assistant": "robot"}
 
 
-@query("SELECT role AS old, CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END AS new, count(*) AS turns FROM conversations GROUP BY role")
+@query(
+    "SELECT role AS old, CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END AS new, count(*) AS turns FROM conversations "
+    "GROUP BY role",
+)
 def caption_replace_counts(spark, d):
     return _t(spark, d, "conversations").select(F.col("role").alias("old"), text.replaced(F.col("role"), _PAIRS).alias("new")).groupBy("old", "new").agg(F.count("*").alias("turns"))
 
 
-@query("SELECT conv_id, string_agg(CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END, ',' ORDER BY turn) AS captions, string_agg(CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END || turn, ',' ORDER BY turn) AS blocks FROM conversations GROUP BY conv_id")
+@query(
+    "SELECT conv_id, string_agg(CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END, ',' "
+    "ORDER BY turn) AS captions, string_agg(CASE role WHEN 'user' THEN 'operator' WHEN 'assistant' THEN 'robot' ELSE role END || turn, ',' "
+    "ORDER BY turn) AS blocks FROM conversations GROUP BY conv_id",
+)
 def caption_replace_nested(spark, d):
     rows = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("sub_task_instruction")))).alias("b"))
     rows = rows.withColumn("b", text.replaced_blocks(F.col("b"), _PAIRS)).withColumn("c", text.replaced_list(F.transform("b", lambda x: x["sub_task_instruction"]), {}))
     return rows.select("conv_id", F.array_join("c", ",").alias("captions"), F.array_join(F.transform("b", lambda x: F.concat(x["sub_task_instruction"], x["turn"].cast("string"))), ",").alias("blocks"))
 
 
-@query("SELECT mode, count(*) AS episodes FROM (SELECT conv_id, CASE conv_id % 4 WHEN 0 THEN 'full_episode' WHEN 1 THEN 'per_subtask' WHEN 2 THEN 'mapped_subtask' ELSE 'invalid_unresolved' END AS mode FROM conversations GROUP BY conv_id HAVING count(DISTINCT role) > 1) GROUP BY mode")
+@query(
+    "SELECT mode, count(*) AS episodes "
+    "FROM (SELECT conv_id, CASE conv_id % 4 WHEN 0 THEN 'full_episode' WHEN 1 THEN 'per_subtask' WHEN 2 THEN 'mapped_subtask' ELSE 'invalid_unresolved' END AS mode "
+    "FROM conversations GROUP BY conv_id HAVING count(DISTINCT role) > 1) GROUP BY mode",
+)
 def language_mode_labels(spark, d):
     """Conversations as episodes, their prompts set so that each mode occurs."""
     rows = proxies.turns(spark, d).withColumn("phases", F.size(F.collect_set("subtask").over(Window.partitionBy("episode_index")))).where("phases > 1")
@@ -362,7 +459,12 @@ def preflight_violations(spark, d):
     return found.groupBy("rule").agg(F.count("*").alias("violations"))
 
 
-@query("SELECT 'subtask_order' AS rule, count(*) AS violations FROM s WHERE run <> subtask_index UNION ALL SELECT 'subtask_count', count(*) FROM (SELECT episode_index FROM s GROUP BY episode_index HAVING count(*) <> 40) UNION ALL SELECT 'annotation_frame_range', count(*) FROM s WHERE run = 0", *_EVENTS)
+@query(
+    "SELECT 'subtask_order' AS rule, count(*) AS violations FROM s WHERE run <> subtask_index UNION ALL SELECT 'subtask_count', count(*) "
+    "FROM (SELECT episode_index FROM s GROUP BY episode_index HAVING count(*) <> 40) UNION ALL SELECT 'annotation_frame_range', count(*) FROM s "
+    "WHERE run = 0",
+    *_EVENTS,
+)
 def language_violations(spark, d):
     rows = proxies.coded_frames(spark, d)
     found = segments.run_segments(rows, "subtask_index", proxies.ORDER).join(proxies.subtasks(spark, d), "subtask_index")
@@ -371,7 +473,11 @@ def language_violations(spark, d):
     return rules.language(rows, meta, said, proxies.ORDER, 40).groupBy("rule").agg(F.count("*").alias("violations"))
 
 
-@query("SELECT n_name AS dataset, field, expected, observed FROM (SELECT n_name, n_nationkey, 'fps' AS field, '[15.0]' AS expected, '[' || (15 + n_regionkey)::DOUBLE || ']' AS observed FROM nation WHERE n_regionkey > 0 UNION ALL SELECT n_name, n_nationkey, 'state_names', '[[\"a\",\"b\"]]', '[[\"b\",\"a\"]]' FROM nation WHERE n_nationkey % 2 = 1)")
+@query(
+    "SELECT n_name AS dataset, field, expected, observed "
+    "FROM (SELECT n_name, n_nationkey, 'fps' AS field, '[15.0]' AS expected, '[' || (15 + n_regionkey)::DOUBLE || ']' AS observed FROM nation "
+    "WHERE n_regionkey > 0 UNION ALL SELECT n_name, n_nationkey, 'state_names', '[[\"a\",\"b\"]]', '[[\"b\",\"a\"]]' FROM nation WHERE n_nationkey % 2 = 1)",
+)
 def contract_check(spark, d):
     names = _t(spark, d, "nation")
     make = lambda fps, state: names.select(F.col("n_name").alias("dataset"), F.lit(2).alias("state_dim"), state.alias("state_names"), F.lit(1).alias("action_dim"), F.array(F.lit("x")).alias("action_names"), F.array(F.lit("head:3x480x640")).alias("cameras"), fps.alias("fps"))
@@ -382,7 +488,12 @@ def contract_check(spark, d):
 # --- media and manifests
 
 
-@query("SELECT episode_index AS path, any_value(n) AS frames, count(*) FILTER (key) AS key_frames, max(gap)::BIGINT AS max_gop FROM (SELECT episode_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap FROM (SELECT *, subtask = 'signup' AS key FROM f)) GROUP BY path", "f")
+@query(
+    "SELECT episode_index AS path, any_value(n) AS frames, count(*) FILTER (key) AS key_frames, max(gap)::BIGINT AS max_gop "
+    "FROM (SELECT episode_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap "
+    "FROM (SELECT *, subtask = 'signup' AS key FROM f)) GROUP BY path",
+    "f",
+)
 def gop_intervals(spark, d):
     rows = proxies.frames(spark, d).select(F.col("episode_index").alias("path"), "frame_index", (F.col("subtask") == "signup").alias("key"))
     return media.key_intervals(rows, "key", "frame_index")
@@ -391,7 +502,11 @@ def gop_intervals(spark, d):
 _PROBE = "p_type AS codec_name, p_size AS max_gop, CASE WHEN p_size % 3 = 0 THEN '15/1' ELSE '30/2' END AS avg_frame_rate"
 
 
-@query("SELECT p_brand AS camera, CASE WHEN p_type = (SELECT min(p_type) FROM part) AND p_size <= 30 THEN 'copy' ELSE 'transcode' END AS decision, count(*) AS files, count(*) FILTER (p_type = (SELECT min(p_type) FROM part) AND p_size <= 25) AS acceptable FROM part GROUP BY ALL")
+@query(
+    "SELECT p_brand AS camera, CASE WHEN p_type = (SELECT min(p_type) "
+    "FROM part) AND p_size <= 30 THEN 'copy' ELSE 'transcode' END AS decision, count(*) AS files, count(*) FILTER (p_type = (SELECT min(p_type) "
+    "FROM part) AND p_size <= 25) AS acceptable FROM part GROUP BY ALL",
+)
 def video_decisions(spark, d):
     parts = _t(spark, d, "part")
     codec = parts.agg(F.min("p_type")).first()[0]
@@ -409,12 +524,18 @@ def manifest_hashes(spark, d):
     return manifest.hashed(_t(spark, d, "pages"), "url", "html")
 
 
-@query("SELECT sha256(string_agg(h || '  ' || n_name || chr(10), '' ORDER BY n_name)) AS digest, count(*) AS files, sum(strlen(n_name))::BIGINT AS bytes FROM (SELECT n_name, sha256(n_name) AS h FROM nation)")
+@query(
+    "SELECT sha256(string_agg(h || '  ' || n_name || chr(10), '' ORDER BY n_name)) AS digest, count(*) AS files, sum(strlen(n_name))::BIGINT AS bytes "
+    "FROM (SELECT n_name, sha256(n_name) AS h FROM nation)",
+)
 def manifest_digest(spark, d):
     return manifest.lines(manifest.hashed(_t(spark, d, "nation").select("n_name", F.col("n_name").alias("content")), "n_name")).select("digest", "files", "bytes")
 
 
-@query("SELECT n_name AS path, CASE WHEN n_nationkey % 5 = 0 THEN 'missing' WHEN n_nationkey % 5 = 1 THEN 'not listed' ELSE 'checksum mismatch' END AS problem FROM nation WHERE n_nationkey % 5 < 3")
+@query(
+    "SELECT n_name AS path, CASE WHEN n_nationkey % 5 = 0 THEN 'missing' WHEN n_nationkey % 5 = 1 THEN 'not listed' ELSE 'checksum mismatch' END AS problem "
+    "FROM nation WHERE n_nationkey % 5 < 3",
+)
 def manifest_verify(spark, d):
     names = _t(spark, d, "nation")
     said = names.where("n_nationkey % 5 <> 1").select(F.concat(F.sha2("n_name", 256), F.lit("  "), "n_name").alias("value"))
@@ -429,7 +550,10 @@ def required_files_anti(spark, d):
     return manifest.missing(c.select(F.col("c_name").alias("path")), there)
 
 
-@query("SELECT n_name AS key, n_regionkey::VARCHAR AS expected, CASE WHEN n_nationkey % 4 = 3 THEN NULL ELSE 'x' END AS observed FROM nation WHERE n_nationkey % 4 >= 2")
+@query(
+    "SELECT n_name AS key, n_regionkey::VARCHAR AS expected, CASE WHEN n_nationkey % 4 = 3 THEN NULL ELSE 'x' END AS observed FROM nation "
+    "WHERE n_nationkey % 4 >= 2",
+)
 def receipt_compare(spark, d):
     rows = _t(spark, d, "nation")
     said = rows.select(F.col("n_name").alias("key"), F.col("n_regionkey").cast("string").alias("value"))
@@ -437,7 +561,10 @@ def receipt_compare(spark, d):
     return manifest.receipt_differences(said, found)
 
 
-@query("WITH a AS (SELECT p_brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY lpad(p_partkey::VARCHAR, 9, '0')) - 1 AS place, p_size FROM part) SELECT p_brand AS camera, count(*) AS files, count(*) FILTER (p_size % 2 = 0) AS same FROM a GROUP BY p_brand")
+@query(
+    "WITH a AS (SELECT p_brand, p_name, row_number() OVER (PARTITION BY p_brand ORDER BY lpad(p_partkey::VARCHAR, 9, '0')) - 1 AS place, p_size FROM part) "
+    "SELECT p_brand AS camera, count(*) AS files, count(*) FILTER (p_size % 2 = 0) AS same FROM a GROUP BY p_brand",
+)
 def relinked_media(spark, d):
     rows = _t(spark, d, "part").select(F.col("p_brand").alias("camera"), F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("path"), F.sha2("p_name", 256).alias("sha256"), "p_size")
     other = rows.withColumn("sha256", F.when(F.col("p_size") % 2 == 0, F.col("sha256")).otherwise(""))
@@ -460,7 +587,11 @@ def config_merge(spark, d):
     return cfg.merged_leaves(rows).select("path", "value")
 
 
-@query("WITH RECURSIVE l AS (SELECT n_nationkey AS name, n_nationkey AS cur, n_nationkey::VARCHAR AS chain, 0 AS depth FROM nation UNION ALL SELECT name, ((cur - cur % 2) / 2)::INT, chain || '>' || ((cur - cur % 2) / 2)::INT, depth + 1 FROM l WHERE cur > 0) SELECT name, max(depth)::INT AS depth, max_by(chain, depth) AS chain FROM l GROUP BY name")
+@query(
+    "WITH RECURSIVE l AS (SELECT n_nationkey AS name, n_nationkey AS cur, n_nationkey::VARCHAR AS chain, 0 AS depth FROM nation UNION ALL "
+    "SELECT name, ((cur - cur % 2) / 2)::INT, chain || '>' || ((cur - cur % 2) / 2)::INT, depth + 1 FROM l WHERE cur > 0) "
+    "SELECT name, max(depth)::INT AS depth, max_by(chain, depth) AS chain FROM l GROUP BY name",
+)
 def config_inheritance(spark, d):
     keys = _t(spark, d, "nation").select(F.col("n_nationkey").alias("child"))
     links = keys.select("child", F.when(F.col("child") > 0, F.floor(F.col("child") / 2).cast("int")).alias("parent"))
@@ -499,7 +630,10 @@ def latest_checkpoint(spark, d):
     return runs.latest_checkpoints(rows)
 
 
-@query("SELECT event_id AS run, CASE WHEN code < 0 THEN 128 - code ELSE code END AS exit_code, CASE WHEN code = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'timeout' WHEN event_type = 'error' THEN 'oom' WHEN code < 0 OR code >= 128 THEN 'signal' ELSE 'trainer_error' END AS failure_category FROM (SELECT *, ((event_id % 7 - 3) * 5)::INT AS code FROM events)")
+@query(
+    "SELECT event_id AS run, CASE WHEN code < 0 THEN 128 - code ELSE code END AS exit_code, CASE WHEN code = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'timeout' WHEN event_type = 'error' THEN 'oom' WHEN code < 0 OR code >= 128 THEN 'signal' ELSE 'trainer_error' END AS failure_category "
+    "FROM (SELECT *, ((event_id % 7 - 3) * 5)::INT AS code FROM events)",
+)
 def failure_category(spark, d):
     rows = _t(spark, d, "events").select(F.col("event_id").alias("run"), ((F.col("event_id") % 7 - 3) * 5).cast("int").alias("code"), (F.col("event_id") % 11 == 0).alias("timed_out"), F.when(F.col("event_type") == "error", "x\nCUDA Out Of Memory").otherwise("fine").alias("log"))
     return runs.failures(rows)
@@ -534,12 +668,19 @@ def _queue_events(spark, d):
     return _t(spark, d, "events").select(F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_name"), F.col("event_id").alias("event_no"), state.alias("state"), (F.col("event_id") % 5).alias("attempt"), F.when(state == "failed", F.concat(F.lit("c"), (F.col("event_id") % 3).cast("string"))).alias("failure_category"), F.col("ts").cast("timestamp").alias("ts"))
 
 
-@query("SELECT 'run-' || user_id AS run_name, arg_max(CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'running' END, event_id) AS state, max(event_id % 5) AS attempts, count(*) FILTER (event_type = 'error') AS failures, arg_max('c' || event_id % 3, event_id) FILTER (event_type = 'error') AS last_failure FROM events GROUP BY user_id")
+@query(
+    "SELECT 'run-' || user_id AS run_name, arg_max(CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'completed' ELSE 'running' END, event_id) AS state, max(event_id % 5) AS attempts, count(*) FILTER (event_type = 'error') AS failures, arg_max('c' || event_id % 3, event_id) FILTER (event_type = 'error') AS last_failure "
+    "FROM events GROUP BY user_id",
+)
 def queue_state(spark, d):
     return runs.queue_state(_queue_events(spark, d))
 
 
-@query("SELECT c.c_custkey AS queue, (row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderkey) - 1)::INT AS position, 'o' || o_orderkey AS config, '' AS overrides, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS run_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey")
+@query(
+    "SELECT c.c_custkey AS queue, (row_number() OVER (PARTITION BY c_custkey "
+    "ORDER BY o_orderkey) - 1)::INT AS position, 'o' || o_orderkey AS config, '' AS overrides, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderstatus END AS run_name "
+    "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey",
+)
 def queue_resolution(spark, d):
     orders = _t(spark, d, "orders")
     queues = orders.groupBy(F.col("o_custkey").alias("queue")).agg(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda k: F.struct(F.concat(F.lit("o"), k.cast("string")).alias("config"), F.array().cast("array<string>").alias("overrides"))).alias("runs"))
@@ -547,7 +688,10 @@ def queue_resolution(spark, d):
     return runs.resolved_queue(queues, configs)
 
 
-@query("SELECT queue, string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) AS run_names FROM (SELECT o_custkey AS queue, o_orderpriority FROM orders GROUP BY ALL HAVING count(*) > 1) GROUP BY queue")
+@query(
+    "SELECT queue, string_agg(o_orderpriority, ',' ORDER BY o_orderpriority) AS run_names FROM (SELECT o_custkey AS queue, o_orderpriority FROM orders "
+    "GROUP BY ALL HAVING count(*) > 1) GROUP BY queue",
+)
 def queue_duplicates(spark, d):
     return runs.duplicate_runs(_t(spark, d, "orders").select(F.col("o_custkey").alias("queue"), F.col("o_orderpriority").alias("run_name")))
 
@@ -557,14 +701,20 @@ def exclusion_terms(spark, d):
     return runs.excluded_actions(spark.createDataFrame([("N_1",), ("2",)], "term string"), _t(spark, d, "nation").select(F.col("n_name").alias("name")))
 
 
-@query("SELECT c_custkey, CASE WHEN c_nationkey % 3 = 1 THEN 'groot' ELSE 'lerobot' END AS family, CASE WHEN c_nationkey % 3 = 0 THEN 'lerobot_act' WHEN c_nationkey % 3 = 1 THEN 'isaac_groot' ELSE 'lerobot_groot' END AS backend FROM customer")
+@query(
+    "SELECT c_custkey, CASE WHEN c_nationkey % 3 = 1 THEN 'groot' ELSE 'lerobot' END AS family, CASE WHEN c_nationkey % 3 = 0 THEN 'lerobot_act' WHEN c_nationkey % 3 = 1 THEN 'isaac_groot' ELSE 'lerobot_groot' END AS backend "
+    "FROM customer",
+)
 def backend_aliases(spark, d):
     k = F.col("c_nationkey") % 3
     name = F.when(k == 0, "act").when(k == 1, "isaac").otherwise("lerobot-groot")
     return _t(spark, d, "customer").select("c_custkey", runs.model_family(name).alias("family"), runs.canonical_backend(name).alias("backend"))
 
 
-@query("SELECT c_custkey, 'episode_' || lpad(c_custkey::VARCHAR, 6, '0') AS episode, c_custkey % 3 <> 0 AS safe, CASE WHEN c_custkey % 2 = 0 THEN '${workspace}/' || c_custkey ELSE '/other/' || c_custkey END AS portable FROM customer")
+@query(
+    "SELECT c_custkey, 'episode_' || lpad(c_custkey::VARCHAR, 6, '0') AS episode, c_custkey % 3 <> 0 AS safe, CASE WHEN c_custkey % 2 = 0 THEN '${workspace}/' || c_custkey ELSE '/other/' || c_custkey END AS portable "
+    "FROM customer",
+)
 def scalar_names(spark, d):
     key = F.col("c_custkey").cast("string")
     path = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("/w/s/"), key)).otherwise(F.concat(F.lit("/other/"), key))
@@ -581,12 +731,19 @@ def tumbling_windows(spark, d):
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events", F.round("value", 4).alias("value"))
 
 
-@query("SELECT start, count(*) AS events FROM (SELECT unnest([time_bucket(INTERVAL 12 hour, ts), time_bucket(INTERVAL 12 hour, ts) - INTERVAL 12 hour]) AS start FROM events) GROUP BY start")
+@query(
+    "SELECT start, count(*) AS events "
+    "FROM (SELECT unnest([time_bucket(INTERVAL 12 hour, ts), time_bucket(INTERVAL 12 hour, ts) - INTERVAL 12 hour]) AS start FROM events) GROUP BY start",
+)
 def sliding_windows(spark, d):
     return logs.sliding(logs.timed(_t(spark, d, "events")), "1 day", "12 hours").select(F.col("start").cast("timestamp_ntz").alias("start"), "events")
 
 
-@query("SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 hour AS \"end\", count(*) AS events FROM (SELECT *, sum(n) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 hour >= ts THEN 0 ELSE 1 END AS n FROM events)) GROUP BY user_id, k")
+@query(
+    "SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 hour AS \"end\", count(*) AS events FROM (SELECT *, sum(n) OVER (PARTITION BY user_id "
+    "ORDER BY ts, event_id) AS k FROM (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id "
+    "ORDER BY ts, event_id) + INTERVAL 6 hour >= ts THEN 0 ELSE 1 END AS n FROM events)) GROUP BY user_id, k",
+)
 def session_windows(spark, d):
     out = logs.sessions(logs.timed(_t(spark, d, "events")), "6 hours")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "events")
