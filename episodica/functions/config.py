@@ -136,7 +136,12 @@ def merged_leaves(layers: DataFrame, keys: list[str] | None = None) -> DataFrame
     keys = keys or []
     top = layers.withColumn("n", F.row_number().over(Window.partitionBy(*keys, "path").orderBy(F.desc("layer")))).where("n = 1").drop("n")
     parts = F.split("path", r"\.")
-    up = top.select(*keys, F.col("layer").alias("l"), F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat_ws(".", F.slice(parts, 1, n)))).alias("p"), F.col("path").alias("of"))
+    up = top.select(
+        *keys,
+        F.col("layer").alias("l"),
+        F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat_ws(".", F.slice(parts, 1, n)))).alias("p"),
+        F.col("path").alias("of")
+    )
     up = up.where("p <> of")
     above = top.select(*keys, "layer", F.col("path").alias("p"))
     lower = up.join(above, [*keys, "p"])  # leaf `p` against leaf `of` below it

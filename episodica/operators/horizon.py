@@ -24,7 +24,15 @@ def horizon_starts(frames: DataFrame, value: str, order: list[str], horizon: int
 def boundary_starts(frames: DataFrame, value: str, order: list[str], horizon: int, episode: str = EPISODE) -> DataFrame:
     """The crossing starts, with the first later value and where it begins."""
     out = horizon_starts(frames, value, order, horizon, episode).where("crossing")
-    return out.select(episode, "frame_index", "index", value, F.col("next.v").alias(f"next_{value}"), F.col("offset").alias("first_next_offset"), F.col("next.p").alias("boundary_frame_index"))
+    return out.select(
+        episode,
+        "frame_index",
+        "index",
+        value,
+        F.col("next.v").alias(f"next_{value}"),
+        F.col("offset").alias("first_next_offset"),
+        F.col("next.p").alias("boundary_frame_index")
+    )
 
 
 def clean_starts(frames: DataFrame, value: str, order: list[str], horizon: int, episode: str = EPISODE) -> DataFrame:

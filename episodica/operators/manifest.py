@@ -47,7 +47,11 @@ def fingerprint(files: DataFrame) -> DataFrame:
     files: path, content.  Of contents only the metadata's are gathered."""
     meta = F.when(F.startswith("path", F.lit("meta/")), F.col("content").cast("binary"))
     rows = files.select("path", F.octet_length("content").cast("long").alias("n"), meta.alias("m"))
-    out = rows.agg(F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("parts"), "path", "n", "m"))).alias("p"), F.count("*").alias("file_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("bytes"))
+    out = rows.agg(
+        F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("parts"), "path", "n", "m"))).alias("p"),
+        F.count("*").alias("file_count"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("bytes")
+    )
     zero = F.lit(b"\0")
     whole = lambda parts: F.aggregate(parts, F.lit(b""), lambda a, x: F.concat(a, x))
     lines = F.transform("p", lambda s: F.concat(s["path"].cast("binary"), zero, s["n"].cast("string").cast("binary"), F.lit(b"\n")))

@@ -31,7 +31,9 @@ def probe_rows(probes: DataFrame) -> DataFrame:
 
 def acceptable(width: int, height: int, fps: float, tolerance: float, codec: str, max_gop: int) -> Column:
     """A probe row's format: size, rate within the tolerance, codec, key frames close enough."""
-    return (F.col("width") == width) & (F.col("height") == height) & (F.abs(fraction(F.col("avg_frame_rate")) - fps) <= tolerance) & (F.col("codec_name") == codec) & (F.col("max_gop") <= max_gop)
+    return (F.col("width") == width) & (F.col("height") == height) & (
+        F.abs(fraction(F.col("avg_frame_rate")) - fps) <= tolerance
+    ) & (F.col("codec_name") == codec) & (F.col("max_gop") <= max_gop)
 
 
 def decision(codec: str, max_gop: int) -> Column:

@@ -25,10 +25,16 @@ def offsets(ids: DataFrame) -> DataFrame:
 def source_of(episodes: DataFrame, bounds: DataFrame, episode: str = "new_episode") -> DataFrame:
     """Episodes with their source by range; bounds are one row a source, so the range condition is a broadcast."""
     b = bounds.select(F.col(SOURCE).alias("__s"), "from_episode", "to_episode")
-    return episodes.join(F.broadcast(b), (F.col(episode) >= F.col("from_episode")) & (F.col(episode) < F.col("to_episode"))).withColumn(SOURCE, F.col("__s")).drop("__s", "from_episode", "to_episode")
+    return episodes.join(
+        F.broadcast(b),
+        (F.col(episode) >= F.col("from_episode")) & (F.col(episode) < F.col("to_episode"))
+    ).withColumn(SOURCE, F.col("__s")).drop("__s", "from_episode", "to_episode")
 
 
-def frames(rows: DataFrame, vocabularies: DataFrame, order: list[str], episode: str = "episode_index", subtask: str = "subtask_index", text: str = "subtask", ids: DataFrame | None = None) -> DataFrame:
+def frames(
+    rows: DataFrame, vocabularies: DataFrame, order: list[str], episode: str = "episode_index", subtask: str = "subtask_index", text: str = "subtask",
+    ids: DataFrame | None = None
+) -> DataFrame:
     """Merged frames: new_episode, frame_index (place), new_index, new_subtask.  `rows` has source_id and these columns; a
     subtask that its source's vocabulary lacks is an error.  `ids`: of `compacted`, if it is there already."""
     ids = compacted(rows, episode) if ids is None else ids
@@ -61,7 +67,9 @@ def gates(sources: DataFrame, vocabularies: DataFrame | None = None, text: str =
     each = sources.select("root", F.explode("features").alias("name", "said")).join(F.broadcast(first.select(F.explode("f").alias("name", "expected"))), "name", "full_outer")
     names = first.select(F.explode(F.map_keys("f")).alias("name"))
     lost = sources.select("root", F.map_keys("features").alias("have")).join(F.broadcast(names), ~F.array_contains("have", F.col("name")))
-    out = out.unionAll(rule(each.where("root is not null and not said <=> expected"), "feature", F.concat_ws(" ", "root", "name"))).unionAll(rule(lost, "feature", F.concat_ws(" ", "root", "name")))
+    out = out.unionAll(
+        rule(each.where("root is not null and not said <=> expected"), "feature", F.concat_ws(" ", "root", "name"))
+    ).unionAll(rule(lost, "feature", F.concat_ws(" ", "root", "name")))
     if vocabularies is not None and shared:
         out = out.unionAll(rule(vocab.conflicts(vocabularies, text, shared), "vocabulary", F.col(text)))
     return out
@@ -72,7 +80,12 @@ def episode_rows(merged: DataFrame, names: DataFrame, subtask: str = "subtask_in
     words = names.select(F.col(subtask).alias("__i"), text)
     named = merged.select("new_episode", "place", "new_subtask").join(words, F.col("new_subtask") == F.col("__i"))
     seen = segments.first_seen(named, text, ["place"], "new_episode")
-    agg = merged.groupBy("new_episode").agg(F.count("*").alias("length"), F.min("new_index").alias("dataset_from_index"), (F.max("new_index") + 1).alias("dataset_to_index"), *(c.alias(f"index_{n}") for c, n in zip(stats.numeric("new_index"), ("mean", "std", "min", "max", "count"), strict=True)))
+    agg = merged.groupBy("new_episode").agg(
+        F.count("*").alias("length"),
+        F.min("new_index").alias("dataset_from_index"),
+        (F.max("new_index") + 1).alias("dataset_to_index"),
+        *(c.alias(f"index_{n}") for c, n in zip(stats.numeric("new_index"), ("mean", "std", "min", "max", "count"), strict=True))
+    )
     return agg.join(seen.withColumnRenamed("values", "tasks"), "new_episode")
 
 

@@ -57,14 +57,33 @@ def segment_lengths(segments: DataFrame, value: str) -> DataFrame:
 
 def annotation_blocks(segments: DataFrame, value: str, instruction: str, episode: str = EPISODE) -> DataFrame:
     """Per episode an array of (sub_task_idx, sub_task_instruction, frame_duration [start, end)), in order."""
-    block = F.struct(F.col("start_frame"), F.struct(F.col(value).alias("sub_task_idx"), F.col(instruction).alias("sub_task_instruction"), F.array("start_frame", "end_frame").alias("frame_duration")).alias("v"))
+    block = F.struct(
+        F.col("start_frame"),
+        F.struct(
+            F.col(value).alias("sub_task_idx"),
+            F.col(instruction).alias("sub_task_instruction"),
+            F.array("start_frame", "end_frame").alias("frame_duration")
+        ).alias("v")
+    )
     return segments.groupBy(episode).agg(_ordered(F.collect_list(block)).alias("sub_task_annotation"))
 
 
 def annotation_mismatches(segments: DataFrame, annotations: DataFrame, value: str, episode: str = EPISODE) -> DataFrame:
     """Observed runs against annotation entries by place: rows where either is missing or value or range differ."""
-    seen = segments.select(F.col(episode).alias("e"), F.col("run").alias("p"), F.col(value).alias("observed_value"), F.col("start_frame").alias("observed_start"), F.col("end_frame").alias("observed_end"))
-    said = annotations.select(F.col(episode).alias("e"), F.posexplode("sub_task_annotation").alias("p", "s")).select("e", F.col("p").cast("long").alias("p"), F.col("s.sub_task_idx").alias("annotated_value"), F.col("s.frame_duration")[0].alias("annotated_start"), F.col("s.frame_duration")[1].alias("annotated_end"))
+    seen = segments.select(
+        F.col(episode).alias("e"),
+        F.col("run").alias("p"),
+        F.col(value).alias("observed_value"),
+        F.col("start_frame").alias("observed_start"),
+        F.col("end_frame").alias("observed_end")
+    )
+    said = annotations.select(F.col(episode).alias("e"), F.posexplode("sub_task_annotation").alias("p", "s")).select(
+        "e",
+        F.col("p").cast("long").alias("p"),
+        F.col("s.sub_task_idx").alias("annotated_value"),
+        F.col("s.frame_duration")[0].alias("annotated_start"),
+        F.col("s.frame_duration")[1].alias("annotated_end")
+    )
     same = F.lit(True)
     for c in ("value", "start", "end"):
         same = same & F.col(f"observed_{c}").eqNullSafe(F.col(f"annotated_{c}"))

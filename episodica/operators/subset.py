@@ -35,7 +35,10 @@ def reindexed(kept: DataFrame, found: DataFrame, fps: float, episode: str = EPIS
     """Kept frames renumbered: new_episode, new_frame, new_index, new_timestamp."""
     s = found.select(F.col("source_episode").alias("__e"), F.col("island").alias("__i"), "new_episode", "start_frame", "dataset_from_index")
     out = kept.join(s, (kept[episode] == s["__e"]) & (kept["island"] == s["__i"])).withColumn("new_frame", F.col("pos") - F.col("start_frame"))
-    return out.withColumn("new_index", F.col("dataset_from_index") + F.col("new_frame")).withColumn("new_timestamp", index.timestamps(F.col("new_frame"), fps)).drop("__e", "__i", "start_frame", "dataset_from_index", "island")
+    return out.withColumn(
+        "new_index",
+        F.col("dataset_from_index") + F.col("new_frame")
+    ).withColumn("new_timestamp", index.timestamps(F.col("new_frame"), fps)).drop("__e", "__i", "start_frame", "dataset_from_index", "island")
 
 
 def frame_reuse(reuse: DataFrame, frames: DataFrame, episode: str = EPISODE, target: str = "target_frame_index") -> DataFrame:

@@ -38,7 +38,10 @@ def remap(frames: DataFrame, pairs: DataFrame, keys: list[str], new: str, strict
     out = frames.join(pairs, keys, "left")
     value = F.col(new)
     if strict:
-        value = F.when(F.col(new).isNull(), F.raise_error(F.concat(F.lit(f"no mapping for {keys[-1]} "), F.coalesce(F.col(keys[-1]).cast("string"), F.lit("null")))).cast("long")).otherwise(F.col(new))
+        value = F.when(
+            F.col(new).isNull(),
+            F.raise_error(F.concat(F.lit(f"no mapping for {keys[-1]} "), F.coalesce(F.col(keys[-1]).cast("string"), F.lit("null")))).cast("long")
+        ).otherwise(F.col(new))
     return out.withColumn(keys[-1], value).select(*(f"`{c}`" for c in frames.columns))
 
 
@@ -55,7 +58,9 @@ def prompt_index(use_subtask: bool, subtask: str = "subtask_index", size: int |
     if size is None:
         return F.col(subtask).cast("long")
     inside = F.coalesce(F.col(subtask).between(0, size - 1), F.lit(False))
-    return F.when(inside, F.col(subtask).cast("long")).otherwise(F.raise_error(F.concat(F.lit("outside the task vocabulary: "), F.coalesce(F.col(subtask).cast("string"), F.lit("null")))).cast("long"))
+    return F.when(inside, F.col(subtask).cast("long")).otherwise(
+        F.raise_error(F.concat(F.lit("outside the task vocabulary: "), F.coalesce(F.col(subtask).cast("string"), F.lit("null")))).cast("long")
+    )
 
 
 def task_problems(tasks: DataFrame, text: str = "task") -> DataFrame:

@@ -142,7 +142,9 @@ def rich_subtasks(data: Dataset, phases: int = 5) -> list[str]:
 
 def parent_problems(info: dict[str, Any], present: list[str], version: str, receipt: str | None = None) -> list[str]:
     """Why a tree can't be the parent of language views."""
-    return ([] if info.get("codebase_version") == version else [f"expected {version}, observed {info.get('codebase_version')}"]) + ([f"missing parent {receipt}"] if receipt and receipt not in present else [])
+    return (
+        [] if info.get("codebase_version") == version else [f"expected {version}, observed {info.get('codebase_version')}"]
+    ) + ([f"missing parent {receipt}"] if receipt and receipt not in present else [])
 
 
 def variants(source: Dataset, prepared: Dataset, requested: list[str], overall: str, mapped: dict[str, str] | None = None) -> dict[str, tuple[Dataset, Dataset]]:
@@ -161,7 +163,9 @@ def refreshed(episodes: DataFrame, frames: DataFrame, columns: list[str] | tuple
     if not there:
         return episodes
     found = stats.column_stats(frames, sorted({c for c, _ in there}), ["episode_index"])
-    wide = found.groupBy("episode_index").agg(*(F.max(F.when(F.col("feature") == c, F.array(F.col(n).cast(episodes.schema[f"stats/{c}/{n}"].dataType.elementType)))).alias(f"new/{c}/{n}") for c, n in there))
+    wide = found.groupBy("episode_index").agg(
+        *(F.max(F.when(F.col("feature") == c, F.array(F.col(n).cast(episodes.schema[f"stats/{c}/{n}"].dataType.elementType)))).alias(f"new/{c}/{n}") for c, n in there)
+    )
     out = episodes.join(wide, "episode_index")
     for c, n in there:
         out = out.withColumn(f"stats/{c}/{n}", F.col(f"`new/{c}/{n}`"))
@@ -176,8 +180,16 @@ def global_stats(frames: DataFrame, episodes: DataFrame, columns: list[str] | tu
     order = ["feature", "dim", "mean", "std", "min", "max", "count"]
     for f in names:
         part = [F.col(f"`stats/{f}/{n}`").alias(n) for n in ("mean", "std", "min", "max", "count")]
-        rows = episodes.select(*part).select(F.posexplode(F.arrays_zip("mean", "std", "min", "max")).alias("dim", "s"), F.element_at("count", 1).alias("count")).select(F.lit(f).alias("feature"), "dim", *(F.col(f"s.{n}").cast("double").alias(n) for n in ("mean", "std", "min", "max")), "count")
-        whole = F.when(F.col("mean").isNull() | F.col("std").isNull() | F.col("min").isNull() | F.col("max").isNull() | F.col("count").isNull(), F.raise_error(F.lit(f"incomplete statistics of {f}")).cast("double")).otherwise(F.col("mean"))
+        rows = episodes.select(*part).select(F.posexplode(F.arrays_zip("mean", "std", "min", "max")).alias("dim", "s"), F.element_at("count", 1).alias("count")).select(
+            F.lit(f).alias("feature"),
+            "dim",
+            *(F.col(f"s.{n}").cast("double").alias(n) for n in ("mean", "std", "min", "max")),
+            "count"
+        )
+        whole = F.when(
+            F.col("mean").isNull() | F.col("std").isNull() | F.col("min").isNull() | F.col("max").isNull() | F.col("count").isNull(),
+            F.raise_error(F.lit(f"incomplete statistics of {f}")).cast("double")
+        ).otherwise(F.col("mean"))
         own = own.select(order).unionByName(stats.pooled(rows.withColumn("mean", whole), ["feature", "dim"]).select(order))
     return own.select(order)
 
@@ -231,7 +243,10 @@ def sliced_stats(rows: DataFrame, dims: dict[str, list[int]]) -> DataFrame:
 def letterboxed_stats(rows: DataFrame, camera: str, kept: float = 0.75) -> DataFrame:
     """Global statistics (feature, stat, dim, value) with a camera's moments as they are when the rest of its picture is black."""
     mine = rows.where((F.col("feature") == camera) & F.col("stat").isin("mean", "std"))
-    both = mine.groupBy("feature", "dim").agg(F.max(F.when(F.col("stat") == "mean", F.col("value"))).alias("m"), F.max(F.when(F.col("stat") == "std", F.col("value"))).alias("s")).where("m is not null and s is not null")
+    both = mine.groupBy("feature", "dim").agg(
+        F.max(F.when(F.col("stat") == "mean", F.col("value"))).alias("m"),
+        F.max(F.when(F.col("stat") == "std", F.col("value"))).alias("s")
+    ).where("m is not null and s is not null")
     mean, std = stats.padded_moments(F.col("m"), F.col("s"), kept)
     new = both.select("feature", F.explode(F.create_map(F.lit("mean"), mean, F.lit("std"), std)).alias("stat", "new"), "dim")
     return rows.join(new, ["feature", "stat", "dim"], "left").select("feature", "stat", "dim", F.coalesce("new", "value").alias("value"))
@@ -340,11 +355,25 @@ def merged(sources: list[Dataset]) -> Dataset:
     frames = merge.frames(rows, words, ["frame_index"], ids=ids).withColumn("new_task_index", F.col("task_index"))
     known = vocab.mapping(tasks, new_tasks, "task_index", "task").select(merge.SOURCE, F.col("task_index").alias("new_task_index"), F.col("new_task_index").alias("__new"))
     frames = vocab.remap(frames, known, [merge.SOURCE, "new_task_index"], "__new")
-    lists = segments.first_seen(frames.select("new_episode", "place", "new_task_index").join(new_tasks, F.col("new_task_index") == F.col("task_index")), "task", ["place"], "new_episode").select("new_episode", F.col("values").alias("tasks"))
+    lists = segments.first_seen(
+        frames.select("new_episode", "place", "new_task_index").join(new_tasks, F.col("new_task_index") == F.col("task_index")),
+        "task",
+        ["place"],
+        "new_episode"
+    ).select("new_episode", F.col("values").alias("tasks"))
     meta = union(lambda s: s.episodes.drop("length", "dataset_from_index", "dataset_to_index", "tasks")).join(ids, [merge.SOURCE, "episode_index"])
     meta = meta.withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
     meta = meta.join(lists, "new_episode").withColumn("full_episode_index", F.col("new_episode")).withColumn("episode_index", F.col("new_episode")).drop(merge.SOURCE, "new_episode")
-    out = frames.withColumn("task_index", F.col("new_task_index")).withColumn("subtask_index", F.col("new_subtask")).withColumn("episode_index", F.col("new_episode")).withColumn("frame_index", F.col("place")).withColumn("index", F.col("new_index")).withColumn("place", F.col("new_index"))
+    out = frames.withColumn(
+        "task_index",
+        F.col("new_task_index")
+    ).withColumn(
+        "subtask_index",
+        F.col("new_subtask")
+    ).withColumn(
+        "episode_index",
+        F.col("new_episode")
+    ).withColumn("frame_index", F.col("place")).withColumn("index", F.col("new_index")).withColumn("place", F.col("new_index"))
     said = None
     if all(s.annotations is not None for s in sources):
         said = merge.annotations(union(lambda s: s.annotations), ids).drop(merge.SOURCE)
@@ -369,9 +398,16 @@ def essential(data: Dataset, exclusions: DataFrame, fps: float, cameras: list[st
     runs = segments.run_segments(frames.select(F.col("new_episode").alias("episode_index"), F.col("new_frame").alias("frame_index"), "subtask_index"), "subtask_index", ["frame_index"])
     said = segments.annotation_blocks(runs.join(data.subtasks, "subtask_index"), "subtask_index", "subtask")
     if data.annotations is not None and "task_name" in data.annotations.columns:
-        names = found.join(data.annotations.select(F.col("episode_index").alias("source_episode"), "task_name"), "source_episode", "left").select(F.col("new_episode").alias("episode_index"), "task_name")
+        names = found.join(
+            data.annotations.select(F.col("episode_index").alias("source_episode"), "task_name"),
+            "source_episode",
+            "left"
+        ).select(F.col("new_episode").alias("episode_index"), "task_name")
         said = said.join(names, "episode_index")
-    out = frames.withColumn("episode_index", F.col("new_episode")).withColumn("frame_index", F.col("new_frame")).withColumn("index", F.col("new_index")).withColumn("place", F.col("new_index"))
+    out = frames.withColumn(
+        "episode_index",
+        F.col("new_episode")
+    ).withColumn("frame_index", F.col("new_frame")).withColumn("index", F.col("new_index")).withColumn("place", F.col("new_index"))
     if "timestamp" in data.frames.columns:
         out = out.withColumn("timestamp", F.col("new_timestamp"))
     return data.replaced(frames=out.select(*_names(data.frames)), episodes=subset.episode_rows(found, data.episodes, list(cameras), fps).drop("start_frame", "end_frame"), annotations=said)

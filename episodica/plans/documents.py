@@ -97,9 +97,16 @@ def letterboxed_info(info: dict[str, Any], camera: str, height: int, width: int)
     return out
 
 
-def derivation_receipt(source: str, revision: str | None, manifest_sha256: str | None, before: dict[str, Any], after: dict[str, Any], cameras: dict[str, dict[str, Any]], tasks: list[str], max_gop: int, crf: int, preset: str) -> dict[str, Any]:
+def derivation_receipt(
+    source: str, revision: str | None, manifest_sha256: str | None, before: dict[str, Any], after: dict[str, Any], cameras: dict[str, dict[str, Any]], tasks: list[str],
+    max_gop: int, crf: int, preset: str
+) -> dict[str, Any]:
     """What a derivative was made from and how; cameras: their source, output and operation counts."""
-    vector = lambda k: {"source_dimension": before["features"][k]["shape"][0], "output_dimension": after["features"][k]["shape"][0], "names": list(after["features"][k]["names"])}
+    vector = lambda k: {
+        "source_dimension": before["features"][k]["shape"][0],
+        "output_dimension": after["features"][k]["shape"][0],
+        "names": list(after["features"][k]["names"])
+    }
     return {
         "source": source, "source_revision": revision, "source_manifest_sha256": manifest_sha256, "state": vector("observation.state"), "action": vector("action"),
         "cameras": {k: {"capture": "native_640x480_15fps", "geometry_transform": "identity"} | v for k, v in cameras.items()},
@@ -134,7 +141,9 @@ def digest(value: Any) -> str:
     return hashlib.sha256(canonical(value).encode()).hexdigest()
 
 
-def run_manifest(name: str, config: dict, command: list[str], source: str, run_folder: str, output: str, backend: str, dataset: dict, code: dict, now: datetime | None = None) -> dict[str, Any]:
+def run_manifest(
+    name: str, config: dict, command: list[str], source: str, run_folder: str, output: str, backend: str, dataset: dict, code: dict, now: datetime | None = None
+) -> dict[str, Any]:
     """What a run was: digests of its configuration and command, its dataset's fingerprint, its code, its folders."""
     said = (shlex.join(command) + "\n").encode()
     return {
@@ -151,7 +160,20 @@ LIMITATIONS = {
 }
 
 
-def language_receipt(mode: str, own: bool, vocabulary: list[str], tree: str, parent: str, destination: str, parent_receipts: dict[str, str], media: dict, boundaries: dict, path: str, sha256: str, kind: str = "task700013_language_variant") -> dict[str, Any]:
+def language_receipt(
+    mode: str,
+    own: bool,
+    vocabulary: list[str],
+    tree: str,
+    parent: str,
+    destination: str,
+    parent_receipts: dict[str, str],
+    media: dict,
+    boundaries: dict,
+    path: str,
+    sha256: str,
+    kind: str = "task700013_language_variant"
+) -> dict[str, Any]:
     """`own`: whether each subtask has a prompt of its own; `boundaries`: the statistics of the starts that cross one."""
     return {
         "schema_version": 1, "kind": kind, "tree_kind": tree, "parent_root": parent, "destination_root": destination, "parent_receipts": parent_receipts,
@@ -194,7 +216,9 @@ LAST_SAVED = "Last saved endpoint; not quality-selected."
 REVIEW = "Trainer exited successfully. Review evaluation before selecting a checkpoint."
 
 
-def finished_result(result: dict[str, Any], code: int, category: str | None, seconds: float, metrics: dict[str, Any] | None, model: str | None, now: datetime | None = None) -> dict[str, Any]:
+def finished_result(
+    result: dict[str, Any], code: int, category: str | None, seconds: float, metrics: dict[str, Any] | None, model: str | None, now: datetime | None = None
+) -> dict[str, Any]:
     """A running result after its trainer ended; `metrics`: the last reported, `model`: the folder it left, if complete."""
     out = copy.deepcopy(result)
     out["status"] = {"state": "failed" if code else "completed", "exit_code": code, "failure_category": category}

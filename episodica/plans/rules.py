@@ -16,7 +16,13 @@ from ..operators import index, segments, vocab
 
 
 def violations(df: DataFrame, rule: str, order: int, location: Column, expected: Column, observed: Column) -> DataFrame:
-    return df.select(F.lit(rule).alias("rule"), F.lit(order).alias("rule_order"), location.cast("string").alias("location"), expected.cast("string").alias("expected"), observed.cast("string").alias("observed"))
+    return df.select(
+        F.lit(rule).alias("rule"),
+        F.lit(order).alias("rule_order"),
+        location.cast("string").alias("location"),
+        expected.cast("string").alias("expected"),
+        observed.cast("string").alias("observed")
+    )
 
 
 def all_of(parts: list[DataFrame]) -> DataFrame:
@@ -37,7 +43,15 @@ def captions(df: DataFrame, rule: str, order: int, location: Column, text: Colum
     return violations(bad, rule, order, location, F.lit("clean caption"), F.col("__problem"))
 
 
-def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tuple[DataFrame, str, str]], annotations: DataFrame | None, totals: tuple[int, int] | None = None, order: str = "index", numbered: bool = False) -> DataFrame:
+def preflight(
+    frames: DataFrame,
+    episodes: DataFrame,
+    vocabularies: dict[str, tuple[DataFrame, str, str]],
+    annotations: DataFrame | None,
+    totals: tuple[int, int] | None = None,
+    order: str = "index",
+    numbered: bool = False
+) -> DataFrame:
     """Dataset integrity.  `numbered`: the order column is each frame's place in the files, so nothing has to be counted.
     frames: index, episode_index, frame_index; episodes: episode_index, length,
     dataset_from_index, dataset_to_index, subtask_instructions; vocabularies: name -> (table, index, text);
@@ -63,8 +77,21 @@ def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tu
     known = frames if numbered else index.running_total(frames, order, name="__expected")
     w = Window.partitionBy("episode_index").orderBy(order)
     own = ["index", "episode_index", "frame_index"]
-    placed = known.select(*own, *([] if order in own else [order]), F.col(order if numbered else "__expected").alias("__global")).withColumn("__place", (F.row_number().over(w) - 1).cast("long"))
-    wrong = lambda rule, n, location, expected, observed: F.when(~observed.eqNullSafe(expected), F.struct(F.lit(rule).alias("rule"), F.lit(n).alias("rule_order"), location.alias("location"), expected.cast("string").alias("expected"), observed.cast("string").alias("observed")))
+    placed = known.select(
+        *own,
+        *([] if order in own else [order]),
+        F.col(order if numbered else "__expected").alias("__global")
+    ).withColumn("__place", (F.row_number().over(w) - 1).cast("long"))
+    wrong = lambda rule, n, location, expected, observed: F.when(
+        ~observed.eqNullSafe(expected),
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit(n).alias("rule_order"),
+            location.alias("location"),
+            expected.cast("string").alias("expected"),
+            observed.cast("string").alias("observed")
+        )
+    )
     both_rules = F.array(
         wrong("global_index", 50, at("index", F.col("index")), F.col("__global"), F.col("index")),
         wrong("frame_index", 51, at("episode", F.col("episode_index"), F.col("__place")), F.col("__place"), F.col("frame_index")),
@@ -73,7 +100,16 @@ def preflight(frames: DataFrame, episodes: DataFrame, vocabularies: dict[str, tu
     seen = index.bounds(placed)
     out.append(violations(seen.where("not contiguous"), "episode_contiguous", 52, at("episode", F.col("episode_index")), F.col("to_index") - F.col("from_index"), F.col("frames")))
     both = seen.join(episodes.select(F.col("episode_index").alias("e"), "length", "dataset_from_index", "dataset_to_index"), F.col("episode_index") == F.col("e"), "full_outer")
-    out.append(violations(both.where("e is null or episode_index is null"), "episode_set", 60, at("episode", F.coalesce("episode_index", "e")), F.lit("in data and metadata"), F.when(F.col("e").isNull(), "in data only").otherwise("in metadata only")))
+    out.append(
+        violations(
+            both.where("e is null or episode_index is null"),
+            "episode_set",
+            60,
+            at("episode", F.coalesce("episode_index", "e")),
+            F.lit("in data and metadata"),
+            F.when(F.col("e").isNull(), "in data only").otherwise("in metadata only")
+        )
+    )
     for k, (a, b) in enumerate((("frames", "length"), ("from_index", "dataset_from_index"), ("to_index", "dataset_to_index"))):
         wrong = both.where("e is not null and episode_index is not null").where(~F.col(a).eqNullSafe(F.col(b)))
         out.append(violations(wrong, f"episode_{b}", 61 + k, at("episode", F.col("episode_index")), F.col(a), F.col(b)))
@@ -113,9 +149,14 @@ def language_modes(frames: DataFrame, tasks: DataFrame, subtasks: DataFrame, ord
     w = segments.with_runs(named, "subtask_index", order)
     per = w.groupBy("episode_index").agg(
         F.count_distinct("task_index").alias("prompts"), F.count_if(F.col("task").isNull() | F.col("subtask").isNull()).alias("unresolved"),
-        F.count_if(~F.col("task").eqNullSafe(F.col("subtask"))).alias("differ"), F.count_distinct("task_index", "subtask_index").alias("pairs"), F.count_distinct("subtask_index").alias("phases"),
+        F.count_if(
+            ~F.col("task").eqNullSafe(F.col("subtask"))
+        ).alias("differ"), F.count_distinct("task_index", "subtask_index").alias("pairs"), F.count_distinct("subtask_index").alias("phases"),
     )
-    mode = F.when(F.col("unresolved") > 0, "invalid_unresolved").when(F.col("prompts") == 1, "full_episode").when(F.col("differ") == 0, "per_subtask").when((F.col("pairs") == F.col("prompts")) & (F.col("pairs") == F.col("phases")), "mapped_subtask").otherwise("invalid_per_subtask")
+    mode = F.when(F.col("unresolved") > 0, "invalid_unresolved").when(F.col("prompts") == 1, "full_episode").when(F.col("differ") == 0, "per_subtask").when(
+        (F.col("pairs") == F.col("prompts")) & (F.col("pairs") == F.col("phases")),
+        "mapped_subtask"
+    ).otherwise("invalid_per_subtask")
     return per.select("episode_index", mode.alias("mode"))
 
 
@@ -213,5 +254,8 @@ def contract(expected: DataFrame, observed: DataFrame) -> DataFrame:
     fields = ["state_dim", "state_names", "action_dim", "action_names", "cameras", "fps"]
     text = lambda p: F.array(*(F.to_json(F.array(F.col(f"{p}.{f}"))) for f in fields))
     e, o = expected.alias("e"), observed.alias("o")
-    both = e.join(o, F.col("e.dataset") == F.col("o.dataset"), "left").select(F.col("e.dataset").alias("dataset"), F.explode(F.arrays_zip(F.lit(fields).alias("field"), text("e").alias("expected"), text("o").alias("observed"))).alias("x"))
+    both = e.join(o, F.col("e.dataset") == F.col("o.dataset"), "left").select(
+        F.col("e.dataset").alias("dataset"),
+        F.explode(F.arrays_zip(F.lit(fields).alias("field"), text("e").alias("expected"), text("o").alias("observed"))).alias("x")
+    )
     return both.select("dataset", "x.field", "x.expected", "x.observed").where(~F.col("expected").eqNullSafe(F.col("observed")))

@@ -78,7 +78,12 @@ def failures(exits: DataFrame) -> DataFrame:
 
 def queue_state(events: DataFrame, run: str = "run_name", order: str = "event_no") -> DataFrame:
     """Each run's last state with its attempts and failures."""
-    out = events.groupBy(run).agg(F.max_by("state", order).alias("state"), F.max("attempt").alias("attempts"), F.count_if(F.col("state") == "failed").alias("failures"), F.max_by("failure_category", F.when(F.col("state") == "failed", F.col(order))).alias("last_failure"))
+    out = events.groupBy(run).agg(
+        F.max_by("state", order).alias("state"),
+        F.max("attempt").alias("attempts"),
+        F.count_if(F.col("state") == "failed").alias("failures"),
+        F.max_by("failure_category", F.when(F.col("state") == "failed", F.col(order))).alias("last_failure")
+    )
     return out
 
 
@@ -92,7 +97,9 @@ def listing(results: DataFrame) -> DataFrame:
     results: run (the folder), attempt (null: the run's own), path, run_name, state, final_eval_loss, wandb_url."""
     newest = F.coalesce("attempt", F.lit(-1))
     rows = results.where(~F.startswith("run", F.lit("_")))
-    one = rows.groupBy("run").agg(F.max_by(F.struct(F.coalesce("run_name", "run").alias("run_name"), "state", "final_eval_loss", "wandb_url", F.col("path").alias("result")), newest).alias("r"))
+    one = rows.groupBy("run").agg(
+        F.max_by(F.struct(F.coalesce("run_name", "run").alias("run_name"), "state", "final_eval_loss", "wandb_url", F.col("path").alias("result")), newest).alias("r")
+    )
     return one.select("run", "r.*").orderBy("run")
 
 
@@ -122,7 +129,11 @@ def queue_outcomes(events: DataFrame, continue_on_failure: bool = False) -> Data
     """(queue, state, runs_done): of (queue, position, attempt, state) the state in which a queue ends: failed at the first run
     without a completed attempt, unless it goes on."""
     runs = events.groupBy("queue", "position").agg(F.max((F.col("state") == "completed").cast("int")).alias("ok"))
-    per = runs.groupBy("queue").agg(F.min(F.when(F.col("ok") == 0, F.col("position"))).alias("broke"), F.sum("ok").alias("all_ok"), F.collect_list(F.when(F.col("ok") == 1, F.col("position"))).alias("good"))
+    per = runs.groupBy("queue").agg(
+        F.min(F.when(F.col("ok") == 0, F.col("position"))).alias("broke"),
+        F.sum("ok").alias("all_ok"),
+        F.collect_list(F.when(F.col("ok") == 1, F.col("position"))).alias("good")
+    )
     stops = F.col("broke").isNotNull() & F.lit(not continue_on_failure)
     done = F.when(stops, F.size(F.filter("good", lambda p: p < F.col("broke")))).otherwise(F.col("all_ok"))
     return per.select("queue", F.when(stops, "failed").otherwise("completed").alias("state"), done.cast("long").alias("runs_done"))
@@ -140,7 +151,12 @@ def status_rows(exits: DataFrame, least_gib: int) -> DataFrame:
     low = F.col("free_gib") < least_gib
     status = F.when(low, "blocked_low_disk").when(F.col("code") == 0, "completed").when(oom, "failed_oom_continuing").otherwise("failed_continuing")
     rows = exits.where(~F.col("succeeded"))
-    return rows.select("run_name", F.when(low, "-").otherwise(F.col("attempt").cast("string")).alias("attempt"), status.alias("status"), F.when(low, F.lit(LOW_DISK)).otherwise(F.col("code")).cast("int").alias("exit_code"))
+    return rows.select(
+        "run_name",
+        F.when(low, "-").otherwise(F.col("attempt").cast("string")).alias("attempt"),
+        status.alias("status"),
+        F.when(low, F.lit(LOW_DISK)).otherwise(F.col("code")).cast("int").alias("exit_code")
+    )
 
 
 def overridden(configs: DataFrame, queues: DataFrame) -> DataFrame:
@@ -150,14 +166,25 @@ def overridden(configs: DataFrame, queues: DataFrame) -> DataFrame:
     rows = queues.select("queue", F.posexplode("runs").alias("position", "r")).select("queue", "position", F.col("r.config").alias("config"), F.col("r.overrides").alias("overrides"))
     base = rows.join(configs, "config").select("queue", "position", F.lit(0).alias("layer"), "path", "value")
     sets = rows.select("queue", "position", F.posexplode("overrides").alias("n", "o"))
-    sets = sets.select("queue", "position", (F.col("n") + 1).alias("layer"), F.substring_index("o", "=", 1).alias("path"), F.substring(F.col("o"), F.instr("o", "=") + 1, F.length("o")).alias("value"))
+    sets = sets.select(
+        "queue",
+        "position",
+        (F.col("n") + 1).alias("layer"),
+        F.substring_index("o", "=", 1).alias("path"),
+        F.substring(F.col("o"), F.instr("o", "=") + 1, F.length("o")).alias("value")
+    )
     return merged_leaves(base.unionAll(sets), ["queue", "position"]).select("queue", "position", "path", "value")
 
 
 def resolved_queue(queues: DataFrame, configs: DataFrame) -> DataFrame:
     """queues: queue, runs array<struct<config, overrides>>; configs: config, run_name.  One row an entry, in order;
     run_name null where the configuration is missing."""
-    rows = queues.select("queue", F.posexplode("runs").alias("position", "r")).select("queue", "position", F.col("r.config").alias("config"), F.array_join("r.overrides", " ").alias("overrides"))
+    rows = queues.select("queue", F.posexplode("runs").alias("position", "r")).select(
+        "queue",
+        "position",
+        F.col("r.config").alias("config"),
+        F.array_join("r.overrides", " ").alias("overrides")
+    )
     return rows.join(configs, "config", "left").select("queue", "position", "config", "overrides", "run_name")
 
 

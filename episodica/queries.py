@@ -120,7 +120,13 @@ def clean_starts(spark, d):
 def annotation_segments(spark, d):
     found = segments.run_segments(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER).join(proxies.subtasks(spark, d), "subtask_index")
     blocks = segments.annotation_blocks(found, "subtask_index", "subtask")
-    one = F.transform("sub_task_annotation", lambda b: F.concat(b["sub_task_idx"].cast("string"), F.lit(":"), b["sub_task_instruction"], F.lit(":"), b["frame_duration"][0].cast("string"), F.lit("-"), b["frame_duration"][1].cast("string")))
+    one = F.transform(
+        "sub_task_annotation",
+        lambda b: F.concat(
+            b["sub_task_idx"].cast("string"), F.lit(":"), b["sub_task_instruction"], F.lit(":"), b["frame_duration"][0].cast("string"), F.lit("-"),
+            b["frame_duration"][1].cast("string")
+        )
+    )
     return blocks.select("episode_index", F.array_join(one, " ").alias("blocks"))
 
 
@@ -132,7 +138,17 @@ def annotation_segments(spark, d):
 def annotation_mismatch(spark, d):
     """Annotations with two planted defects: starts moved by one, entries missing."""
     found = segments.run_segments(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER)
-    said = found.select("episode_index", F.col("run").alias("r"), F.when(F.col("run") % 7 != 6, F.struct(F.col("subtask_index").alias("sub_task_idx"), F.array(F.col("start_frame") + F.when(F.col("run") % 5 == 4, 1).otherwise(0), F.col("end_frame")).alias("frame_duration"))).alias("s"))
+    said = found.select(
+        "episode_index",
+        F.col("run").alias("r"),
+        F.when(
+            F.col("run") % 7 != 6,
+            F.struct(
+                F.col("subtask_index").alias("sub_task_idx"),
+                F.array(F.col("start_frame") + F.when(F.col("run") % 5 == 4, 1).otherwise(0), F.col("end_frame")).alias("frame_duration")
+            )
+        ).alias("s")
+    )
     said = said.groupBy("episode_index").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "s"))), lambda x: x["s"]).alias("sub_task_annotation"))
     out = segments.annotation_mismatches(found, said, "subtask_index")
     return out.select("episode_index", "segment", "observed_start", "observed_end", "annotated_start")
@@ -244,7 +260,15 @@ def merge_frames(spark, d):
 def merge_episodes(spark, d):
     rows, words = proxies.sources(spark, d)
     out = merge.episode_rows(merge.frames(rows, words, proxies.ORDER), vocab.union(words, "subtask_index", "subtask"))
-    return out.select("new_episode", "length", "dataset_from_index", "dataset_to_index", F.array_join("tasks", ",").alias("tasks"), F.round("index_mean", 6).alias("index_mean"), F.round("index_std", 6).alias("index_std"))
+    return out.select(
+        "new_episode",
+        "length",
+        "dataset_from_index",
+        "dataset_to_index",
+        F.array_join("tasks", ",").alias("tasks"),
+        F.round("index_mean", 6).alias("index_mean"),
+        F.round("index_std", 6).alias("index_std")
+    )
 
 
 @query("SELECT DISTINCT subtask FROM v WHERE subtask > 'd'", "v")
@@ -340,7 +364,12 @@ def episode_int_stats(spark, d):
 def vector_slice(spark, d):
     v = vectors.select_dims(F.col("embedding"), list(range(16)))
     some = vectors.select_dims(F.col("embedding"), [2, 0, 5])
-    return _t(spark, d, "embeddings").select("vec_id", F.size(v).alias("dims"), F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"), F.round(some[0].cast("double"), 6).alias("picked"))
+    return _t(spark, d, "embeddings").select(
+        "vec_id",
+        F.size(v).alias("dims"),
+        F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double")), 5).alias("total"),
+        F.round(some[0].cast("double"), 6).alias("picked")
+    )
 
 
 @query(
@@ -420,7 +449,11 @@ def caption_replace_counts(spark, d):
 def caption_replace_nested(spark, d):
     rows = _t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("sub_task_instruction")))).alias("b"))
     rows = rows.withColumn("b", text.replaced_blocks(F.col("b"), _PAIRS)).withColumn("c", text.replaced_list(F.transform("b", lambda x: x["sub_task_instruction"]), {}))
-    return rows.select("conv_id", F.array_join("c", ",").alias("captions"), F.array_join(F.transform("b", lambda x: F.concat(x["sub_task_instruction"], x["turn"].cast("string"))), ",").alias("blocks"))
+    return rows.select(
+        "conv_id",
+        F.array_join("c", ",").alias("captions"),
+        F.array_join(F.transform("b", lambda x: F.concat(x["sub_task_instruction"], x["turn"].cast("string"))), ",").alias("blocks")
+    )
 
 
 @query(
@@ -433,8 +466,13 @@ def language_mode_labels(spark, d):
     rows = proxies.turns(spark, d).withColumn("phases", F.size(F.collect_set("subtask").over(Window.partitionBy("episode_index")))).where("phases > 1")
     words = rows.select("subtask").distinct().select((F.row_number().over(Window.orderBy("subtask")) - 1).cast("long").alias("subtask_index"), "subtask")
     kind = F.pmod("episode_index", F.lit(4))
-    rows = rows.join(words, "subtask").drop("subtask").withColumn("task_index", F.when(kind == 0, F.lit(100)).when(kind == 1, F.col("subtask_index")).when(kind == 2, F.col("subtask_index") + 200).otherwise(F.col("subtask_index") + 900))
-    tasks = words.select(F.col("subtask_index").alias("task_index"), F.col("subtask").alias("task")).unionAll(words.select(F.col("subtask_index") + 200, F.concat(F.lit("do "), "subtask"))).unionAll(spark.createDataFrame([(100, "everything")], "task_index long, task string"))
+    rows = rows.join(words, "subtask").drop("subtask").withColumn(
+        "task_index",
+        F.when(kind == 0, F.lit(100)).when(kind == 1, F.col("subtask_index")).when(kind == 2, F.col("subtask_index") + 200).otherwise(F.col("subtask_index") + 900)
+    )
+    tasks = words.select(F.col("subtask_index").alias("task_index"), F.col("subtask").alias("task")).unionAll(
+        words.select(F.col("subtask_index") + 200, F.concat(F.lit("do "), "subtask"))
+    ).unionAll(spark.createDataFrame([(100, "everything")], "task_index long, task string"))
     return rules.language_modes(rows, tasks, words, ["frame_index"]).groupBy("mode").agg(F.count("*").alias("episodes"))
 
 
@@ -452,7 +490,12 @@ def preflight_violations(spark, d):
     ids = index.running_total(lengths, "episode_index", F.col("length"), "dataset_from_index").withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
     good = rows.join(ids.select("episode_index", "dataset_from_index"), "episode_index").withColumn("place", F.col("dataset_from_index") + F.col("frame_index"))
     # an index is wrong where the event says so, without moving the episode's bounds or the order
-    bad = good.select("episode_index", F.when(F.col("index") % 89 == 7, F.col("frame_index") + 1000).otherwise(F.col("frame_index")).alias("frame_index"), F.col("place").alias("order"), F.when(F.col("index") % 97 == 5, F.lit(None)).otherwise(F.col("place")).alias("index"))
+    bad = good.select(
+        "episode_index",
+        F.when(F.col("index") % 89 == 7, F.col("frame_index") + 1000).otherwise(F.col("frame_index")).alias("frame_index"),
+        F.col("place").alias("order"),
+        F.when(F.col("index") % 97 == 5, F.lit(None)).otherwise(F.col("place")).alias("index")
+    )
     meta = ids.where("episode_index % 10 <> 7").withColumn("length", F.when(F.col("episode_index") % 10 == 3, F.col("length") + 1).otherwise(F.col("length")))
     total = (lengths.count(), rows.count() + 1)
     found = rules.preflight(bad, meta, {}, None, total, "order", True).where("rule in ('global_index', 'frame_index', 'episode_length', 'episode_set', 'total_frames')")
@@ -468,7 +511,13 @@ def preflight_violations(spark, d):
 def language_violations(spark, d):
     rows = proxies.coded_frames(spark, d)
     found = segments.run_segments(rows, "subtask_index", proxies.ORDER).join(proxies.subtasks(spark, d), "subtask_index")
-    said = segments.annotation_blocks(found, "subtask_index", "subtask").withColumn("sub_task_annotation", F.transform("sub_task_annotation", lambda b, k: b.withField("frame_duration", F.when(k == 0, F.array(F.lit(0).cast("long"), b["frame_duration"][1] + 1)).otherwise(b["frame_duration"]))))
+    said = segments.annotation_blocks(found, "subtask_index", "subtask").withColumn(
+        "sub_task_annotation",
+        F.transform(
+            "sub_task_annotation",
+            lambda b, k: b.withField("frame_duration", F.when(k == 0, F.array(F.lit(0).cast("long"), b["frame_duration"][1] + 1)).otherwise(b["frame_duration"]))
+        )
+    )
     meta = rows.groupBy("episode_index").agg(F.count("*").alias("length"))
     return rules.language(rows, meta, said, proxies.ORDER, 40).groupBy("rule").agg(F.count("*").alias("violations"))
 
@@ -480,7 +529,15 @@ def language_violations(spark, d):
 )
 def contract_check(spark, d):
     names = _t(spark, d, "nation")
-    make = lambda fps, state: names.select(F.col("n_name").alias("dataset"), F.lit(2).alias("state_dim"), state.alias("state_names"), F.lit(1).alias("action_dim"), F.array(F.lit("x")).alias("action_names"), F.array(F.lit("head:3x480x640")).alias("cameras"), fps.alias("fps"))
+    make = lambda fps, state: names.select(
+        F.col("n_name").alias("dataset"),
+        F.lit(2).alias("state_dim"),
+        state.alias("state_names"),
+        F.lit(1).alias("action_dim"),
+        F.array(F.lit("x")).alias("action_names"),
+        F.array(F.lit("head:3x480x640")).alias("cameras"),
+        fps.alias("fps")
+    )
     ab, ba = F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("a"))
     return rules.contract(make(F.lit(15.0), ab), make((F.lit(15) + F.col("n_regionkey")).cast("double"), F.when(F.col("n_nationkey") % 2 == 1, ba).otherwise(ab)))
 
@@ -510,8 +567,18 @@ _PROBE = "p_type AS codec_name, p_size AS max_gop, CASE WHEN p_size % 3 = 0 THEN
 def video_decisions(spark, d):
     parts = _t(spark, d, "part")
     codec = parts.agg(F.min("p_type")).first()[0]
-    rows = parts.select(F.col("p_brand").alias("camera"), F.col("p_type").alias("codec_name"), F.col("p_size").alias("max_gop"), F.lit(640).alias("width"), F.lit(480).alias("height"), F.when(F.col("p_size") % 3 == 0, "15/1").otherwise("30/2").alias("avg_frame_rate"))
-    return rows.groupBy("camera", media.decision(codec, 30).alias("decision")).agg(F.count("*").alias("files"), F.count_if(media.acceptable(640, 480, 15.0, 0.05, codec, 25)).alias("acceptable"))
+    rows = parts.select(
+        F.col("p_brand").alias("camera"),
+        F.col("p_type").alias("codec_name"),
+        F.col("p_size").alias("max_gop"),
+        F.lit(640).alias("width"),
+        F.lit(480).alias("height"),
+        F.when(F.col("p_size") % 3 == 0, "15/1").otherwise("30/2").alias("avg_frame_rate")
+    )
+    return rows.groupBy("camera", media.decision(codec, 30).alias("decision")).agg(
+        F.count("*").alias("files"),
+        F.count_if(media.acceptable(640, 480, 15.0, 0.05, codec, 25)).alias("acceptable")
+    )
 
 
 @query("SELECT p_brand AS camera, count(*) AS files, sum(p_partkey)::BIGINT AS frames, max(p_size) AS max_gop FROM part GROUP BY p_brand")
@@ -615,7 +682,10 @@ def _results(spark, d):
         F.concat(F.when(F.col("o_custkey") % 50 == 0, "_").otherwise(""), "key").alias("run"), F.when(F.col("n") > 1, F.col("n") - 1).cast("long").alias("attempt"),
         F.concat(F.lit("r/"), "key", F.when(F.col("n") > 1, F.concat(F.lit("/attempt-"), (F.col("n") - 1).cast("string"))).otherwise(""), F.lit("/result.yaml")).alias("path"),
         F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("run "), F.col("o_orderkey").cast("string"))).alias("run_name"),
-        F.when(F.col("o_orderstatus") == "F", "failed").when(F.col("o_orderstatus") == "O", "completed").otherwise("running").alias("state"), F.col("o_totalprice").alias("final_eval_loss"), F.lit(None).cast("string").alias("wandb_url"),
+        F.when(F.col("o_orderstatus") == "F", "failed").when(
+            F.col("o_orderstatus") == "O",
+            "completed"
+        ).otherwise("running").alias("state"), F.col("o_totalprice").alias("final_eval_loss"), F.lit(None).cast("string").alias("wandb_url"),
     )
 
 
@@ -635,7 +705,12 @@ def latest_checkpoint(spark, d):
     "FROM (SELECT *, ((event_id % 7 - 3) * 5)::INT AS code FROM events)",
 )
 def failure_category(spark, d):
-    rows = _t(spark, d, "events").select(F.col("event_id").alias("run"), ((F.col("event_id") % 7 - 3) * 5).cast("int").alias("code"), (F.col("event_id") % 11 == 0).alias("timed_out"), F.when(F.col("event_type") == "error", "x\nCUDA Out Of Memory").otherwise("fine").alias("log"))
+    rows = _t(spark, d, "events").select(
+        F.col("event_id").alias("run"),
+        ((F.col("event_id") % 7 - 3) * 5).cast("int").alias("code"),
+        (F.col("event_id") % 11 == 0).alias("timed_out"),
+        F.when(F.col("event_type") == "error", "x\nCUDA Out Of Memory").otherwise("fine").alias("log")
+    )
     return runs.failures(rows)
 
 
@@ -665,7 +740,14 @@ def log_metrics(spark, d):
 
 def _queue_events(spark, d):
     state = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "purchase", "completed").otherwise("running")
-    return _t(spark, d, "events").select(F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_name"), F.col("event_id").alias("event_no"), state.alias("state"), (F.col("event_id") % 5).alias("attempt"), F.when(state == "failed", F.concat(F.lit("c"), (F.col("event_id") % 3).cast("string"))).alias("failure_category"), F.col("ts").cast("timestamp").alias("ts"))
+    return _t(spark, d, "events").select(
+        F.concat(F.lit("run-"), F.col("user_id").cast("string")).alias("run_name"),
+        F.col("event_id").alias("event_no"),
+        state.alias("state"),
+        (F.col("event_id") % 5).alias("attempt"),
+        F.when(state == "failed", F.concat(F.lit("c"), (F.col("event_id") % 3).cast("string"))).alias("failure_category"),
+        F.col("ts").cast("timestamp").alias("ts")
+    )
 
 
 @query(
@@ -683,7 +765,12 @@ def queue_state(spark, d):
 )
 def queue_resolution(spark, d):
     orders = _t(spark, d, "orders")
-    queues = orders.groupBy(F.col("o_custkey").alias("queue")).agg(F.transform(F.array_sort(F.collect_list("o_orderkey")), lambda k: F.struct(F.concat(F.lit("o"), k.cast("string")).alias("config"), F.array().cast("array<string>").alias("overrides"))).alias("runs"))
+    queues = orders.groupBy(F.col("o_custkey").alias("queue")).agg(
+        F.transform(
+            F.array_sort(F.collect_list("o_orderkey")),
+            lambda k: F.struct(F.concat(F.lit("o"), k.cast("string")).alias("config"), F.array().cast("array<string>").alias("overrides"))
+        ).alias("runs")
+    )
     configs = orders.where("o_orderkey % 4 <> 0").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("config"), F.col("o_orderstatus").alias("run_name"))
     return runs.resolved_queue(queues, configs)
 
@@ -719,7 +806,12 @@ def scalar_names(spark, d):
     key = F.col("c_custkey").cast("string")
     path = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("/w/s/"), key)).otherwise(F.concat(F.lit("/other/"), key))
     name = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("a."), key)).otherwise(F.concat(F.lit("-b\n"), key))
-    return _t(spark, d, "customer").select("c_custkey", text.episode_name(F.col("c_custkey")).alias("episode"), text.safe_name(name).alias("safe"), text.portable_path(path, "/w/s/").alias("portable"))
+    return _t(spark, d, "customer").select(
+        "c_custkey",
+        text.episode_name(F.col("c_custkey")).alias("episode"),
+        text.safe_name(name).alias("safe"),
+        text.portable_path(path, "/w/s/").alias("portable")
+    )
 
 
 # --- event-time windows (extensions), as batches

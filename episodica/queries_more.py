@@ -70,7 +70,12 @@ def queue_outcomes(spark, d):
     from pyspark.sql import Window
 
     position = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
-    rows = _t(spark, d, "orders").select(F.col("o_custkey").alias("queue"), position.alias("position"), F.lit(1).alias("attempt"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("completed").alias("state"))
+    rows = _t(spark, d, "orders").select(
+        F.col("o_custkey").alias("queue"),
+        position.alias("position"),
+        F.lit(1).alias("attempt"),
+        F.when(F.col("o_orderstatus") == "F", "failed").otherwise("completed").alias("state")
+    )
     on = runs.queue_outcomes(rows, True).select("queue", F.col("runs_done").alias("runs_done_going_on"))
     return runs.queue_outcomes(rows).join(on, "queue")
 
@@ -81,7 +86,14 @@ def queue_outcomes(spark, d):
 )
 def queue_status_rows(spark, d):
     key = F.col("event_id")
-    rows = _t(spark, d, "events").select(F.concat(F.lit("run-"), key.cast("string")).alias("run_name"), (key % 3 + 1).alias("attempt"), (key % 4).alias("code"), F.when(F.col("event_type") == "error", "torch.OutOfMemoryError").otherwise("fine").alias("log"), (key % 50).alias("free_gib"), (key % 7 == 0).alias("succeeded"))
+    rows = _t(spark, d, "events").select(
+        F.concat(F.lit("run-"), key.cast("string")).alias("run_name"),
+        (key % 3 + 1).alias("attempt"),
+        (key % 4).alias("code"),
+        F.when(F.col("event_type") == "error", "torch.OutOfMemoryError").otherwise("fine").alias("log"),
+        (key % 50).alias("free_gib"),
+        (key % 7 == 0).alias("succeeded")
+    )
     return runs.status_rows(rows, 10)
 
 
@@ -107,7 +119,10 @@ def queue_overrides(spark, d):
 )
 def first_candidate(spark, d):
     key = F.col("c_custkey")
-    rows = _t(spark, d, "customer").select("c_custkey", F.explode(F.array(*map(F.lit, range(3)))).alias("priority")).withColumn("path", F.concat(key.cast("string"), F.lit("/p"), F.col("priority").cast("string")))
+    rows = _t(spark, d, "customer").select("c_custkey", F.explode(F.array(*map(F.lit, range(3)))).alias("priority")).withColumn(
+        "path",
+        F.concat(key.cast("string"), F.lit("/p"), F.col("priority").cast("string"))
+    )
     there = rows.where(((key + F.col("priority")) % 3 > 0) & (key % 7 > 0)).select("path")
     return runs.first_existing(rows, there, "c_custkey").select("c_custkey", F.substring_index("path", "/", -1).alias("path"))
 
@@ -126,7 +141,12 @@ def merge_gates(spark, d):
     """Nations as sources with planted defects: a root twice, annotation paths that lack or differ, a feature changed, one lost."""
     k = F.col("n_nationkey")
     features = F.when(k == 9, F.create_map(F.lit("cam"), F.lit("x"))).otherwise(F.create_map(F.lit("cam"), F.when(k == 7, "y").otherwise("x"), F.lit("state"), F.lit("s")))
-    rows = _t(spark, d, "nation").select(k.alias("source_id"), F.concat(F.lit("r"), (k % 24).cast("string")).alias("root"), F.when(k == 5, "b").when(k != 3, "a").alias("annotation_path"), features.alias("features"))
+    rows = _t(spark, d, "nation").select(
+        k.alias("source_id"),
+        F.concat(F.lit("r"), (k % 24).cast("string")).alias("root"),
+        F.when(k == 5, "b").when(k != 3, "a").alias("annotation_path"),
+        features.alias("features")
+    )
     words = _t(spark, d, "part").select((F.col("p_partkey") % 3).alias("source_id"), F.col("p_brand").alias("subtask"), (F.col("p_size") % 2).alias("kind"))
     return merge.gates(rows, words, "subtask", ["kind"])
 
@@ -216,7 +236,12 @@ def last_episode_rows(spark, d):
     from .sources import files
 
     key = F.col("o_orderkey")
-    rows = _t(spark, d, "orders").select(F.col("o_custkey").alias("episode_index"), key.alias("length"), F.concat(F.lit("f"), (key % 3).cast("string")).alias("file_path"), key.alias("row_index"))
+    rows = _t(spark, d, "orders").select(
+        F.col("o_custkey").alias("episode_index"),
+        key.alias("length"),
+        F.concat(F.lit("f"), (key % 3).cast("string")).alias("file_path"),
+        key.alias("row_index")
+    )
     return files.last_episodes(rows, ["length"])
 
 
@@ -244,10 +269,22 @@ def stat_ids_remapped(spark, d):
 def refreshed_stats(spark, d):
     rows = proxies.frames(spark, d)
     double, long = F.array(F.lit(0.0)), F.array(F.lit(0).cast("long"))
-    old = rows.select("episode_index").distinct().select("episode_index", *(double.alias(f"stats/frame_index/{k}") for k in ("mean", "std", "max")), long.alias("stats/frame_index/count"), F.array(F.lit(9.0)).alias("stats/value/mean"))
+    old = rows.select("episode_index").distinct().select(
+        "episode_index",
+        *(double.alias(f"stats/frame_index/{k}") for k in ("mean", "std", "max")),
+        long.alias("stats/frame_index/count"),
+        F.array(F.lit(9.0)).alias("stats/value/mean")
+    )
     out = datasets.refreshed(old, rows)
     get = lambda k: F.get(F.col(f"`stats/frame_index/{k}`"), F.lit(0))
-    return out.select("episode_index", F.round(get("mean"), 6).alias("mean"), F.round(get("std"), 6).alias("std"), get("max").alias("max"), get("count").alias("count"), F.col("`stats/value/mean`").alias("other"))
+    return out.select(
+        "episode_index",
+        F.round(get("mean"), 6).alias("mean"),
+        F.round(get("std"), 6).alias("std"),
+        get("max").alias("max"),
+        get("count").alias("count"),
+        F.col("`stats/value/mean`").alias("other")
+    )
 
 
 @query(
@@ -314,7 +351,13 @@ def essential_episode_rows(spark, d):
     """Attributes of the source episode, and the media interval within its video."""
     found = subset.segments(_kept(spark, d))
     e = F.col("episode_index")
-    source = _flags(spark, d).select(e).distinct().select(e, F.lit(0).alias("length"), (e * 10.0).alias("videos/cam/from_timestamp"), (e * 10.0).alias("videos/cam/to_timestamp"), F.concat(F.lit("task "), e.cast("string")).alias("task_name"))
+    source = _flags(spark, d).select(e).distinct().select(
+        e,
+        F.lit(0).alias("length"),
+        (e * 10.0).alias("videos/cam/from_timestamp"),
+        (e * 10.0).alias("videos/cam/to_timestamp"),
+        F.concat(F.lit("task "), e.cast("string")).alias("task_name")
+    )
     out = subset.episode_rows(found, source, ["cam"], 15.0)
     r = lambda c, n: F.round(F.col(f"`videos/cam/{c}_timestamp`"), 6).alias(n)
     return out.select("episode_index", "full_episode_index", "length", r("from", "starts"), r("to", "ends"), "task_name")
@@ -353,7 +396,9 @@ def probe_documents(spark, d):
     """A prober's documents, one an episode, its packets the frames; some have no key frame."""
     flags = F.array_sort(F.collect_list(F.struct("frame_index", F.when(F.col("subtask") == "signup", "K__").otherwise("___").alias("flags"))))
     stream = F.array(F.struct(F.lit(640).alias("width"), F.lit(480).alias("height"), F.lit("15/1").alias("avg_frame_rate"), F.lit("h264").alias("codec_name")))
-    rows = proxies.frames(spark, d).groupBy(F.col("episode_index").alias("path")).agg(F.transform(flags, lambda x: F.struct(x["flags"].alias("flags"))).alias("packets")).withColumn("streams", stream)
+    rows = proxies.frames(spark, d).groupBy(F.col("episode_index").alias("path")).agg(
+        F.transform(flags, lambda x: F.struct(x["flags"].alias("flags"))).alias("packets")
+    ).withColumn("streams", stream)
     return media.probe_rows(rows).select("path", "width", "avg_frame_rate", "codec_name", "frames", "key_frames", F.col("max_gop").cast("int").alias("max_gop"))
 
 
@@ -428,7 +473,10 @@ def vocabulary_differences(spark, d):
 def alias_values(spark, d):
     """Summaries in which the first name may be present without a value."""
     k, balance = F.col("c_custkey"), F.col("c_acctbal").cast("double")
-    both = F.map_concat(F.when(k % 3 == 0, F.create_map(F.lit("eval_loss"), F.lit(None).cast("double"))).otherwise(F.create_map().cast("map<string,double>")), F.when(k % 2 == 0, F.create_map(F.lit("eval/loss"), balance)).otherwise(F.create_map().cast("map<string,double>")))
+    both = F.map_concat(
+        F.when(k % 3 == 0, F.create_map(F.lit("eval_loss"), F.lit(None).cast("double"))).otherwise(F.create_map().cast("map<string,double>")),
+        F.when(k % 2 == 0, F.create_map(F.lit("eval/loss"), balance)).otherwise(F.create_map().cast("map<string,double>"))
+    )
     return _t(spark, d, "customer").select("c_custkey", cfg.alias_value(both, ["eval_loss", "eval/loss"]).alias("loss"))
 
 
@@ -444,7 +492,9 @@ def scalar_checks(spark, d):
     return rows.select(
         "o_orderkey", text.is_close(price, price * (1 + (k % 3) * F.lit(0.6e-9))).alias("close"), text.commit_hash(F.when(even, F.sha1(key)).otherwise(F.md5(key))).alias("pinned"),
         text.device_inode(F.concat(key, F.when(even, ":7").otherwise(":x"))).alias("inode"), text.ssh_target(target).alias("target"), text.gibibytes(k * F.lit(1 << 28)).alias("gib"),
-        text.enough_space(k * F.lit(1 << 28), F.lit(25)).alias("enough"), text.whole_number(F.when(even, key).otherwise("x")).alias("whole"), folder.alias("folder"), runs.is_lerobot(F.when(even, "act").otherwise("isaac")).alias("lerobot"),
+        text.enough_space(k * F.lit(1 << 28), F.lit(25)).alias("enough"), text.whole_number(F.when(even, key).otherwise("x")).alias("whole"), folder.alias("folder"), runs.is_lerobot(
+            F.when(even, "act").otherwise("isaac")
+        ).alias("lerobot"),
     )
 
 
@@ -464,9 +514,16 @@ def stamps(spark, d):
 def list_lookups(spark, d):
     k = F.col("c_nationkey")
     names = F.when(k % 2 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("b"), F.lit("a"), F.lit("c")))
-    lookup = _t(spark, d, "nation").agg(F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey"), F.concat(F.lit("t"), F.col("n_nationkey").cast("string"))))).alias("lookup"))  # one row
+    lookup = _t(spark, d, "nation").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("n_nationkey"), F.concat(F.lit("t"), F.col("n_nationkey").cast("string"))))).alias("lookup")
+    )  # one row
     rows = _t(spark, d, "customer").join(F.broadcast(lookup))
-    return rows.select("c_custkey", vectors.has_prefix(names, ["a", "b"]).alias("prefix"), F.array_join(vectors.positions_of(names, ["a", "b", "z"]), ",").alias("places"), F.array_join(vocab.texts_of(F.array(k, k * 0), F.col("lookup")), ",").alias("texts"))
+    return rows.select(
+        "c_custkey",
+        vectors.has_prefix(names, ["a", "b"]).alias("prefix"),
+        F.array_join(vectors.positions_of(names, ["a", "b", "z"]), ",").alias("places"),
+        F.array_join(vocab.texts_of(F.array(k, k * 0), F.col("lookup")), ",").alias("texts")
+    )
 
 
 @query(

@@ -156,7 +156,9 @@ def probes(spark: SparkSession, root: str) -> DataFrame:
 
 def queue_table(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated run definitions; # begins a comment line."""
-    return spark.read.schema("run_name string, action_mode string, seed long, learning_rate double, augmentation string, save_frequency long").option("sep", "\t").option("comment", "#").csv(path)
+    return spark.read.schema(
+        "run_name string, action_mode string, seed long, learning_rate double, augmentation string, save_frequency long"
+    ).option("sep", "\t").option("comment", "#").csv(path)
 
 
 def results(spark: SparkSession, root: str) -> DataFrame:
@@ -168,7 +170,11 @@ def results(spark: SparkSession, root: str) -> DataFrame:
     said = spark.createDataFrame(rows, "path string, text string").select("path", F.from_json("text", model.RESULT).alias("r")).select("path", "r.*")
     path = F.concat(F.lit("/"), F.col("path"))
     name = r"(?:attempt-\d+/)?result\.(?:yaml|json)\z"
-    return said.select("*", F.regexp_extract(path, rf"/([^/]+)/{name}", 1).alias("run"), F.regexp_extract(path, r"/attempt-(\d+)/result\.(?:yaml|json)\z", 1).try_cast("long").alias("attempt"))
+    return said.select(
+        "*",
+        F.regexp_extract(path, rf"/([^/]+)/{name}", 1).alias("run"),
+        F.regexp_extract(path, r"/attempt-(\d+)/result\.(?:yaml|json)\z", 1).try_cast("long").alias("attempt")
+    )
 
 
 def _document(text: str, where: str) -> dict:

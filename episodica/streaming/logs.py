@@ -37,7 +37,9 @@ def timed(events: DataFrame, ts: str = "ts") -> DataFrame:
 
 def tumbling(events: DataFrame, width: str, watermark: str | None = None, ts: str = "ts") -> DataFrame:
     rows = events.withWatermark(ts, watermark) if watermark else events
-    return rows.groupBy(F.window(ts, width).alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value")).select(F.col("w.start").alias("start"), "event_type", "events", "value")
+    return rows.groupBy(F.window(ts, width).alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value")).select(
+        F.col("w.start").alias("start"), "event_type", "events", "value"
+    )
 
 
 def sliding(events: DataFrame, width: str, slide: str, watermark: str | None = None, ts: str = "ts") -> DataFrame:

@@ -12,16 +12,39 @@ def tree(spark, tmp_path):
     """One episode of 45 frames, five subtasks of nine frames each."""
     root = tmp_path / "set"
     rows = [(0, k, k, k // 9, k // 9, k / 15) for k in range(45)]
-    spark.createDataFrame(rows, "episode_index long, frame_index long, index long, task_index long, subtask_index long, timestamp double").withColumn("observation.state", F.array(*(F.col("index") + F.lit(float(i)) for i in range(6))).cast("array<float>")).coalesce(1).write.parquet(f"{root}/data/chunk-000")
+    spark.createDataFrame(
+        rows,
+        "episode_index long, frame_index long, index long, task_index long, subtask_index long, timestamp double"
+    ).withColumn(
+        "observation.state",
+        F.array(*(F.col("index") + F.lit(float(i)) for i in range(6))).cast("array<float>")
+    ).coalesce(1).write.parquet(f"{root}/data/chunk-000")
     words = [(k, f"step {k}") for k in range(5)]
     for name, col in (("tasks", "task"), ("subtasks", "subtask")):
         spark.createDataFrame(words, f"{name[:-1]}_index long, {col} string").coalesce(1).write.parquet(f"{root}/meta/{name}.parquet")
     texts = [w for _, w in words]
-    spark.createDataFrame([(0, 45, 0, 45, texts, texts, [22.0], [45])], "episode_index long, length long, dataset_from_index long, dataset_to_index long, tasks array<string>, subtask_instructions array<string>, `stats/task_index/mean` array<double>, `stats/task_index/count` array<bigint>").coalesce(1).write.parquet(f"{root}/meta/episodes/chunk-000")
+    spark.createDataFrame(
+        [(0, 45, 0, 45, texts, texts, [22.0], [45])],
+        "episode_index long, length long, dataset_from_index long, dataset_to_index long, tasks array<string>, subtask_instructions array<string>, `stats/task_index/mean` array<double>, `stats/task_index/count` array<bigint>"
+    ).coalesce(1).write.parquet(f"{root}/meta/episodes/chunk-000")
     note = {"task_name": "t", "sub_task_annotation": [{"sub_task_idx": k, "sub_task_instruction": f"step {k}", "frame_duration": [9 * k, 9 * k + 9]} for k in range(5)]}
     (root / "annotations/chunk-000").mkdir(parents=True)
     (root / "annotations/chunk-000/episode_000000.json").write_text(json.dumps(note))
-    (root / "meta/info.json").write_text(json.dumps({"codebase_version": "v3.0", "fps": 15, "total_episodes": 1, "total_frames": 45, "features": {"observation.state": {"dtype": "float32", "shape": [6], "names": list("abcdef")}, "cam": {"dtype": "video", "shape": [3, 480, 640], "info": dict.fromkeys(documents.VIDEO_KEYS, 1)}}, "annotation_path": "annotations"}))
+    (root / "meta/info.json").write_text(
+        json.dumps(
+            {
+                "codebase_version": "v3.0",
+                "fps": 15,
+                "total_episodes": 1,
+                "total_frames": 45,
+                "features": {
+                    "observation.state": {"dtype": "float32", "shape": [6], "names": list("abcdef")},
+                    "cam": {"dtype": "video", "shape": [3, 480, 640], "info": dict.fromkeys(documents.VIDEO_KEYS, 1)}
+                },
+                "annotation_path": "annotations"
+            }
+        )
+    )
     return str(root)
 
 
@@ -46,7 +69,15 @@ def test_clean_tree_passes(spark, tree):
         (lambda d: d.replaced(subtasks=d.subtasks.withColumn("subtask", F.concat(F.lit(" "), "subtask"))), "subtasks_caption"),
         (lambda d: d.replaced(tasks=d.tasks.withColumn("task_index", F.col("task_index") + 1)), "tasks_contiguous"),
         (lambda d: d.replaced(episodes=d.episodes.withColumn("subtask_instructions", F.array(F.lit("a  b")))), "episode_caption"),
-        (lambda d: d.replaced(annotations=d.annotations.withColumn("sub_task_annotation", F.transform("sub_task_annotation", lambda b: b.withField("sub_task_instruction", F.lit("a\tb"))))), "annotation_caption"),
+        (
+            lambda d: d.replaced(
+                annotations=d.annotations.withColumn(
+                    "sub_task_annotation",
+                    F.transform("sub_task_annotation", lambda b: b.withField("sub_task_instruction", F.lit("a\tb")))
+                )
+            ),
+            "annotation_caption"
+        ),
         (lambda d: d.replaced(info=d.info | {"total_frames": 46}), "total_frames"),
         (lambda d: d.replaced(info=d.info | {"total_episodes": 2}), "total_episodes"),
     ],
@@ -59,7 +90,15 @@ def test_each_defect_is_found(spark, tree, change, rule):
 
 def test_annotation_ranges_and_modes(spark, tree):
     data = datasets.load(spark, tree)
-    moved = data.replaced(annotations=data.annotations.withColumn("sub_task_annotation", F.transform("sub_task_annotation", lambda b, k: b.withField("frame_duration", F.when(k == 1, F.array(F.lit(9), F.lit(17)).cast("array<bigint>")).otherwise(b["frame_duration"])))))
+    moved = data.replaced(
+        annotations=data.annotations.withColumn(
+            "sub_task_annotation",
+            F.transform(
+                "sub_task_annotation",
+                lambda b, k: b.withField("frame_duration", F.when(k == 1, F.array(F.lit(9), F.lit(17)).cast("array<bigint>")).otherwise(b["frame_duration"]))
+            )
+        )
+    )
     assert [r.rule for r in datasets.caption_audit(moved, "per_subtask")[0].collect()] == ["annotation_frame_range"]
     other = data.replaced(tasks=data.tasks.withColumn("task", F.concat(F.lit("do "), "task")))
     assert datasets.caption_audit(other, "per_subtask")[1].first().modes == "mapped_subtask"
@@ -81,9 +120,17 @@ def test_correction_counts(spark, tree):
 
 def test_merge_subset_slice_and_write(spark, tree, tmp_path):
     data = datasets.load(spark, tree)
-    other = data.replaced(subtasks=data.subtasks.withColumn("subtask", F.when(F.col("subtask_index") == 0, "new").otherwise(F.col("subtask"))), frames=data.frames.withColumn("episode_index", F.col("episode_index") + 5), episodes=data.episodes.withColumn("episode_index", F.col("episode_index") + 5), annotations=data.annotations.withColumn("episode_index", F.lit(5).cast("long")), info=data.info | {"root": "other"})
+    other = data.replaced(
+        subtasks=data.subtasks.withColumn("subtask", F.when(F.col("subtask_index") == 0, "new").otherwise(F.col("subtask"))),
+        frames=data.frames.withColumn("episode_index", F.col("episode_index") + 5),
+        episodes=data.episodes.withColumn("episode_index", F.col("episode_index") + 5),
+        annotations=data.annotations.withColumn("episode_index", F.lit(5).cast("long")),
+        info=data.info | {"root": "other"}
+    )
     both = datasets.merged([data, other])
-    assert both.frames.count() == 90 and both.subtasks.count() == 6 and [r.subtask for r in both.subtasks.orderBy("subtask_index").collect()] == ["step 0", "step 1", "step 2", "step 3", "step 4", "new"]
+    assert both.frames.count() == 90 and both.subtasks.count() == 6 and [
+        r.subtask for r in both.subtasks.orderBy("subtask_index").collect()
+    ] == ["step 0", "step 1", "step 2", "step 3", "step 4", "new"]
     assert rules.ready(datasets.preflight(both).where("rule not like '%caption'"))
     assert [r["stats/task_index/mean"] for r in both.episodes.orderBy("episode_index").collect()] == [[2.0], [2.0]]
     whole = {r.feature: r for r in datasets.global_stats(both.frames, both.episodes).collect()}
@@ -115,7 +162,10 @@ def test_language_annotation_must_agree(spark, tree):
 
 def test_pooled_global_stats(spark, tree):
     data = datasets.load(spark, tree)
-    meta = spark.createDataFrame([(0, [1.0, 2.0], [0.0, 0.0], [1.0, 2.0], [1.0, 2.0], [2]), (1, [4.0, 2.0], [0.0, 1.0], [4.0, 1.0], [4.0, 3.0], [4])], "episode_index long, `stats/v/mean` array<double>, `stats/v/std` array<double>, `stats/v/min` array<double>, `stats/v/max` array<double>, `stats/v/count` array<bigint>")
+    meta = spark.createDataFrame(
+        [(0, [1.0, 2.0], [0.0, 0.0], [1.0, 2.0], [1.0, 2.0], [2]), (1, [4.0, 2.0], [0.0, 1.0], [4.0, 1.0], [4.0, 3.0], [4])],
+        "episode_index long, `stats/v/mean` array<double>, `stats/v/std` array<double>, `stats/v/min` array<double>, `stats/v/max` array<double>, `stats/v/count` array<bigint>"
+    )
     got = {r.dim: r for r in datasets.global_stats(data.frames, meta).where("feature = 'v'").collect()}
     assert (got[0]["mean"], got[0]["std"], got[0]["min"], got[0]["count"]) == (3.0, 2**0.5, 1.0, 6) and abs(got[1]["std"] - (4 / 6) ** 0.5) < 1e-12
     with pytest.raises(Exception, match="incomplete"):
@@ -208,9 +258,18 @@ def test_derivative_checks(spark, tree):
     good = datasets.derivative_problems(data, 45, {"observation.state": 6}, probes.where("max_gop = 12"), {"cam": 1}, 15.0, 0.05, 15)
     assert good == []
     bad = datasets.derivative_problems(data.replaced(tasks=data.tasks.withColumn("task", F.lit(" "))), 46, {"observation.state": 4}, probes, {"cam": 1, "other": 1}, 15.0, 0.05, 15)
-    assert len(bad) == 11 and bad[-5:] == ["observation.state isn't 4-dimensional", "frame count changed: 46 -> 45", "cam: 2 videos, expected 1", "cam: 1 videos of another format", "other: 0 videos, expected 1"]
+    assert len(bad) == 11 and bad[-5:] == [
+        "observation.state isn't 4-dimensional",
+        "frame count changed: 46 -> 45",
+        "cam: 2 videos, expected 1",
+        "cam: 1 videos of another format",
+        "other: 0 videos, expected 1"
+    ]
     assert datasets.dataset_totals(data) == {"episodes": 1, "frames": 45, "captions_checked": 20}
-    rows = spark.createDataFrame([("s", "mean", k, float(k)) for k in range(4)] + [("s", "count", 0, 9.0), ("head", "mean", 0, 0.5), ("head", "std", 0, 0.25), ("w", "mean", 0, 1.0)], "feature string, stat string, dim int, value double")
+    rows = spark.createDataFrame(
+        [("s", "mean", k, float(k)) for k in range(4)] + [("s", "count", 0, 9.0), ("head", "mean", 0, 0.5), ("head", "std", 0, 0.25), ("w", "mean", 0, 1.0)],
+        "feature string, stat string, dim int, value double"
+    )
     cut = {(r.feature, r.stat, r.dim): r.value for r in datasets.sliced_stats(rows, {"s": [2, 0]}).collect()}
     assert cut == {("s", "mean", 0): 2.0, ("s", "mean", 1): 0.0, ("s", "count", 0): 9.0, ("head", "mean", 0): 0.5, ("head", "std", 0): 0.25, ("w", "mean", 0): 1.0}
     boxed = {(r.feature, r.stat): r.value for r in datasets.letterboxed_stats(rows, "head").where("feature <> 's'").collect()}
@@ -220,7 +279,10 @@ def test_derivative_checks(spark, tree):
 def test_prepared_and_letterboxed(spark, tree):
     data = datasets.load(spark, tree)
     vector = {"dtype": "float32", "shape": [6], "names": list("abcdef")}
-    data = data.replaced(frames=data.frames.withColumn("action", F.col("`observation.state`")), info=data.info | {"features": data.info["features"] | {"observation.state": vector, "action": dict(vector)}})
+    data = data.replaced(
+        frames=data.frames.withColumn("action", F.col("`observation.state`")),
+        info=data.info | {"features": data.info["features"] | {"observation.state": vector, "action": dict(vector)}}
+    )
     out = datasets.prepared(data, ["a", "b"], {"cam": [3, 480, 640]}, 15.0)
     assert out.info["features"]["action"]["names"] == ["a", "b"] and out.frames.first()["action"] == [0.0, 1.0]
     with pytest.raises(datasets.GateError, match="action order"):
@@ -228,7 +290,10 @@ def test_prepared_and_letterboxed(spark, tree):
     receipt = documents.derivation_receipt("/s", "r", None, data.info, out.info, {"cam": {"source": 1, "output": 1, "operation": {}}}, ["t"], 15, 18, "medium")
     assert receipt["state"] == {"source_dimension": 6, "output_dimension": 2, "names": ["a", "b"]} and receipt["cameras"]["cam"]["geometry_transform"] == "identity"
     meta = data.episodes.withColumn("stats/cam/mean", F.array(F.lit(0.5))).withColumn("stats/cam/std", F.array(F.lit(0.25)))
-    rows = spark.createDataFrame([("action", "mean", k, float(k)) for k in range(6)] + [("cam", "mean", 0, 0.5), ("cam", "std", 0, 0.25)], "feature string, stat string, dim int, value double")
+    rows = spark.createDataFrame(
+        [("action", "mean", k, float(k)) for k in range(6)] + [("cam", "mean", 0, 0.5), ("cam", "std", 0, 0.25)],
+        "feature string, stat string, dim int, value double"
+    )
     old, found = datasets.letterboxed(data.replaced(episodes=meta), rows, ["a", "b", "c"], {"observation.state": 6, "action": 6}, "cam", 600, 800)
     assert old.info["features"]["cam"]["shape"] == [3, 600, 800] and old.info["features"]["cam"]["info"]["video.width"] == 800 and len(old.frames.first()["action"]) == 3
     assert old.episodes.first()["stats/cam/mean"] == [0.375] and found.where("feature = 'action'").count() == 3

@@ -41,10 +41,22 @@ def test_small_documents():
     r = D.language_receipt("per_subtask", True, ["a"], "source", "/p", "/d", {}, {}, said, "meta/x", "h")
     assert (r["task_index_source"], r["h40"]["language_conflict_start_count"], r["kind"]) == ("subtask_index", 7, "task700013_language_variant")
     assert D.language_receipt("full_episode", False, ["a"], "source", "/p", "/d", {}, {}, said, "meta/x", "h")["h40"]["language_conflict_start_count"] == 0
-    assert D.acknowledgement("p", "m", "c", "h", at) == {"schema_version": 1, "acknowledged_utc": "2026-01-02T03:04:05Z", "package": "p", "package_sha256s_sha256": "m", "consumer_receipt": "c", "consumer_receipt_sha256": "h", "consumer_status": "acknowledged"}
+    assert D.acknowledgement("p", "m", "c", "h", at) == {
+        "schema_version": 1,
+        "acknowledged_utc": "2026-01-02T03:04:05Z",
+        "package": "p",
+        "package_sha256s_sha256": "m",
+        "consumer_receipt": "c",
+        "consumer_receipt_sha256": "h",
+        "consumer_status": "acknowledged"
+    }
     assert D.package_manifest("n", "lerobot_act", "lerobot", "r", "a", "b", "c", None, at)["consumer_status"] == "not_acknowledged"
     plan = D.transfer_plan("/packages/n", "lerobot_act", "lerobot", "u@host", "/home/w", 22, at)
-    assert (plan["remote_host_path"], plan["remote_stage_path"], plan["remote_container_path"]) == ("/home/w/model/lerobot/n", "/home/w/model/lerobot/.n.partial-20260102T030405Z", "/workspace/model/lerobot/n")
+    assert (plan["remote_host_path"], plan["remote_stage_path"], plan["remote_container_path"]) == (
+        "/home/w/model/lerobot/n",
+        "/home/w/model/lerobot/.n.partial-20260102T030405Z",
+        "/workspace/model/lerobot/n"
+    )
     for bad in ({"target": "host"}, {"port": 0}, {"workspace": "a/b"}, {"workspace": "/a/../b"}):
         with pytest.raises(D.DocumentError):
             D.transfer_plan(**({"package": "/p", "backend": "b", "family": "f", "target": "u@h", "workspace": "/w", "port": 22} | bad))

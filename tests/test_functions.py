@@ -10,13 +10,28 @@ def _one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-@pytest.mark.parametrize(("caption", "problem"), [("a b", None), ("a  b", "repeated ASCII spaces"), (" a", "leading or trailing whitespace"), ("a　", "leading or trailing whitespace"), ("a\tb", "unexpected whitespace U+0009"), ("a\nb", "unexpected whitespace U+000A"), ("a b", "unexpected whitespace U+00A0"), ("a\x1cb", "unexpected whitespace U+001C")])
+@pytest.mark.parametrize(
+    ("caption", "problem"),
+    [
+        ("a b", None),
+        ("a  b", "repeated ASCII spaces"),
+        (" a", "leading or trailing whitespace"),
+        ("a　", "leading or trailing whitespace"),
+        ("a\tb", "unexpected whitespace U+0009"),
+        ("a\nb", "unexpected whitespace U+000A"),
+        ("a b", "unexpected whitespace U+00A0"),
+        ("a\x1cb", "unexpected whitespace U+001C")
+    ]
+)
 def test_whitespace(spark, caption, problem):
     assert _one(spark, text.whitespace_problem(F.lit(caption))) == problem
 
 
 def test_whitespace_is_python_s(spark):
-    rows = spark.range(0x3100).where("id not between 55296 and 57343").select("id", text.whitespace_problem(F.concat(F.lit("a"), F.char("id") if False else F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE"), F.lit("b"))).alias("p"))
+    rows = spark.range(0x3100).where("id not between 55296 and 57343").select(
+        "id",
+        text.whitespace_problem(F.concat(F.lit("a"), F.char("id") if False else F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE"), F.lit("b"))).alias("p")
+    )
     assert {r.id for r in rows.where("p is not null").collect()} == {c for c in range(0x3100) if chr(c).isspace() and c != 0x20}
 
 
@@ -51,9 +66,31 @@ def test_config(spark):
     with pytest.raises(config.ConfigError, match="unknown variable q"):
         config.substituted("${q}", {})
     assert config.flags("p", {"a": True, "b": None, "c": [], "d": {"e": [1, 2]}, "tfs": {"k": 1}}) == ["--p.a=true", "--p.d.e=[1,2]", '--p.tfs={"k":1}']
-    good = {k: {} for k in rules.CONFIG_MAPPINGS} | {"schema_version": 1, "backend": "act", "name": "n", "tags": ["t"], "dataset": {"repo_id": "r", "root": "/r"}, "policy": {"type": "act", "device": "cpu"}, "train": {"steps": 5, "batch_size": 1, "num_workers": 0}, "tracking": {"backend": "none"}, "resources": {"timeout_hours": 1}}
+    good = {k: {} for k in rules.CONFIG_MAPPINGS} | {
+        "schema_version": 1,
+        "backend": "act",
+        "name": "n",
+        "tags": ["t"],
+        "dataset": {"repo_id": "r", "root": "/r"},
+        "policy": {"type": "act", "device": "cpu"},
+        "train": {"steps": 5, "batch_size": 1, "num_workers": 0},
+        "tracking": {"backend": "none"},
+        "resources": {"timeout_hours": 1}
+    }
     assert rules.config(good) == []
-    bad = config.merge(good, {"schema_version": 2, "backend": "zz", "name": "-n", "zzz": 1, "train": {"steps": True}, "optimizer": {"lr": 1.0}, "policy": {"type": "groot", "optimizer_lr": 2.0, "use_relative_actions": True, "relative_exclude_joints": ["grip"]}, "tracking": {"backend": "wandb"}})
+    bad = config.merge(
+        good,
+        {
+            "schema_version": 2,
+            "backend": "zz",
+            "name": "-n",
+            "zzz": 1,
+            "train": {"steps": True},
+            "optimizer": {"lr": 1.0},
+            "policy": {"type": "groot", "optimizer_lr": 2.0, "use_relative_actions": True, "relative_exclude_joints": ["grip"]},
+            "tracking": {"backend": "wandb"}
+        }
+    )
     assert [r for r, _ in rules.config(bad)] == ["unknown_key", "schema_version", "backend", "name", "learning_rate", "steps", "exclusion_term", "tracking_project"]
     native = config.merge(good, {"backend": "isaac", "policy": {"type": "groot", "chunk_size": 16}, "train": {"seed": 1}})
     assert [r for r, _ in rules.config(native)] == ["absolute_action", "modality", "horizon", "seed"]
@@ -63,7 +100,15 @@ def test_config(spark):
 
 def test_log_falls_back_only_without_steps(spark):
     step = "step:{} loss:{} grdn:1 smp/s:2 mem_gb:3"
-    rows = [("a", 1, step.format(1, 0.5)), ("a", 2, step.format(2, 0.4)), ("a", 3, "{'train_loss': 9.0}"), ("b", 1, "{'train_loss': 8.0, 'train_samples_per_second': 4}"), ("b", 2, "{'train_loss': 7.0}"), ("c", 1, "{'train_samples_per_second': 4}"), ("d", 1, "step:3 loss:1")]
+    rows = [
+        ("a", 1, step.format(1, 0.5)),
+        ("a", 2, step.format(2, 0.4)),
+        ("a", 3, "{'train_loss': 9.0}"),
+        ("b", 1, "{'train_loss': 8.0, 'train_samples_per_second': 4}"),
+        ("b", 2, "{'train_loss': 7.0}"),
+        ("c", 1, "{'train_samples_per_second': 4}"),
+        ("d", 1, "step:3 loss:1")
+    ]
     got = {r.run: tuple(r)[1:] for r in runs.last_metrics(spark.createDataFrame(rows, "run string, line_no long, line string")).collect()}
     assert got == {"a": (2, 0.4, 1.0, 2.0, 3.0), "b": (None, 7.0, None, 4.0, None)}
 

@@ -33,13 +33,23 @@ def test_policy_trainer_command():
 
 
 def test_native_trainer_command():
-    doc = {"backend": "isaac-groot", "name": "n", "policy": POLICY | {"tune_llm": True, "color_jitter_params": {"hue": 0.1}}, "dataset": {"root": "/d", "modality_config_path": "/m.py"}, "train": {"steps": 5, "batch_size": 2, "num_workers": 4, "save_freq": 5, "seed": 42}, "tracking": {"backend": "none", "project": "p"}}
+    doc = {
+        "backend": "isaac-groot",
+        "name": "n",
+        "policy": POLICY | {"tune_llm": True, "color_jitter_params": {"hue": 0.1}},
+        "dataset": {"root": "/d", "modality_config_path": "/m.py"},
+        "train": {"steps": 5, "batch_size": 2, "num_workers": 4, "save_freq": 5, "seed": 42},
+        "tracking": {"backend": "none", "project": "p"}
+    }
     got = C.command(doc, "/o", "run_backend.sh", "launch.py")
     assert got[:4] == ["run_backend.sh", "isaac_groot", "python", "launch.py"]
     pairs = dict(zip(got[4:44:2], got[5:44:2], strict=True))
     assert list(pairs)[:6] == ["--base-model-path", "--dataset-path", "--embodiment-tag", "--modality-config-path", "--output-dir", "--experiment-name"]
     assert pairs["--embodiment-tag"] == "NEW_EMBODIMENT" and pairs["--num-shards-per-epoch"] == "100000" and pairs["--state-dropout-prob"] == "0.2" and pairs["--learning-rate"] == "0.0001"
-    assert got[44:] == ["--tune-llm", "--no-tune-visual", "--tune-projector", "--tune-diffusion-model", "--use-percentiles", "--no-save-only-model", "--no-use-wandb", "--color-jitter-params", "hue", "0.1", "--wandb-project", "p"]
+    assert got[44:] == [
+        "--tune-llm", "--no-tune-visual", "--tune-projector", "--tune-diffusion-model", "--use-percentiles", "--no-save-only-model", "--no-use-wandb",
+        "--color-jitter-params", "hue", "0.1", "--wandb-project", "p"
+    ]
     assert "--seed" not in got
     tracked = C.command(doc | {"tracking": {"backend": "wandb", "entity": "team", "enable": False}}, "/o")
     assert tracked[2:6] == ["env", "WANDB_MODE=online", "WANDB_ENTITY=team", "python"] and tracked[-4] == "--no-use-wandb"
@@ -68,9 +78,15 @@ def test_registrations():
     doc = R.local_registration("set", "/src", INFO, defaults, task="mine", handoff="/h")
     assert doc["registration"] == {"source_kind": R.LOCAL, "contract_profile": "profile.yaml", "robot_revision_source": "project_default", "task_source": "command_line", "handoff": "/h"}
     assert doc["contract"]["state"]["dim"] == 16 and doc["contract"]["state"]["names"][7] == "gripper_l_joint1" and doc["contract"]["language"]["instruction"] == "mine"
-    assert doc["expected"] == {"codebase_version": "v3.0", "total_episodes": 2, "total_frames": 9} and doc["adapters"]["isaac_groot"]["root"] == "${training_root}/artifacts/datasets/set_isaac_v21"
+    assert doc["expected"] == {
+        "codebase_version": "v3.0",
+        "total_episodes": 2,
+        "total_frames": 9
+    } and doc["adapters"]["isaac_groot"]["root"] == "${training_root}/artifacts/datasets/set_isaac_v21"
     spec = R.dataset_spec(doc, VARIABLES)
-    assert spec["prepared"]["root"] == "/w/training/artifacts/datasets/set_arms16_gop15" and R.report(spec, "x.yaml")["source"] == {"kind": R.LOCAL, "root": "/src", "label": "local", "handoff": "/h"}
+    assert spec["prepared"]["root"] == "/w/training/artifacts/datasets/set_arms16_gop15" and R.report(spec, "x.yaml")["source"] == {
+        "kind": R.LOCAL, "root": "/src", "label": "local", "handoff": "/h"
+    }
     for bad in ({"name": "-x"}, {"eval_split": 1.0}, {"robot_revision": " "}):
         with pytest.raises(R.RegistryError):
             R.local_registration(**({"name": "set", "source": "/s", "info": {}, "defaults": defaults} | bad))
@@ -92,12 +108,19 @@ def test_contracts(spark):
     other = INFO | {"fps": 30, "features": INFO["features"] | {"cam": {"dtype": "video", "shape": [3, 720, 1280]}, "action": {"shape": [1], "names": ["a"]}}}
     assert R.contract_problems(contract, INFO) == [] and R.contract_problems(contract, other) == ["action dim", "action names", "camera cam", "fps"]
     audit = spark.createDataFrame([("b", 2, "here", "x", "y"), ("a", 1, "there", "x", "y")], "rule string, rule_order int, location string, expected string, observed string")
-    assert R.dataset_problems(registered(), INFO | {"total_frames": 8}, audit) == ["total_frames mismatch", "a at there"] and R.dataset_problems(registered(), INFO, audit.where("false")) == []
+    assert R.dataset_problems(
+        registered(),
+        INFO | {"total_frames": 8},
+        audit
+    ) == ["total_frames mismatch", "a at there"] and R.dataset_problems(registered(), INFO, audit.where("false")) == []
 
 
 def test_experiments_and_queues():
     spec = registered()
-    assert R.dataset_defaults(R.dataset_spec(spec, VARIABLES), {})["dataset"] == {"registry_ref": "set", "source_revision": "a" * 40, "repo_id": "local/set", "root": "/w/set", "video_backend": "torchcodec", "eval_split": 0.1, "image_transforms": {"enable": False}}
+    assert R.dataset_defaults(R.dataset_spec(spec, VARIABLES), {})["dataset"] == {
+        "registry_ref": "set", "source_revision": "a" * 40, "repo_id": "local/set", "root": "/w/set", "video_backend": "torchcodec", "eval_split": 0.1,
+        "image_transforms": {"enable": False}
+    }
     native = R.dataset_defaults(R.dataset_spec(spec, VARIABLES), {}, "isaac")["dataset"]
     assert native["repo_id"] == "local/set_isaac_v21" and native["modality_config_path"].endswith("f2_arms16_absolute_h40.py") and native["eval_split"] == 0.0
     recipe = {
@@ -114,7 +137,15 @@ def test_experiments_and_queues():
     queue = {"schema_version": 1, "name": "q", "max_attempts": 1, "time_budget_hours": 1, "runs": [{"config": "a"}, {"config": "b", "overrides": ["x=1"]}]}
     asked = []
     assert R.queue(queue, lambda c, sets: asked.append((c, sets)) or {"name": c}) == [{"name": "a"}, {"name": "b"}] and asked == [("a", []), ("b", ["x=1"])]
-    for bad, said in (({"zzz": 1}, "schema"), ({"name": "-"}, "unsafe"), ({"runs": []}, "entries"), ({"max_attempts": 0}, "positive"), ({"runs": [{"overrides": []}]}, r"runs\[0\]"), ({"runs": [{"config": "a", "overrides": "x"}]}, "overrides"), ({"runs": [{"config": "a"}, {"config": "a"}]}, "duplicate names: a")):
+    for bad, said in (
+        ({"zzz": 1}, "schema"),
+        ({"name": "-"}, "unsafe"),
+        ({"runs": []}, "entries"),
+        ({"max_attempts": 0}, "positive"),
+        ({"runs": [{"overrides": []}]}, r"runs\[0\]"),
+        ({"runs": [{"config": "a", "overrides": "x"}]}, "overrides"),
+        ({"runs": [{"config": "a"}, {"config": "a"}]}, "duplicate names: a")
+    ):
         with pytest.raises(R.RegistryError, match=said):
             R.queue(queue | bad, lambda c, sets: {"name": c})
     assert R.new_run("n", "set", "isaac-groot")["_base"] == "../policies/isaac_groot_n17.yaml" and R.new_run("n", "set")["dataset_ref"] == "set"

@@ -42,7 +42,10 @@ def test_footers_and_probes(spark, tmp_path):
     with pytest.raises(ValueError, match="lacks b"):
         files.vocabulary(spark, f"{tmp_path}/t/chunk-0", "a", "b", strict=True)
     packets = [{"flags": "K__" if k in (0, 4) else "___"} for k in range(11)]
-    for name, doc in (("v.mp4", {"streams": [{"width": 640, "height": 480, "avg_frame_rate": "15/1", "codec_name": "h264"}], "packets": packets}), ("w.mp4", {"streams": [{"width": 1}], "packets": packets[1:4]})):
+    for name, doc in (
+        ("v.mp4", {"streams": [{"width": 640, "height": 480, "avg_frame_rate": "15/1", "codec_name": "h264"}], "packets": packets}),
+        ("w.mp4", {"streams": [{"width": 1}], "packets": packets[1:4]})
+    ):
         (tmp_path / f"{name}.json").write_text(json.dumps(doc))
     got = {r.path.rpartition("/")[2]: r for r in media.probe_rows(files.probes(spark, str(tmp_path))).collect()}
     v, w = got["v.mp4"], got["w.mp4"]
@@ -126,7 +129,10 @@ def test_log_stream_equals_batch(spark, tmp_path):
 
 
 def test_windows_stream_equals_batch(spark, tmp_path):
-    rows = spark.createDataFrame([(k, f"2024-01-0{1 + k % 3} 0{k % 9}:00:00", "e", 1.0) for k in range(30)], "user_id long, t string, event_type string, value double").selectExpr("user_id", "cast(t as timestamp) as ts", "event_type", "value")
+    rows = spark.createDataFrame(
+        [(k, f"2024-01-0{1 + k % 3} 0{k % 9}:00:00", "e", 1.0) for k in range(30)],
+        "user_id long, t string, event_type string, value double"
+    ).selectExpr("user_id", "cast(t as timestamp) as ts", "event_type", "value")
     rows.write.parquet(str(tmp_path / "e"))
     stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "e"))
     q = logs.tumbling(stream, "1 day", "1 hour").writeStream.outputMode("complete").format("memory").queryName("days").start()
