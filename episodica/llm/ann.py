@@ -243,7 +243,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, sample: int = SA
             c = np.maximum(least, np.array([better.get(i, -2.0) for i in ids.tolist()]))
             radii = np.where(c > least, np.minimum(radii, np.maximum(model.radius(c), near)), radii)
             more = radii > near
-            found.append(first.where(~F.col("query_id").isin(*ids[more].tolist())) if more.sum() <= 1000 else first.join(F.broadcast(spark.createDataFrame([(i,) for i in ids[more].tolist()], "q long")), F.col("query_id") == F.col("q"), "left_anti"))
+            found.append(
+                first.where(~F.col("query_id").isin(*ids[more].tolist())) if more.sum() <= 1000 else first.join(
+                    F.broadcast(spark.createDataFrame([(i,) for i in ids[more].tolist()], "q long")),
+                    F.col("query_id") == F.col("q"),
+                    "left_anti"
+                )
+            )
             ids, q, radii = ids[more], q[more], radii[more]
         if len(ids):
             made = searched(ids, q, radii)

@@ -47,7 +47,10 @@ def _grams(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                     rows["length"].append(length)
                     rows["hash"].append(int(h.view(np.int64)))
                     rows["words"].append(b" ".join(low[s:e] for s, e in zip(starts[a + i : a + i + length], ends[a + i : a + i + length], strict=True)))
-            yield pa.RecordBatch.from_arrays([pa.array(rows["item"], pa.string()), pa.array(rows["length"], pa.int32()), pa.array(rows["hash"], pa.int64()), pa.array(rows["words"], pa.binary())], ["item", "length", "hash", "words"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows["item"], pa.string()), pa.array(rows["length"], pa.int32()), pa.array(rows["hash"], pa.int64()), pa.array(rows["words"], pa.binary())],
+                ["item", "length", "hash", "words"]
+            )
 
     return run
 
@@ -126,7 +129,13 @@ def _scan(shared, names: list[str], again: bool) -> Callable[[Iterator[pa.Record
                         cuts += [s, e]
                 spans.append(cuts)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64()), pa.array([sorted(hit.get(r, ())) for r in range(n)], pa.list_(pa.int64())), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))],
+                [
+                    *batch.columns,
+                    pa.array(counts, pa.int64()),
+                    pa.array([sorted(hit.get(r, ())) for r in range(n)], pa.list_(pa.int64())),
+                    pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string())),
+                    pa.array(spans, pa.list_(pa.int64()))
+                ],
                 [*batch.schema.names, *names],
             )
 

@@ -12,7 +12,9 @@ import re
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 MUTE = frozenset("noscript template select option svg canvas annotation annotation-xml".split())
-TAGS = tuple("html body div p article main section nav header footer aside form ul ol li table tr td h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dl dt dd address details dialog".split())
+TAGS = tuple(
+    "html body div p article main section nav header footer aside form ul ol li table tr td h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption dl dt dd address details dialog".split()
+)
 #: Elements that begin a block of text; all others, unknown ones too, stand in a line.
 BLOCK = frozenset(TAGS) | frozenset("head th thead tbody tfoot caption colgroup fieldset legend summary hgroup menu dir center search listing plaintext frameset".split())
 #: Attribute tokens that hint at a part of a page, by group.
@@ -33,11 +35,26 @@ GROUPS = tuple(HINTS)
 _GROUP = {w: k for k, g in enumerate(GROUPS) for w in HINTS[g].split()}
 _TAG = {t: k for k, t in enumerate(TAGS)}
 #: A start tag of these ends an open one (of the second list) first, up to the given stops.
-_CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th"), "thead": ("caption",), "tfoot": ("tbody", "tr", "td", "th")}
-_STOP = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
+_CLOSES = {
+    "li": ("li",),
+    "dt": ("dt", "dd"),
+    "dd": ("dt", "dd"),
+    "tr": ("tr", "td", "th"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+    "tbody": ("thead", "tbody", "tr", "td", "th"),
+    "thead": ("caption",),
+    "tfoot": ("tbody", "tr", "td", "th")
+}
+_STOP = {
+    "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "tbody": ("table",), "thead": ("table",),
+    "tfoot": ("table",)
+}
 #: Start tags that end an open select; those that end an open svg, unless inside these of its elements.
 _NOT_IN_SELECT = frozenset("select input keygen textarea caption table tbody thead tfoot tr td th".split())
-_NOT_IN_SVG = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_NOT_IN_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 _IN_SVG = frozenset("foreignobject desc".split())
 
 

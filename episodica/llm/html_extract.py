@@ -174,7 +174,14 @@ def composed_page(rng: np.random.Generator) -> tuple[str, set[str]]:
         body = "".join(parts)
         if rng.random() < 0.3:
             body = f"<div{attributes('content', 'entry', 'text', 'body')}>{body}</div>"
-        return pick(f"<article{attributes('post', 'article', 'entry')}>{body}</article>", f"<article>{body}</article>", f"<main{attributes('main', 'content')}>{body}</main>", f'<div class="{pick("content", "article-body", "post", "entry-content", "main", "story")}">{body}</div>', f"<div>{body}</div>", f"<section{attributes('content', 'article')}>{body}</section>")
+        return pick(
+            f"<article{attributes('post', 'article', 'entry')}>{body}</article>",
+            f"<article>{body}</article>",
+            f"<main{attributes('main', 'content')}>{body}</main>",
+            f'<div class="{pick("content", "article-body", "post", "entry-content", "main", "story")}">{body}</div>',
+            f"<div>{body}</div>",
+            f"<section{attributes('content', 'article')}>{body}</section>"
+        )
 
     def link() -> str:
         return f'<a href="/{word()}">{words(1, 3, False)}</a>'
@@ -184,7 +191,13 @@ def composed_page(rng: np.random.Generator) -> tuple[str, set[str]]:
         return pick(f"<nav{attributes('menu', 'nav')}>{inner}</nav>", f'<div class="{name or pick("menu", "navbar", "navigation", "breadcrumb")}">{inner}</div>')
 
     def box(names: tuple[str, ...], tags: tuple[str, ...] = ("div",)) -> str:
-        inner = pick(words(3, 30), f"<p>{words(3, 40)}</p>", f"<h3>{words(1, 4, False)}</h3><p>{words(5, 40)}</p>", f"<h4>{words(1, 3, False)}</h4><ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.integers(2, 7))) + "</ul>", f"<p>{words(10, 60)}</p><p>{words(5, 40)}</p>")
+        inner = pick(
+            words(3, 30),
+            f"<p>{words(3, 40)}</p>",
+            f"<h3>{words(1, 4, False)}</h3><p>{words(5, 40)}</p>",
+            f"<h4>{words(1, 3, False)}</h4><ul>" + "".join(f"<li>{link()}</li>" for _ in range(rng.integers(2, 7))) + "</ul>",
+            f"<p>{words(10, 60)}</p><p>{words(5, 40)}</p>"
+        )
         t = pick(*tags)
         return f'<{t} class="{pick(*names)}">{inner}</{t}>' if t == "div" else f"<{t}{attributes(*names)}>{inner}</{t}>"
 
@@ -193,7 +206,9 @@ def composed_page(rng: np.random.Generator) -> tuple[str, set[str]]:
 
     def comments() -> str:
         one = lambda: pick(f'<div class="comment"><b>{words(1, 2, False)}</b><p>{words(3, 50)}</p></div>', f"<li><p>{words(3, 40)}</p></li>")
-        return f'<{(t := pick("div", "section", "ol"))} {pick("id", "class")}="{pick("comments", "replies", "discussion", "reader-comments")}">{pick("", f"<h3>{words(1, 3, False)}</h3>")}' + "".join(one() for _ in range(rng.integers(1, 7))) + f"</{t}>"
+        return f'<{(t := pick("div", "section", "ol"))} {pick("id", "class")}="{pick("comments", "replies", "discussion", "reader-comments")}">{pick("", f"<h3>{words(1, 3, False)}</h3>")}' + "".join(
+            one() for _ in range(rng.integers(1, 7))
+        ) + f"</{t}>"
 
     some = lambda share, f, *x: f(*x) if rng.random() < share else ""
     top = some(0.6, menu) + some(0.4, lambda: f"<header{attributes('header', 'masthead')}>{pick(f'<h2>{words(1, 4, False)}</h2>', f'<p>{words(2, 10)}</p>', '')}{some(0.6, menu)}</header>")
@@ -202,12 +217,23 @@ def composed_page(rng: np.random.Generator) -> tuple[str, set[str]]:
     body = article()
     side = some(0.35, box, ("sidebar", "widget", "related", "side"), ("aside", "div", "aside"))
     tail = some(0.3, form) + some(0.3, comments) + some(0.2, box, ("share", "social", "related-posts"))
-    foot = some(0.8, lambda: pick(f"<footer{attributes('footer')}>&copy; {words(1, 30)}{some(0.4, menu)}</footer>", f"<footer>&copy; {word()}.example &middot; {words(4, 60)}</footer>", f'<div class="footer">{words(2, 20)} {link()}</div>'))
+    foot = some(
+        0.8,
+        lambda: pick(
+            f"<footer{attributes('footer')}>&copy; {words(1, 30)}{some(0.4, menu)}</footer>",
+            f"<footer>&copy; {word()}.example &middot; {words(4, 60)}</footer>",
+            f'<div class="footer">{words(2, 20)} {link()}</div>'
+        )
+    )
     middle = [notice, advert, *rng.permutation([body, side]).tolist(), tail] if rng.random() < 0.5 else [advert, body, notice, side, tail]
     inner = top + "".join(f"<div{attributes('wrapper', 'container', 'row')}>{x}</div>" if x and rng.random() < 0.15 else x for x in middle) + foot
     if rng.random() < 0.4:
         inner = f"<div{attributes('page', 'wrapper', 'container')}>{inner}</div>"
-    return f"<!DOCTYPE html><html><head><title>{words(1, 9, False)}</title><style>p{{}}</style><script>var x='</p>';</script></head><body>{inner}" + pick("</body></html>", "</body></html>", ""), main
+    return f"<!DOCTYPE html><html><head><title>{words(1, 9, False)}</title><style>p{{}}</style><script>var x='</p>';</script></head><body>{inner}" + pick(
+        "</body></html>",
+        "</body></html>",
+        ""
+    ), main
 
 
 _fitted: dict[tuple[int, int], Trees] = {}
@@ -247,7 +273,10 @@ def _extracted(shared, price: float) -> Callable:
         trees = shared.value
         for batch in store.batches(it, 1 << 20, "html"):
             texts = main_texts([h or "" for h in batch.column("html").to_pylist()], trees, price)
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                ["page_id", "url", "text", "n_chars"]
+            )
 
     return run
 

@@ -159,7 +159,13 @@ def _add(it):
         for k, x in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             y = _read_piece(x)
             total[k] = _capped(total[k].astype(np.int64) + y) if k in total else y
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), 3) for x in total.values()], pa.binary())], ["piece", "counts"])
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(total), pa.int64()),
+            pa.array([zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes(), 3) for x in total.values()], pa.binary())
+        ],
+        ["piece", "counts"]
+    )
 
 
 def frequencies(rows: DataFrame, size: int) -> np.ndarray:
@@ -202,7 +208,10 @@ def _prefixes(size: int, percent: int, shared, parts: int, long: int) -> Callabl
             new = np.r_[True, (e["token"][1:] != e["token"][:-1]) | (e["id"][1:] != e["id"][:-1])] if len(e) else np.zeros(0, bool)
             e, part_of = e[new], part_of[new]
             first = np.flatnonzero(np.r_[True, part_of[1:] != part_of[:-1]]) if len(e) else np.zeros(0, int)
-            yield pa.RecordBatch.from_arrays([pa.array(part_of[first], pa.int64()), pa.array([x.tobytes() for x in np.split(e, first[1:])] if len(e) else [], pa.binary())], ["part", "entries"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part_of[first], pa.int64()), pa.array([x.tobytes() for x in np.split(e, first[1:])] if len(e) else [], pa.binary())],
+                ["part", "entries"]
+            )
 
     return run
 
@@ -310,7 +319,10 @@ class _Overlaps:
         return np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
 
 
-def family_links(ids: np.ndarray, bounds: np.ndarray, found: np.ndarray, percent: int, pivot: int | None = None, side: np.ndarray | None = None, together: np.ndarray | None = None, distance: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def family_links(
+    ids: np.ndarray, bounds: np.ndarray, found: np.ndarray, percent: int, pivot: int | None = None, side: np.ndarray | None = None, together: np.ndarray | None = None,
+    distance: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """(component, distance to the pivot) of each of a family's sets; components are numbered by a member.
 
     Pairs of members of one `side` are another task's; members `together` are known to be connected; `distance`: to a
@@ -399,7 +411,12 @@ def _link(size: int, percent: int, second: bool) -> Callable:
                 label, apart = family_links(*inner, pivot=pivot)
                 if several[a]:
                     keep = ~pivots[part]
-                    state.append((np.full(keep.sum(), key[0][a]), np.full(keep.sum(), key[1][a]), ids[part][keep], (label == label[pivot])[keep], apart[keep], np.diff(bounds[a : b + 1])[keep]))
+                    state.append(
+                        (
+                            np.full(keep.sum(), key[0][a]), np.full(keep.sum(), key[1][a]), ids[part][keep], (label == label[pivot])[keep], apart[keep],
+                            np.diff(bounds[a : b + 1])[keep]
+                        )
+                    )
             order = np.lexsort((ids[part], label))
             least = np.flatnonzero(_changes(label[order]))
             head = np.repeat(ids[part][order][least], np.diff(np.r_[least, b - a]))
@@ -410,7 +427,13 @@ def _link(size: int, percent: int, second: bool) -> Callable:
         none = [pa.nulls(len(a_of), t) for t in (pa.int64(), pa.int32(), pa.bool_(), pa.float64(), pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(a_of), pa.array(b_of), *none], names)
         for family, chunk, member, is_near, apart, n in state:
-            yield pa.RecordBatch.from_arrays([pa.array(member), pa.nulls(len(member), pa.int64()), pa.array(family), pa.array(chunk.astype(np.int32)), pa.array(is_near), pa.array(apart), pa.array(n.astype(np.int64))], names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(member), pa.nulls(len(member), pa.int64()), pa.array(family), pa.array(chunk.astype(np.int32)), pa.array(is_near), pa.array(apart),
+                    pa.array(n.astype(np.int64))
+                ],
+                names
+            )
 
     def run(it):
         held: list[pa.RecordBatch] = []
@@ -458,7 +481,10 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk: i
 
     none = {"j": F.lit(0), "side": F.lit(0), "near": F.lit(False), "far": F.lit(0.0)}
     tasks = members.join(few(large), members.family == large.f, "left").withColumn("mine", F.coalesce(F.pmod(F.xxhash64("id"), "chunks"), F.lit(0)))
-    tasks = tasks.withColumn("i", F.explode(F.when(F.col("pivot") & F.col("chunks").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).otherwise(F.array("mine"))))
+    tasks = tasks.withColumn(
+        "i",
+        F.explode(F.when(F.col("pivot") & F.col("chunks").isNotNull(), F.sequence(F.lit(0).cast("long"), F.col("chunks").cast("long") - 1)).otherwise(F.array("mine")))
+    )
     first = compared(tasks.withColumns(none | {"several": F.col("chunks").isNotNull()}), False)
     edges = first.where("b is not null").select("a", "b")
     state = first.where("family is not null").select("family", "chunk", F.col("a").alias("id"), "near", "far", "n")
@@ -469,7 +495,9 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk: i
         state = state.withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), "groups")).withColumns({"pivot": F.lit(False), "several": F.lit(False)})
         one = state.where("not near").withColumns({"i": F.col("own"), "side": F.lit(1), "j": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))})
         # of two that aren't near, one asks the other
-        other = state.withColumns({"j": F.col("chunk"), "side": F.lit(2), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("near"), F.col("groups") - 1).otherwise(F.col("own"))))})
+        other = state.withColumns(
+            {"j": F.col("chunk"), "side": F.lit(2), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("near"), F.col("groups") - 1).otherwise(F.col("own"))))}
+        )
         edges = edges.union(compared(one.unionByName(other), True).where("b is not null").select("a", "b"))
     store.forget(members, large, apart)
     store.release(spark)

@@ -110,7 +110,14 @@ def _tokenised(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, trains = table.column("doc_id").to_pylist(), np.array(table.column("trains").to_pylist(), bool)
         known = np.array([x is not None for x in ids], np.uint8)
         serial += 1
-        return _rows([task << 32 | serial], [-1], [np.array([x or 0 for x in ids], np.int64).tobytes() + known.tobytes()], [_press(np.concatenate(lengths))], [_press(trains)], [_frames([_press_keys(vocabulary), _press(codes)])])
+        return _rows(
+            [task << 32 | serial],
+            [-1],
+            [np.array([x or 0 for x in ids], np.int64).tobytes() + known.tobytes()],
+            [_press(np.concatenate(lengths))],
+            [_press(trains)],
+            [_frames([_press_keys(vocabulary), _press(codes)])]
+        )
 
     for batch in store.batches(it, BLOCK):
         n = batch.column("text").nbytes
@@ -323,7 +330,15 @@ def _scored(order: int, total: int, distinct: int, weights: np.ndarray) -> Calla
             n = len(b.ids)
             sums = lambda x: np.bincount(b.doc, weights=x, minlength=n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(b.ids, mask=~b.known), pa.array(~b.trains), pa.array(b.lengths), pa.array(sums(grams[0] > 0).astype(np.int64)), pa.array(np.full(n, total, np.int64)), pa.array(sums(base)), pa.array(sums(np.log10(p)))],
+                [
+                    pa.array(b.ids, mask=~b.known),
+                    pa.array(~b.trains),
+                    pa.array(b.lengths),
+                    pa.array(sums(grams[0] > 0).astype(np.int64)),
+                    pa.array(np.full(n, total, np.int64)),
+                    pa.array(sums(base)),
+                    pa.array(sums(np.log10(p)))
+                ],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
@@ -356,4 +371,8 @@ def score(docs: DataFrame, trains=None, order: int = ORDER) -> DataFrame:
     cells = store.written(cells.coalesce(4), "cells").toArrow()  # written, or the driver would hold on to the shuffle
     store.release(spark)
     weights = fit_weights(cells.column("cell").to_numpy(), cells.column("n").to_numpy().astype(float), distinct, order)
-    return met.transform(store.arrow, _scored(order, total, distinct, weights), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return met.transform(
+        store.arrow,
+        _scored(order, total, distinct, weights),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    )

@@ -64,7 +64,11 @@ def targets(sizes: DataFrame, most: int = MOST, few: bool = True) -> DataFrame:
     weights = n // 3 * 6 + (0, 1, 3)[n % 3]
     s = s.withColumn("level", (F.lit(total) - most * F.col("full")).cast("double") / (F.lit(weights) - F.col("light")).cast("double"))
     level = s.where("level <= room").agg(F.max("level")).first()[0]
-    return s.select("source", F.col("size").alias("source_size"), F.least(F.col("size") * F.lit(float(most)), F.lit(float("inf") if level is None else level) * F.col("weight")).alias("target"))
+    return s.select(
+        "source",
+        F.col("size").alias("source_size"),
+        F.least(F.col("size") * F.lit(float(most)), F.lit(float("inf") if level is None else level) * F.col("weight")).alias("target")
+    )
 
 
 def _random(mark: Column) -> Column:
@@ -128,7 +132,13 @@ def _mixed(rows: DataFrame, most: int, step: int, few: int) -> DataFrame:
     fine = some.join(near(coarse), _same("s", "es") & (F.floor(F.col("bucket") / step) == F.col("edge")))
     edge = _edge(fine.groupBy("s", "rest", "base", "bucket").agg(F.sum("size").alias("words")))
     out = ranked.join(near(edge), _same("s", "es"), "left")
-    out = out.withColumn("part", F.when(F.col("bucket") == F.col("edge"), "edge").when((F.col("bucket") < F.col("edge")) | (F.col("bucket").isNotNull() & F.col("edge").isNull()), "in").otherwise("out"))
+    out = out.withColumn(
+        "part",
+        F.when(F.col("bucket") == F.col("edge"), "edge").when(
+            (F.col("bucket") < F.col("edge")) | (F.col("bucket").isNotNull() & F.col("edge").isNull()),
+            "in"
+        ).otherwise("out")
+    )
     whole = out.where("part <> 'edge'").withColumn("more", F.when(F.col("part") == "in", 1).otherwise(0))
     order = Window.partitionBy("s").orderBy("rank", "mark", "row_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = out.where("part = 'edge'").withColumn("sum", F.col("base") + F.sum("size").over(order))

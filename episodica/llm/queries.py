@@ -57,7 +57,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_html_extraction, op3_decontamination, op4_lm_scoring, op5_jaccard_join, op6_token_output, op7_mixing, op8_suffix_dedup, op9_nearest_neighbours, op10_toxicity)
+    for f in (
+        op1_language_id, op2_html_extraction, op3_decontamination, op4_lm_scoring, op5_jaccard_join, op6_token_output, op7_mixing, op8_suffix_dedup,
+        op9_nearest_neighbours, op10_toxicity
+    )
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -243,7 +243,16 @@ def _anchored(length: int, gram: int) -> Callable:
             data, offsets = K.column_bytes(batch.column("text"))
             for a, b in K.slices(offsets, 1 << 20):
                 rows, pos, h, first, last = anchors(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], length, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[a + rows]), pa.array(pos), pa.array((pos - first).astype(np.int16)), pa.array((last - first).astype(np.int16))], ["anchor", "key", "pos", "back", "more"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h.view(np.int64)),
+                        pa.array(keys[a + rows]),
+                        pa.array(pos),
+                        pa.array((pos - first).astype(np.int16)),
+                        pa.array((last - first).astype(np.int16))
+                    ],
+                    ["anchor", "key", "pos", "back", "more"]
+                )
 
     return run
 
@@ -262,11 +271,18 @@ def _segments(length: int, parts: int, hot: int) -> Callable:
         def packed(some: list[int]) -> pa.RecordBatch:
             nonlocal serial
             some = [p for p in some if rows[p]]
-            blobs = [press.compress(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()) for p in some]
+            blobs = [
+                press.compress(
+                    pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()
+                ) for p in some
+            ]
             for p in some:
                 rows[p].clear()
             serial += 1
-            return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([task << 32 | serial] * len(some), pa.int64()), pa.array(blobs, pa.binary())], ["part", "pack", "segments"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array([task << 32 | serial] * len(some), pa.int64()), pa.array(blobs, pa.binary())],
+                ["part", "pack", "segments"]
+            )
 
         for batch in it:
             for key, other, text, found in zip(*(batch.column(c).to_pylist() for c in ("key", "other")), _texts(batch), batch.column("found").to_pylist(), strict=True):
@@ -373,7 +389,16 @@ def _hot(length: int) -> Callable:
                 yield pa.RecordBatch.from_arrays([*runs.columns, *(pa.nulls(runs.num_rows, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.bool_()))], _HOT_NAMES)
                 one = at[np.r_[True, number[1:] != number[:-1]]] if len(number) else at
                 h = _string_hashes(np.concatenate([data, np.zeros(length, np.uint8)]), starts, length)[one].view(np.int64)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(one), pa.int64()) for _ in range(4)), pa.array(np.full(len(one), pack, np.int64)), pa.array(one.astype(np.int32)), pa.array(h), pa.array(many)], _HOT_NAMES)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.nulls(len(one), pa.int64()) for _ in range(4)),
+                        pa.array(np.full(len(one), pack, np.int64)),
+                        pa.array(one.astype(np.int32)),
+                        pa.array(h),
+                        pa.array(many)
+                    ],
+                    _HOT_NAMES
+                )
 
     return run
 
@@ -390,7 +415,14 @@ def _strings(length: int) -> Callable:
                 data, starts, keys, others, place = _starts(_unpacked(blob))
                 at, raw = np.array([w["number"] for w in wanted], np.int64), data.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w["h"] for w in wanted], pa.int64()), pa.array([w["many"] for w in wanted], pa.bool_()), pa.array(keys[at]), pa.array(others[at]), pa.array(place[at]), pa.array([raw[s : s + length] for s in starts[at].tolist()], pa.binary())],
+                    [
+                        pa.array([w["h"] for w in wanted], pa.int64()),
+                        pa.array([w["many"] for w in wanted], pa.bool_()),
+                        pa.array(keys[at]),
+                        pa.array(others[at]),
+                        pa.array(place[at]),
+                        pa.array([raw[s : s + length] for s in starts[at].tolist()], pa.binary())
+                    ],
                     ["h", "many", "key", "other", "start", "string"],
                 )
 
@@ -458,7 +490,16 @@ def _removed(length: int) -> Callable:
                 rest = b"".join([*kept, text[at:]])
                 rows.append((doc, len(text), len(text) - len(rest), [x for s in spans for x in s], rest))
             cols = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(cols[0], pa.int64()),
+                    pa.array(cols[1], pa.int64()),
+                    pa.array(cols[2], pa.int64()),
+                    pa.array(cols[3], pa.list_(pa.int64())),
+                    pa.array(cols[4], pa.binary())
+                ],
+                ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+            )
 
     return run
 
@@ -469,7 +510,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = M
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.xxhash64(F.lit(1), text).alias("other"), "text")
     packed = rows.transform(store.arrow, _press, "doc_id long, key long, other long, z binary")
-    copies = store.written(rows.groupBy(*both).agg(F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head"), F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes")), "copies")
+    copies = store.written(
+        rows.groupBy(*both).agg(
+            F.count("*").alias("copies"),
+            F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("head"),
+            F.max(F.octet_length(F.coalesce("text", F.lit("")))).alias("bytes")
+        ),
+        "copies"
+    )
     n = store.parts(spark, copies.agg(F.sum("bytes")).first()[0] or 0)
     all_of = store.written(rows.select("key", "text").transform(store.arrow, _anchored(length, gram), "anchor long, key long, pos long, back short, more short"), "anchors")
     twice = all_of.groupBy("anchor").agg(F.count("*").alias("c"), F.min("key").alias("k"), F.max("key").alias("l"), F.min("pos").alias("p"), F.max("pos").alias("q"))
@@ -490,12 +538,20 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = M
         strings = seen.where("h is not null").select("pack", "number", "h", "many")
         again = strings.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select(F.col("h").alias("g"))
         wanted = strings.join(again, F.col("h") == F.col("g")).groupBy("pack").agg(F.collect_list(F.struct("number", "h", "many")).alias("wanted")).withColumnRenamed("pack", "of")
-        strings = packs.join(wanted, F.col("pack") == F.col("of")).select("segments", "wanted").transform(store.arrow, _strings(length), "h long, many boolean, key long, other long, start long, string binary")
+        strings = packs.join(wanted, F.col("pack") == F.col("of")).select("segments", "wanted").transform(
+            store.arrow,
+            _strings(length),
+            "h long, many boolean, key long, other long, start long, string binary"
+        )
         more = strings.repartition(n, "h").sortWithinPartitions("h").transform(store.arrow, _met(length), _RUNS)
         runs = runs.union(seen.where("h is null").select(*both, "first", "last")).union(store.written(more, "runs"))
     store.forget(cut)
     store.release(spark)
-    spans = copies.join(runs.groupBy(*both).agg(F.collect_list(F.struct("first", "last")).alias("runs")), both, "left").select(F.col("key").alias("k"), F.col("other").alias("o"), "copies", "runs")
+    spans = copies.join(
+        runs.groupBy(*both).agg(F.collect_list(F.struct("first", "last")).alias("runs")),
+        both,
+        "left"
+    ).select(F.col("key").alias("k"), F.col("other").alias("o"), "copies", "runs")
     out = packed.join(spans, (F.col("key") == F.col("k")) & (F.col("other") == F.col("o"))).select("doc_id", "z", "runs", "copies")
     return out.transform(store.arrow, _removed(length), "doc_id long, n_bytes long, n_removed long, spans array<long>, kept binary")
 

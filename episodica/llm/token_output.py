@@ -328,7 +328,10 @@ def _writer(folder: str, path: str, shared, width: int) -> Callable:
             fs.delete_file(temp)
             return
         fs.move(temp, name)
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([f"{folder}/shard-{shard:06d}.tok"]), pa.array([len(entries)], pa.int64()), pa.array([total], pa.int64())], ["shard", "url", "docs", "ids"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([f"{folder}/shard-{shard:06d}.tok"]), pa.array([len(entries)], pa.int64()), pa.array([total], pa.int64())],
+            ["shard", "url", "docs", "ids"]
+        )
 
     return run
 
@@ -394,7 +397,10 @@ def _reader(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = shard.index[a : a + 1000]
                 crc = [zlib.crc32(shard.ids(a + k).tobytes()) for k in range(len(part))]
                 n = part["ids"].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(part["doc_id"].astype(np.int64), mask=part["known"] == 0), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part["doc_id"].astype(np.int64), mask=part["known"] == 0), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64())],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"]
+                )
                 start += int(n.sum())
 
 

@@ -70,7 +70,14 @@ def _featurised(bits: int) -> Callable:
     def run(it):
         for batch in store.batches(it, K.SEGMENT):
             bounds, found = features(*K.column_bytes(batch.column("text")), bits)
-            yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), pa.array([found[a:b].astype(np.int32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["order", "label", "found"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("order"),
+                    batch.column("label"),
+                    pa.array([found[a:b].astype(np.int32).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
+                ],
+                ["order", "label", "found"]
+            )
 
     return run
 
@@ -116,5 +123,9 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, bits
     held = store.remainder("doc_id", 3) == 1
     model = train(docs, labels.where(~held).select("doc_id", F.col("toxic").alias("label")), bits=bits, **options)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").transform(store.arrow, _scored(shared, bits), "doc_id long, held_out boolean, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").transform(
+        store.arrow,
+        _scored(shared, bits),
+        "doc_id long, held_out boolean, score double"
+    )
     return rows.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

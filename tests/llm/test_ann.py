@@ -73,7 +73,10 @@ def test_recall_and_what_is_probed(llm, name, sample):
 
 def test_edges(llm):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0, 0.0]), (1, None), (2, [0.0, 0.0, 0.0]), (3, [nan, 1.0, 1.0]), (4, [inf, 1.0, 1.0]), (5, [None, 1.0, 1.0]), (6, [2.0, 0.0, 0.0]), (7, [2.0, 0.0, 0.0]), (8, [0.0, 1.0, 0.0]), (9, [1.0]), (None, [1.0, 1.0, 1.0]), (10, []), (50, None)]
+    rows = [
+        (0, [1.0, 0.0, 0.0]), (1, None), (2, [0.0, 0.0, 0.0]), (3, [nan, 1.0, 1.0]), (4, [inf, 1.0, 1.0]), (5, [None, 1.0, 1.0]), (6, [2.0, 0.0, 0.0]),
+        (7, [2.0, 0.0, 0.0]), (8, [0.0, 1.0, 0.0]), (9, [1.0]), (None, [1.0, 1.0, 1.0]), (10, []), (50, None)
+    ]
     df = llm.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as rank", "'x' as score", "2 as v")
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in A.nearest(df, df.where("vec_id % 50 = 0")).collect())
     assert got == [(0, 1, 6, 1.0), (0, 2, 7, 1.0), (0, 3, 8, 0.0)]

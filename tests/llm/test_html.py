@@ -17,7 +17,9 @@ def test_trees_learn_a_pattern():
 
 
 def test_reader_follows_implied_ends():
-    p = Page("<body><p>a<p><b>b &amp; c<br><p>d\n e<div>f<ul><li>g<li>h</ul></div></p>i<script>var x='<p>no</p>'</script><!-- <p>no -->j<table><tr><td>k<td>l</table><p>unclosed \"<a href='x>y'>z</a>")
+    p = Page(
+        "<body><p>a<p><b>b &amp; c<br><p>d\n e<div>f<ul><li>g<li>h</ul></div></p>i<script>var x='<p>no</p>'</script><!-- <p>no -->j<table><tr><td>k<td>l</table><p>unclosed \"<a href='x>y'>z</a>"
+    )
     assert [b[1] for b in p.blocks] == ["a", "b & c", "d e", "f", "g", "h", "ij", "k", "l", 'unclosed "z']
     assert p.end[0] == len(p.parent) and all(k < p.end[k] <= p.end[max(p.parent[k], 0)] for k in range(len(p.parent)))
 
@@ -116,7 +118,15 @@ def test_whole_table(llm):
 
 
 def test_edges(llm):
-    rows = [(1, "u", None), (2, None, ""), (None, "u", "<p"), (4, "u", "plain text only"), (4, "u", "<article><p>" + "word, and more. " * 40_000 + "</p></article>"), (5, "u", "<" * 5000), (6, "u", "<div>" * 3000 + "deep")]
+    rows = [
+        (1, "u", None),
+        (2, None, ""),
+        (None, "u", "<p"),
+        (4, "u", "plain text only"),
+        (4, "u", "<article><p>" + "word, and more. " * 40_000 + "</p></article>"),
+        (5, "u", "<" * 5000),
+        (6, "u", "<div>" * 3000 + "deep")
+    ]
     df = llm.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     out = H.extract(df).collect()
     assert len(out) == 7 and all(r.text == "" for r in out if r.page_id in (1, 2)) and max(r.n_chars for r in out) == len("word, and more. " * 40_000) - 1

@@ -142,8 +142,16 @@ def test_keep_one_keeps_rows_without_id(llm, edges):
     near = lambda w, c: " ".join([*w, f"{c}{rng.randrange(10**6)}"])
     rows = [
         (42, "", "empty"), (None, "", "empty, no id"), (None, " \t\n", "blank"), (None, None, "null"), (None, None, "null again"),
-        (None, "only here", "alone"), (None, "Only  HERE", "its equal set"), (None, "only here", "its copy"), (-5, " ".join(base), "head"), (9, near(base, "x"), "near"), (None, near(base, "y"), "near, no id"),
-        (None, " ".join(base), "equal, no id"), (None, " ".join(other), "pair"), (None, near(other, "z"), "pair"), (2**63 - 1, " ".join(third), "largest id"), (None, near(third, "v"), "near the largest"),
+        (None, "only here", "alone"), (None, "Only  HERE", "its equal set"), (None, "only here", "its copy"), (-5, " ".join(base), "head"), (9, near(base, "x"), "near"), (
+            None,
+            near(base, "y"),
+            "near, no id"
+        ),
+        (None, " ".join(base), "equal, no id"), (None, " ".join(other), "pair"), (None, near(other, "z"), "pair"), (2**63 - 1, " ".join(third), "largest id"), (
+            None,
+            near(third, "v"),
+            "near the largest"
+        ),
     ]
     docs = llm.createDataFrame(rows, "doc_id long, text string, name string").repartition(3)
     kept = [r.name for r in J.keep_one(docs).collect()]

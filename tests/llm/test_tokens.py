@@ -14,7 +14,9 @@ plain = Tokenizer.from_file
 @pytest.mark.parametrize("alphabet", [" \t\n\r''stveml_1a9zéñß.,-!?  ", " \n²ſİ \x85\x1c\xa0漢😀a'b,", "ab ,."])
 def test_encoding_is_the_library_s(alphabet):
     rng, path = random.Random(1), O.default_tokenizer()
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(3000)] + ["<|endoftext|> a", "The end. <|endoftext|> Next one", "a<|endoftext|>b c", "<|endoftext|", "", " ", "a" * 3000]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(3000)] + [
+        "<|endoftext|> a", "The end. <|endoftext|> Next one", "a<|endoftext|>b c", "<|endoftext|", "", " ", "a" * 3000
+    ]
     want = [e.ids + [0] for e in plain(path).encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in O.encoded(path, texts)] == want
 
