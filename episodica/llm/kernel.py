@@ -57,6 +57,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def drop_caches() -> None:
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and its int64 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

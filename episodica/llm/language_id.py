@@ -122,6 +122,10 @@ class Vectors:
 _kept: dict[tuple[int, int], Vectors] = {}
 
 
+def drop_caches() -> None:
+    _kept.clear()
+
+
 def _vectors(dims: int, gram: int) -> Vectors:
     if (dims, gram) not in _kept:
         _kept[dims, gram] = Vectors(dims, gram)

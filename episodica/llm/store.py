@@ -6,6 +6,7 @@ import ctypes
 import gc
 import hashlib
 import io
+import sys
 import tempfile
 import time
 import zipfile
@@ -87,13 +88,32 @@ def _trim() -> None:
         pass
 
 
+#: Of a Python worker: the operator whose caches it holds.
+_holds = ""
+
+
+def _hold(module: str) -> None:
+    """Drops what other operators' modules keep in this worker between tasks (see their `drop_caches`): workers live on from
+    one stage of a pipeline to the next, and each would be left with the tables of all."""
+    global _holds
+    if module != _holds:
+        for name, other in list(sys.modules.items()):
+            if name.startswith(__package__) and name != module and hasattr(other, "drop_caches"):
+                other.drop_caches()
+        _holds = module
+        gc.collect()
+        _trim()
+
+
 def arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """mapInArrow that leaves no freed memory behind in the worker and takes columns of any name."""
+    module = run.__module__
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     columns, names = df.columns, kind.names
     plain = not any("." in c or "`" in c for c in columns)
 
     def lean(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _hold(module)
         try:
             for batch in run(it if plain else (b.rename_columns(columns) for b in it)):
                 yield batch if plain else batch.rename_columns([f"c{k}" for k in range(len(names))])

@@ -89,7 +89,7 @@ _PLAIN = np.zeros(256, bool)
 _PLAIN[[0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = True
 _NOT_BLANK = np.arange(256) != 0x20
 #: Words whose ids a process keeps (about 25 bytes each).
-KEEP = 2_000_000
+KEEP = 1_000_000
 
 
 class _Known:
@@ -141,6 +141,11 @@ class _Known:
 _known: dict[str, _Known] = {}
 
 
+def drop_caches() -> None:
+    _known.clear()
+    _loaded.clear()
+
+
 def _encode(model, texts: list[str]) -> list[list[int]]:
     """Ids of whole texts; encodings are large objects, so about a MB of text at once."""
     out: list[list[int]] = []
