@@ -127,10 +127,10 @@ def arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
-    """Arrow batches of at most 1,000 rows and about 16 MB, whatever a row holds; what came before gives back its heap."""
+    """Arrow batches of at most 1,000 rows and about 4 MB, whatever a row holds; what came before gives back its heap."""
     lean_heaps(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     ship(spark)
     return spark
 
