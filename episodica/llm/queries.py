@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, decontaminate, html_extract, jaccard_join, language_id, lm_score, mixing, suffix_dedup, token_output, toxicity
+from . import ann, decontaminate, html_extract, jaccard_join, language_id, lm_score, merkle, mixing, pii, resample, suffix_dedup, token_output, toxicity
 from .store import bounded_batches
 
 
@@ -55,16 +55,33 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_read(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_html_extraction, op3_decontamination, op4_lm_scoring, op5_jaccard_join, op6_token_output, op7_mixing, op8_suffix_dedup,
-        op9_nearest_neighbours, op10_toxicity
+        op9_nearest_neighbours, op10_toxicity, op11_pii, op12_importance_resampling, op13_merkle_manifest
     )
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: crc32 of the bytes of `x` in hex, with the polynomial's table made by its rule.
+_TABLE = "(SELECT list(v ORDER BY n) AS crc FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS v FROM (SELECT unnest(range(256)) AS n)))"
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"""
+
 ORACLES: dict[str, str] = {
     "op3_decontamination": rf"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
@@ -135,5 +152,40 @@ p AS (SELECT r, a AS until, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0)
 k AS (SELECT n.r, string_agg(substr(x, 2 * since + 1, 2 * (coalesce(until, n) - since)), '' ORDER BY since) AS kept FROM p JOIN n ON p.r = n.r GROUP BY n.r)
 SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM n LEFT JOIN z ON n.r = z.r LEFT JOIN k ON n.r = k.r
+""",
+    "op12_importance_resampling": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+e AS (SELECT r, unnest(w) AS f FROM d),
+t AS (SELECT unnest(coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])) AS f FROM benchmark),
+k AS (SELECT f, {_CRC} % 10000 AS b FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM e UNION SELECT f FROM t)), {_TABLE}),
+s AS (SELECT b, count(*) AS s FROM e JOIN k USING (f) GROUP BY b),
+u AS (SELECT b, count(*) AS t FROM t JOIN k USING (f) GROUP BY b),
+g AS (SELECT b, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT count(*) FROM e) + 10000))::DOUBLE / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM t) + 10000))::DOUBLE))::BIGINT AS gain
+      FROM (SELECT unnest(range(10000)) AS b) LEFT JOIN s USING (b) LEFT JOIN u USING (b)),
+w AS (SELECT r, sum(gain)::BIGINT AS weight FROM e JOIN k USING (f) JOIN g USING (b) GROUP BY r),
+n AS (SELECT d.r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d LEFT JOIN w ON d.r = w.r),
+x AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM n),
+o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST) AS rank, count(*) OVER () AS n FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, rank::BIGINT AS rank FROM x LEFT JOIN (SELECT r, rank FROM o WHERE rank <= 10 * n // 100) q ON x.r = q.r
+""",
+    "op13_merkle_manifest": rf"""
+WITH RECURSIVE d AS (SELECT *, {_CRC} % 5 = 0 AS hit FROM (SELECT doc_id, source, lang, n_chars, text, hex(encode(doc_id::VARCHAR)) AS x FROM documents), {_TABLE}),
+e AS (SELECT doc_id, source, text, hit, list_reduce([CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END FOR v IN [doc_id::VARCHAR, source, lang, n_chars::VARCHAR]], lambda a, b: a || b) AS head FROM d),
+h AS (SELECT doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+      sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || CASE WHEN hit THEN {_LOWER} ELSE text END END) AS seen FROM e),
+l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS no FROM h),
+tree AS (SELECT no, 0 AS level, list(leaf ORDER BY place) AS nodes FROM l GROUP BY no
+  UNION ALL SELECT no, level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[16 * i + 1:16 * i + 16], ''))) FROM tree WHERE len(nodes) > 1),
+sub AS (SELECT no, nodes[1] AS subroot FROM tree WHERE len(nodes) = 1),
+top AS (SELECT 0 AS level, list(subroot ORDER BY no) AS nodes FROM sub
+  UNION ALL SELECT level + 1, list_transform(range(0, (len(nodes) + 15) // 16), lambda i: sha256(array_to_string(nodes[16 * i + 1:16 * i + 16], ''))) FROM top WHERE len(nodes) > 1),
+step AS (SELECT l.no, place, level, place >> (4 * level) AS k, nodes FROM l JOIN tree ON l.no = tree.no WHERE len(nodes) > 1
+  UNION ALL SELECT no, place, 1000 + level, no >> (4 * level), nodes FROM l, top WHERE len(nodes) > 1),
+side AS (SELECT no, place, level, array_to_string(nodes[k // 16 * 16 + 1:k], '') AS a, array_to_string(nodes[k + 2:k // 16 * 16 + 16], '') AS b FROM step),
+path AS (SELECT no, place, sha256(string_agg(a || b, '' ORDER BY level)) AS proof, list({{'a': a, 'b': b}} ORDER BY level) AS steps FROM side GROUP BY no, place),
+f AS (SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256,
+      list_reduce(list_prepend({{'a': seen, 'b': ''}}, coalesce(steps, [])), lambda x, y: {{'a': sha256(y.a || x.a || y.b), 'b': ''}}).a AS folded_root
+      FROM l JOIN sub ON l.no = sub.no LEFT JOIN path p ON p.no = l.no AND p.place = l.place)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f
 """,
 }
