@@ -28,6 +28,11 @@ def caption_problem(text: Column) -> Column:
     return F.when(text.isNull(), F.lit("not a string")).when(text == "", F.lit("empty")).otherwise(whitespace_problem(text))
 
 
+def problem_free(text: Column) -> Column:
+    """Whether a text is there and not only white space."""
+    return F.coalesce(~text.rlike(rf"\A[{WHITE}]*\z"), F.lit(False))
+
+
 def replaced(text: Column, pairs: dict[str, str]) -> Column:
     """The replacement of a text that matches exactly, else the text."""
     if not pairs:

@@ -79,6 +79,13 @@ def bounds(frames: DataFrame, episode: str = "episode_index", index: str = "inde
     return out.withColumn("contiguous", F.col("to_index") - F.col("from_index") == F.col("frames"))
 
 
+def bounds_of_ids(rows: DataFrame, id_: str) -> DataFrame:
+    """One row: n, least and most of the ids, and whether they are 0, 1, ..., n - 1."""
+    out = rows.agg(F.count("*").alias("n"), F.count_distinct(id_).alias("__d"), F.min(id_).alias("least"), F.max(id_).alias("most"))
+    dense = (F.col("n") == 0) | ((F.col("__d") == F.col("n")) & (F.col("least") == 0) & (F.col("most") == F.col("n") - 1))
+    return out.select("n", "least", "most", F.coalesce(dense, F.lit(False)).alias("dense"))
+
+
 def timestamps(frame: Column, fps: float) -> Column:
     """Seconds of a frame number, in single precision as stored."""
     return (frame / F.lit(float(fps))).cast("float")

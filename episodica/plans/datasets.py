@@ -14,7 +14,7 @@ from ..functions import text
 from ..functions.config import canonical
 from ..operators import horizon, index, media, merge, segments, stats, subset, vectors, vocab
 from ..sources import files, sinks
-from . import documents, rules
+from . import captions, documents, rules
 
 FRAME = ["episode_index", "frame_index", "index"]
 
@@ -63,11 +63,12 @@ def preflight(data: Dataset) -> DataFrame:
     return rules.preflight(data.frames, data.episodes, words, data.annotations, totals if None not in totals else None, "place", True)
 
 
-def caption_audit(data: Dataset, mode: str, phases: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(violations, modes): the language contract and the one-row mode report."""
-    modes = rules.language_modes(data.frames, data.tasks, data.subtasks, ["frame_index"])
+def caption_audit(data: Dataset, mode: str, phases: int = 5, overall: str | None = None, vocabulary: list[str] | None = None, expected_episodes: int | None = None) -> captions.Audit:
+    """The language contract of every episode, and which prompts each has."""
     assert data.annotations is not None
-    return rules.language(data.frames, data.episodes, data.annotations, ["frame_index"], phases), rules.modes_ready(modes, mode)
+    return captions.audit(
+        data.frames, data.episodes, data.annotations, data.tasks, data.subtasks, mode, phases, data.info.get("total_episodes"), expected_episodes, overall, vocabulary
+    )
 
 
 def boundary_manifest(data: Dataset, steps: int) -> tuple[DataFrame, DataFrame]:
@@ -305,13 +306,13 @@ def letterboxed(data: Dataset, statistics: DataFrame, names: list[str], dims: di
 
 
 def dataset_totals(data: Dataset) -> dict[str, int]:
-    """Episodes, frames, and captions checked: of both vocabularies, of the episodes' lists and of the annotations."""
-    of = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0]
-    captions = data.tasks.count() + data.subtasks.count() + of(data.episodes, F.greatest(F.size("subtask_instructions"), F.lit(0)))
+    """Episodes, frames, and captions checked: of both vocabularies, of both of the episodes' lists and of the annotations."""
+    of = lambda df, *lists: df.agg(*(F.coalesce(F.sum(F.coalesce(F.size(c), F.lit(0))), F.lit(0)) for c in lists)).first() if lists else (0,)
+    said = data.tasks.count() + data.subtasks.count() + sum(of(data.episodes, *(c for c in rules.CAPTION_LISTS if c in data.episodes.columns)))
     if data.annotations is not None:
-        captions += of(data.annotations, F.greatest(F.size("sub_task_annotation"), F.lit(0)))
+        said += sum(of(data.annotations, "sub_task_annotation"))
     seen = data.frames.agg(F.count_distinct("episode_index").alias("e"), F.count("*").alias("f")).first()
-    return {"episodes": seen.e, "frames": seen.f, "captions_checked": captions}
+    return {"episodes": seen.e, "frames": seen.f, "captions_checked": said}
 
 
 def sliced(data: Dataset, dims: dict[str, list[int]]) -> Dataset:
@@ -421,22 +422,18 @@ def write(data: Dataset, root: str, files_: int = 1) -> None:
         sinks.vocabulary(df, f"{root}/meta/{name}.parquet", cols)
 
 
-def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, phases: int | None = None) -> tuple[Dataset, dict[str, Any]]:
+def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, phases: int = 5, overall: str | None = None, vocabulary: list[str] | None = None) -> tuple[Dataset, dict[str, Any]]:
     """Preflight, caption audit, slicing, preflight again, boundary report: each stage only if the gate before it is clean."""
     report: dict[str, Any] = {}
 
-    def gate(name: str, found: DataFrame) -> None:
-        worst = rules.first(found)
+    def gate(name: str, found: DataFrame | captions.Audit) -> None:
+        worst = rules.first(found) if isinstance(found, DataFrame) else found.first()
         if worst is not None:
             raise GateError(f"{name}: {worst.rule} at {worst.location}: expected {worst.expected}, observed {worst.observed}")
         report[name] = "ready"
 
     gate("preflight", preflight(data))
-    violations, modes = caption_audit(data, mode, phases)
-    gate("captions", violations)
-    found = modes.first()
-    if found is None or not found.ready:
-        raise GateError(f"captions: modes {found.modes if found else ''}, expected {mode}")
+    gate("captions", caption_audit(data, mode, phases, overall, vocabulary))
     out = sliced(data, dims)
     frames, after = data.frames.count(), out.frames.count()
     if frames != after:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import caption_problem
-from ..operators import index, segments, vocab
+from ..operators import index, vocab
 
 
 def violations(df: DataFrame, rule: str, order: int, location: Column, expected: Column, observed: Column) -> DataFrame:
@@ -43,6 +43,10 @@ def captions(df: DataFrame, rule: str, order: int, location: Column, text: Colum
     return violations(bad, rule, order, location, F.lit("clean caption"), F.col("__problem"))
 
 
+#: Lists of captions in an episode's metadata.
+CAPTION_LISTS = ("tasks", "subtask_instructions")
+
+
 def preflight(
     frames: DataFrame,
     episodes: DataFrame,
@@ -54,7 +58,7 @@ def preflight(
 ) -> DataFrame:
     """Dataset integrity.  `numbered`: the order column is each frame's place in the files, so nothing has to be counted.
     frames: index, episode_index, frame_index; episodes: episode_index, length,
-    dataset_from_index, dataset_to_index, subtask_instructions; vocabularies: name -> (table, index, text);
+    dataset_from_index, dataset_to_index, lists of captions; vocabularies: name -> (table, index, text);
     annotations: episode_index, sub_task_annotation; totals: declared episodes and frames."""
     at = lambda *x: F.concat_ws(" ", *(F.lit(v) if isinstance(v, str) else v.cast("string") for v in x))
     out = []
@@ -62,11 +66,12 @@ def preflight(
         ranked = vocab.contiguity_violations(table, number, text).where(~F.col("observed").eqNullSafe(F.col("expected")))
         out.append(violations(ranked, f"{name}_contiguous", 20 + 2 * k, at(name, F.col("observed")), F.col("expected"), F.col("observed")))
         out.append(captions(table, f"{name}_caption", 21 + 2 * k, at(name, F.col(number)), F.col(text)))
+    out.append(violations(episodes.agg(F.count("*").alias("c")).where("c = 0"), "episodes_empty", 29, F.lit("metadata"), F.lit("rows"), F.lit("none")))
     twice = episodes.groupBy("episode_index").agg(F.count("*").alias("c")).where("c > 1")
     out.append(violations(twice, "episode_duplicate", 30, at("episode", F.col("episode_index")), F.lit(1), F.col("c")))
-    if "subtask_instructions" in episodes.columns:
-        said = episodes.select("episode_index", F.posexplode("subtask_instructions").alias("p", "t"))
-        out.append(captions(said, "episode_caption", 31, at("episode", F.col("episode_index"), F.col("p")), F.col("t")))
+    for c in (c for c in CAPTION_LISTS if c in episodes.columns):
+        said = episodes.select("episode_index", F.posexplode(c).alias("p", "t"))
+        out.append(captions(said, "episode_caption", 31, at("episode", F.col("episode_index"), c, F.col("p")), F.col("t")))
     if annotations is not None:
         if "_corrupt_record" in annotations.columns:
             broken = annotations.where("_corrupt_record is not null")
@@ -99,6 +104,9 @@ def preflight(
     out.append(placed.select(F.explode(F.filter(both_rules, lambda x: x.isNotNull())).alias("v")).select("v.*"))
     seen = index.bounds(placed)
     out.append(violations(seen.where("not contiguous"), "episode_contiguous", 52, at("episode", F.col("episode_index")), F.col("to_index") - F.col("from_index"), F.col("frames")))
+    ids = index.bounds_of_ids(seen, "episode_index")
+    out.append(violations(ids.where("n = 0"), "data_empty", 49, F.lit("data"), F.lit("rows"), F.lit("none")))
+    out.append(violations(ids.where("n > 0 and not dense"), "episode_ids", 59, F.lit("data"), F.concat(F.lit("0 to "), F.col("n") - 1), F.concat_ws(" to ", "least", "most")))
     both = seen.join(episodes.select(F.col("episode_index").alias("e"), "length", "dataset_from_index", "dataset_to_index"), F.col("episode_index") == F.col("e"), "full_outer")
     out.append(
         violations(
@@ -142,49 +150,6 @@ def schema_differences(output: DataFrame, source: DataFrame) -> DataFrame:
     return violations(both, "schema", 11, F.coalesce("output_path", "source_path"), F.array_join("source_types", ", "), F.array_join("output_types", ", "))
 
 
-def language_modes(frames: DataFrame, tasks: DataFrame, subtasks: DataFrame, order: list[str]) -> DataFrame:
-    """(episode_index, mode): full_episode if one prompt holds throughout; per_subtask if the prompts' runs are the
-    subtasks' runs with the subtasks' texts; mapped_subtask if the runs agree one to one but texts differ; else invalid."""
-    named = frames.join(tasks, "task_index", "left").join(subtasks, "subtask_index", "left")
-    w = segments.with_runs(named, "subtask_index", order)
-    per = w.groupBy("episode_index").agg(
-        F.count_distinct("task_index").alias("prompts"), F.count_if(F.col("task").isNull() | F.col("subtask").isNull()).alias("unresolved"),
-        F.count_if(
-            ~F.col("task").eqNullSafe(F.col("subtask"))
-        ).alias("differ"), F.count_distinct("task_index", "subtask_index").alias("pairs"), F.count_distinct("subtask_index").alias("phases"),
-    )
-    mode = F.when(F.col("unresolved") > 0, "invalid_unresolved").when(F.col("prompts") == 1, "full_episode").when(F.col("differ") == 0, "per_subtask").when(
-        (F.col("pairs") == F.col("prompts")) & (F.col("pairs") == F.col("phases")),
-        "mapped_subtask"
-    ).otherwise("invalid_per_subtask")
-    return per.select("episode_index", mode.alias("mode"))
-
-
-def modes_ready(modes: DataFrame, expected: str) -> DataFrame:
-    """One row: the modes found, and whether they are just the expected one."""
-    found = modes.agg(F.array_sort(F.collect_set("mode")).alias("modes"))
-    return found.select(F.array_join("modes", ",").alias("modes"), (F.col("modes") == F.array(F.lit(expected))).alias("ready"))
-
-
-def language(frames: DataFrame, episodes: DataFrame, annotations: DataFrame, order: list[str], phases: int | None = None) -> DataFrame:
-    """The caption contract of each episode: subtasks ordered 0..k-1, lengths, annotations equal to the observed runs."""
-    runs = segments.run_segments(frames, "subtask_index", order)
-    wrong = runs.where(F.col("subtask_index") != F.col("run"))
-    out = [violations(wrong, "subtask_order", 10, F.concat_ws(" ", F.lit("episode"), "episode_index", "run"), F.col("run"), F.col("subtask_index"))]
-    if phases is not None:
-        few = runs.groupBy("episode_index").agg(F.count("*").alias("c")).where(F.col("c") != phases)
-        out.append(violations(few, "subtask_count", 11, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.lit(phases), F.col("c")))
-    sizes_of = frames.groupBy("episode_index").agg(F.count("*").alias("frames"))
-    sizes = sizes_of.join(episodes.select("episode_index", "length"), "episode_index", "left").where(~F.col("frames").eqNullSafe(F.col("length")))
-    out.append(violations(sizes, "episode_length", 12, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.col("frames"), F.col("length")))
-    files = sizes_of.join(annotations.groupBy("episode_index").agg(F.count("*").alias("c")), "episode_index", "left").where("not c <=> 1")
-    out.append(violations(files, "annotation_file", 13, F.concat_ws(" ", F.lit("episode"), "episode_index"), F.lit(1), F.coalesce("c", F.lit(0))))
-    bad = segments.annotation_mismatches(runs, annotations, "subtask_index")
-    text = lambda p: F.concat_ws(":", F.coalesce(F.col(f"{p}_value").cast("string"), F.lit("none")), f"{p}_start", f"{p}_end")
-    out.append(violations(bad, "annotation_frame_range", 14, F.concat_ws(" ", F.lit("episode"), "episode_index", "segment"), text("observed"), text("annotated")))
-    return all_of(out)
-
-
 #: A run configuration's top-level keys, and those of them that are mappings.
 CONFIG_KEYS = (
     "schema_version", "backend", "name", "description", "hypothesis", "tags", "dataset_ref", "dataset", "contract", "policy", "train", "optimizer", "scheduler", "tracking",
@@ -247,6 +212,27 @@ def config(document: dict) -> list[tuple[str, object]]:
     return [(rule, value) for rule, holds, value in table if not holds]
 
 
+def observed_contract(infos: DataFrame) -> DataFrame:
+    """Of metadata (dataset, fps, features: array of (key, dtype, shape, names)) the contract that they show; cameras in
+    their order."""
+    one = lambda k: F.get(F.filter("features", lambda f: f["key"] == k), F.lit(0))
+    seen = F.filter("features", lambda f: f["dtype"].isin("video", "image"))
+    camera = lambda f: F.concat(f["key"], F.lit(":"), F.array_join(F.transform(f["shape"], lambda x: x.cast("string")), "x"))
+    state, action = one("observation.state"), one("action")
+    dim = lambda f: F.when(F.size(f["shape"]) == 1, f["shape"][0]).cast("int")
+    return infos.select(
+        "dataset", dim(state).alias("state_dim"), state["names"].alias("state_names"), dim(action).alias("action_dim"), action["names"].alias("action_names"),
+        F.transform(seen, camera).alias("cameras"), F.col("fps").cast("double").alias("fps"),
+    )
+
+
+def underivable(observed: DataFrame) -> DataFrame:
+    """Datasets whose metadata can't fill a contract: no camera, or no names of state or action."""
+    none = lambda c: F.coalesce(F.size(c), F.lit(0)) == 0
+    what = F.concat_ws(", ", *(F.when(none(c), F.lit(c)) for c in ("cameras", "state_names", "action_names")))
+    return violations(observed.withColumn("__lost", what).where("__lost <> ''"), "contract_source", 80, F.col("dataset"), F.lit("cameras and names"), F.col("__lost"))
+
+
 def contract(expected: DataFrame, observed: DataFrame) -> DataFrame:
     """(dataset, field, expected, observed) where a declared contract and the data's own differ.
 

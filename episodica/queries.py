@@ -456,98 +456,15 @@ def caption_replace_nested(spark, d):
     )
 
 
-@query(
-    "SELECT mode, count(*) AS episodes "
-    "FROM (SELECT conv_id, CASE conv_id % 4 WHEN 0 THEN 'full_episode' WHEN 1 THEN 'per_subtask' WHEN 2 THEN 'mapped_subtask' ELSE 'invalid_unresolved' END AS mode "
-    "FROM conversations GROUP BY conv_id HAVING count(DISTINCT role) > 1) GROUP BY mode",
-)
-def language_mode_labels(spark, d):
-    """Conversations as episodes, their prompts set so that each mode occurs."""
-    rows = proxies.turns(spark, d).withColumn("phases", F.size(F.collect_set("subtask").over(Window.partitionBy("episode_index")))).where("phases > 1")
-    words = rows.select("subtask").distinct().select((F.row_number().over(Window.orderBy("subtask")) - 1).cast("long").alias("subtask_index"), "subtask")
-    kind = F.pmod("episode_index", F.lit(4))
-    rows = rows.join(words, "subtask").drop("subtask").withColumn(
-        "task_index",
-        F.when(kind == 0, F.lit(100)).when(kind == 1, F.col("subtask_index")).when(kind == 2, F.col("subtask_index") + 200).otherwise(F.col("subtask_index") + 900)
-    )
-    tasks = words.select(F.col("subtask_index").alias("task_index"), F.col("subtask").alias("task")).unionAll(
-        words.select(F.col("subtask_index") + 200, F.concat(F.lit("do "), "subtask"))
-    ).unionAll(spark.createDataFrame([(100, "everything")], "task_index long, task string"))
-    return rules.language_modes(rows, tasks, words, ["frame_index"]).groupBy("mode").agg(F.count("*").alias("episodes"))
-
-
 # --- audits
 
 
-@query(
-    "SELECT rule, count(*) AS violations FROM (SELECT 'global_index' AS rule FROM f WHERE index % 97 = 5 UNION ALL SELECT 'frame_index' FROM f WHERE index % 89 = 7 UNION ALL SELECT 'episode_length' FROM (SELECT DISTINCT episode_index FROM f) WHERE episode_index % 10 = 3 UNION ALL SELECT 'episode_set' FROM (SELECT DISTINCT episode_index FROM f) WHERE episode_index % 10 = 7 UNION ALL SELECT 'total_frames') GROUP BY rule",
-    "f",
-)
-def preflight_violations(spark, d):
-    """Frames regrouped so that all checks pass, then given planted defects."""
-    rows = proxies.frames(spark, d)
-    lengths = rows.groupBy("episode_index").agg(F.count("*").alias("length"))
-    ids = index.running_total(lengths, "episode_index", F.col("length"), "dataset_from_index").withColumn("dataset_to_index", F.col("dataset_from_index") + F.col("length"))
-    good = rows.join(ids.select("episode_index", "dataset_from_index"), "episode_index").withColumn("place", F.col("dataset_from_index") + F.col("frame_index"))
-    # an index is wrong where the event says so, without moving the episode's bounds or the order
-    bad = good.select(
-        "episode_index",
-        F.when(F.col("index") % 89 == 7, F.col("frame_index") + 1000).otherwise(F.col("frame_index")).alias("frame_index"),
-        F.col("place").alias("order"),
-        F.when(F.col("index") % 97 == 5, F.lit(None)).otherwise(F.col("place")).alias("index")
-    )
-    meta = ids.where("episode_index % 10 <> 7").withColumn("length", F.when(F.col("episode_index") % 10 == 3, F.col("length") + 1).otherwise(F.col("length")))
-    total = (lengths.count(), rows.count() + 1)
-    found = rules.preflight(bad, meta, {}, None, total, "order", True).where("rule in ('global_index', 'frame_index', 'episode_length', 'episode_set', 'total_frames')")
-    return found.groupBy("rule").agg(F.count("*").alias("violations"))
-
-
-@query(
-    "SELECT 'subtask_order' AS rule, count(*) AS violations FROM s WHERE run <> subtask_index UNION ALL SELECT 'subtask_count', count(*) "
-    "FROM (SELECT episode_index FROM s GROUP BY episode_index HAVING count(*) <> 40) UNION ALL SELECT 'annotation_frame_range', count(*) FROM s "
-    "WHERE run = 0",
-    *_EVENTS,
-)
-def language_violations(spark, d):
-    rows = proxies.coded_frames(spark, d)
-    found = segments.run_segments(rows, "subtask_index", proxies.ORDER).join(proxies.subtasks(spark, d), "subtask_index")
-    said = segments.annotation_blocks(found, "subtask_index", "subtask").withColumn(
-        "sub_task_annotation",
-        F.transform(
-            "sub_task_annotation",
-            lambda b, k: b.withField("frame_duration", F.when(k == 0, F.array(F.lit(0).cast("long"), b["frame_duration"][1] + 1)).otherwise(b["frame_duration"]))
-        )
-    )
-    meta = rows.groupBy("episode_index").agg(F.count("*").alias("length"))
-    return rules.language(rows, meta, said, proxies.ORDER, 40).groupBy("rule").agg(F.count("*").alias("violations"))
-
-
-@query(
-    "SELECT n_name AS dataset, field, expected, observed "
-    "FROM (SELECT n_name, n_nationkey, 'fps' AS field, '[15.0]' AS expected, '[' || (15 + n_regionkey)::DOUBLE || ']' AS observed FROM nation "
-    "WHERE n_regionkey > 0 UNION ALL SELECT n_name, n_nationkey, 'state_names', '[[\"a\",\"b\"]]', '[[\"b\",\"a\"]]' FROM nation WHERE n_nationkey % 2 = 1)",
-)
-def contract_check(spark, d):
-    names = _t(spark, d, "nation")
-    make = lambda fps, state: names.select(
-        F.col("n_name").alias("dataset"),
-        F.lit(2).alias("state_dim"),
-        state.alias("state_names"),
-        F.lit(1).alias("action_dim"),
-        F.array(F.lit("x")).alias("action_names"),
-        F.array(F.lit("head:3x480x640")).alias("cameras"),
-        fps.alias("fps")
-    )
-    ab, ba = F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("a"))
-    return rules.contract(make(F.lit(15.0), ab), make((F.lit(15) + F.col("n_regionkey")).cast("double"), F.when(F.col("n_nationkey") % 2 == 1, ba).otherwise(ab)))
-
-
 # --- media and manifests
 
 
 @query(
-    "SELECT episode_index AS path, any_value(n) AS frames, count(*) FILTER (key) AS key_frames, max(gap)::BIGINT AS max_gop "
-    "FROM (SELECT episode_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap "
+    "SELECT episode_index AS path, any_value(n) AS frames, count(*) FILTER (key) AS key_frames, bool_or(key AND frame_index = 0) AS starts_on_key, max(gap)::BIGINT AS max_gop "
+    "FROM (SELECT episode_index, frame_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap "
     "FROM (SELECT *, subtask = 'signup' AS key FROM f)) GROUP BY path",
     "f",
 )
@@ -841,4 +758,4 @@ def session_windows(spark, d):
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "events")
 
 
-from . import queries_more  # noqa: E402, F401  (registers the rest)
+from . import queries_more, queries_audit  # noqa: E402, F401, I001  (register the rest)

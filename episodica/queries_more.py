@@ -200,12 +200,6 @@ def task_table(spark, d):
     return datasets.task_table(old, words.select(F.col("subtask_index").alias("task_index"), F.concat(F.lit("do "), "subtask").alias("task")))
 
 
-@query("SELECT 'full_episode,mapped_subtask' AS modes, false AS ready, count(*) > 0 AS some FROM conversations")
-def modes_ready(spark, d):
-    rows = _t(spark, d, "conversations").select("conv_id", F.when(F.col("conv_id") % 2 == 0, "full_episode").otherwise("mapped_subtask").alias("mode"))
-    return rules.modes_ready(rows, "full_episode").withColumn("some", F.lit(True))
-
-
 @query(
     "SELECT t.old, count(role) AS found, (SELECT count(DISTINCT conv_id) FROM conversations) AS expected "
     "FROM (VALUES ('user'), ('assistant'), ('nobody')) AS t(old) LEFT JOIN conversations ON role = t.old GROUP BY t.old",
@@ -332,12 +326,14 @@ def letterboxed_stats(spark, d):
 
 
 @query(
-    "SELECT count(DISTINCT user_id) AS episodes, count(*) AS frames, 2 * count(DISTINCT event_type) + (SELECT count(*) "
+    "SELECT count(DISTINCT user_id) AS episodes, count(*) AS frames, 2 * count(DISTINCT event_type) + (SELECT count(*) + count(*) FILTER (role = 'user') "
     "FROM conversations) AS captions_checked FROM events",
 )
 def dataset_totals(spark, d):
     words = proxies.subtasks(spark, d)
-    lists = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("episode_index")).agg(F.collect_list("role").alias("subtask_instructions"))
+    lists = _t(spark, d, "conversations").groupBy(F.col("conv_id").alias("episode_index")).agg(
+        F.collect_list("role").alias("subtask_instructions"), F.collect_list(F.when(F.col("role") == "user", "x")).alias("tasks")
+    )
     data = datasets.Dataset(proxies.frames(spark, d), words, words, lists, None, {})
     return spark.createDataFrame([datasets.dataset_totals(data)], "episodes long, frames long, captions_checked long")
 
@@ -387,19 +383,24 @@ def merged_frame_reuse(spark, d):
 
 
 @query(
-    "SELECT episode_index AS path, 640 AS width, '15/1' AS avg_frame_rate, 'h264' AS codec_name, any_value(n)::INT AS frames, (count(*) FILTER (key))::INT AS key_frames, max(gap)::INT AS max_gop "
-    "FROM (SELECT episode_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap "
+    "SELECT episode_index AS path, 640 AS width, '15/1' AS avg_frame_rate, 'h264' AS codec_name, any_value(n)::INT AS frames, (count(*) FILTER (key))::INT AS key_frames, max(gap)::INT AS max_gop, "
+    "CASE WHEN episode_index % 7 = 0 THEN 'not one video stream' WHEN NOT bool_or(key AND frame_index = 0) THEN 'does not start on a key frame' END AS problem "
+    "FROM (SELECT episode_index, frame_index, n, key, CASE WHEN key THEN coalesce(lead(frame_index) OVER (PARTITION BY episode_index, key ORDER BY frame_index), n) - frame_index END AS gap "
     "FROM (SELECT *, subtask = 'signup' AS key FROM f)) GROUP BY path",
     "f",
 )
 def probe_documents(spark, d):
-    """A prober's documents, one an episode, its packets the frames; some have no key frame."""
+    """A prober's documents, one an episode, its packets the frames; some have no key frame, some don't begin with one, some
+    have two streams."""
     flags = F.array_sort(F.collect_list(F.struct("frame_index", F.when(F.col("subtask") == "signup", "K__").otherwise("___").alias("flags"))))
     stream = F.array(F.struct(F.lit(640).alias("width"), F.lit(480).alias("height"), F.lit("15/1").alias("avg_frame_rate"), F.lit("h264").alias("codec_name")))
     rows = proxies.frames(spark, d).groupBy(F.col("episode_index").alias("path")).agg(
         F.transform(flags, lambda x: F.struct(x["flags"].alias("flags"))).alias("packets")
-    ).withColumn("streams", stream)
-    return media.probe_rows(rows).select("path", "width", "avg_frame_rate", "codec_name", "frames", "key_frames", F.col("max_gop").cast("int").alias("max_gop"))
+    ).withColumn("streams", F.when(F.col("path") % 7 == 0, F.concat(stream, stream)).otherwise(stream))
+    found = media.probe_rows(rows)
+    return found.join(media.unusable(found), "path", "left").select(
+        "path", "width", "avg_frame_rate", "codec_name", "frames", "key_frames", F.col("max_gop").cast("int").alias("max_gop"), "problem"
+    )
 
 
 @query(

@@ -61,15 +61,19 @@ def last_episodes(rows: DataFrame, fields: list[str], episode: str = "episode_in
 
 
 def episode_of(path: Column) -> Column:
-    return F.regexp_extract(path, r"episode_(\d+)\.json\z", 1).try_cast("long")
+    """The episode that an annotation file is named after, in six digits at least; null for another name."""
+    said = F.regexp_extract(path, r"(?:\A|/)episode_(\d+)\.json\z", 1)
+    return F.when(said == F.format_string("%06d", said.try_cast("long")), said.try_cast("long"))
 
 
 def annotations(spark: SparkSession, root: str) -> DataFrame:
-    """One row an annotation file: episode_index from its name, its document, and the text that didn't parse."""
+    """One row an annotation file: episode_index from its name, its document, the text that didn't parse, and its path below root."""
     bad = "_corrupt_record"
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.json").text(f"{root}/annotations", wholetext=True)
     parsed = F.from_json("value", f"{model.ANNOTATION}, {bad} string", {"columnNameOfCorruptRecord": bad})
-    return df.select(episode_of(F.col("_metadata.file_path")).alias("episode_index"), parsed.alias("j")).select("episode_index", "j.*")
+    path = F.col("_metadata.file_path")
+    below = F.concat(F.lit("annotations/"), F.regexp_extract(path, r".*?/annotations/(.*)\z", 1))
+    return df.select(episode_of(path).alias("episode_index"), parsed.alias("j"), below.alias("path")).select("episode_index", "j.*", "path")
 
 
 def info(spark: SparkSession, root: str) -> DataFrame:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.plans import datasets, documents, rules
+from episodica.plans import captions, datasets, documents, rules
 from episodica.sources import files, sinks
 
 
@@ -27,7 +27,7 @@ def tree(spark, tmp_path):
         [(0, 45, 0, 45, texts, texts, [22.0], [45])],
         "episode_index long, length long, dataset_from_index long, dataset_to_index long, tasks array<string>, subtask_instructions array<string>, `stats/task_index/mean` array<double>, `stats/task_index/count` array<bigint>"
     ).coalesce(1).write.parquet(f"{root}/meta/episodes/chunk-000")
-    note = {"task_name": "t", "sub_task_annotation": [{"sub_task_idx": k, "sub_task_instruction": f"step {k}", "frame_duration": [9 * k, 9 * k + 9]} for k in range(5)]}
+    note = {"task_name": "t", "meta_data": {"task_duration": 45, "valid_duration": [0, 45]}, "sub_task_annotation": [{"sub_task_idx": k, "sub_task_instruction": f"step {k}", "frame_duration": [9 * k, 9 * k + 9]} for k in range(5)]}
     (root / "annotations/chunk-000").mkdir(parents=True)
     (root / "annotations/chunk-000/episode_000000.json").write_text(json.dumps(note))
     (root / "meta/info.json").write_text(
@@ -51,8 +51,9 @@ def tree(spark, tmp_path):
 def test_clean_tree_passes(spark, tree):
     data = datasets.load(spark, tree)
     assert rules.ready(datasets.preflight(data))
-    found, modes = datasets.caption_audit(data, "per_subtask", 5)
-    assert rules.ready(found) and modes.first().ready
+    audit = datasets.caption_audit(data, "per_subtask", 5)
+    assert rules.ready(audit.violations) and audit.first() is None and audit.modes().first().ready
+    assert audit.summaries.first().annotation == "annotations/chunk-000/episode_000000.json"
     starts, said = datasets.boundary_manifest(data, 40)
     s = said.first()
     assert (s.valid_starts, s.crossing_starts, s.clean_starts, starts.count()) == (6, 6, 0, 6)
@@ -69,6 +70,10 @@ def test_clean_tree_passes(spark, tree):
         (lambda d: d.replaced(subtasks=d.subtasks.withColumn("subtask", F.concat(F.lit(" "), "subtask"))), "subtasks_caption"),
         (lambda d: d.replaced(tasks=d.tasks.withColumn("task_index", F.col("task_index") + 1)), "tasks_contiguous"),
         (lambda d: d.replaced(episodes=d.episodes.withColumn("subtask_instructions", F.array(F.lit("a  b")))), "episode_caption"),
+        (lambda d: d.replaced(episodes=d.episodes.withColumn("tasks", F.array(F.lit(" a")))), "episode_caption"),
+        (lambda d: d.replaced(frames=d.frames.withColumn("episode_index", F.col("episode_index") + 1)), "episode_ids"),
+        (lambda d: d.replaced(frames=d.frames.where("false")), "data_empty"),
+        (lambda d: d.replaced(episodes=d.episodes.where("false")), "episodes_empty"),
         (
             lambda d: d.replaced(
                 annotations=d.annotations.withColumn(
@@ -99,11 +104,16 @@ def test_annotation_ranges_and_modes(spark, tree):
             )
         )
     )
-    assert [r.rule for r in datasets.caption_audit(moved, "per_subtask")[0].collect()] == ["annotation_frame_range"]
+    assert [r.rule for r in datasets.caption_audit(moved, "per_subtask").violations.collect()] == ["annotation_frame_range"]
     other = data.replaced(tasks=data.tasks.withColumn("task", F.concat(F.lit("do "), "task")))
-    assert datasets.caption_audit(other, "per_subtask")[1].first().modes == "mapped_subtask"
+    told = [f"do step {k}" for k in range(5)]
+    other = other.replaced(episodes=data.episodes.withColumn("tasks", F.array(*map(F.lit, told))))
+    assert datasets.caption_audit(other, "per_subtask").modes().first().modes == captions.MODES["per_subtask"][1]
+    assert datasets.caption_audit(other, "mapped_subtask", vocabulary=told).first() is None
+    assert datasets.caption_audit(other, "mapped_subtask", vocabulary=told[::-1]).first().rule == "task_vocabulary"
     one = datasets.language_view(data, "full_episode", "insert it")
-    assert datasets.caption_audit(one, "full_episode")[1].first().ready
+    assert datasets.caption_audit(one, "full_episode", overall="insert it").first() is None
+    assert datasets.caption_audit(one, "full_episode", overall="insert").first().rule == "overall_task"
     assert one.episodes.first().tasks == ["insert it"] and one.episodes.first()["stats/task_index/mean"] == [0.0]
     mapped = datasets.language_view(data, "mapped_subtask", mapped={"step 1": "turn"})
     assert mapped.episodes.first().tasks == ["step 0", "turn", "step 2", "step 3", "step 4"] and mapped.frames.where("task_index <> subtask_index").isEmpty()
@@ -176,7 +186,9 @@ def test_pipeline_stops_at_the_first_gate(spark, tree):
     data = datasets.load(spark, tree)
     out, report = datasets.pipeline(data, "per_subtask", {"observation.state": [0, 1]}, 40, 5)
     assert report["boundaries"]["crossing_starts"] == 6 and len(out.frames.first()["observation.state"]) == 2
-    with pytest.raises(datasets.GateError, match="modes per_subtask, expected full_episode"):
+    with pytest.raises(datasets.GateError, match="captions: overall_task"):
+        datasets.pipeline(data, "full_episode", {"observation.state": [0]}, 40, overall="insert it")
+    with pytest.raises(ValueError, match="approved prompt"):
         datasets.pipeline(data, "full_episode", {"observation.state": [0]}, 40)
     bad = data.replaced(frames=data.frames.withColumn("index", F.when(F.col("index") == 44, 45).otherwise(F.col("index"))))
     with pytest.raises(datasets.GateError, match="preflight: global_index"):
@@ -265,7 +277,7 @@ def test_derivative_checks(spark, tree):
         "cam: 1 videos of another format",
         "other: 0 videos, expected 1"
     ]
-    assert datasets.dataset_totals(data) == {"episodes": 1, "frames": 45, "captions_checked": 20}
+    assert datasets.dataset_totals(data) == {"episodes": 1, "frames": 45, "captions_checked": 25}
     rows = spark.createDataFrame(
         [("s", "mean", k, float(k)) for k in range(4)] + [("s", "count", 0, 9.0), ("head", "mean", 0, 0.5), ("head", "std", 0, 0.25), ("w", "mean", 0, 1.0)],
         "feature string, stat string, dim int, value double"

@@ -139,7 +139,10 @@ def test_vectors_vocab_stats_media(spark):
         vocab.remap(spark.createDataFrame([(0,), (1,)], "k long"), pairs, ["k"], "new_k").collect()
     flags = spark.createDataFrame([("v", k, k in (0, 4)) for k in range(11)], "path string, n long, key boolean")
     r = media.key_intervals(flags, "key", "n").first()
-    assert (r.frames, r.key_frames, r.max_gop) == (11, 2, 7)
+    assert (r.frames, r.key_frames, r.starts_on_key, r.max_gop) == (11, 2, True, 7)
+    assert not media.key_intervals(flags.where("n > 0"), "key", "n").first().starts_on_key
+    videos = spark.createDataFrame([("a", 9, True, 1), ("b", 9, False, 1), ("c", 9, True, 2), ("d", 0, None, 1)], "path string, frames long, starts_on_key boolean, streams int")
+    assert {r.path: r.problem for r in media.unusable(videos).collect()} == {"b": "does not start on a key frame", "c": "not one video stream", "d": "empty"}
     parts = spark.createDataFrame([("f", 1.0, 0.0, 1.0, 1.0, 1), ("f", 4.0, 1.0, 3.0, 5.0, 3)], "k string, mean double, std double, min double, max double, count long")
     p = stats.pooled(parts, ["k"]).first()
     assert p.mean == 3.25 and abs(p.std - ((2.25**2 + 3 * (1 + 0.75**2)) / 4) ** 0.5) < 1e-12 and stats.incomplete(parts).isEmpty()

@@ -107,6 +107,12 @@ def test_contracts(spark):
     assert contract["state"] == {"dim": 2, "names": ["a", "b"]} and contract["cameras"] == [{"key": "cam", "shape": [3, 480, 640]}] and contract["robot_revision"] == "r1"
     other = INFO | {"fps": 30, "features": INFO["features"] | {"cam": {"dtype": "video", "shape": [3, 720, 1280]}, "action": {"shape": [1], "names": ["a"]}}}
     assert R.contract_problems(contract, INFO) == [] and R.contract_problems(contract, other) == ["action dim", "action names", "camera cam", "fps"]
+    more = INFO | {"features": INFO["features"] | {"side": {"dtype": "image", "shape": [3, 480, 640]}}}
+    assert R.contract_problems(contract, more) == ["cameras"]
+    assert R.contract_problems({}, INFO) == ["state dim", "state names", "action dim", "action names", "cameras", "fps"]
+    assert R.derived_contract({"auto_from_metadata": True, "state": {"units": "rad"}}, INFO)["state"] == {"dim": 2, "names": ["a", "b"], "units": "rad"}
+    with pytest.raises(ValueError, match="lack cameras"):
+        R.derived_contract({"auto_from_metadata": True}, INFO | {"features": {k: v for k, v in INFO["features"].items() if k != "cam"}})
     audit = spark.createDataFrame([("b", 2, "here", "x", "y"), ("a", 1, "there", "x", "y")], "rule string, rule_order int, location string, expected string, observed string")
     assert R.dataset_problems(
         registered(),
