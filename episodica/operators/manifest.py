@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import trees
+from ..tables import written
+
 
 def hashed(files: DataFrame, path: str = "path", content: str = "content") -> DataFrame:
     """(path, bytes, sha256) of each file."""
@@ -26,6 +29,13 @@ def lines(manifest: DataFrame) -> DataFrame:
     return out.select("text", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "files", "bytes")
 
 
+def digest(manifest: DataFrame) -> DataFrame:
+    """One row (digest, files, bytes): the digest of `lines`' text without the text, for manifests of any length."""
+    rows = manifest.select(F.concat("sha256", F.lit("  "), "path", F.lit("\n")).alias("data"), F.split("path", "/").alias("parts"))
+    total = manifest.agg(F.count("*").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    return trees.stream_digest(rows, ["parts"]).drop("bytes").join(total, F.lit(True), "inner")  # a row on either side
+
+
 #: What each flavour of a payload's digest leaves out: files by name, folders at the top.
 LEFT_OUT = {
     "registry": ([".groot_registry_download.json"], [".cache"]),
@@ -41,22 +51,37 @@ def payload(files: DataFrame, flavour: str, path: str = "path", content: str = "
     return lines(hashed(excluded(files, names, folders, path), path, content))
 
 
+def payload_digest(files: DataFrame, flavour: str, path: str = "path", content: str = "content") -> DataFrame:
+    """The digest alone of a payload of any number of files.  files: path, content."""
+    names, folders = LEFT_OUT[flavour]
+    return digest(hashed(excluded(files, names, folders, path), path, content))
+
+
+def tree_digest(spark: SparkSession, root: str, flavour: str) -> DataFrame:
+    """The same of the files below root, of any size: hashed by executors in blocks."""
+    names, folders = LEFT_OUT[flavour]
+    return digest(written(trees.hashes(excluded(trees.listing(spark, root), names, folders)), "hashes"))
+
+
+def tree_fingerprint(spark: SparkSession, root: str) -> DataFrame:
+    """`fingerprint` of the files below root: the metadata's bytes are streamed from the files."""
+    return fingerprint(trees.listing(spark, root))
+
+
 def fingerprint(files: DataFrame) -> DataFrame:
     """One row: inventory_sha256 (paths and lengths), metadata_sha256 (paths and bytes of files below meta/), file_count, bytes.
 
-    files: path, content.  Of contents only the metadata's are gathered."""
-    meta = F.when(F.startswith("path", F.lit("meta/")), F.col("content").cast("binary"))
-    rows = files.select("path", F.octet_length("content").cast("long").alias("n"), meta.alias("m"))
-    out = rows.agg(
-        F.array_sort(F.collect_list(F.struct(F.split("path", "/").alias("parts"), "path", "n", "m"))).alias("p"),
-        F.count("*").alias("file_count"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("bytes")
-    )
-    zero = F.lit(b"\0")
-    whole = lambda parts: F.aggregate(parts, F.lit(b""), lambda a, x: F.concat(a, x))
-    lines = F.transform("p", lambda s: F.concat(s["path"].cast("binary"), zero, s["n"].cast("string").cast("binary"), F.lit(b"\n")))
-    meta = F.transform(F.filter("p", lambda s: s["m"].isNotNull()), lambda s: F.concat(s["path"].cast("binary"), zero, s["m"]))
-    return out.select(F.sha2(whole(lines), 256).alias("inventory_sha256"), F.sha2(whole(meta), 256).alias("metadata_sha256"), "file_count", "bytes")
+    files: path and content, or path, bytes and the uri whose bytes are the content.  Both digests are folds over rows in
+    path order."""
+    size = F.col("bytes") if "bytes" in files.columns else F.octet_length("content").cast("long")
+    zero, parts = F.lit(b"\0"), F.split("path", "/").alias("parts")
+    text = lambda c: F.col(c).cast("string").cast("binary")
+    inventory = trees.stream_digest(files.withColumn("n", size).select(F.concat(text("path"), zero, text("n"), F.lit(b"\n")).alias("data"), parts), ["parts"], "inventory_sha256")
+    head = F.concat(text("path"), zero)
+    body = [head.alias("data"), "uri"] if "uri" in files.columns else [F.concat(head, F.col("content").cast("binary")).alias("data")]
+    metadata = trees.stream_digest(files.where(F.startswith("path", F.lit("meta/"))).select(*body, parts), ["parts"], "metadata_sha256")
+    total = files.agg(F.count("*").alias("file_count"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+    return inventory.drop("bytes").join(metadata.drop("bytes"), F.lit(True), "inner").join(total, F.lit(True), "inner")  # a row each
 
 
 def relink_differences(pairs: DataFrame) -> DataFrame:

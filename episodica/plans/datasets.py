@@ -414,14 +414,6 @@ def essential(data: Dataset, exclusions: DataFrame, fps: float, cameras: list[st
     return data.replaced(frames=out.select(*_names(data.frames)), episodes=subset.episode_rows(found, data.episodes, list(cameras), fps).drop("start_frame", "end_frame"), annotations=said)
 
 
-def write(data: Dataset, root: str, files_: int = 1) -> None:
-    """A tree that `load` reads; an existing one is an error."""
-    sinks.table(data.frames.drop("place"), f"{root}/data/chunk-000", ["index"], files_)
-    sinks.table(data.episodes, f"{root}/meta/episodes/chunk-000", ["episode_index"], 1)
-    for name, df, cols in (("tasks", data.tasks, ["task_index", "task"]), ("subtasks", data.subtasks, ["subtask_index", "subtask"])):
-        sinks.vocabulary(df, f"{root}/meta/{name}.parquet", cols)
-
-
 def pipeline(data: Dataset, mode: str, dims: dict[str, list[int]], steps: int, phases: int = 5, overall: str | None = None, vocabulary: list[str] | None = None) -> tuple[Dataset, dict[str, Any]]:
     """Preflight, caption audit, slicing, preflight again, boundary report: each stage only if the gate before it is clean."""
     report: dict[str, Any] = {}

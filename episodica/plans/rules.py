@@ -144,8 +144,11 @@ def missing_columns(footers: DataFrame, required: list[str]) -> DataFrame:
 
 def schema_differences(output: DataFrame, source: DataFrame) -> DataFrame:
     """Files of two trees (path, columns with types), paired by their place in path order, whose schemas differ."""
-    by = Window.orderBy(F.split("path", "/"))  # a row a file
-    place = lambda df, n: df.select((F.row_number().over(by) - 1).alias("place"), F.col("path").alias(f"{n}_path"), F.col("types").alias(f"{n}_types"))
+
+    def place(df: DataFrame, n: str) -> DataFrame:
+        parts = df.select(F.split("path", "/").alias("parts"), F.col("path").alias(f"{n}_path"), F.col("types").alias(f"{n}_types"))
+        return index.running_total(parts, "parts", name="place").drop("parts")
+
     both = place(output, "output").join(place(source, "source"), "place", "full_outer").where("not output_types <=> source_types")
     return violations(both, "schema", 11, F.coalesce("output_path", "source_path"), F.array_join("source_types", ", "), F.array_join("output_types", ", "))
 

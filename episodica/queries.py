@@ -509,11 +509,11 @@ def manifest_hashes(spark, d):
 
 
 @query(
-    "SELECT sha256(string_agg(h || '  ' || n_name || chr(10), '' ORDER BY n_name)) AS digest, count(*) AS files, sum(strlen(n_name))::BIGINT AS bytes "
-    "FROM (SELECT n_name, sha256(n_name) AS h FROM nation)",
+    "SELECT sha256(string_agg(sha256(html) || '  p/' || page_id || chr(10), '' ORDER BY page_id::VARCHAR)) AS digest, count(*) AS files, sum(strlen(html))::BIGINT AS bytes FROM pages",
 )
 def manifest_digest(spark, d):
-    return manifest.lines(manifest.hashed(_t(spark, d, "nation").select("n_name", F.col("n_name").alias("content")), "n_name")).select("digest", "files", "bytes")
+    rows = _t(spark, d, "pages").select(F.concat(F.lit("p/"), F.col("page_id").cast("string")).alias("path"), F.col("html").alias("content"))
+    return manifest.digest(manifest.hashed(rows))
 
 
 @query(
@@ -758,4 +758,4 @@ def session_windows(spark, d):
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "events")
 
 
-from . import queries_more, queries_audit  # noqa: E402, F401, I001  (register the rest)
+from . import queries_audit, queries_more, queries_trees  # noqa: E402, F401  (register the rest)

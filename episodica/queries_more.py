@@ -433,7 +433,7 @@ def payload_digests(spark, d):
     for n, p in special.items():
         path = F.when(k == n, p).otherwise(path)
     rows = names.select(path.alias("path"), F.col("n_name").alias("content"))
-    one = [manifest.payload(rows, f).select(F.lit(f).alias("flavour"), "digest", "files", "bytes") for f in manifest.LEFT_OUT]
+    one = [manifest.payload_digest(rows, f).select(F.lit(f).alias("flavour"), "digest", "files", "bytes") for f in manifest.LEFT_OUT]
     return one[0].unionAll(one[1]).unionAll(one[2]).unionAll(one[3])
 
 

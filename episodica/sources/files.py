@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model
+from . import trees
 
 
 def frames(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
@@ -18,21 +19,21 @@ def frames(spark: SparkSession, root: str, columns: list[str] | None = None) ->
 
 
 def footers(spark: SparkSession, root: str, columns: list[str] | None = None) -> DataFrame:
-    """(path, columns, types) of every Parquet file below a folder, in path order, from the footers alone (one is read after another)."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root).select("path")
-    rows = []
-    for r in sorted(listed.collect(), key=lambda r: r.path.split("/")):
-        fields = [f for f in spark.read.parquet(r.path).schema.fields if columns is None or f.name in columns]
-        rows.append((r.path, [f.name for f in fields], [f"{f.name} {f.dataType.simpleString()}" for f in fields]))
-    return spark.createDataFrame(rows, "path string, columns array<string>, types array<string>")
+    """(path below root, rows, row_groups, columns, types) of every Parquet file below a folder, from the footers alone, in one job."""
+    return trees.footers(_parquet(spark, root), columns)
+
+
+def _parquet(spark: SparkSession, root: str) -> DataFrame:
+    """Listed Parquet files, without hidden ones and those in hidden folders."""
+    return trees.listing(spark, root).where(F.endswith("path", F.lit(".parquet")) & ~F.col("path").rlike(r"(\A|/)[._]"))
 
 
 def first_file(spark: SparkSession, root: str) -> DataFrame:
     """The rows of the first Parquet file below a folder, in path order, and of no other."""
-    path = footers(spark, root, []).first()
-    if path is None:
+    found = _parquet(spark, root).orderBy(F.split("path", "/")).first()
+    if found is None:
         raise FileNotFoundError(f"no data below {root}")
-    return spark.read.parquet(path.path)
+    return spark.read.parquet(found.uri)
 
 
 def vocabulary(spark: SparkSession, path: str, index: str, text: str, strict: bool = False) -> DataFrame:

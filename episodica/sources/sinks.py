@@ -7,12 +7,13 @@ import json
 import os
 import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,6 +36,21 @@ def promote(df: DataFrame, stage: str, path: str) -> None:
         raise FileExistsError(path)
 
 
+def staged(spark: SparkSession, path: str) -> str:
+    """A new place beside a path, for what is to become it."""
+    return f"{path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+
+
+def small_text(spark: SparkSession, path: str, value: str) -> None:
+    """A small document, written by the driver through the path's own file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = there.getFileSystem(spark._jsc.hadoopConfiguration()).create(there, True)
+    try:
+        out.write(bytearray(value.encode()))
+    finally:
+        out.close()
+
+
 def vocabulary(df: DataFrame, path: str, columns: list[str]) -> None:
     """A vocabulary file: fixed column order, rows by index."""
     table(df.select(*columns), path, [columns[0]], 1)
@@ -103,22 +119,6 @@ def rolling_digest(root: str | Path) -> str:
     return h.hexdigest()
 
 
-def package(source: str | Path, target: str | Path, required: list[str]) -> dict[str, int]:
-    """Copies a package with its SHA256SUMS; required files must be there, and the target must not."""
-    source, target = Path(source), Path(target)
-    if absent := [r for r in required if not (source / r).is_file()]:
-        raise FileNotFoundError(f"missing {', '.join(absent)}")
-    if target.exists():
-        raise FileExistsError(str(target))
-    stage = target.with_name(f".{target.name}.staging")
-    shutil.rmtree(stage, ignore_errors=True)
-    clone(source, stage, ())
-    found = sorted(p for p in stage.rglob("*") if p.is_file() and p.name != "SHA256SUMS")
-    text(stage / "SHA256SUMS", "".join(f"{file_digest(p)}  {p.relative_to(stage).as_posix()}\n" for p in found))
-    os.rename(stage, target)
-    return {"files": len(found), "bytes": sum(p.stat().st_size for p in target.rglob("*") if p.is_file() and p.name != "SHA256SUMS")}
-
-
 def relink(pairs: list[tuple[str | Path, str | Path]]) -> dict[str, int]:
     """Of local (source, output) files with the same bytes, the output becomes a hard link to the source; none is touched
     unless all are the same."""

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.plans import captions, datasets, documents, rules
+from episodica.plans import captions, datasets, documents, layouts, rules
 from episodica.sources import files, sinks
 
 
@@ -155,7 +155,7 @@ def test_merge_subset_slice_and_write(spark, tree, tmp_path):
     assert short.frames.first()["observation.state"] == [0.0, 1.0, 2.0]
     with pytest.raises(Exception, match="fewer than 9"):
         datasets.sliced(data, {"observation.state": [8]}).frames.collect()
-    datasets.write(both, str(tmp_path / "out"))
+    layouts.write(both, str(tmp_path / "out"))
     (tmp_path / "out/meta/info.json").write_text(json.dumps({"total_episodes": 2, "total_frames": 90}))
     assert files.frames(spark, str(tmp_path / "out")).count() == 90
     with pytest.raises(FileExistsError):
