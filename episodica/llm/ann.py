@@ -16,7 +16,7 @@ substring number and value.  By the pigeonhole principle, a code within radius r
 one of the first a+1 substrings within s or one of the others within s-1, so probing those values retrieves every code
 within r.  What lies within r is ranked by the exact cosine of the original vectors.
 
-Vectors null, empty, zero, or with null or non-finite components take no part, nor those whose length isn't the
+Components of any magnitude are measured right: rows are scaled by powers of two first.  Vectors null, empty, zero, or with null or non-finite components take no part, nor those whose length isn't the
 most common one of `vectors` (the longer one on a tie).  Rows of the query's id are its own; of several queries of one id
 the smallest vector (component by component) asks.  Repeated rows are candidates each.  Fewer candidates than k: all.
 Null ids take no part.  No vectors or no queries: no rows.  Extra columns are ignored.
@@ -56,7 +56,9 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
         column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    # scaled by powers of two, which changes no cosine and no bit of one, so that no square over- or underflows
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:

@@ -85,6 +85,18 @@ def test_edges(llm):
     assert A.nearest(one, one).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1e200, 1e-170, 5e-320, 1.0])
+def test_components_of_any_magnitude(llm, scale):
+    x = np.random.default_rng(7).normal(size=(400, 12))
+    rows = [(k, (v * (scale if k % 2 else 1.0)).tolist()) for k, v in enumerate(x)]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = exact([(k, np.ldexp(v, -np.frexp(np.abs(v).max())[1])) for k, v in rows])
+    found = A.nearest(df, df.where("vec_id % 50 = 0"))
+    assert recall(found, want) >= 0.9
+    known = {(q, v): s for q, near in exact([(k, np.ldexp(v, -np.frexp(np.abs(v).max())[1])) for k, v in rows], 399).items() for v, s in near}
+    assert all(abs(r.score - known[r.query_id, r.vec_id]) < 1e-12 for r in found.collect())
+
+
 def test_lengths_and_repeated_queries(llm):
     """Vectors are mostly of two components, queries mostly of three; one query stands twice."""
     rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (50, [1.0, 0.2]), (50, [0.0, 1.0]), (100, [1.0, 0.0, 0.0]), (150, [1.0, 1.0, 0.0])]
