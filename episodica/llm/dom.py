@@ -31,8 +31,9 @@ HINTS = {
     "meta": "meta byline author date timestamp info byl caption credit",
     "content": "content article main post entry story body text articlebody maincontent prose page blog news",
 }
-GROUPS = tuple(HINTS)
-_GROUP = {w: k for k, g in enumerate(GROUPS) for w in HINTS[g].split()}
+#: The last group are elements that a page doesn't show.
+GROUPS = (*HINTS, "hidden")
+_GROUP = {w: k for k, words in enumerate(HINTS.values()) for w in words.split()}
 _TAG = {t: k for k, t in enumerate(TAGS)}
 #: A start tag of these ends an open one (of the second list) first, up to the given stops.
 _CLOSES = {
@@ -63,14 +64,15 @@ def _in_line(name: str) -> bool:
 
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|aria-label|hidden|style)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|aria-label|aria-hidden|hidden|style)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ENDS: dict[str, re.Pattern] = {}
 SPACE = re.compile(r"\s+")
 
 
 class Page:
-    """Nodes in page order.  node k: parent, tag, hints (bit mask), end (its subtree is k..end-1), hidden;
+    """Nodes in page order.  node k: parent, tag, hints (bit mask of GROUPS), end (its subtree is k..end-1), links;
     blocks: (node, text, characters inside links)."""
 
     def __init__(self, source: str) -> None:
@@ -214,7 +216,12 @@ class Page:
         hints = 0
         if attributes and not attributes.isspace():
             for a in _ATTRIBUTE.finditer(attributes):
-                for w in _PART.findall(a[2] or ""):
+                what, said = a[1].lower(), a[2] or ""
+                if what == "hidden" or what == "aria-hidden" and "true" in said.lower() or what == "style" and _UNSEEN.search(said):
+                    hints |= 1 << len(HINTS)
+                if what in ("hidden", "aria-hidden", "style"):
+                    continue
+                for w in _PART.findall(said):
                     if (g := _GROUP.get(w.lower())) is not None:
                         hints |= 1 << g
         self.parent.append(stack[-1][1])

@@ -1,7 +1,9 @@
 import html
+import random
 import re
 
 import numpy as np
+import pytest
 
 from episodica.llm import html_extract as H
 from episodica.llm.boosting import Trees
@@ -50,7 +52,7 @@ def test_formulas_and_objects_are_text():
 
 
 def test_composed_pages_come_back():
-    rng, trees = np.random.default_rng(123), H.fitted()
+    rng, trees = random.Random(123), H.fitted()
     kept = found = main = 0
     for _ in range(120):
         source, truth = H.composed_page(rng)
@@ -60,10 +62,71 @@ def test_composed_pages_come_back():
     assert kept / main > 0.95 and kept / found > 0.97
 
 
+SENTENCES = [
+    "The council met on Tuesday evening to consider the new plan for the harbour, which has been debated for months.",
+    "Residents, many of whom have lived near the water for decades, said that traffic was their main concern.",
+    "\u201cWe want the work done,\u201d said one of them, \u201cbut not at the price of our street.\u201d",
+    "Engineers presented three variants; each moves the entrance further north, and each would cost more than planned.",
+    "A decision is expected in spring, after a second hearing.",
+]
+TITLE = "Harbour plan divides the town"
+MENU = '<div class="menu"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li><li><a href="/s">Sports</a></li><li><a href="/c">Contact</a></li></ul></div>'
+NAV = '<nav><a href="/">Home</a> <a href="/a">About us</a> <a href="/b">Blog</a></nav>'
+FOOT = "<footer>&copy; 2024 The Gazette. All rights reserved.</footer>"
+SAID = ("I think this is a really bad idea, they should have asked us before.", "Finally someone does something about the harbour!", "Why does it always cost more than planned?")
+COMMENTS = '<div class="comments"><h3>Comments</h3>' + "".join(f'<div class="comment"><p>{x}</p></div>' for x in SAID) + "</div>"
+SIDE = '<div class="sidebar"><h4>Most read</h4><ul><li><a href="/1">Storm warning for the coast</a></li><li><a href="/2">New bakery opens</a></li></ul></div>'
+PARAGRAPHS = "".join(f"<p>{x}</p>" for x in SENTENCES)
+#: Written by hand, apart from the grammar: what stands in the body, and the article's blocks.
+BY_HAND = {
+    "text and line breaks in the body": (MENU + "<br><br>".join(SENTENCES) + FOOT, [" ".join(SENTENCES)]),
+    "text only": (" ".join(SENTENCES), [" ".join(SENTENCES)]),
+    "elements of a story": (MENU + '<div class="story">' + "".join(f"<div>{x}</div>" for x in SENTENCES) + "</div>" + FOOT, SENTENCES),
+    "paragraphs in the body": (MENU + PARAGRAPHS + FOOT, SENTENCES),
+    "heading and paragraphs in the body": (f"{NAV}<h1>{TITLE}</h1>{PARAGRAPHS}{FOOT}", [TITLE, *SENTENCES]),
+    "main": (f"{NAV}<main><h1>{TITLE}</h1>{PARAGRAPHS}</main>{FOOT}", [TITLE, *SENTENCES]),
+    "main with one paragraph": (f"{NAV}<main><h1>{TITLE}</h1><p>{SENTENCES[0]}</p></main>{FOOT}", [TITLE, SENTENCES[0]]),
+    "one paragraph beside comments": (f'{NAV}<div id="content"><p>{SENTENCES[0]}</p></div>{COMMENTS}{FOOT}', SENTENCES[:1]),
+    "one paragraph above comments": (f'{NAV}<div id="content"><p>{SENTENCES[0]}</p>{COMMENTS}</div>{FOOT}', SENTENCES[:1]),
+    "cells": (f"<table><tr><td>{MENU}</td><td><h1>{TITLE}</h1>{PARAGRAPHS}</td></tr></table>{FOOT}", [TITLE, *SENTENCES]),
+    "nested, without names": (f"<div><div>{NAV}</div><div><div><h1>{TITLE}</h1>{PARAGRAPHS}</div>{SIDE}</div></div>{FOOT}", [TITLE, *SENTENCES]),
+    "beside a side bar and comments": (f"{NAV}<article><h1>{TITLE}</h1>{PARAGRAPHS}</article>{SIDE}{COMMENTS}{FOOT}", [TITLE, *SENTENCES]),
+    "not shown": (f'{NAV}<main><h1>{TITLE}</h1>{PARAGRAPHS}<div style="display:none">Subscribe now to read the rest of this story and many others.</div></main>{FOOT}', [TITLE, *SENTENCES]),
+    "sections and a list": (
+        f'{NAV}<div id="main"><h1>{TITLE}</h1><p>{SENTENCES[0]}</p><h2>What comes next</h2><p>{SENTENCES[1]}</p><ul><li>{SENTENCES[2]}</li><li>{SENTENCES[3]}</li></ul></div>{FOOT}',
+        [TITLE, SENTENCES[0], "What comes next", *SENTENCES[1:4]],
+    ),
+    "spans": (f"{MENU}<div><h1>{TITLE}</h1>" + "".join(f"<div><span>{x}</span></div>" for x in SENTENCES) + f"</div>{FOOT}", [TITLE, *SENTENCES]),
+    "cookies": (f'<div id="cookie-banner"><p>We use cookies to give you the best experience.</p><button>Accept</button></div>{NAV}<article><h1>{TITLE}</h1>{PARAGRAPHS}</article>{FOOT}', [TITLE, *SENTENCES]),
+    "a form between": (f'{NAV}<div class="content"><h1>{TITLE}</h1><p>{SENTENCES[0]}</p><form><label>Mail</label><input><button>Subscribe</button></form><p>{SENTENCES[1]}</p></div>{FOOT}', [TITLE, *SENTENCES[:2]]),
+    "nothing else": (f"<h1>{TITLE}</h1>{PARAGRAPHS}", [TITLE, *SENTENCES]),
+}
+
+
+@pytest.mark.parametrize("name", BY_HAND)
+def test_pages_written_by_hand(name):
+    body, want = BY_HAND[name]
+    source = f"<!DOCTYPE html><html><head><title>{TITLE}</title></head><body>{body}</body></html>"
+    assert H.main_texts([source], H.fitted())[0].split("\n") == want
+
+
+def test_trees_are_kept(llm):
+    trees = H.shared_trees(llm, 40, 3)
+    H._fitted.pop((40, 3))
+    again, x = H.shared_trees(llm, 40, 3), np.random.default_rng(1).normal(size=(50, len(trees.edges)))
+    assert again is not trees and np.array_equal(again.logits(x), trees.logits(x))
+
+
+def test_what_a_page_does_not_show():
+    p = Page("<div hidden>a</div><div style='x:y; Display : NONE'>b</div><p aria-hidden='true'>c</p><p aria-hidden=false data-hidden=1>d</p><p style='color:red'>e</p>")
+    unseen = 1 << H.GROUPS.index("hidden")
+    assert [bool(p.hints[k] & unseen) for k, _, _ in p.blocks] == [True, True, True, False, False]
+
+
 def test_decoding_has_no_contradiction():
-    rng, trees = np.random.default_rng(5), H.fitted()
+    rng, pages, trees = np.random.default_rng(5), random.Random(5), H.fitted()
     for _ in range(30):
-        p = Page(H.composed_page(rng)[0])
+        p = Page(H.composed_page(pages)[0])
         odds = rng.normal(size=len(p.parent)) * 3
         kept = H.decode(p, odds)
         assert set(kept) <= {b[1] for b in p.blocks}
