@@ -1,5 +1,6 @@
 import hashlib
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from episodica.operators import manifest, media
 from episodica.plans import rules
 from episodica.sources import files, sinks
-from episodica.streaming import logs
+from episodica.streaming import logs, machine
 
 
 def test_sources(spark, tmp_path):
@@ -136,3 +137,84 @@ def test_windows_stream_equals_batch(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(tuple, spark.table("days").collect())) == sorted(map(tuple, logs.tumbling(rows, "1 day").collect()))
+
+
+def _pieces(cut, runs):
+    """Events of runs: (name, [(log, code), ...]) with each log cut in pieces of `cut` characters."""
+    out = []
+    for name, attempts in runs:
+        n = 0
+        for log, code in attempts:
+            for a in range(0, len(log), cut):
+                out.append((name, n, log[a : a + cut], None))
+                n += 1
+            if code is not None:
+                out.append((name, n, None, code))
+                n += 1
+    return out
+
+
+STEPS = "".join(f"step:{s} loss:{s / 10 + 1} grdn:1 smp/s:{s}.5 mem_gb:3\nnoise\n" for s in range(9))
+RUNS = [
+    ("good", [(STEPS, 0)]), ("oom", [(STEPS + "CUDA out of memory", 1)]), ("again", [("x\nOutOfMemoryError\n", 1), (STEPS, 0)]), ("spent", [("a\n", 1), ("b\n", -9), ("c", 2), ("d\n", 0)]),
+    ("old", [("CUDA out of memory" + "y" * 50 + "\n" + "z" * 2_000_000, 1)]), ("open", [("step:1 loss:2 grdn:1 smp/s:2 mem_gb:3", None)]), ("none", [("", -15)]),
+]
+WANT = {
+    "good": (1, "completed", 0, None, 8), "oom": (1, "failed", 1, "oom", 8), "again": (2, "completed", 1, None, 8), "spent": (3, "blocked", 3, "trainer_error", None),
+    "old": (1, "failed", 1, "trainer_error", None), "open": (1, "running", 0, None, None), "none": (1, "failed", 1, "signal", None),
+}
+
+
+def _short(rows):
+    return {r.run_name: (r.attempt, r.state, r.failures, r.category, r.step) for r in rows}
+
+
+@pytest.mark.parametrize(("cut", "files_"), [(7, 3), (50, 1), (10_000_000, 2)])
+def test_run_machine_for_any_split(spark, tmp_path, cut, files_):
+    runs = [r for r in RUNS if r[0] != "old" or cut > 1000]
+    want = {k: v for k, v in WANT.items() if k in dict(runs)}
+    events = spark.createDataFrame(_pieces(cut, runs), machine.EVENTS)
+    assert _short(machine.run_table(events).collect()) == want
+    for k in range(files_):  # pieces come in several batches, out of order and some of them twice
+        events.where(f"piece % {files_} = {files_ - 1 - k} or piece = 0").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    name = f"machine_{cut}"
+    q = machine.run_machine(stream).writeStream.outputMode("update").format("memory").queryName(name).start()
+    q.processAllAvailable()
+    q.stop()
+    assert _short(machine.latest(spark.table(name)).collect()) == want
+
+
+def test_a_silent_run_times_out(spark, tmp_path):
+    events = spark.createDataFrame([("quiet", 0, "line\n", None), ("done", 0, None, 0)], machine.EVENTS)
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    q = machine.run_machine(stream, 1, 500).writeStream.outputMode("update").format("memory").queryName("silent").trigger(processingTime="1 second").start()
+    for _ in range(60):
+        time.sleep(1)
+        if _short(machine.latest(spark.table("silent")).collect()).get("quiet", (0, ""))[1] == "blocked":
+            break
+    q.stop()
+    assert _short(machine.latest(spark.table("silent")).collect()) == {"quiet": (1, "blocked", 1, "timeout", None), "done": (1, "completed", 0, None, None)}
+
+
+def test_metrics_joined_to_a_registry_that_grows(spark, tmp_path):
+    rows = [("a", 1), ("b", 1), ("a", 2), ("c", 1)]
+    for k, r in enumerate(rows):
+        spark.createDataFrame([r], "run_name string, step long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    known = {0: ["a"], 1: ["a"], 2: ["a", "b"], 3: ["a", "b"]}
+    seen = []
+
+    def registry(s):
+        seen.append(len(seen))
+        return s.createDataFrame([(n, n.upper()) for n in known[min(seen[-1], 3)]], "run_name string, title string")
+
+    join = machine.RegistryJoin(registry, str(tmp_path / "out"))
+    stream = spark.readStream.schema("run_name string, step long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = stream.writeStream.foreachBatch(join).option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(map(tuple, join.result(spark, "run_name string, step long, title string").collect()))
+    assert got == [("a", 1, "A"), ("a", 2, "A"), ("b", 1, "B")]
+    join(spark.createDataFrame([], "run_name string, step long"), len(seen))  # nothing new, and c still waits
+    assert spark.read.parquet(f"{tmp_path}/out/waiting/batch={len(seen) - 1}").first().run_name == "c"
