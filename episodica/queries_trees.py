@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import proxies
@@ -9,6 +10,7 @@ from .operators import index, manifest
 from .plans import datasets, layouts
 from .queries import _t, query
 from .sources import trees
+from .streaming import machine
 from .tables import fresh
 
 
@@ -107,3 +109,27 @@ def episode_files(spark, d):
     sums = tree.frames.where("task_index = `annotation.human.task_description`").groupBy("episode_index").agg(F.round(F.sum(F.col("`observation.state`")[0].cast("double")), 3).alias("total"))
     path = F.format_string("data/chunk-%03d/episode_%06d.parquet", F.floor(F.col("episode_index") / 10), F.col("episode_index"))
     return said.join(sums, "episode_index").withColumn("path", path).join(there, "path")
+
+
+@query(
+    "WITH t AS (SELECT min(event_type) AS bad, max(event_type) AS good FROM events), "
+    "f AS (SELECT user_id, event_type = bad AS e, event_type = good AND event_id % 5 = 0 AS g, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events, t), "
+    "c AS (SELECT *, sum(e::INT) OVER (PARTITION BY user_id ORDER BY p) AS n FROM f), "
+    "z AS (SELECT user_id, min(p) FILTER (g) AS won, min(p) FILTER (e AND n = 3) AS lost FROM c GROUP BY user_id), "
+    "w AS (SELECT c.*, coalesce(won < coalesce(lost, won + 1), false) AS wins, lost IS NOT NULL AS ends FROM c JOIN z USING (user_id) WHERE p <= least(coalesce(won, p), coalesce(lost, p))), "
+    "s AS (SELECT user_id, count(*) FILTER (e) AS failures, bool_or(wins) AS wins, bool_or(ends) AS ends, arg_max(e, p) AS at_end, count(*) FILTER (NOT e AND NOT g) AS lines FROM w GROUP BY user_id), "
+    "x AS (SELECT *, CASE WHEN wins THEN 'completed' WHEN ends THEN 'blocked' WHEN at_end THEN 'failed' ELSE 'running' END AS state FROM s) "
+    "SELECT user_id::VARCHAR AS run_name, (failures + CASE WHEN state IN ('running', 'completed') THEN 1 ELSE 0 END)::INT AS attempt, state, failures::INT AS failures, "
+    "CASE WHEN state IN ('failed', 'blocked') THEN 'trainer_error' END AS category, lines FROM x",
+)
+def run_outcomes(spark, d):
+    """Users as runs: one kind of event fails an attempt, some of another complete it, all others are lines of its log, cut in the middle."""
+    rows = _t(spark, d, "events")
+    bad, good = rows.agg(F.min("event_type"), F.max("event_type")).first()
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    code = F.when(F.col("event_type") == bad, 1).when((F.col("event_type") == good) & (F.col("event_id") % 5 == 0), 0)
+    events = rows.select(F.col("user_id").cast("string").alias("run_name"), place.alias("p"), code.alias("code"))
+    halves = F.when(F.col("code").isNull(), F.array(F.lit("half a "), F.lit("line\n"))).otherwise(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")))
+    pieces = events.select("run_name", "p", "code", F.posexplode(halves).alias("k", "text"))
+    pieces = pieces.select("run_name", (2 * F.col("p") + F.col("k")).cast("long").alias("piece"), "text", F.when(F.col("k") == 1, F.col("code")).cast("int").alias("code"))
+    return machine.run_table(pieces).select("run_name", "attempt", "state", "failures", "category", "lines")

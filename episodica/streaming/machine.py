@@ -76,6 +76,8 @@ class Run:
     def end(self, code: int, budget: int, timed_out: bool = False) -> None:
         if self.state in ("completed", "blocked"):
             return
+        if self.state == "failed":  # another attempt, which said nothing
+            self.attempt, self.chars, self.memory_at = self.attempt + 1, 0, -1
         if self.rest:
             self._line(self.rest)
             self.chars, self.rest = self.chars + len(self.rest), ""
@@ -131,16 +133,22 @@ def run_machine(events: DataFrame, budget: int = 3, silence_ms: int = 3_600_000)
 
 
 def run_table(events: DataFrame, budget: int = 3) -> DataFrame:
-    """The same of a table of events: each run's last state, in one pass over its pieces in order."""
+    """The same of a table of events: each run's last state, its pieces read in order, a batch of rows at a time."""
     ship(events.sparkSession)
 
-    def whole(rows: pd.DataFrame) -> pd.DataFrame:
-        run, name = Run(), rows.run_name.iloc[0]
-        for r in rows.sort_values("piece").itertuples():
-            run.take(int(r.piece), None if pd.isna(r.text) else r.text, None if pd.isna(r.code) else int(r.code), budget)
-        return _frame([run.row(name)])
+    def read(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run, name = Run(), None
+        for rows in it:
+            for r in rows.itertuples():
+                if r.run_name != name:
+                    if name is not None:
+                        yield _frame([run.row(name)])
+                    run, name = Run(), r.run_name
+                run.take(int(r.piece), None if pd.isna(r.text) else r.text, None if pd.isna(r.code) else int(r.code), budget)
+        if name is not None:
+            yield _frame([run.row(name)])
 
-    return events.groupBy("run_name").applyInPandas(whole, STATES)
+    return events.repartition("run_name").sortWithinPartitions("run_name", "piece").mapInPandas(read, STATES)
 
 
 def latest(states: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 def test_no_python_and_no_cartesian_in_the_core(spark):
     from episodica.queries import QUERIES
 
-    files = {"file_footers", "file_hashes", "tree_fingerprint", "planned_files", "episode_files", "manifest_digest", "payload_digests", "dataset_fingerprint"}
+    files = {"file_footers", "file_hashes", "tree_fingerprint", "planned_files", "episode_files", "manifest_digest", "payload_digests", "dataset_fingerprint", "run_outcomes"}
     for name, q in QUERIES.items():
         # that one writes checkpoints; and files by name and digests in order have no column expression
         if name not in {"config_inheritance"} | files:
