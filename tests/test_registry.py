@@ -73,7 +73,7 @@ def registered(**more):
 def test_registrations():
     defaults = R.profile(PROFILE, "profile.yaml", VARIABLES)
     assert defaults == {"profile": "profile.yaml", "hub_revision": "main", "robot_revision": "r1", "task": "insert", "evidence": "e"}
-    with pytest.raises(R.RegistryError, match="task is blank"):
+    with pytest.raises(R.RegistryError, match="profile_task"):
         R.profile(PROFILE | {"task": " "}, "p", VARIABLES)
     doc = R.local_registration("set", "/src", INFO, defaults, task="mine", handoff="/h")
     assert doc["registration"] == {"source_kind": R.LOCAL, "contract_profile": "profile.yaml", "robot_revision_source": "project_default", "task_source": "command_line", "handoff": "/h"}
@@ -95,7 +95,7 @@ def test_registrations():
     for bad in ({"schema_version": 2}, {"revision": "main"}):
         with pytest.raises(R.RegistryError):
             R.dataset_spec(registered(**bad), VARIABLES)
-    with pytest.raises(R.RegistryError, match="missing download"):
+    with pytest.raises(R.RegistryError, match="missing: download"):
         R.dataset_spec({k: v for k, v in registered().items() if k != "download"}, VARIABLES)
     view = R.view_registration(registered(preparation={"x": 1}), "set_v", "main:v", "h", {"source": "/s", "prepared": "/p", "isaac": "/i"}, "per_subtask", ["a", "b"], "/receipt", "/audit")
     assert "preparation" not in view and view["registration"]["language_mode"] == "per_subtask" and view["contract"]["language"]["instruction"] == "2 prompts selected by task_index (per_subtask)."
@@ -144,13 +144,13 @@ def test_experiments_and_queues():
     asked = []
     assert R.queue(queue, lambda c, sets: asked.append((c, sets)) or {"name": c}) == [{"name": "a"}, {"name": "b"}] and asked == [("a", []), ("b", ["x=1"])]
     for bad, said in (
-        ({"zzz": 1}, "schema"),
-        ({"name": "-"}, "unsafe"),
-        ({"runs": []}, "entries"),
-        ({"max_attempts": 0}, "positive"),
-        ({"runs": [{"overrides": []}]}, r"runs\[0\]"),
-        ({"runs": [{"config": "a", "overrides": "x"}]}, "overrides"),
-        ({"runs": [{"config": "a"}, {"config": "a"}]}, "duplicate names: a")
+        ({"zzz": 1}, "queue_keys"),
+        ({"name": "-"}, "queue_name"),
+        ({"runs": []}, "queue_empty"),
+        ({"max_attempts": 0}, "queue_attempts"),
+        ({"runs": [{"overrides": []}]}, r"queue_entry: \[0\]"),
+        ({"runs": [{"config": "a", "overrides": "x"}]}, "queue_entry"),
+        ({"runs": [{"config": "a"}, {"config": "a"}]}, "queue_duplicates: a")
     ):
         with pytest.raises(R.RegistryError, match=said):
             R.queue(queue | bad, lambda c, sets: {"name": c})
@@ -167,9 +167,9 @@ def test_receipts(spark):
     there = spark.createDataFrame([("a", 1, "h1")], "path string, bytes long, sha256 string")
     marker = R.recovered_marker(spec, "/m.txt", "h", manifest.verified(said, there))
     assert marker["source_kind"] == "verified_legacy_manifest" and R.recovered_marker(registered(), "/m", "h", said) is None
-    with pytest.raises(R.RegistryError, match="isn't the registered"):
+    with pytest.raises(R.RegistryError, match="manifest_digest"):
         R.recovered_marker(spec, "/m.txt", "x", manifest.verified(said, there))
-    with pytest.raises(R.RegistryError, match="checksum"):
+    with pytest.raises(R.RegistryError, match="manifest_files"):
         R.recovered_marker(spec, "/m.txt", "h", manifest.verified(said, there.where("false")))
     assert R.provenance({"a": 1}) == {"a": 1} and R.provenance([1]) == {}
     assert R.tracked_metrics({"eval_loss": None, "eval/loss": 3, "loss": 2}) == {"final_eval_loss": None, "final_train_loss": 2, "samples_per_second": None, "cuda_memory_gib": None}
