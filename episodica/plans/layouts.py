@@ -14,15 +14,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model
-from ..operators import index, segments, stats
+from ..operators import index, manifest, segments, stats
 from ..sources import files, sinks, trees
-from .datasets import INTEGERS, Dataset, global_stats, line_view
+from . import documents, registry
+from .datasets import INTEGERS, VARIANTS, Dataset, boundary_manifest, global_stats, line_view, variants, with_language_annotation, write_boundary_manifest
 
 #: Bytes of a data file, about, and files in a chunk folder.
 FILE_BYTES, CHUNK = 100 << 20, 1000
 #: The paths of a tree with one file an episode.
 EPISODE_FILE, VERSION = "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet", "v2.1"
-ANNOTATION = "annotation.human.task_description"
+ANNOTATION, RECEIPT = "annotation.human.task_description", "LANGUAGE_VARIANT_RECEIPT.json"
 
 
 # --- files planned by size
@@ -43,11 +44,11 @@ def planned(frames: DataFrame, limit: int = FILE_BYTES, chunk: int = CHUNK, fold
     return trees.sized_files(sizes, limit, "episode_index", folder, chunk)
 
 
-def write(data: Dataset, root: str, limit: int = FILE_BYTES, chunk: int = CHUNK) -> DataFrame:
+def write(data: Dataset, root: str, limit: int = FILE_BYTES, chunk: int = CHUNK, stage: str | None = None) -> DataFrame:
     """A tree that `load` reads; an existing one is an error.  The episodes' rows say in which file their frames are.
-    Returns the commit table of frames and episode rows."""
-    spark = data.frames.sparkSession
-    stage = sinks.staged(spark, root)
+    `stage`: writes there, for `publish`.  Returns the commit table of frames and episode rows."""
+    spark, own = data.frames.sparkSession, stage is None
+    stage = stage or sinks.staged(spark, root)
     frames = data.frames.drop("place")
     plan = planned(frames, limit, chunk)
     named = frames.join(plan.select("episode_index", "file"), "episode_index").select(*(f"`{c}`" for c in frames.columns), "file")
@@ -60,7 +61,8 @@ def write(data: Dataset, root: str, limit: int = FILE_BYTES, chunk: int = CHUNK)
     done = done.unionAll(trees.keyed_parquet(rows.join(place, "episode_index").select(*(f"`{c}`" for c in rows.columns), "file"), stage, "file", ["episode_index"]))
     for name, df, cols in (("tasks", data.tasks, ["task_index", "task"]), ("subtasks", data.subtasks, ["subtask_index", "subtask"])):
         sinks.vocabulary(df, f"{stage}/meta/{name}.parquet", cols)
-    publish(spark, [(stage, root)])
+    if own:
+        publish(spark, [(stage, root)])
     return done
 
 
@@ -144,8 +146,6 @@ def converted(data: Dataset) -> LineTree:
     """The dataset with one file an episode: the prompt's index under the annotation's name as well."""
     info = {k: v for k, v in data.info.items() if k != "root"}
     info["features"] = dict(info.get("features") or {}) | {ANNOTATION: {"dtype": "int64", "shape": [1], "names": None}}
-    from .datasets import with_language_annotation
-
     return LineTree(with_language_annotation(data.frames.drop("place"), ANNOTATION), data.tasks, data.episodes.select("episode_index", "length", "tasks"), episode_statistics(data.frames, data.episodes), info)
 
 
@@ -219,6 +219,46 @@ def recover(spark: SparkSession, journal: str) -> list[str]:
     return undone
 
 
+def publish_views(
+    source: Dataset, prepared: Dataset, lines: LineTree, requested: list[str], root: str, registration: dict[str, Any], overall: str, mapped: dict[str, str] | None = None,
+    prefix: str = "view", steps: int = 40
+) -> dict[str, dict[str, Any]]:
+    """Each requested language view as three trees with their receipts and a registration: <root>/<prefix>_<view>/{source,prepared,isaac} and
+    <root>/registrations/<prefix>_<view>.json.  All of them appear together or none does.  Returns the registrations by name.
+
+    source, prepared: the frame trees; lines: the one with one file an episode; registration: the parents'."""
+    spark = source.frames.sparkSession
+    stages: list[tuple[str, str]] = []
+    made: dict[str, dict[str, Any]] = {}
+    for view, (a, b) in variants(source, prepared, requested, overall, mapped).items():
+        own, name = VARIANTS[view], f"{prefix}_{view}"
+        told = [r.task for r in a.tasks.orderBy("task_index").collect()]  # a vocabulary
+        c, whole = lines_view(lines, a.tasks, own)
+        at = {kind: f"{root.rstrip('/')}/{name}/{kind}" for kind in ("source", "prepared", "isaac")}
+        starts, numbers = boundary_manifest(source, steps)
+        found = segments.run_segments(source.frames, "subtask_index", ["frame_index"])
+        spans = segments.segment_lengths(found, "subtask_index").collect()  # a row a subtask
+        report = documents.boundary_report(numbers.first(), source.frames.select("episode_index").distinct().count(), spans)
+        digest = {}
+        for kind, tree in (("source", a), ("prepared", b), ("isaac", c)):
+            stage = sinks.staged(spark, f"{root.rstrip('/')}/{name}-{kind}")
+            stages.append((stage, at[kind]))
+            if isinstance(tree, LineTree):
+                write_lines(tree, at[kind], whole, stage=stage)
+            else:
+                write(tree, at[kind], stage=stage)
+            path, sha = write_boundary_manifest(starts, stage)
+            digest[kind] = manifest.tree_digest(spark, stage, "language").first().digest
+            receipt = documents.language_receipt(view, own, told, kind, str(source.info.get("root", "")), at[kind], {}, {}, report, path, sha)
+            trees.small_file(f"{stage}/{RECEIPT}", json.dumps(receipt | {"payload_sha256": digest[kind]}, indent=2, sort_keys=True) + "\n")
+        made[name] = registry.view_registration(registration, name, f"{prefix}:{view}", digest["source"], at, view, told, f"{at['source']}/{RECEIPT}", f"{root.rstrip('/')}/{name}_caption_audit.json")
+        stage = sinks.staged(spark, f"{root.rstrip('/')}/{name}.json")
+        trees.small_file(stage, json.dumps(made[name], indent=2, sort_keys=True) + "\n")
+        stages.append((stage, f"{root.rstrip('/')}/registrations/{name}.json"))
+    publish(spark, stages, f"{root.rstrip('/')}/{prefix}.publishing")
+    return made
+
+
 def package(spark: SparkSession, source: str, target: str, required: list[str]) -> dict[str, int]:
     """A copy of a tree with its SHA256SUMS, made by executors; required files must be there, and the target must not."""
     found = trees.listing(spark, source).where("path <> 'SHA256SUMS'")

@@ -253,6 +253,15 @@ def keyed_lines(df: DataFrame, root: str, file: str, line: str, order: list[str]
     return written(mapped(dealt, write, "path string, rows long, bytes long"), "commit")
 
 
+def small_file(uri: str, text: str) -> None:
+    """A small document, whole or not at all, and no checksum file beside it that a digest of the tree would count."""
+    fs, path = system(uri)
+    temp = _new(fs, path)
+    with fs.open_output_stream(temp) as out:
+        out.write(text.encode())
+    _replace(fs, temp, path)
+
+
 def copied(files: DataFrame, root: str) -> DataFrame:
     """Files (path, uri) copied below root by executors in blocks; returns (path, bytes, sha256) of what was written."""
     top = _uri(root).rstrip("/")

@@ -194,3 +194,29 @@ def test_first_file_and_footers_of_a_folder(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "a long, b string").coalesce(1).write.parquet(f"{tmp_path}/t/chunk-1")
     assert files.first_file(spark, f"{tmp_path}/t").columns == ["a"]
     assert [r.types for r in files.footers(spark, f"{tmp_path}/t").orderBy("path").collect()] == [["a int"], ["a bigint", "b string"]]
+
+
+def test_views_of_three_trees_appear_together(spark, tmp_path):
+    words = [(k, f"step {k}") for k in range(5)]
+    rows = [(e, k, 50 * e + k, 0, k // 10, [float(k)]) for e in range(2) for k in range(50)]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long, index long, task_index long, subtask_index long, `observation.state` array<float>")
+    meta = spark.createDataFrame([(e, 50, 50 * e, 50 * e + 50, ["do it"]) for e in range(2)], "episode_index long, length long, dataset_from_index long, dataset_to_index long, tasks array<string>")
+    data = datasets.Dataset(
+        frames, spark.createDataFrame([(0, "do it")], "task_index long, task string"), spark.createDataFrame(words, "subtask_index long, subtask string"), meta, None, {"fps": 15, "features": {}, "root": "/p"}
+    )
+    lines = layouts.converted(data)
+    parent = {"name": "p", "contract": {}, "validation": {}}
+    made = layouts.publish_views(data, data, lines, ["per_subtask"], str(tmp_path / "out"), parent, "do it")
+    assert list(made) == ["view_per_subtask"]
+    for name, doc in made.items():
+        assert json.loads((tmp_path / f"out/registrations/{name}.json").read_text()) == doc
+        for kind in ("source", "prepared", "isaac"):
+            root = tmp_path / f"out/{name}/{kind}"
+            receipt = json.loads((root / layouts.RECEIPT).read_text())
+            assert receipt["tree_kind"] == kind and receipt["payload_sha256"] == manifest.tree_digest(spark, str(root), "language").first().digest
+            assert receipt["h40"]["language_conflict_start_count"] == receipt["h40"]["cross_boundary_start_count"] > 0 and (root / receipt["h40_boundary_manifest"]).exists()
+        own = layouts.load_lines(spark, str(tmp_path / f"out/{name}/isaac"))
+        assert own.episodes.first().tasks == [w for _, w in words]
+    with pytest.raises(FileExistsError):  # one of the trees is there: none of the new ones stays
+        layouts.publish_views(data, data, lines, ["mapped_subtask", "per_subtask"], str(tmp_path / "out"), parent, "do it", {"step 1": "turn"})
+    assert not (tmp_path / "out/view_mapped_subtask/source").exists() and not [p for p in (tmp_path / "out").iterdir() if "staging" in p.name or "publishing" in p.name]
