@@ -101,13 +101,16 @@ def episode_statistics(frames: DataFrame, episodes: DataFrame) -> DataFrame:
     """(episode_index, stats) of integer columns from the frames, and of other features from the episodes' own columns."""
     own = stats.column_stats(frames, [c for c in INTEGERS if c in frames.columns], ["episode_index"])
     one = F.create_map(*(x for n in ("mean", "std", "min", "max", "count") for x in (F.lit(n), F.array(F.col(n).cast("double")))))
-    out = own.groupBy("episode_index").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", one.alias("v"))), lambda a, b: F.when(a["feature"] < b["feature"], -1).otherwise(1))).alias("stats"))
+    entries = F.array_sort(F.collect_list(F.struct("feature", one.alias("v"))), lambda a, b: F.when(a["feature"] < b["feature"], -1).otherwise(1))
+    out = own.groupBy("episode_index").agg(F.map_from_entries(entries).alias("stats"))
     names = sorted({c.split("/")[1] for c in episodes.columns if c.startswith("stats/")} - set(INTEGERS))
     if not names:
         return out
     said = [x for f in names for x in (F.lit(f), F.create_map(*(y for n in ("mean", "std", "min", "max", "count") for y in (F.lit(n), F.col(f"`stats/{f}/{n}`").cast("array<double>")))))]
     more = episodes.select(F.col("episode_index").alias("__e"), F.create_map(*said).alias("__more"))
-    return out.join(more, F.col("episode_index") == F.col("__e"), "left").select("episode_index", F.map_concat("stats", F.coalesce("__more", F.create_map().cast("map<string,map<string,array<double>>>"))).alias("stats"))
+    none = F.create_map().cast("map<string,map<string,array<double>>>")
+    both = out.join(more, F.col("episode_index") == F.col("__e"), "left")
+    return both.select("episode_index", F.map_concat("stats", F.coalesce("__more", none)).alias("stats"))
 
 
 def _nested(rows: DataFrame) -> dict[str, dict[str, list[float]]]:
@@ -126,7 +129,11 @@ def write_lines(tree: LineTree, root: str, whole: DataFrame, chunk: int = CHUNK,
     to = stage or sinks.staged(spark, root)
     path = F.format_string("data/chunk-%03d/episode_%06d.parquet", F.floor(F.col("episode_index") / chunk), F.col("episode_index"))
     done = trees.keyed_parquet(tree.frames.withColumn("__file", path), to, "__file", ["frame_index"])
-    for name, df, columns in (("tasks", tree.tasks, ["task_index", "task"]), ("episodes", tree.episodes, ["episode_index", "length", "tasks"]), ("episodes_stats", tree.episode_stats, ["episode_index", "stats"])):
+    tables = (
+        ("tasks", tree.tasks, ["task_index", "task"]), ("episodes", tree.episodes, ["episode_index", "length", "tasks"]),
+        ("episodes_stats", tree.episode_stats, ["episode_index", "stats"]),
+    )
+    for name, df, columns in tables:
         lines = df.select(F.lit(f"meta/{name}.jsonl").alias("file"), _json(df, *columns).alias("line"), F.col(columns[0]).alias("k"))
         done = done.unionAll(trees.keyed_lines(lines, to, "file", "line", ["k"]))
     total = done.where("path like 'data/%'").agg(F.count("*").alias("e"), F.coalesce(F.sum("rows"), F.lit(0)).alias("f")).first()
@@ -146,7 +153,8 @@ def converted(data: Dataset) -> LineTree:
     """The dataset with one file an episode: the prompt's index under the annotation's name as well."""
     info = {k: v for k, v in data.info.items() if k != "root"}
     info["features"] = dict(info.get("features") or {}) | {ANNOTATION: {"dtype": "int64", "shape": [1], "names": None}}
-    return LineTree(with_language_annotation(data.frames.drop("place"), ANNOTATION), data.tasks, data.episodes.select("episode_index", "length", "tasks"), episode_statistics(data.frames, data.episodes), info)
+    frames, rows = with_language_annotation(data.frames.drop("place"), ANNOTATION), data.episodes.select("episode_index", "length", "tasks")
+    return LineTree(frames, data.tasks, rows, episode_statistics(data.frames, data.episodes), info)
 
 
 def convert(data: Dataset, root: str, chunk: int = CHUNK) -> DataFrame:
