@@ -150,22 +150,32 @@ def merged_leaves(layers: DataFrame, keys: list[str] | None = None) -> DataFrame
 
 
 def chains(links: DataFrame) -> DataFrame:
-    """Of (child, parent): (name, chain array, cyclic) for every name, walked by joins until all chains end.
+    """Of (child, parent): (name, chain array, cyclic) for every name; a cyclic chain ends with the first name it holds twice.
 
-    Each round ends a chain or makes it longer by a name that it doesn't hold, so rounds are as many as the longest chain."""
+    Each round appends to an open chain the chain of its last name, which doubles its length, so rounds are as many as
+    the logarithm of the longest chain."""
     names = links.select(F.col("child").alias("name")).union(links.select("parent")).distinct()
-    at = names.select("name", F.array("name").alias("chain"), F.lit(False).alias("cyclic"), F.lit(False).alias("done"))
-    up = links.select(F.col("child").alias("c"), F.col("parent").alias("p")).where("p is not null")
-    open_ones = at.count()
+    up = links.select(F.col("child").alias("c"), F.col("parent").alias("p")).where("p is not null").distinct()
+    at = names.join(up, F.col("name") == F.col("c"), "left")
+    at = at.select("name", F.when(F.col("p").isNull(), F.array("name")).otherwise(F.array("name", "p")).alias("chain"), F.col("p").isNull().alias("ended"))
+    at, open_ones = _cut(at).checkpoint(), 1
     while open_ones:
-        at = at.join(up, (F.element_at("chain", -1) == F.col("c")) & ~F.col("done"), "left")
-        again = F.coalesce(F.array_contains("chain", F.col("p")), F.lit(False))
-        longer = F.when(F.col("p").isNull(), F.col("chain")).otherwise(F.concat("chain", F.array("p")))
-        at = at.select("name", longer.alias("chain"), (F.col("cyclic") | again).alias("cyclic"), (F.col("done") | F.col("p").isNull() | again).alias("done")).checkpoint()
-        open_ones = at.where("not done").count()
+        ways = at.select(F.col("name").alias("last"), F.col("chain").alias("way"), F.col("ended").alias("way_ended"))
+        longer = at.where("not ended").join(ways, F.element_at("chain", -1) == F.col("last"))
+        longer = longer.select("name", F.concat("chain", F.slice("way", F.lit(2), F.size("way"))).alias("chain"), F.col("way_ended").alias("ended"))
+        at = at.where("ended").unionByName(_cut(longer).distinct()).checkpoint()
+        open_ones = at.where("not ended").count()
     return at.select("name", "chain", "cyclic")
 
 
+def _cut(at: DataFrame) -> DataFrame:
+    """Chains up to the first name that they hold twice, which ends them."""
+    again = F.filter(F.transform("chain", lambda x, i: F.when(F.array_position("chain", x) <= i, i + 1)), lambda i: i.isNotNull())
+    out = at.withColumn("until", F.get(again, F.lit(0))).withColumn("cyclic", F.col("until").isNotNull())
+    whole = F.slice("chain", F.lit(1), F.coalesce("until", F.size("chain")))
+    return out.select("name", whole.alias("chain"), "cyclic", (F.col("ended") | F.col("cyclic")).alias("ended"))
+
+
 def alias_value(values: Column, names: list[str]) -> Column:
     """Of a map, the value of the first name that is present, even if it is null."""
     out = F.lit(None)

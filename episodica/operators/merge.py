@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from . import index, segments, stats, vocab
 
 SOURCE = "source_id"
+#: Episodes of a piece of a source's range.
+RANGE = 1 << 12
 
 
 def compacted(frames: DataFrame, episode: str = "episode_index") -> DataFrame:
@@ -23,12 +25,13 @@ def offsets(ids: DataFrame) -> DataFrame:
 
 
 def source_of(episodes: DataFrame, bounds: DataFrame, episode: str = "new_episode") -> DataFrame:
-    """Episodes with their source by range; bounds are one row a source, so the range condition is a broadcast."""
-    b = bounds.select(F.col(SOURCE).alias("__s"), "from_episode", "to_episode")
-    return episodes.join(
-        F.broadcast(b),
-        (F.col(episode) >= F.col("from_episode")) & (F.col(episode) < F.col("to_episode"))
-    ).withColumn(SOURCE, F.col("__s")).drop("__s", "from_episode", "to_episode")
+    """Episodes with their source by range.  Ranges are cut at multiples of RANGE, so that episodes find theirs by an equality, and
+    neither many sources nor one with most episodes make a table that must fit in one place."""
+    piece = lambda c: F.floor(c / RANGE)
+    pieces = F.sequence(piece(F.col("from_episode")), piece(F.col("to_episode") - 1))
+    b = bounds.where("from_episode < to_episode").select(F.col(SOURCE).alias("__s"), "from_episode", "to_episode", F.explode(pieces).alias("__piece"))
+    mine = (piece(F.col(episode)) == F.col("__piece")) & (F.col(episode) >= F.col("from_episode")) & (F.col(episode) < F.col("to_episode"))
+    return episodes.join(b, mine).withColumn(SOURCE, F.col("__s")).drop("__s", "__piece", "from_episode", "to_episode")
 
 
 def frames(

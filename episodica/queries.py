@@ -102,9 +102,7 @@ def boundary_starts(spark, d):
     *_EVENTS, "h",
 )
 def boundary_stats(spark, d):
-    rows = proxies.coded_frames(spark, d)
-    one = [horizon.boundary_stats(rows, "subtask_index", proxies.ORDER, k) for k in (2, 3, 40)]
-    return one[0].unionAll(one[1]).unionAll(one[2])
+    return horizon.boundary_stats(proxies.coded_frames(spark, d), "subtask_index", proxies.ORDER, 2, 3, 40)
 
 
 @query("SELECT episode_index, count(*) AS clean FROM h WHERE frame_index + 2 <= n AND first_offset >= 2 GROUP BY episode_index", *_EVENTS, "h")

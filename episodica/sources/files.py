@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model
+from ..executors import mapped, rows
 from . import trees
 
 
@@ -130,18 +133,8 @@ def small_text(spark: SparkSession, path: str) -> str | None:
 
 def hidden_files(spark: SparkSession, root: str) -> DataFrame:
     """(path below root, length, content) of the files that Spark's readers pass over, as they or a folder above them begin
-    with a point or an underscore: markers and caches, listed and read on the driver."""
-    fs, there = _opened(spark, root)
-    found, rows, top = fs.listFiles(there, True), [], str(fs.makeQualified(there).toString()).rstrip("/") + "/"
-    while found.hasNext():
-        at = found.next().getPath()
-        path = at.toString()[len(top) :]
-        if any(x[:1] in "._" for x in path.split("/")):
-            stream = fs.open(at)
-            content = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
-            stream.close()
-            rows.append((path, len(content), content))
-    return spark.createDataFrame(rows, "path string, length long, content binary")
+    with a point or an underscore: markers and caches, listed and read by executors."""
+    return trees.contents(trees.listing(spark, root).where(F.col("path").rlike(r"(\A|/)[._]")))
 
 
 def source_revision(spark: SparkSession, root: str) -> str | None:
@@ -169,10 +162,10 @@ def queue_table(spark: SparkSession, path: str) -> DataFrame:
 def results(spark: SparkSession, root: str) -> DataFrame:
     """All result documents below root, with the run's folder and the attempt's number (null: the run's own).
 
-    A document is YAML, of which JSON is a part; where no YAML reader is installed only JSON documents can be read."""
+    A document is YAML, of which JSON is a part; where no YAML reader is installed only JSON documents can be read.  They are
+    parsed by executors; one that is no mapping is an error."""
     found = files(spark, root, "result.{yaml,json}").select("path", F.col("content").cast("string").alias("text"))
-    rows = [(r.path, json.dumps(_document(r.text, r.path))) for r in found.toLocalIterator()]  # one small document a run
-    said = spark.createDataFrame(rows, "path string, text string").select("path", F.from_json("text", model.RESULT).alias("r")).select("path", "r.*")
+    said = mapped(found, _parsed, "path string, text string").select("path", F.from_json("text", model.RESULT).alias("r")).select("path", "r.*")
     path = F.concat(F.lit("/"), F.col("path"))
     name = r"(?:attempt-\d+/)?result\.(?:yaml|json)\z"
     return said.select(
@@ -182,6 +175,13 @@ def results(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _parsed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        paths = batch.column("path").to_pylist()
+        found = [(p, json.dumps(_document(text, p))) for p, text in zip(paths, batch.column("text").to_pylist(), strict=True)]
+        yield rows("path text", [pa.string(), pa.string()], found)
+
+
 def _document(text: str, where: str) -> dict:
     try:
         import yaml

@@ -30,6 +30,9 @@ _STAGE = ".part-"
 
 
 def _uri(path: str) -> str:
+    scheme, found, rest = path.partition("://")
+    if found and scheme in ("s3a", "s3n"):  # Hadoop's names for what pyarrow knows as s3
+        return f"s3://{rest}"
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[5:]
     return path if "://" in path else "file://" + os.path.abspath(path)
@@ -111,6 +114,18 @@ def footers(files: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return mapped(_tasks(files.select("path", "uri")), read, "path string, rows long, row_groups int, columns array<string>, types array<string>")
 
 
+def contents(files: DataFrame) -> DataFrame:
+    """(path, length, content) of small files (path, uri), read by executors."""
+
+    def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for path, uri in zip(batch.column("path").to_pylist(), batch.column("uri").to_pylist(), strict=True):
+                content = b"".join(blocks(uri))
+                yield rows("path length content", [pa.string(), pa.int64(), pa.binary()], [(path, len(content), content)])
+
+    return mapped(_tasks(files.select("path", "uri")), read, "path string, length long, content binary")
+
+
 def hashes(files: DataFrame) -> DataFrame:
     """(path, bytes, sha256) of files (path, uri), each streamed once."""
 

@@ -1,8 +1,10 @@
+import itertools
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from episodica.operators import merge
 from episodica.plans import captions, datasets, documents, layouts, rules
 from episodica.sources import files, sinks
 
@@ -313,3 +315,13 @@ def test_prepared_and_letterboxed(spark, tree):
         datasets.letterboxed(data, rows, ["b", "a"], {"action": 6}, "cam")
     with pytest.raises(documents.DocumentError, match="5-dimensional"):
         datasets.letterboxed(data, rows, ["a"], {"action": 5}, "cam")
+
+
+def test_sources_by_range(spark):
+    """Sources of one episode and one that spans many pieces; every episode finds its own."""
+    lengths = [1, 3 * merge.RANGE + 5, 1, merge.RANGE, 7]
+    ends = list(itertools.accumulate(lengths))
+    bounds = spark.createDataFrame([(k, e - n, e) for k, (n, e) in enumerate(zip(lengths, ends, strict=True))], "source_id int, from_episode long, to_episode long")
+    found = merge.source_of(spark.range(ends[-1] + 3).withColumnRenamed("id", "new_episode"), bounds)
+    assert {r.source_id: r["count"] for r in found.groupBy("source_id").count().collect()} == dict(enumerate(lengths))
+    assert found.columns == ["new_episode", "source_id"] and found.agg({"new_episode": "max"}).first()[0] == ends[-1] - 1

@@ -98,6 +98,18 @@ def test_config(spark):
     assert {r.name: r.cyclic for r in config.chains(links).collect()} == {"a": True, "b": True, "c": False, "d": False}
 
 
+def test_chains_of_any_length(spark):
+    """A chain of 37 names, a cycle of 5 that a tail of 6 leads to, a name that is its own parent, and one with two parents."""
+    line, tail, ring = [f"n{k}" for k in range(37)], [f"t{k}" for k in range(6)], [f"r{k}" for k in range(5)]
+    pairs = [*zip(line, line[1:]), *zip(tail, [*tail[1:], "r0"]), *zip(ring, [*ring[1:], "r0"]), ("me", "me"), ("two", "n35"), ("two", "n36")]
+    got = {(r.name, tuple(r.chain)): r.cyclic for r in config.chains(spark.createDataFrame([*pairs, ("n36", None)], "child string, parent string")).collect()}
+    want = {(n, tuple(line[k:])): False for k, n in enumerate(line)}
+    want |= {(n, (*tail[k:], *ring, "r0")): True for k, n in enumerate(tail)}
+    want |= {(n, (*ring[k:], *ring[:k], n)): True for k, n in enumerate(ring)}
+    want |= {("me", ("me", "me")): True, ("two", ("two", "n35", "n36")): False, ("two", ("two", "n36")): False}
+    assert {k: v for k, v in got.items() if k[0] is not None} == want
+
+
 def test_log_falls_back_only_without_steps(spark):
     step = "step:{} loss:{} grdn:1 smp/s:2 mem_gb:3"
     rows = [

@@ -46,6 +46,7 @@ def test_against_loops(spark, seed):
         got = {(r.episode_index, r.frame_index, r.first_next_offset, r.next_subtask_index) for r in horizon.boundary_starts(df, "subtask_index", order, h).collect()}
         assert got == want
         s = horizon.boundary_stats(df, "subtask_index", order, h).first()
+        assert [r for r in horizon.boundary_stats(df, "subtask_index", order, 7, h, 1).collect() if r.horizon == h][0] == s
         assert (s.frames, s.crossing_starts, s.boundaries) == (len(rows), len(want), sum(len(_runs(v)) - 1 for v in by.values()))
 
 

@@ -28,6 +28,10 @@ def test_sources(spark, tmp_path):
         (tmp_path / f"runs/r/{k}result.json").write_text(json.dumps({"run_name": "r", "status": {"state": "completed"}}))
     (tmp_path / "runs/r/attempt-2/result.json").rename(tmp_path / "runs/r/attempt-2/result.yaml")
     assert sorted((r.attempt or -1, r.run) for r in files.results(spark, str(tmp_path / "runs")).collect()) == [(-1, "r"), (2, "r"), (10, "r")]
+    (tmp_path / "odd/r").mkdir(parents=True)
+    (tmp_path / "odd/r/result.json").write_text("[1]")
+    with pytest.raises(Exception, match="is no mapping"):
+        files.results(spark, str(tmp_path / "odd")).collect()
 
 
 def test_footers_and_probes(spark, tmp_path):
