@@ -47,6 +47,8 @@ END_ID = 0
 #: Documents that train the dictionary, about; ids of a piece of them; bytes of the pieces taken, about; the dictionary's bytes.
 SAMPLE, PIECE_IDS, SAMPLE_BYTES, DICTIONARY = 2000, 4096, 16 << 20, 112_640
 _ENTRY = np.dtype([("known", "<u8"), ("doc_id", "<i8"), ("offset", "<u8"), ("length", "<u8"), ("ids", "<u8")])
+#: Bytes of text and index that a shard takes, and of frames that are read at once, about.
+SHARD_BYTES, READ_BYTES = 128 << 20, 1 << 20
 #: Texts longer than this are encoded in pieces, cut before a single space between words, where no token can cross.
 PIECE = 1 << 20
 
@@ -316,25 +318,30 @@ def _decompressor(data: bytes) -> zstandard.ZstdDecompressor:
 def _writer(folder: str, path: str, shared, width: int) -> Callable:
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()  # type: ignore[union-attr]
-        press, entries, total = _compressor(shared.value), [], 0
+        press, index, docs, total = _compressor(shared.value), [], 0, 0
         fs, base = _open(folder)
         name, temp = f"{base}/shard-{shard:06d}.tok", f"{base}/.shard-{shard:06d}.{uuid.uuid4().hex}"
         with fs.open_output_stream(temp) as out:
             out.write(head := MAGIC + hashlib.sha256(shared.value).digest() + np.uint32(width).tobytes())
             at = len(head)
             for batch in store.batches(it, 2 << 20):
+                entries = []
                 for doc, ids in zip(batch.column("doc_id").to_pylist(), encoded(path, batch.column("text")), strict=True):
                     frame = press.compress(ids.astype(f"<u{width}").tobytes())
                     out.write(frame)
                     entries.append((doc is not None, doc or 0, at, len(frame), len(ids)))
                     at, total = at + len(frame), total + len(ids)
-            out.write(np.array(entries, _ENTRY).tobytes() + np.array([len(entries), at], "<u8").tobytes() + INDEX)
-        if not entries:
+                docs += len(entries)
+                index.append(np.array(entries, _ENTRY).tobytes())
+            for x in index:
+                out.write(x)
+            out.write(np.array([docs, at], "<u8").tobytes() + INDEX)
+        if not docs:
             fs.delete_file(temp)
             return
         fs.move(temp, name)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), pa.array([f"{folder}/shard-{shard:06d}.tok"]), pa.array([len(entries)], pa.int64()), pa.array([total], pa.int64())],
+            [pa.array([shard], pa.int32()), pa.array([f"{folder}/shard-{shard:06d}.tok"]), pa.array([docs], pa.int64()), pa.array([total], pa.int64())],
             ["shard", "url", "docs", "ids"]
         )
 
@@ -356,7 +363,10 @@ def write(docs: DataFrame, folder: str | None = None, path: str | None = None, s
     with fs.open_output_stream(f"{base}/dictionary") as out:
         out.write(data)
     shared = spark.sparkContext.broadcast(data)
-    dealt = rows.repartitionByRange(shards or store.parts(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    size = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + _ENTRY.itemsize)).first()[0] or 0
+    # rows of one id (or of none) may lie in several shards, dealt by their texts' hashes
+    order = ["doc_id", F.xxhash64("text")]
+    dealt = rows.repartitionByRange(shards or store.parts(spark, size, SHARD_BYTES), *order).sortWithinPartitions(*order, "text")
     return store.written(dealt.transform(store.arrow, _writer(folder, path, shared, width), _SHARDS), "shards")
 
 
@@ -382,10 +392,18 @@ class Shard:
         self.press = _decompressor(dictionary)
 
     def ids(self, k: int) -> np.ndarray:
-        e = self.index[k]
-        self.file.seek(int(e["offset"]))
-        raw = self.press.decompress(self.file.read(int(e["length"])), max_output_size=int(e["ids"]) * self.width)
-        return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
+        return next(self.run(k, k + 1))
+
+    def run(self, a: int, b: int) -> Iterator[np.ndarray]:
+        """The ids of documents a to b, whose frames are read at once."""
+        part = self.index[a:b]
+        first, last = int(part["offset"][0]), int(part["offset"][-1] + part["length"][-1])
+        self.file.seek(first)
+        raw = self.file.read(last - first)
+        for e in part:
+            at = int(e["offset"]) - first
+            ids = self.press.decompress(raw[at : at + int(e["length"])], max_output_size=int(e["ids"]) * self.width)
+            yield np.frombuffer(ids, f"<u{self.width}").astype("<u4")
 
 
 def read_dictionary(url: str) -> bytes:
@@ -398,9 +416,10 @@ def _reader(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         for url, start in zip(batch.column("url").to_pylist(), batch.column("start").to_pylist(), strict=True):
             shard = Shard(url, read_dictionary(url))
-            for a in range(0, len(shard.index), 1000):
-                part = shard.index[a : a + 1000]
-                crc = [zlib.crc32(shard.ids(a + k).tobytes()) for k in range(len(part))]
+            ends = np.r_[shard.index["offset"][:1], shard.index["offset"] + shard.index["length"]].astype(np.int64)
+            for a, b in K.slices(ends, READ_BYTES):
+                part = shard.index[a:b]
+                crc = [zlib.crc32(ids.tobytes()) for ids in shard.run(a, b)]
                 n = part["ids"].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part["doc_id"].astype(np.int64), mask=part["known"] == 0), pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64())],

@@ -75,6 +75,24 @@ def test_round_trip(llm, docs, tmp_path):
     assert not list((tmp_path / "t").glob(".shard*"))
 
 
+def test_shards_grow_with_the_input_and_split_one_id(llm, tmp_path, monkeypatch):
+    """As many shards as the texts' bytes ask for, though most rows have no id; frames are read in runs."""
+    monkeypatch.setattr(O, "SHARD_BYTES", 2000)
+    monkeypatch.setattr(O, "READ_BYTES", 300)
+    rows = [(None if k % 3 else k, f"text number {k} " * (k % 9)) for k in range(600)]
+    shards = O.write(llm.createDataFrame(rows, "doc_id long, text string").repartition(3), f"file://{tmp_path}/t")
+    held = [r.docs for r in shards.collect()]
+    assert len(held) > 20 and sum(held) == 600 and max(held) < 100
+    encode = plain(O.default_tokenizer()).encode
+    ids = [(d, np.array(encode(t, add_special_tokens=False).ids + [0], "<u4")) for d, t in rows]
+    key = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    got = O.read_back(llm, shards).collect()
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=key) == sorted(((d, len(x), zlib.crc32(x.tobytes())) for d, x in ids), key=key)
+    got.sort(key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda x: (x is not None, x or 0))
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))
+
+
 def test_edges(edges, empty):
     rows = O.report(edges).collect()
     assert len(rows) == edges.count() and [r.n_tokens for r in rows if r.doc_id in (0, 1)] == [1, 1]
