@@ -1,8 +1,8 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams against every training window.
 
 Test items are cut into windows of WINDOW words (a shorter item is one window).  Their hashes and texts are broadcast
-as a few arrays, in blocks of about `block_bytes`, so the broadcast has a fixed bound; a larger benchmark takes more
-passes over the documents, each starting from the written result of the one before.  A document batch is hashed once
+as a few arrays, in blocks of about `block_bytes` by hash and item (a window of many items is dealt to all blocks), so the
+broadcast has a fixed bound; a larger benchmark takes more passes over the documents, each starting from the written result of the one before.  A document batch is hashed once
 for each window length in use, filtered by a bitmap, looked up, and every hit is verified word by word, so a
 hash collision can't mark a clean document.  The documents are never shuffled.
 
@@ -26,7 +26,7 @@ from . import kernel as K
 from . import store
 
 WINDOW = 10
-#: Bytes of one broadcast, about: a window's words, and 24 for its hash and places.
+#: Bytes of one broadcast, about: a window's words and item, and 24 for its hash and places.
 BLOCK_BYTES = 64 << 20
 _GRAMS = "item string, length int, hash long, words binary"
 _KINDS = {"words": T.LongType(), "hits": T.ArrayType(T.LongType()), "items": T.ArrayType(T.StringType()), "spans": T.ArrayType(T.LongType())}
@@ -148,13 +148,13 @@ def annotate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
     grams = items.transform(store.arrow, _grams(window), _GRAMS).distinct()
-    size = grams.agg(F.sum(F.length("words") + 24)).first()[0] or 0
+    size = grams.agg(F.sum(F.octet_length("words") + F.octet_length("item") + 24)).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     names = store.unused(docs.columns, *(f"__{k}" for k in _KINDS))
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, t in zip(names, _KINDS.values(), strict=True))])
     out, before = docs, None
     for k in range(blocks):
-        block = grams.where(F.pmod("hash", F.lit(blocks)) == k) if blocks > 1 else grams
+        block = grams.where(F.pmod(F.xxhash64("hash", "item"), F.lit(blocks)) == k) if blocks > 1 else grams
         shared = spark.sparkContext.broadcast(_Set(block.toArrow()))
         out = out.transform(store.arrow, _scan(shared, names, k > 0), schema)
         if k + 1 < blocks:

@@ -41,6 +41,22 @@ def test_against_brute_force(llm, block):
     assert got == brute(docs, items)
 
 
+def test_a_window_of_very_many_items(llm, monkeypatch):
+    """One header in every item: its rows are dealt to all blocks, and each document names all items."""
+    items = [(k, f"the header of all tests of this suite in ten words {k}") for k in range(400)]
+    docs = [(1, "x the header of all tests of this suite in ten y"), (2, "the header of all tests"), (3, items[7][1])]
+    sizes, made = [], D._Set.__init__
+
+    def spy(self, rows):
+        sizes.append(rows.num_rows)
+        made(self, rows)
+
+    monkeypatch.setattr(D._Set, "__init__", spy)
+    a, b = llm.createDataFrame(docs, "doc_id long, text string"), llm.createDataFrame(items, "item_id long, text string")
+    assert sorted((tuple(r) for r in D.report(a, b, block_bytes=16_000).collect()), key=str) == brute(docs, items)
+    assert len(sizes) > 3 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+
+
 def test_removal(llm, edges, empty):
     bench = llm.createDataFrame([(1, "same row here with five words"), (2, None)], "item_id long, text string")
     clean = D.remove(edges, bench)
