@@ -265,19 +265,17 @@ def _segments(length: int, parts: int, hot: int) -> Callable:
     will sort them.  Those of anchors too common for a task are part -1, in packs of about `hot` bytes with a number each."""
 
     def run(it):
-        press, rows, size = zstandard.ZstdCompressor(level=3), [[] for _ in range(parts + 1)], [0, 0]
+        press, size = zstandard.ZstdCompressor(level=3), [0, 0]
+        rows: dict[int, list] = {}  # only of parts that have some, so that a pack costs as much as it holds, however many parts there are
         task, serial = TaskContext.get().partitionId(), 0  # type: ignore[union-attr]
 
         def packed(some: list[int]) -> pa.RecordBatch:
             nonlocal serial
-            some = [p for p in some if rows[p]]
             blobs = [
                 press.compress(
-                    pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[p], strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()
+                    pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows.pop(p), strict=True), _SEGMENT, strict=True)], schema=_SEGMENT).serialize()
                 ) for p in some
             ]
-            for p in some:
-                rows[p].clear()
             serial += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int32()), pa.array([task << 32 | serial] * len(some), pa.int64()), pa.array(blobs, pa.binary())],
@@ -290,15 +288,15 @@ def _segments(length: int, parts: int, hot: int) -> Callable:
                     first = f["pos"] - f["back"]
                     last = first + f["more"]
                     segment = text[first : last + length]
-                    rows[-1 if f["many"] else f["anchor"] % parts].append((f["anchor"], key, other, first, last - first + 1, segment))
+                    rows.setdefault(-1 if f["many"] else f["anchor"] % parts, []).append((f["anchor"], key, other, first, last - first + 1, segment))
                     size[f["many"]] += len(segment)
                     if size[1] > hot:
                         yield packed([-1])
                         size[1] = 0
                     if size[0] > 16 << 20:
-                        yield packed(list(range(parts)))
+                        yield packed(sorted(p for p in rows if p >= 0))
                         size[0] = 0
-        yield packed(list(range(-1, parts)))
+        yield packed(sorted(rows))
 
     return run
 
