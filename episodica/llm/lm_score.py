@@ -179,6 +179,11 @@ def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Where a sorted array takes a new value."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
+
+
 def _asked(lengths: tuple[int, ...], parts: int, first: int = 0) -> Callable:
     """What blocks ask of n-grams of these lengths, dealt to parts from `first` on."""
 
@@ -188,9 +193,11 @@ def _asked(lengths: tuple[int, ...], parts: int, first: int = 0) -> Callable:
                 b = _Block(max(lengths), row["a"], row["b"], row["c"], row["d"])
                 counts = b.asked()
                 keys, counts = [b.keys[n - 1] for n in lengths], [counts[n - 1] for n in lengths]
-                cuts = [np.searchsorted(_part_of(k, parts), np.arange(parts + 1)) for k in keys]
-                some = [p for p in range(parts) if any(c[p] < c[p + 1] for c in cuts)]
-                pressed = [[_frames([f(x[c[p] : c[p + 1]]) for x, c in zip(xs, cuts, strict=True)]) for p in some] for f, xs in ((_press_keys, keys), (_press, counts))]
+                dealt = [_part_of(k, parts) for k in keys]
+                some = np.unique(np.concatenate([p[_steps(p)] for p in dealt]))  # never more than there are keys
+                cuts = [list(zip(np.searchsorted(p, some), np.searchsorted(p, some, "right"), strict=True)) for p in dealt]
+                some = some.tolist()
+                pressed = [[_frames([f(x[c[j][0] : c[j][1]]) for x, c in zip(xs, cuts, strict=True)]) for j in range(len(some))] for f, xs in ((_press_keys, keys), (_press, counts))]
                 yield _rows([row["block"]] * len(some), [first + p for p in some], *pressed)
 
     return run
