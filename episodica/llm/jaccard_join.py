@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
@@ -280,11 +280,24 @@ def family_members(rows: DataFrame, size: int, percent: int, n: int, long: int =
     packed = made.where("part >= 0").repartition(n, "part").transform(store.arrow, _families(percent), "family long, id long")
     if lengthy:
         entries = made.where("part < 0").transform(store.arrow, _entries, "token long, id long, n int, pos int").distinct()
-        lists = entries.groupBy("token").agg(F.min("id").alias("family"), F.count("*").alias("c")).where("c > 1").select(F.col("token").alias("t"), "family")
-        packed = packed.union(entries.join(lists, entries.token == lists.t).select("family", "id"))
+        packed = packed.union(_long_lists(store.written(entries, "entries"), percent))
     return packed.distinct()
 
 
+def _long_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """(family, id) of entries (token, id, n, pos) by aggregations and a join: the blocks are skipped as in `_compatible`,
+    and only blocks, of which a list has few, stand in one place."""
+    blocks = entries.groupBy("token", "n", "pos").agg(F.count("*").alias("c"), F.min("id").alias("least"))
+    w, n = Window.partitionBy("token").orderBy("n", "pos"), F.col("n").cast("long")
+    early = F.col("pos") <= n - F.ceil(F.lit(2) * percent * n / (100 + percent))
+    after = (F.col("c") > 1) | F.coalesce(n * 100 >= F.lead(n).over(w) * percent, F.lit(False))
+    smaller = F.last(F.when(early, n), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    stay = blocks.withColumn("stays", (early & after) | F.coalesce(smaller * 100 >= percent * n, F.lit(False))).where("stays")
+    lists = stay.groupBy("token").agg(F.min("least").alias("family"), F.sum("c").alias("all")).where("all > 1")
+    found = stay.select("token", "n", "pos").join(lists.select("token", "family"), "token")
+    return entries.join(found, ["token", "n", "pos"]).select("family", "id")
+
+
 class _Overlaps:
     """How many shingles each of a family's sets shares with one of them: counted from the shingles' lists of sets, or derived
     from the known overlaps of another one by the shingles in which the two differ."""

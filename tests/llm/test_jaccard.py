@@ -77,6 +77,18 @@ def test_families_of_several_clusters(llm, chunk):
     assert got == brute(rows)
 
 
+def test_long_lists_are_skipped_like_packed_ones(llm):
+    """Lists built by a join hold the same families as packed ones, for sets of many sizes that share shingles."""
+    rng, texts = random.Random(9), []
+    for g in range(30):
+        words = [f"g{g}_{k}" for k in range(70)]
+        texts += family(rng, words[:40], 4, 2) + [" ".join(words[: rng.randrange(5, 70)]) for _ in range(6)]
+    rows = llm.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    for percent in (60, 85):
+        joined, packed = ({tuple(r) for r in J.family_members(rows, 4, percent, 3, long).collect()} for long in (0, J.LONG))
+        assert joined == packed and len(packed) > 20
+
+
 def test_overlaps_are_derived(monkeypatch):
     """Chains of sets: what is derived from an answer is what a count says, and most is."""
     rng = np.random.default_rng(3)
