@@ -2,7 +2,8 @@
 
 Frames are shuffled by episode once.  One window numbers them and marks where the prompt and the subtask change; one
 aggregation over the same partitioning leaves a row an episode with its runs as ordered arrays.  That table is written;
-texts, metadata and annotation files join it by episode, and everything the contract says of an episode is an expression over
+texts, metadata and annotation files join it by episode, sorted and never broadcast, as a written table's compressed files say little
+of the memory that its rows take; and everything the contract says of an episode is an expression over
 arrays of that row: violations with their rules, and the episode's summary.
 
 Rules come in the order in which a fail-fast audit would raise them: those of the whole dataset, then all of the first
@@ -97,9 +98,9 @@ def facts(frames: DataFrame, episodes: DataFrame, annotations: DataFrame, tasks:
     spans = F.col("meta_data") if "meta_data" in annotations.columns else F.lit(None).cast(_SPANS)
     said = annotations.select(F.col("episode_index").alias("a"), F.struct(path.alias("path"), spans.alias("meta_data"), "sub_task_annotation").alias("note"))
     said = said.groupBy("a").agg(F.count("*").alias("files"), F.any_value("note").alias("note"))
-    out = per.join(_texts(per, "task_runs", tasks, "task_index", "task", "prompts"), "episode_index")
-    out = out.join(_texts(per, "subtask_runs", subtasks, "subtask_index", "subtask", "captions"), "episode_index")
-    out = out.join(meta, F.col("episode_index") == F.col("m"), "left").join(said, F.col("episode_index") == F.col("a"), "left")
+    out = per.join(_texts(per, "task_runs", tasks, "task_index", "task", "prompts").hint("merge"), "episode_index")
+    out = out.join(_texts(per, "subtask_runs", subtasks, "subtask_index", "subtask", "captions").hint("merge"), "episode_index")
+    out = out.join(meta.hint("merge"), F.col("episode_index") == F.col("m"), "left").join(said.hint("merge"), F.col("episode_index") == F.col("a"), "left")
     return out.drop("m", "a").withColumn("files", F.coalesce("files", F.lit(0)))
 
 

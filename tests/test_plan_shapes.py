@@ -6,6 +6,7 @@ from oracle import DATA
 
 from episodica import proxies
 from episodica.operators import horizon, segments, subset
+from episodica.plans import captions
 
 
 def plan(df):
@@ -47,3 +48,11 @@ def test_counts_are_partial(spark):
     rows = proxies.frames(spark, f"{DATA}/sf0.001")
     drop = rows.where("subtask = 'error'").select("episode_index", "subtask")
     assert "partial_count" in plan(subset.counts(subset.flagged(rows, drop, proxies.ORDER, "subtask"), "subtask"))
+
+
+def test_facts_of_episodes_are_never_broadcast(spark):
+    from episodica.queries_audit import contract_tables
+
+    t = contract_tables(spark, f"{DATA}/sf0.001", per_subtask=True)
+    text = plan(captions.facts(**t))
+    assert len(re.findall(r"SortMergeJoin \[episode_index", text)) == 4 and not re.search(r"BroadcastHashJoin \[(episode_index|m|a)#", text)
